@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -20,6 +21,7 @@ SAMPLE_CHARS, SAMPLE_DOC, LANGUAGES = 24_000, 8_000, 64
 ALPHABET = 62
 #: Characters that are parsed in one run; the parse starts anew after them, which adds at most a phrase to each run.
 RUN = 256
+OTHER = re.compile(r"[\W\d_]+")
 
 
 def automaton(text: np.ndarray) -> list[dict[int, int]]:
@@ -56,7 +58,7 @@ class Model:
 
     def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
-        seen = Counter("".join(samples.values()))
+        seen = Counter(OTHER.sub(" ", "".join(samples.values()).lower()))
         letters = sorted(seen, key=lambda c: (-seen[c], c))[:ALPHABET]
         self.width = len(letters) + 2
         self.codes = np.ones(0x110000, np.uint8)
@@ -82,7 +84,8 @@ class Model:
         self.table = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
 
     def coded(self, text: str) -> np.ndarray:
-        return self.codes[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)]
+        """Letters of the lower-cased text, each run of other characters as one space."""
+        return self.codes[np.frombuffer(OTHER.sub(" ", text.lower()).encode("utf-32-le", "surrogatepass"), np.uint32)]
 
     def entropies(self, texts: list[str | None]) -> np.ndarray:
         """(texts, languages): bits a character, phrases of the cross-parse times the bits that name a place in the sample."""
