@@ -35,7 +35,7 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     w = df.write.option("compression", "zstd")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def free_shuffles(spark: SparkSession) -> None:
