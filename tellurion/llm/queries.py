@@ -7,15 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import op1_decontaminate
+from .embeddings import op4_embedding_dedup
+from .katz import op7_katz
+from .langid import op9_langid
+from .mixing import op8_mixing
+from .rollup import OP3_SQL, op3_token_rollup
+from .simhash import op6_simhash
 from .token_ids import op2_token_ids
+from .toxicity import op5_toxicity
+from .warc import OP10_SQL, op10_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op1_decontaminate": op1_decontaminate,
-        "op2_token_ids": op2_token_ids,
-    }
+    found = (op1_decontaminate, op2_token_ids, op3_token_rollup, op4_embedding_dedup, op5_toxicity, op6_simhash, op7_katz, op8_mixing, op9_langid, op10_warc)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_token_rollup": OP3_SQL, "op10_warc": OP10_SQL}
