@@ -34,7 +34,7 @@ K, TAIL = 5, 0.5
 #: Hashes that stand for the end token and the begin mark.
 END, BEGIN = np.uint64(0x456E644F66546578), np.uint64(0x426567696E4F6654)
 #: Tokens of one cell of the grid on average, and tokens that a task packs at once.
-CELL_TOKENS, PACK_TOKENS = 5_000_000, 4_000_000
+CELL_TOKENS, PACK_TOKENS = 5_000_000, 3_000_000
 
 
 def packed(*arrays: np.ndarray) -> bytes:
@@ -83,7 +83,7 @@ def unigrams(docs: DataFrame) -> DataFrame:
             tokens, _ = _tokens(batch.column("text"))
             held.append(tokens)
             size += len(tokens)
-            if size > 2 * PACK_TOKENS:
+            if size > PACK_TOKENS:
                 yield from flush()
                 held, size = [], 0
         if held:
@@ -133,12 +133,13 @@ def _packs(docs: DataFrame, grid: int) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             n, tokens = np.concatenate([x[1] for x in held]), np.concatenate([x[0] for x in held])
             ids, train = [d for x in held for d in x[2]], np.concatenate([x[3] for x in held])
-            doc = np.repeat(np.arange(len(n)), n)
+            doc = np.repeat(np.arange(len(n), dtype=np.int32), n)
             before = np.empty_like(tokens)
             before[1:] = tokens[:-1]
             before[np.cumsum(n) - n] = BEGIN
             cell = _slice(before, grid) * grid + _slice(tokens, grid)
-            order = np.argsort(cell.astype(np.uint16) if grid < 256 else cell, kind="stable")
+            cell = cell.astype(np.uint16) if grid < 256 else cell
+            order = np.argsort(cell, kind="stable").astype(np.int32)
             cuts = np.searchsorted(cell[order], np.arange(grid * grid + 1))
             yield batch_of("docs", at % (grid * grid), packed(np.array([0 if d is None else d for d in ids], np.int64).view(np.uint64), np.array([d is None for d in ids], np.uint8), train.astype(np.uint8), n))
             for c in range(grid * grid):
@@ -210,17 +211,20 @@ def _cell(t: pa.Table, grid: int, star: np.ndarray, total: int, unknown: float,
         k = np.minimum(np.searchsorted(h, d), len(h) - 1)
         return np.where(h[k] == d, k, len(h))
 
-    spans, a, b, docs, train = [], [], [], [], []
-    for chunk, blob in pairs:
+    spans, key, docs, train = [], [], [], []
+    while pairs:
+        chunk, blob = pairs.pop()
         d1, d2, i1, i2, step, flags = unpacked(blob)
-        a.append(number(h1, d1).astype(np.int32)[i1])
-        b.append(number(h2, d2).astype(np.int32)[i2])
-        docs.append(np.cumsum(step, dtype=np.int64).astype(np.int32))
+        key.append((number(h1, d1) * (len(h2) + 1))[i1] + number(h2, d2)[i2])
+        docs.append(np.cumsum(step, dtype=np.int32))
         train.append(np.unpackbits(flags).astype(bool)[docs[-1]])
         spans.append((chunk, len(step)))
-    a, b, docs, train = (np.concatenate(x) for x in (a, b, docs, train))
-    pair, at = np.unique(a.astype(np.int64) * (len(h2) + 1) + b, return_inverse=True)
-    seen = np.bincount(at, train, len(pair)).astype(np.int64)
+    key, docs, train = (np.concatenate(x) for x in (key, docs, train))
+    pair, at = np.unique(key, return_inverse=True)
+    del key
+    at = at.astype(np.int32)
+    seen = np.bincount(at[train], minlength=len(pair))
+    del train
     p2 = np.append(discounted(c2, star) / max(1, total), unknown)
     count2, count1 = np.append(c2, 0), np.append(c1, 0)
 
@@ -238,25 +242,23 @@ def _cell(t: pa.Table, grid: int, star: np.ndarray, total: int, unknown: float,
             rows.append(_row("contexts", cell // grid * grid + k, 0, packed(h1[ctx[own]], c1[ctx[own]], *[x[own] for x in stat])))
     rows.append(_row("counts", 0, 0, b"", n))
 
-    r, known1 = seen[at], a < len(h1)
-    log1, log2 = np.log10(np.maximum(1, count1)), np.log10(p2)
-    own = np.where(r > K, np.log10(np.maximum(r - TAIL, 1e-9)) - log1[a], np.where(r > 0, -log1[a], log2[b]))
-    base = np.log10(count2 + 1.0)[b]
-    at = 0
+    log1, log2, base, start = np.log10(np.maximum(1, count1)), np.log10(p2), np.log10(count2 + 1.0), 0
     for chunk, size in spans:
-        mine = slice(at, at + size)
-        at += size
-        doc, place = np.unique(docs[mine], return_inverse=True)
+        which, own_docs = at[start : start + size], docs[start : start + size]
+        start += size
+        r, a, b = seen[which], pair[which] // (len(h2) + 1), pair[which] % (len(h2) + 1)
+        own = np.where(r > K, np.log10(np.maximum(r - TAIL, 1e-9)) - log1[a], np.where(r > 0, -log1[a], log2[b]))
+        doc, place = np.unique(own_docs, return_inverse=True)
         total_of = lambda x, m=len(doc), p=place: np.bincount(p, x, m)
-        hist = [total_of(r[mine] == k).astype(np.int64) for k in range(1, K + 1)]
-        rows.append(_row("scores", 0, chunk, packed(doc, total_of(base[mine]), total_of(own[mine]), total_of(count2[b[mine]] > 0).astype(np.int64), *hist)))
-        new = np.flatnonzero((r[mine] == 0) & known1[mine]) + mine.start
+        hist = [total_of(r == k).astype(np.int64) for k in range(1, K + 1)]
+        rows.append(_row("scores", 0, chunk, packed(doc, total_of(base[b]), total_of(own), total_of(count2[b] > 0).astype(np.int64), *hist)))
+        new = np.flatnonzero((r == 0) & (a < len(h1)))
         if len(new):
             h, sub = h1[a[new]], _slice(h1[a[new]] >> np.uint64(13), grid)
             for k in np.unique(sub).tolist():
                 s = sub == k
                 g, i = np.unique(h[s], return_inverse=True)
-                rows.append(_row("unseen", cell // grid * grid + k, chunk, packed(g, i, docs[new][s])))
+                rows.append(_row("unseen", cell // grid * grid + k, chunk, packed(g, i, own_docs[new][s])))
     return _table(rows)
 
 
