@@ -34,7 +34,7 @@ K, TAIL = 5, 0.5
 #: Hashes that stand for the end token and the begin mark.
 END, BEGIN = np.uint64(0x456E644F66546578), np.uint64(0x426567696E4F6654)
 #: Tokens of one cell of the grid on average, and tokens that a task packs at once.
-CELL_TOKENS, PACK_TOKENS = 5_000_000, 3_000_000
+CELL_TOKENS, PACK_TOKENS = 3_500_000, 2_500_000
 
 
 def packed(*arrays: np.ndarray) -> bytes:
