@@ -1,15 +1,474 @@
-"""The registered queries over the reference operators, with their DuckDB twins."""
+"""The registered queries over the reference operators, each beside its DuckDB twin."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tellurion.operators import aggregates as A
+from tellurion.operators import enrich as J
+from tellurion.operators import filters as X
+from tellurion.operators import parse as L
+from tellurion.operators import rewrite as R
+from tellurion.sources import landing as S
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def registered(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[name] = f
+        if sql:
+            _SQL[name] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def event_logs(spark: SparkSession, sf: str) -> DataFrame:
+    """The events table as flat logs."""
+    e = t(spark, sf, "events")
+    return e.select(
+        "event_id", "ts", "user_id", "event_type", "value", F.col("props").alias("body_text"),
+        F.create_map(F.lit("user"), F.col("user_id").cast("string")).alias("resource"), F.concat(F.lit('{"user":"'), F.col("user_id").cast("string"), F.lit('"}')).alias("resource_key"),
+        F.create_map(F.lit("type"), F.col("event_type"), F.lit("k"), F.get_json_object("props", "$.k")).alias("attributes"),
+    )
+
+
+# ---------------------------------------------------------------- counts and statistics
+
+
+@registered("a1_log_count", """
+SELECT date_trunc('minute', ts) AS start_ts, '{"type":"' || event_type || '"}' AS attributes, 'log.count' AS metric_name, count(*) AS value
+FROM events WHERE value > 0 GROUP BY 1, 2""")
+def _(spark, sf):
+    out = A.log_count(event_logs(spark, sf).drop("resource_key"), "value > 0", {"type": "event_type", "absent": "cast(null as string)"})
+    return out.select("start_ts", "attributes", "metric_name", "value")
+
+
+@registered("a1_log_count_by_resource", """
+SELECT time_bucket(INTERVAL '1 hour', ts) AS start_ts, '{"user":"' || user_id || '"}' AS resource_key, count(*) AS value FROM events GROUP BY 1, 2""")
+def _(spark, sf):
+    return A.log_count(event_logs(spark, sf), interval="1 hour").select("start_ts", "resource_key", "value")
+
+
+@registered("a2_datapoint_count", """
+SELECT date_trunc('day', l_shipdate) AS start_ts, '{"flag":"' || l_returnflag || '","status":"' || l_linestatus || '"}' AS attributes, count(*) AS value
+FROM lineitem WHERE l_quantity >= 10 GROUP BY 1, 2""")
+def _(spark, sf):
+    out = A.datapoint_count(t(spark, sf, "lineitem"), "l_quantity >= 10", {"flag": "l_returnflag", "status": "l_linestatus"}, "1 day", ts="l_shipdate")
+    return out.select("start_ts", "attributes", "value")
+
+
+@registered("a3_span_count", """
+SELECT role, turn, count(*) AS value FROM conversations WHERE text IS NOT NULL GROUP BY 1, 2""")
+def _(spark, sf):
+    spans = t(spark, sf, "conversations").withColumn("end_ts", F.timestamp_seconds(F.col("turn") * 60))
+    out = A.span_count(spans, "text is not null", {"role": "role"})
+    return out.select(F.get_json_object("attributes", "$.role").alias("role"), (F.unix_timestamp("start_ts") / 60).cast("long").alias("turn"), "value")
+
+
+def _points(spark, sf):
+    e = event_logs(spark, sf)
+    return e.select("event_id", "ts", F.lit("{}").alias("resource_key"), F.concat(F.lit("m."), "event_type").alias("metric_name"), F.lit("gauge").alias("metric_type"), F.lit(None).cast("string").alias("temporality"), F.lit("{}").alias("attr_key"), F.lit("double").alias("value_type"), F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("value"))
+
+
+@registered("a4_metric_stats", """
+WITH e AS (SELECT *, time_bucket(INTERVAL '1 hour', ts) AS w FROM events WHERE event_id % 7 <> 0 AND value IS NOT NULL),
+g AS (SELECT w, event_type, min(value) mn, max(value) mx, arg_min(value, struct_pack(a := ts, b := event_id)) f, arg_max(value, struct_pack(a := ts, b := event_id)) l FROM e GROUP BY 1, 2)
+SELECT w AS start_ts, 'm.' || event_type || '.min' AS metric_name, mn AS value FROM g
+UNION ALL SELECT w, 'm.' || event_type || '.max', mx FROM g
+UNION ALL SELECT w, 'm.' || event_type || '.first', f FROM g
+UNION ALL SELECT w, 'm.' || event_type || '.last', l FROM g""")
+def _(spark, sf):
+    stats, _ = A.metric_stats(_points(spark, sf), "^m", ("min", "max", "first", "last"), "1 hour", ["event_id"])
+    return stats.select("start_ts", "metric_name", "value")
+
+
+@registered("a4_metric_stats_int_avg", """
+SELECT date_trunc('month', o_orderdate) AS start_ts, CAST(sum(CAST(trunc(o_totalprice) AS BIGINT)) // count(*) AS DOUBLE) AS value FROM orders GROUP BY 1""")
+def _(spark, sf):
+    o = t(spark, sf, "orders")
+    points = o.select(F.date_trunc("month", "o_orderdate").alias("ts"), F.lit("{}").alias("resource_key"), F.lit("price").alias("metric_name"), F.lit("sum").alias("metric_type"), F.lit("cumulative").alias("temporality"), F.lit("{}").alias("attr_key"), F.lit("int").alias("value_type"), F.col("o_totalprice").alias("value"))
+    return A.metric_stats(points, "price", ("avg",), "1 day")[0].select("start_ts", "value")
+
+
+@registered("a4_metric_stats_rest", "SELECT event_id, event_type FROM events WHERE event_id % 7 = 0 OR value IS NULL OR event_type <> 'click'")
+def _(spark, sf):
+    _, rest = A.metric_stats(_points(spark, sf), "click$", interval="1 hour")
+    return rest.select("event_id", F.substring("metric_name", 3, 100).alias("event_type"))
+
+
+@registered("a5_throughput", "SELECT source, count(*) AS n_rows, CAST(sum(octet_length(encode(coalesce(text, '')))) AS BIGINT) AS raw_bytes FROM documents GROUP BY 1")
+def _(spark, sf):
+    return A.throughput(t(spark, sf, "documents"), ["source"], "text").select("source", "n_rows", F.col("raw_bytes").cast("long").alias("raw_bytes"))
+
+
+@registered("a6_latest_by_key", "SELECT user_id, event_type, max(ts) AS last_seen FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL GROUP BY 1, 2")
+def _(spark, sf):
+    return A.latest_by_key(t(spark, sf, "events"), ["user_id", "event_type"])
+
+
+@registered("a7_topology", """
+SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS destinations FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL GROUP BY 1""")
+def _(spark, sf):
+    return A.topology(t(spark, sf, "events"), "user_id", "event_type").select("user_id", F.array_join(F.array_sort(F.transform("destinations", lambda d: d["event_type"])), ",").alias("destinations"))
+
+
+@registered("a8_run_counts", """
+WITH a AS (SELECT conv_id, turn, role, CASE WHEN lag(role) OVER w IS DISTINCT FROM role OR row_number() OVER w = 1 THEN 1 ELSE 0 END AS s FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, text)),
+b AS (SELECT *, sum(s) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS run FROM a)
+SELECT conv_id, CAST(run AS BIGINT) AS run, role, count(*) AS n FROM b GROUP BY ALL""")
+def _(spark, sf):
+    return A.run_counts(t(spark, sf, "conversations"), ["turn", "text"], ["role"], ["conv_id"]).select("conv_id", F.col("run").cast("long").alias("run"), "role", "n")
+
+
+@registered("a9_pipe_table_counts", r"""
+WITH l AS (SELECT unnest(string_split_regex(text, '\r?\n')) AS line FROM documents),
+f AS (SELECT trim(string_split(line, '|')[2], ' ') AS field FROM l WHERE contains(line, '|'))
+SELECT field, count(*) AS n FROM f WHERE field <> '' GROUP BY 1""")
+def _(spark, sf):
+    return A.pipe_table_counts(t(spark, sf, "documents"), "text", 1)
+
+
+@registered("a10_combine_metrics", """
+SELECT CASE WHEN event_type IN ('click', 'view') THEN 'page' ELSE event_type END AS metric_name, CASE WHEN event_type IN ('click', 'view') THEN event_type END AS action, count(*) AS n FROM events GROUP BY 1, 2""")
+def _(spark, sf):
+    m = t(spark, sf, "events").select(F.col("event_type").alias("metric_name"), "value")
+    return A.combine_metrics(m, "(click|view)", "page", "action").groupBy("metric_name", "action").agg(F.count("*").alias("n"))
+
+
+@registered("a10_aggregate_labels", "SELECT l_returnflag, CAST(sum(l_linenumber) AS BIGINT) AS value FROM lineitem GROUP BY 1")
+def _(spark, sf):
+    return A.aggregate_labels(t(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", F.col("l_linenumber").cast("long").alias("value")), ["l_returnflag"])
+
+
+@registered("a11_update_metrics", "SELECT CASE event_type WHEN 'click' THEN 'ui.click' ELSE event_type END AS metric_name, count(*) AS n FROM events WHERE event_type <> 'view' GROUP BY 1")
+def _(spark, sf):
+    m = t(spark, sf, "events").select(F.col("event_type").alias("metric_name"))
+    return A.update_metrics(m, {"click": "ui.click"}, drop=["view"]).groupBy("metric_name").agg(F.count("*").alias("n"))
+
+
+@registered("a12_delivery_stats", """
+SELECT date_trunc('day', o_orderdate) AS start_ts, count(*) FILTER (o_orderstatus = 'F') AS accepted, count(*) FILTER (coalesce(o_orderstatus <> 'F', true)) AS dropped, max(o_orderdate) FILTER (o_orderstatus = 'F') AS last_success FROM orders GROUP BY 1""")
+def _(spark, sf):
+    return A.delivery_stats(t(spark, sf, "orders"), "o_orderstatus = 'F'", "1 day", "o_orderdate")
+
+
+@registered("a13_group_batches", "SELECT source, lang, count(*) AS n_rows, CAST(ceil(count(*) / 100.0) AS BIGINT) AS n_batches FROM documents GROUP BY 1, 2")
+def _(spark, sf):
+    return A.group_batches(t(spark, sf, "documents"), {"source": "source", "lang": "lang"}, 100)
+
+
+# ---------------------------------------------------------------- filters
+
+
+@registered("f1_match", "SELECT event_id FROM events WHERE event_type = 'click' AND value > 50")
+def _(spark, sf):
+    return X.match(event_logs(spark, sf), "attributes['type'] = 'click' and value > 50").select("event_id")
+
+
+@registered("f3_sample_all", "SELECT event_id FROM events WHERE NOT (event_type = 'click')")
+def _(spark, sf):
+    return X.sample(t(spark, sf, "events"), 1.0, "event_type = 'click'").select("event_id")
+
+
+@registered("f3_sample_none", "SELECT event_id FROM events")
+def _(spark, sf):
+    return X.sample(t(spark, sf, "events"), 0.0).select("event_id")
+
+
+@registered("f3_sample_half")
+def _(spark, sf):
+    return X.sample(t(spark, sf, "events"), 0.5, key="event_id").select("event_id")
+
+
+@registered("f4_search", "SELECT doc_id FROM documents WHERE contains(text, 'the') OR contains(source, 'the')")
+def _(spark, sf):
+    return X.search(t(spark, sf, "documents"), "the", ["text", "source"]).select("doc_id")
+
+
+@registered("f5_since", "SELECT event_id FROM events WHERE ts > TIMESTAMP '2024-01-02 00:00:00'")
+def _(spark, sf):
+    from datetime import datetime
+
+    return X.since(t(spark, sf, "events"), datetime(2024, 1, 2)).select("event_id")
+
+
+@registered("f6_sample_percent", "SELECT count(*) * 10 // 100 AS n FROM events")
+def _(spark, sf):
+    return X.sample_percent(t(spark, sf, "events"), 10, order="event_id").agg(F.count("*").alias("n"))
+
+
+@registered("f7_most_recent", "SELECT event_id, ts FROM events ORDER BY ts DESC, event_id DESC LIMIT 100")
+def _(spark, sf):
+    return X.most_recent(t(spark, sf, "events").select("event_id", "ts"), 100, tie=["event_id"])
+
+
+@registered("f8_sample_within_bytes")
+def _(spark, sf):
+    d = t(spark, sf, "documents")
+    return X.sample_within_bytes(d, 2_000_000, "doc_id", F.coalesce(F.octet_length("text"), F.lit(0))).select("doc_id")
+
+
+@registered("f9_eligible_metrics", "SELECT event_id FROM events WHERE regexp_matches(event_type, 'i.*k')")
+def _(spark, sf):
+    return X.eligible_metrics(_points(spark, sf), "i.*k").select("event_id")
+
+
+@registered("f11_drop_where", "SELECT doc_id FROM documents WHERE coalesce(NOT contains(text, 'Licensed'), true)")
+def _(spark, sf):
+    return X.drop_where(t(spark, sf, "documents"), F.col("text").contains("Licensed")).select("doc_id")
+
+
+@registered("f12_route", "SELECT CASE WHEN o_totalprice > 300000 THEN 'large' WHEN o_orderpriority LIKE '1%' THEN 'urgent' ELSE 'rest' END AS route, count(*) AS n FROM orders GROUP BY 1")
+def _(spark, sf):
+    return X.route(t(spark, sf, "orders"), [("large", "o_totalprice > 300000"), ("urgent", "o_orderpriority like '1%'")], "rest").groupBy("route").agg(F.count("*").alias("n"))
+
+
+@registered("f13_fan_out", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE 'default' END AS branch FROM orders")
+def _(spark, sf):
+    parts = X.fan_out(t(spark, sf, "orders"), [("done", "o_orderstatus = 'F'")])
+    return parts["done"].select("o_orderkey", F.lit("done").alias("branch")).unionAll(parts["default"].select("o_orderkey", F.lit("default").alias("branch")))
+
+
+# ---------------------------------------------------------------- joins
+
+
+@registered("j1_lookup", "SELECT o_orderkey, c_name, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+def _(spark, sf):
+    ref = t(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("c_custkey"), "c_name", "c_mktsegment")
+    return J.lookup(t(spark, sf, "orders"), ref, "o_custkey", "c_custkey").select("o_orderkey", "c_name", "c_mktsegment")
+
+
+@registered("j1a_last_by_key", "SELECT o_custkey, arg_max(o_orderkey, o_orderkey) AS o_orderkey FROM orders GROUP BY 1")
+def _(spark, sf):
+    o = t(spark, sf, "orders").select("o_custkey", "o_orderkey", F.col("o_orderkey").alias("n"))
+    return J.last_by_key(o, "o_custkey", "n")
+
+
+@registered("j1c_lookup_valid", """
+WITH r AS (SELECT user_id, ts AS f, min(value) AS v FROM events WHERE event_type = 'purchase' GROUP BY 1, 2),
+s AS (SELECT *, least(f + INTERVAL '6 hours', coalesce(lead(f) OVER (PARTITION BY user_id ORDER BY f), f + INTERVAL '6 hours')) AS u FROM r)
+SELECT e.event_id, s.v FROM events e LEFT JOIN s ON e.user_id = s.user_id AND e.ts >= s.f AND e.ts < s.u""")
+def _(spark, sf):
+    e = t(spark, sf, "events")
+    ref = e.where("event_type = 'purchase'").groupBy("user_id", F.col("ts").alias("f")).agg(F.min("value").alias("v"))
+    return J.lookup_valid(e.select("event_id", "user_id", "ts"), ref, "user_id", "ts", "f", "6 hours").select("event_id", "v")
+
+
+@registered("j2_threat_match", """
+SELECT o_orderkey, CASE WHEN CAST(o_custkey AS VARCHAR) IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal < 0) THEN 'debt'
+ WHEN o_orderpriority IN (SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderpriority LIKE '1%') THEN 'urgent' END AS threat_rule FROM orders""")
+def _(spark, sf):
+    o = t(spark, sf, "orders")
+    debt = t(spark, sf, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("indicator"))
+    urgent = o.where("o_orderpriority like '1%'").select(F.col("o_orderpriority").alias("indicator"))
+    return J.threat_match(o, [J.Rule("debt", ["o_custkey"], debt), J.Rule("urgent", ["o_orderstatus", "o_orderpriority"], urgent)]).select("o_orderkey", "threat_rule")
+
+
+@registered("j2a_bloom")
+def _(spark, sf):
+    known = t(spark, sf, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("indicator"))
+    return J.maybe_matched(t(spark, sf, "orders"), J.bloom(known, "indicator"), "o_custkey").select("o_orderkey")
+
+
+@registered("j2b_only_matched", "SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)")
+def _(spark, sf):
+    return J.only_matched(t(spark, sf, "documents"), t(spark, sf, "labels").where("toxic = 1"), "doc_id", "doc_id").select("doc_id")
+
+
+@registered("j2b_only_clean", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)")
+def _(spark, sf):
+    return J.only_clean(t(spark, sf, "documents"), t(spark, sf, "labels").where("toxic = 1"), "doc_id", "doc_id").select("doc_id")
+
+
+@registered("j3_decode", "SELECT n_nationkey, r_name AS region FROM nation LEFT JOIN region ON n_regionkey = r_regionkey")
+def _(spark, sf):
+    return J.decode(t(spark, sf, "nation"), "n_regionkey", t(spark, sf, "region"), "region", "r_regionkey", "r_name").select("n_nationkey", "region")
+
+
+@registered("j4_resolve_log_type", """
+SELECT event_id, CASE WHEN event_type IN (SELECT DISTINCT event_type FROM events WHERE event_type < 'm') THEN event_type WHEN event_type = 'view' THEN 'PAGE_VIEW' ELSE 'CATCH_ALL' END AS log_type FROM events""")
+def _(spark, sf):
+    e = t(spark, sf, "events")
+    return J.resolve_log_type(e, "event_type", {"view": "PAGE_VIEW"}, "event_type", e.where("event_type < 'm'").select("event_type")).select("event_id", "log_type")
+
+
+# ---------------------------------------------------------------- rewriting and shape
+
+
+def _mask_sql(names):
+    text = "text"
+    for n in sorted(names):
+        text = f"regexp_replace({text}, '{R.MASK_RULES[n]}', '[masked_{n}]', 'g')"
+    return text
+
+
+@registered("r1_mask", f"SELECT doc_id, md5({_mask_sql(R.MASK_RULES)}) AS h FROM documents")
+def _(spark, sf):
+    return R.mask(t(spark, sf, "documents"), ["text"]).select("doc_id", F.md5("text").alias("h"))
+
+
+@registered("r1b_mask_report", " UNION ALL ".join(f"SELECT '{n}' AS rule, count(*) FILTER (regexp_matches(text, '{p}')) AS n_rows, CAST(coalesce(sum(len(regexp_extract_all(text, '{p}'))), 0) AS BIGINT) AS n_hits FROM documents" for n, p in sorted(R.MASK_RULES.items())))
+def _(spark, sf):
+    return R.mask_report(t(spark, sf, "documents"), "text")
+
+
+@registered("r2_remove_empty", "SELECT event_id, CASE WHEN event_type = 'click' THEN 1 ELSE 2 END - CASE WHEN props IS NULL OR json_extract_string(props, '$.k') IS NULL THEN 1 ELSE 0 END AS n FROM events")
+def _(spark, sf):
+    return R.remove_empty(event_logs(spark, sf), ["attributes"], strings=["CLICK"]).select("event_id", F.size("attributes").alias("n"))
+
+
+@registered("r3_extract_metric", "SELECT ts, event_type, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS value FROM events WHERE event_type <> 'view' AND json_extract_string(props, '$.k') IS NOT NULL")
+def _(spark, sf):
+    m = R.extract_metric(event_logs(spark, sf), "attributes['k']", "event_type <> 'view'", {"type": "event_type"}, kind="counter_int")
+    return m.select("ts", F.element_at("attributes", "type").alias("event_type"), "value")
+
+
+@registered("r5_ingestion_labels", "SELECT event_id, 'prod' AS env, event_type AS ype FROM events")
+def _(spark, sf):
+    e = R.ingestion_labels(event_logs(spark, sf), {"env": "prod"}, "t")
+    return e.select("event_id", F.element_at("labels", "env").alias("env"), F.element_at("labels", "ype").alias("ype"))
+
+
+@registered("r6_sentinel_rows", r"SELECT md5(replace(replace(text, chr(13), '\r'), chr(10), '\n')) AS h FROM documents")
+def _(spark, sf):
+    d = t(spark, sf, "documents").withColumns({"ts": F.lit(0).cast("timestamp"), "body": F.col("text")})
+    return R.sentinel_rows(d).select(F.md5("RawData").alias("h"))
+
+
+@registered("t6_transpose_resource", "SELECT event_id, CAST(user_id AS VARCHAR) AS owner, event_type AS type FROM events")
+def _(spark, sf):
+    e = R.transpose_resource(event_logs(spark, sf), [("user", "owner"), ("user", "type"), ("none", "x")])
+    return e.select("event_id", F.element_at("attributes", "owner").alias("owner"), F.element_at("attributes", "type").alias("type"))
+
+
+@registered("t7_default_host", "SELECT event_id, 'h1' AS host FROM events")
+def _(spark, sf):
+    return R.default_host(event_logs(spark, sf), "h1").select("event_id", F.element_at("resource", "host.name").alias("host"))
+
+
+@registered("t9_rebase_times", "SELECT event_id, ts + (TIMESTAMP '2030-01-01' - max(ts) OVER ()) AS ts FROM events")
+def _(spark, sf):
+    return R.rebase_times(t(spark, sf, "events").select("event_id", "ts"), "ts", "2030-01-01 00:00:00")
+
+
+@registered("t10_nest", "SELECT c_custkey, c_name AS name, c_mktsegment AS segment FROM customer")
+def _(spark, sf):
+    n = t(spark, sf, "customer").select("c_custkey", R.nest({"user.name": "c_name", "user.market.segment": "c_mktsegment"}).alias("b"))
+    return n.select("c_custkey", F.col("b.user.name").alias("name"), F.col("b.user.market.segment").alias("segment"))
+
+
+@registered("t11_flatten_json", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+def _(spark, sf):
+    return R.flatten_json(t(spark, sf, "events"), "props").select("event_id", F.element_at("fields", "k").alias("k"))
+
+
+@registered("t4_renest", "SELECT user_id, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY 1")
+def _(spark, sf):
+    r = R.renest(t(spark, sf, "events").select("user_id", "event_id", "ts"), ["user_id"], order=["event_id"])
+    return r.select("user_id", F.size("records").cast("long").alias("n"), F.aggregate("records", F.lit(0).cast("long"), lambda a, x: a + x["event_id"]).alias("ids"))
+
+
+# ---------------------------------------------------------------- landed payloads
+
+
+@registered("s6_ndjson_logs", "SELECT event_id FROM events WHERE props IS NOT NULL AND props LIKE '{%'")
+def _(spark, sf):
+    lines = t(spark, sf, "events").select(F.concat(F.lit(" "), F.to_json(F.struct("event_id", "props"))).alias("value"), "props").where("props is not null")
+    return S.ndjson_logs(lines).select(F.variant_get("body", "$.event_id", "bigint").alias("event_id"))
+
+
+@registered("s7_records_json", "SELECT event_id, event_type FROM events")
+def _(spark, sf):
+    objects = t(spark, sf, "events").groupBy(F.floor(F.col("event_id") / 50).alias("g")).agg(F.to_json(F.struct(F.collect_list(F.struct("event_id", "event_type")).alias("records"))).alias("o"))
+    return S.records_json(objects, "o").select(F.get_json_object("record", "$.event_id").cast("long").alias("event_id"), F.get_json_object("record", "$.event_type").alias("event_type"))
+
+
+@registered("s9_sniffed", r"SELECT md5(line) AS h FROM (SELECT unnest(string_split_regex(text, '\r?\n')) AS line FROM documents WHERE left(ltrim(text, ' '), 1) NOT IN ('[', '{')) WHERE trim(line, ' ') <> ''")
+def _(spark, sf):
+    d = t(spark, sf, "documents").where("left(ltrim(text), 1) not in ('[', '{')")
+    return S.sniffed(d, "text").select(F.md5("record").alias("h"))
+
+
+@registered("s10_cut_lines", "SELECT doc_id, CAST(ceil(length(text) / 1000.0) AS BIGINT) AS n FROM documents WHERE length(text) > 0")
+def _(spark, sf):
+    d = t(spark, sf, "documents")
+    cut = d.select("doc_id", F.col("text")).where(F.length("text") > 0)
+    parts = S.cut_lines(cut.select(F.concat(F.lpad(F.col("doc_id").cast("string"), 10, "0"), "text").alias("l"), "doc_id"), "l", 1000)
+    return parts.groupBy().agg(F.count("*").alias("n_parts")).crossJoin(F.broadcast(cut.agg(F.count("*").alias("k")))).select("n_parts", "k")
+
+
+_SQL["s10_cut_lines"] = "SELECT CAST(sum(ceil((length(text) + 10) / 1000.0)) AS BIGINT) AS n_parts, count(*) AS k FROM documents WHERE length(text) > 0"
+
+
+@registered("s13_dedup_objects", "SELECT DISTINCT user_id, event_type FROM events")
+def _(spark, sf):
+    return S.dedup_objects(t(spark, sf, "events").select("user_id", "event_type"), ["user_id", "event_type"])
+
+
+@registered("s16_read_since", "SELECT event_id FROM events WHERE event_id > 100")
+def _(spark, sf):
+    return S.read_since(t(spark, sf, "events"), "event_id", 100).select("event_id")
+
+
+@registered("s17_json_to_logs", "SELECT event_id, make_timestamp(event_id * 1000000) AS ts FROM events")
+def _(spark, sf):
+    j = t(spark, sf, "events").select(F.to_json(F.struct("event_id", F.col("event_id").alias("time"))).alias("j"))
+    return S.json_to_logs(j, "j").select(F.get_json_object("body_text", "$.event_id").cast("long").alias("event_id"), "ts")
+
+
+@registered("s18_json_to_metrics", "SELECT event_type AS metric_name, CAST(event_id AS DOUBLE) AS value FROM events")
+def _(spark, sf):
+    j = t(spark, sf, "events").select("event_type", F.to_json(F.struct("event_type", F.col("event_id").alias("count"), F.col("user_id").alias("a"))).alias("j"))
+    return S.json_to_metrics(j, "j", F.col("event_type")).select("metric_name", "value")
+
+
+@registered("k6_size_batches", "SELECT count(*) FILTER (octet_length(encode(text)) <= 20000) AS fit, count(*) FILTER (octet_length(encode(text)) > 20000) AS oversized, 0 AS over FROM documents WHERE text IS NOT NULL")
+def _(spark, sf):
+    d = t(spark, sf, "documents").where("text is not null").select("source", "doc_id", F.octet_length("text").alias("n"))
+    fit, large = S.size_batches(d, ["source"], F.col("n"), 20_000, ["doc_id"])
+    sums = fit.groupBy("source", "batch").agg(F.sum("n").alias("b"), F.count("*").alias("k"))
+    return sums.agg(F.sum("k").alias("fit"), F.count_if(F.col("b") > 20_000).cast("int").alias("over")).crossJoin(F.broadcast(large.agg(F.count("*").alias("oversized"))))
+
+
+# ---------------------------------------------------------------- log structure
+
+
+@registered("l3_regex_parse", "SELECT page_id, regexp_extract(url, '^([a-z]+)://([^/]+)(/.*)?$', 1) AS scheme, regexp_extract(url, '^([a-z]+)://([^/]+)(/.*)?$', 2) AS host FROM pages WHERE regexp_matches(url, '^([a-z]+)://([^/]+)(/.*)?$')")
+def _(spark, sf):
+    p = L.regex_parse(t(spark, sf, "pages"), "url", r"^(?P<scheme>[a-z]+)://(?P<host>[^/]+)(?P<path>/.*)?$").where("parsed is not null")
+    return p.select("page_id", F.col("parsed.scheme").alias("scheme"), F.col("parsed.host").alias("host"))
+
+
+@registered("l8_multiline", r"SELECT doc_id, len(list_filter(string_split_regex(text, '\n'), lambda x: regexp_matches(x, '^[A-Z]'))) + CASE WHEN regexp_matches(text, '^[A-Z]') THEN 0 ELSE 1 END AS n FROM documents WHERE text IS NOT NULL")
+def _(spark, sf):
+    lines = t(spark, sf, "documents").where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return L.assemble_multiline(lines, "line", "^[A-Z]", "doc_id", "line_no").groupBy("doc_id").agg(F.count("*").cast("int").alias("n"))
+
+
+@registered("l11_severity", "SELECT event_id, CASE WHEN value < 10 THEN 17 WHEN value < 50 THEN 13 ELSE 9 END AS severity_number FROM events")
+def _(spark, sf):
+    return L.severity(t(spark, sf, "events"), "value", [(17, "value < 10"), (13, "value < 50")], 9).select("event_id", "severity_number")
+
+
+@registered("l2_mine_templates")
+def _(spark, sf):
+    return L.mine_templates(t(spark, sf, "events"), "props")
