@@ -38,13 +38,13 @@ CELL_TOKENS, PACK_TOKENS = 3_500_000, 2_500_000
 
 
 def packed(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed binary, integers in as few bytes as hold them."""
+    """Arrays as one compressed binary: integers in as few bytes as hold them, and first bytes, second bytes and so on together."""
     parts, head = [], [len(arrays)]
     for a in arrays:
         if a.dtype.kind in "iu" and a.dtype != np.uint64:
             a = a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0))
         head += [ord(a.dtype.char), len(a)]
-        parts.append(np.ascontiguousarray(a).tobytes())
+        parts.append(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
     return zstandard.compress(np.array(head, np.int64).tobytes() + b"".join(parts), 1)
 
 
@@ -53,11 +53,18 @@ def unpacked(raw: bytes) -> list[np.ndarray]:
     n = int(np.frombuffer(raw, np.int64, 1)[0])
     head, at, out = np.frombuffer(raw, np.int64, 2 * n, 8), 8 + 16 * n, []
     for kind, size in zip(head[::2].tolist(), head[1::2].tolist(), strict=True):
-        out.append(np.frombuffer(raw, chr(kind), size, at))
-        at += out[-1].nbytes
+        width = np.dtype(chr(kind)).itemsize
+        planes = np.frombuffer(raw, np.uint8, size * width, at).reshape(width, size)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(chr(kind)))
+        at += size * width
     return out
 
 
+def _steps(h: np.ndarray) -> np.ndarray:
+    """Differences of ascending hashes, whose high bytes are mostly zero."""
+    return np.diff(h, prepend=np.uint64(0))
+
+
 def _slice(h: np.ndarray, n: int) -> np.ndarray:
     return ((h >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
 
@@ -146,7 +153,7 @@ def _packs(docs: DataFrame, grid: int) -> DataFrame:
                 mine = order[cuts[c] : cuts[c + 1]]
                 if len(mine):
                     (h1, i1), (h2, i2) = (np.unique(x[mine], return_inverse=True) for x in (before, tokens))
-                    yield batch_of("pairs", c, packed(h1, h2, i1, i2, np.diff(doc[mine], prepend=0), np.packbits(train)))
+                    yield batch_of("pairs", c, packed(_steps(h1), _steps(h2), i1, i2, np.diff(doc[mine], prepend=0), np.packbits(train)))
 
         def batch_of(kind: str, cell: int, blob: bytes) -> pa.RecordBatch:
             return pa.record_batch([pa.array([cell], pa.int64()), pa.array([kind]), pa.array([at]), pa.array([blob], pa.binary())], ["cell", "kind", "chunk", "blob"])
@@ -174,7 +181,7 @@ def _word_packs(counts: DataFrame, grid: int) -> DataFrame:
             for k in np.unique(s).tolist():
                 own = np.flatnonzero(s == k)
                 own = own[np.argsort(h[own])]
-                blob = packed(np.diff(h[own], prepend=np.uint64(0)), c[own])
+                blob = packed(_steps(h[own]), c[own])
                 cells = [("words1", k * grid + j) for j in range(grid)] + [("words2", j * grid + k) for j in range(grid)]
                 yield pa.record_batch([pa.array([c for _, c in cells]), pa.array([x for x, _ in cells]), pa.array([0] * len(cells)), pa.array([blob] * len(cells), pa.binary())], ["cell", "kind", "chunk", "blob"])
 
@@ -215,6 +222,7 @@ def _cell(t: pa.Table, grid: int, star: np.ndarray, total: int, unknown: float,
     while pairs:
         chunk, blob = pairs.pop()
         d1, d2, i1, i2, step, flags = unpacked(blob)
+        d1, d2 = np.cumsum(d1), np.cumsum(d2)
         key.append((number(h1, d1) * (len(h2) + 1))[i1] + number(h2, d2)[i2])
         docs.append(np.cumsum(step, dtype=np.int32))
         train.append(np.unpackbits(flags).astype(bool)[docs[-1]])
