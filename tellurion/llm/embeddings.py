@@ -222,3 +222,14 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per vector its number of links and component at cosine 0.95."""
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP4_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id AS node, vec_id AS c FROM v UNION SELECT links.b, reach.c FROM reach JOIN links ON reach.node = links.a),
+least_of AS (SELECT node, min(c) AS component_id FROM reach GROUP BY node),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN least_of ON node = vec_id LEFT JOIN degree ON a = vec_id
+"""

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .decontaminate import op1_decontaminate
-from .embeddings import op4_embedding_dedup
+from .decontaminate import OP1_SQL, op1_decontaminate
+from .embeddings import OP4_SQL, op4_embedding_dedup
 from .katz import op7_katz
 from .langid import op9_langid
 from .mixing import op8_mixing
@@ -24,4 +24,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_token_rollup": OP3_SQL, "op10_warc": OP10_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op3_token_rollup": OP3_SQL, "op4_embedding_dedup": OP4_SQL, "op10_warc": OP10_SQL}
