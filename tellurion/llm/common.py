@@ -13,7 +13,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of one Arrow batch: with long texts, the default of 10,000 rows can take hundreds of MB in each worker.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of this session have at most BATCH_ROWS rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -33,6 +45,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a step to the shared folder and read it again: its lineage ends there, and a lost executor costs no earlier step."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    small_batches(spark)
     w = df.write.option("compression", "zstd")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

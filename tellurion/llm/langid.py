@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, slices, table
+from .common import fold, slices, small_batches, table
 
 #: The bounded sample: characters of text for each language, the longest document in it, and languages (the most frequent).
 SAMPLE_CHARS, SAMPLE_DOC, LANGUAGES = 24_000, 8_000, 64
@@ -134,6 +134,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     it undercuts the second (1 if only one was learned). Whole texts are parsed, in runs of 256 characters. Texts that are null or
     hold no letter are `und` with score 0, as is all if nothing was learned. Columns stay; those of these two names are replaced."""
     docs = docs.drop("lang_pred", "score")
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
