@@ -12,7 +12,12 @@ from tellurion.operators import enrich as J
 from tellurion.operators import filters as X
 from tellurion.operators import parse as L
 from tellurion.operators import rewrite as R
+from tellurion.operators import standardize as N
+from tellurion.operators import templates as P
 from tellurion.sources import landing as S
+from tellurion.sources import otlp as O
+from tellurion.sources import sinks as K
+from tellurion.sources import vendor as V
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -472,3 +477,259 @@ def _(spark, sf):
 @registered("l2_mine_templates")
 def _(spark, sf):
     return L.mine_templates(t(spark, sf, "events"), "props")
+
+
+# ---------------------------------------------------------------- security schemas
+
+_SIGN_IN = N.Event(3002, [
+    N.Field("activity_id", "case event_type when 'click' then 1 else 2 end"), N.Field("severity_id", None, 1), N.Field("time", "ts"), N.Field("user.uid", "user_id"),
+    N.Field("user.name", "concat('u', user_id)"), N.Field("metadata.product.name", None, "events"), N.Field("count", "get_json_object(props, '$.k')"),
+], "event_type in ('click', 'view')", ["cloud"])
+_ACCOUNT = N.Event(3001, [N.Field("activity_id", None, 3), N.Field("severity_id", "case when value < 50 then '0x2' else 'high' end"), N.Field("time", "ts")], "event_type <> 'signup'")
+_CLASS_RULES = {
+    3002: N.ClassRules({"time": "timestamp", "count": "integer"}, [N.Rule("activity_id", True, (1, 2)), N.Rule("user.name", pattern="^u[0-9]*[02468]$"), N.Rule("time", True)], [["user.uid", "user.email"]]),
+    3001: N.ClassRules({"time": "timestamp", "severity_id": "integer"}, [N.Rule("activity_id", True), N.Rule("user.name", True, profile="user")], just_one=[["severity_id", "status_id"]]),
+}
+
+
+@registered("n1_first_match", "SELECT event_id, CASE WHEN event_type IN ('click', 'view') THEN 3002 ELSE 3001 END AS class_uid FROM events WHERE event_type IN ('click', 'view') OR event_type <> 'signup'")
+def _(spark, sf):
+    return N.class_rows(t(spark, sf, "events"), [_SIGN_IN, _ACCOUNT], "1.3.0", validate=False)[0].select("event_id", "class_uid")
+
+
+@registered("n3_class_rows", """
+SELECT event_id, 3002 AS class_uid, 3 AS category_uid, 300200 + CASE event_type WHEN 'click' THEN 1 ELSE 2 END AS type_uid, epoch_us(ts) // 1000 AS time, 'u' || user_id AS user_name, '1.3.0' AS version,
+ CAST(json_extract_string(props, '$.k') AS BIGINT) AS n FROM events WHERE event_type IN ('click', 'view') AND user_id % 2 = 0""")
+def _(spark, sf):
+    rows, _ = N.class_rows(t(spark, sf, "events"), [_SIGN_IN], "1.3.0", _CLASS_RULES)
+    at = lambda p, kind: F.get_json_object("body_text", f"$.{p}").cast(kind)
+    return rows.select("event_id", "class_uid", at("category_uid", "int").alias("category_uid"), at("type_uid", "int").alias("type_uid"), at("time", "bigint").alias("time"), at("user.name", "string").alias("user_name"), at("metadata.version", "string").alias("version"), at("count", "bigint").alias("n"))
+
+
+@registered("n4_coercion", "SELECT event_id, CASE WHEN value < 50 THEN '2' ELSE 'high' END AS severity, CASE WHEN value < 50 THEN 0 ELSE 1 END AS n_errors FROM events WHERE event_type <> 'signup'")
+def _(spark, sf):
+    rows, _ = N.class_rows(t(spark, sf, "events"), [_ACCOUNT], "1.3.0", _CLASS_RULES, validate=False)
+    return rows.select("event_id", F.get_json_object("body_text", "$.severity_id").alias("severity"), F.size("coercion_errors").alias("n_errors"))
+
+
+@registered("n5_rejected", "SELECT event_id, 'user.name: format' AS errors FROM events WHERE event_type IN ('click', 'view') AND user_id % 2 = 1 UNION ALL SELECT event_id, 'severity_id, status_id: just one' FROM events WHERE event_type NOT IN ('click', 'view', 'signup') AND value >= 50")
+def _(spark, sf):
+    _, rejected = N.class_rows(t(spark, sf, "events"), [_SIGN_IN, _ACCOUNT], "1.3.0", _CLASS_RULES)
+    return rejected.select("event_id", F.array_join("errors", "; ").alias("errors"))
+
+
+_TABLE_FIELDS = [N.Field(c, None, v) for c, v in (("EventProduct", "shop"), ("EventVendor", "shop"), ("EventSchemaVersion", "0.1"), ("Dvc", "h1"), ("EventResult", "Success"))]
+_TABLE = N.Event("ASimAuthenticationEventLogs", [
+    *_TABLE_FIELDS, N.Field("EventCount", "case when event_id % 3 = 0 then '0x10' when event_id % 3 = 1 then ' 7 ' else '3000000000' end"), N.Field("EventStartTime", "ts"), N.Field("EventEndTime", "date_format(ts, 'yyyy-MM-dd HH:mm:ss')"),
+    N.Field("EventType", "event_type"),
+], "event_type <> 'view'", schema="Authentication")
+_TABLE_TYPES = {"ASimAuthenticationEventLogs": {"EventCount": "int", "EventStartTime": "datetime", "EventEndTime": "datetime", "EventType": "string", "TimeGenerated": "datetime"}}
+
+
+@registered("n7_table_rows", """
+SELECT event_id, 'Custom-ASimAuthenticationEventLogs' AS stream, CASE WHEN event_id % 3 = 0 THEN 16 ELSE 7 END AS n, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS generated, json_extract_string(props, '$.k') AS k
+FROM events WHERE event_type <> 'view' AND event_id % 3 <> 2""")
+def _(spark, sf):
+    rows = N.table_rows(event_logs(spark, sf), [_TABLE], _TABLE_TYPES, attribution={"by": "x"})
+    at = lambda p: F.get_json_object("row_json", f"$.{p}")
+    return rows.select("event_id", "stream", at("EventCount").cast("int").alias("n"), at("TimeGenerated").alias("generated"), at("AdditionalFields.OriginalEvent.k").alias("k"))
+
+
+# ---------------------------------------------------------------- telemetry documents and warehouse rows
+
+
+def _tagged(**kv):
+    kinds = ("stringValue", "intValue")
+    return F.array(*[F.struct(F.lit(k).alias("key"), F.struct(*[F.when(F.lit(kind == x), F.col(c).cast("string")).alias(x) for x in kinds]).alias("value")) for k, (c, kind) in kv.items()])
+
+
+def _nanos(c):
+    return F.concat(F.unix_micros((F.col(c) if isinstance(c, str) else c).cast("timestamp")).cast("string"), F.lit("000"))
+
+
+def _document(df, outer, inner, items, record):
+    """Events as telemetry documents of at most 500 rows, each of one user."""
+    g = df.groupBy("user_id", F.floor(F.col("event_id") / 500).alias("h")).agg(F.collect_list(record).alias(items))
+    scope = F.struct(F.struct(F.lit("shop").alias("name"), F.lit("1").alias("version")).alias("scope"), F.col(items))
+    resource = F.struct(_tagged(user=("user_id", "stringValue")).alias("attributes"))
+    return g.select(F.to_json(F.struct(F.array(F.struct(resource.alias("resource"), F.array(scope).alias(inner))).alias(outer))).alias("value"))
+
+
+def _log_documents(spark, sf):
+    record = F.struct(_nanos("ts").alias("timeUnixNano"), F.lit(9).alias("severityNumber"), F.struct(F.col("props").alias("stringValue")).alias("body"), _tagged(id=("event_id", "intValue"), type=("event_type", "stringValue")).alias("attributes"))
+    return _document(t(spark, sf, "events"), "resourceLogs", "scopeLogs", "logRecords", record)
+
+
+def _metric_documents(spark, sf):
+    point = F.array(F.struct(_nanos("ts").alias("timeUnixNano"), F.when(F.col("event_id") % 2 == 0, F.col("value")).alias("asDouble"), F.when(F.col("event_id") % 2 == 1, F.col("event_id").cast("string")).alias("asInt"), _tagged(id=("event_id", "intValue")).alias("attributes")))
+    is_gauge = F.col("event_type") == "click"
+    record = F.struct(F.col("event_type").alias("name"), F.when(is_gauge, F.struct(point.alias("dataPoints"))).alias("gauge"), F.when(~is_gauge, F.struct(point.alias("dataPoints"), F.lit("2").alias("aggregationTemporality"), F.lit(True).alias("isMonotonic"))).alias("sum"))
+    return _document(t(spark, sf, "events"), "resourceMetrics", "scopeMetrics", "metrics", record)
+
+
+def _trace_documents(spark, sf):
+    event = F.array(F.struct(_nanos("ts").alias("timeUnixNano"), F.col("event_type").alias("name")))
+    record = F.struct(F.lpad(F.hex("event_id"), 32, "0").alias("traceId"), F.lpad(F.hex("event_id"), 16, "0").alias("spanId"), F.col("event_type").alias("name"), F.lit("SPAN_KIND_SERVER").alias("kind"), _nanos("ts").alias("startTimeUnixNano"), _nanos(F.col("ts") + F.expr("make_dt_interval(0, 0, 0, event_id % 10)")).alias("endTimeUnixNano"), event.alias("events"), F.struct(F.lit(2).alias("code")).alias("status"))
+    return _document(t(spark, sf, "events"), "resourceSpans", "scopeSpans", "spans", record)
+
+
+@registered("t1_flatten_logs", "SELECT CAST(user_id AS VARCHAR) AS user, event_id, ts, event_type, props AS body, 'shop' AS scope FROM events")
+def _(spark, sf):
+    x = O.flatten_logs(_log_documents(spark, sf))
+    return x.select(F.element_at("resource", "user").alias("user"), F.element_at("attributes", "id").cast("long").alias("event_id"), "ts", F.element_at("attributes", "type").alias("event_type"), F.col("body_text").alias("body"), F.col("scope_name").alias("scope"))
+
+
+@registered("t2_flatten_datapoints", """
+SELECT event_id, event_type AS metric_name, CASE WHEN event_type = 'click' THEN 'gauge' ELSE 'sum' END AS metric_type, CASE WHEN event_type <> 'click' THEN 'cumulative' END AS temporality,
+ CASE WHEN event_id % 2 = 0 THEN value ELSE event_id END AS value FROM events""")
+def _(spark, sf):
+    x = O.flatten_datapoints(_metric_documents(spark, sf))
+    return x.select(F.element_at("attributes", "id").cast("long").alias("event_id"), "metric_name", "metric_type", "temporality", "value")
+
+
+@registered("t3_flatten_spans", "SELECT printf('%016X', event_id) AS span_id, event_type AS name, 'Server' AS kind, 'Error' AS status_code, (event_id % 10) * 1000 AS span_duration_ms FROM events")
+def _(spark, sf):
+    return O.flatten_spans(_trace_documents(spark, sf)).select("span_id", "name", "kind", "status_code", "span_duration_ms")
+
+
+@registered("k2_lake_rows", "SELECT strftime(ts, '%Y%m%d') AS event_day, CASE event_type WHEN 'click' THEN 'clicks' ELSE 'views' END AS source, count(*) AS n FROM events WHERE event_type IN ('click', 'view') GROUP BY 1, 2")
+def _(spark, sf):
+    uid = F.expr("case event_type when 'click' then 3001 when 'view' then 3002 else 9 end")
+    e = t(spark, sf, "events").select(F.to_json(F.struct(uid.alias("class_uid"), F.unix_millis(F.col("ts").cast("timestamp")).alias("time"))).alias("body_text"))
+    return K.lake_rows(e, {3001: "clicks", 3002: "views"})[0].groupBy("event_day", "source").agg(F.count("*").alias("n"))
+
+
+@registered("k3_warehouse_logs", """SELECT '{"user":"' || user_id || '"}' AS "ResourceAttributes", ts AS "Timestamp", props AS "Body", 9 AS "SeverityNumber" FROM events""")
+def _(spark, sf):
+    return K.warehouse_logs(O.flatten_logs(_log_documents(spark, sf))).select("ResourceAttributes", "Timestamp", "Body", "SeverityNumber")
+
+
+@registered("k4_warehouse_spans", """SELECT printf('%032X', event_id) AS "TraceID", ts AS "StartTime", '["' || event_type || '"]' AS "EventNames", '[]' AS "LinkSpanID" FROM events""")
+def _(spark, sf):
+    return K.warehouse_spans(O.flatten_spans(_trace_documents(spark, sf))).select("TraceID", "StartTime", "EventNames", "LinkSpanID")
+
+
+@registered("k5_warehouse_metrics", """SELECT 'gauge' AS suffix, event_type AS "MetricName", CASE WHEN event_id % 2 = 0 THEN value ELSE event_id END AS "Value" FROM events WHERE event_type = 'click'
+UNION ALL SELECT 'sum', event_type, CASE WHEN event_id % 2 = 0 THEN value ELSE event_id END FROM events WHERE event_type <> 'click'""")
+def _(spark, sf):
+    tables = K.warehouse_metrics(O.flatten_datapoints(_metric_documents(spark, sf)))
+    parts = [tables[s].select(F.lit(s).alias("suffix"), "MetricName", "Value") for s in ("gauge", "sum")]
+    return parts[0].unionByName(parts[1])
+
+
+@registered("k7_json_arrays", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
+def _(spark, sf):
+    a = K.json_arrays(t(spark, sf, "orders").select("o_orderstatus", "o_orderkey"), ["o_orderstatus"], 100)
+    return a.groupBy("o_orderstatus").agg(F.sum(F.json_array_length("body")).alias("n"))
+
+
+# ---------------------------------------------------------------- vendor records
+
+
+@registered("s20_okta_logs", "SELECT event_id, ts, event_type AS displayMessage, 'u' || user_id AS actor FROM events")
+def _(spark, sf):
+    e = t(spark, sf, "events")
+    j = F.to_json(F.struct(F.col("event_id").cast("string").alias("uuid"), F.col("event_type").alias("displayMessage"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("published"), F.struct(F.concat(F.lit("u"), "user_id").alias("id")).alias("actor")))
+    x = V.okta_logs(e.select(j.alias("j")), "j", "example.com")
+    return x.select(F.element_at("attributes", "uuid").cast("long").alias("event_id"), "ts", F.element_at("attributes", "displayMessage").alias("displayMessage"), F.element_at("attributes", "actor.id").alias("actor"))
+
+
+@registered("s21_m365_logs", """
+SELECT event_id, ['Regular', 'Reserved', 'Admin', 'DcAdmin', 'System', 'Application', 'ServicePrincipal', 'CustomPolicy', 'SystemPolicy', 'unknown'][event_id % 10 + 1] AS user_type,
+ CASE WHEN event_id % 2 = 0 THEN 'a' || event_id END AS alert FROM events""")
+def _(spark, sf):
+    j = F.to_json(F.struct(F.col("event_id").alias("Id"), (F.col("event_id") % 10).alias("UserType"), F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("a"), "event_id")).otherwise("").alias("AlertId")))
+    x = V.m365_logs(t(spark, sf, "events").select(j.alias("j")), "j", "general", "t1")
+    return x.select(F.element_at("attributes", "id").cast("long").alias("event_id"), F.element_at("attributes", "user.type").alias("user_type"), F.try_element_at("attributes", F.lit("security.alert.id")).alias("alert"))
+
+
+@registered("s22_audit_logs", "SELECT CAST(event_id AS VARCHAR) AS id, event_type AS action, CAST(user_id AS VARCHAR) AS account FROM events")
+def _(spark, sf):
+    x = V.audit_logs(t(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("ts").alias("timestamp"), F.col("event_type").alias("action"), F.col("user_id").alias("account"), F.col("props").alias("description")))
+    return x.select(F.element_at("attributes", "id").alias("id"), F.element_at("attributes", "action").alias("action"), F.element_at("resource", "account").alias("account"))
+
+
+@registered("s23_usage_metrics", "SELECT 'sharepoint.files' AS metric_name, CAST(sum(o_custkey) AS BIGINT) AS total FROM orders UNION ALL SELECT 'sharepoint.files.active', CAST(sum(o_orderkey) AS BIGINT) FROM orders WHERE o_orderkey % 2 = 0")
+def _(spark, sf):
+    o = t(spark, sf, "orders").select("o_orderdate", "o_orderstatus", F.col("o_custkey").cast("string").alias("files"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey").cast("string")).otherwise("").alias("active"))
+    return V.usage_metrics(o, "sharepoint_files").groupBy("metric_name").agg(F.sum("value").alias("total"))
+
+
+@registered("s24_neuron_metrics", """
+SELECT event_id, 'aws.neuron.neuroncore.utilization' AS metric_name, value / 100 AS value FROM events UNION ALL SELECT event_id, 'aws.neuron.execution.count', user_id FROM events
+UNION ALL SELECT event_id, 'aws.neuron.errors', event_id FROM events""")
+def _(spark, sf):
+    core = F.create_map(F.lit("0"), F.struct(F.col("value").alias("neuroncore_utilization")), F.lit("x"), F.struct(F.col("value").alias("neuroncore_utilization")))
+    report = F.struct(F.struct(core.alias("neuroncores_in_use")).alias("neuroncore_counters"), F.struct(F.create_map(F.lit("completed"), F.col("user_id")).alias("execution_summary")).alias("execution_stats"))
+    devices = F.struct(F.struct(F.array(F.struct(F.lit(0).alias("neuron_device_index"), F.col("event_id").alias("mem_ecc_corrected"))).alias("neuron_devices")).alias("neuron_hw_counters"))
+    j = F.to_json(F.struct(F.array(F.struct(report.alias("report"))).alias("neuron_runtime_data"), devices.alias("system_data")))
+    return V.neuron_metrics(t(spark, sf, "events").select("event_id", j.alias("j")), "j").select("event_id", "metric_name", "value")
+
+
+@registered("s25_table_metrics", "SELECT CAST(c_nationkey AS VARCHAR) AS nation, 'balance' AS metric_name, count(*) AS n FROM customer WHERE c_acctbal >= 0 GROUP BY 1")
+def _(spark, sf):
+    x = V.table_metrics(t(spark, sf, "customer"), {"balance": "c_acctbal"}, ["c_nationkey"])
+    return x.groupBy(F.element_at("attributes", "c_nationkey").alias("nation"), "metric_name").agg(F.count("*").alias("n"))
+
+
+@registered("s26_packets", """
+SELECT user_id, event_id % 60 AS sec, '10.0.0.' || (user_id % 250) AS src_address, CAST(event_id % 60000 + 300 AS INT) AS src_port, '10.0.1.9' AS dst_address, 'TCP' AS transport, 8 AS length, count(*) AS n FROM events GROUP BY ALL""")
+def _(spark, sf):
+    e = t(spark, sf, "events")
+    head = F.format_string("12:00:%02d.000001 IP 10.0.0.%d.%d > 10.0.1.9.443: Flags [S], length 0", F.col("event_id") % 60, F.col("user_id") % 250, F.col("event_id") % 60000 + 300)
+    lines = e.select(F.concat_ws("-", "user_id", F.floor(F.col("event_id") / 1000)).alias("capture"), F.posexplode(F.array(head, F.lit("\t0x0000:  4500 003c"), F.lit("\t0x0004:  1c46 4000"))).alias("pos", "line"), (F.col("event_id") * 3).alias("base"))
+    p = V.parse_packets(lines.select("capture", (F.col("base") + F.col("pos")).alias("n"), "line"), "capture", "n", "line", "2024-01-01")
+    return p.groupBy(F.substring_index("capture", "-", 1).cast("long").alias("user_id"), F.second("ts").cast("long").alias("sec"), "src_address", "src_port", "dst_address", "transport", F.col("length").cast("int").alias("length")).agg(F.count("*").alias("n"))
+
+
+@registered("s27_sql_metrics", "SELECT o_orderstatus AS status, 'orders.count' AS metric_name, CAST(count(*) AS DOUBLE) AS value FROM orders GROUP BY 1")
+def _(spark, sf):
+    t(spark, sf, "orders").createOrReplaceTempView("sql_metric_orders")
+    x = V.sql_metrics(spark, "SELECT o_orderstatus, count(*) AS n FROM sql_metric_orders GROUP BY 1", {"orders.count": "n"}, ["o_orderstatus"])
+    return x.select(F.element_at("attributes", "o_orderstatus").alias("status"), "metric_name", "value")
+
+
+@registered("s19_payload_logs", "SELECT event_id FROM events")
+def _(spark, sf):
+    body = F.to_json(F.collect_list(F.struct("event_id")))
+    p = t(spark, sf, "events").groupBy("user_id", F.floor(F.col("event_id") / 20).alias("g")).agg(body.alias("b")).select("b", F.lit("application/json").alias("type"))
+    return S.payload_logs(p, "b", "type").select(F.get_json_object("record", "$.event_id").cast("long").alias("event_id"))
+
+
+# ---------------------------------------------------------------- log formats
+
+
+@registered("l_apache_combined", """
+SELECT event_id, ts - INTERVAL '1 microsecond' * (epoch_us(ts) % 1000000) AS ts, CASE event_id % 3 WHEN 0 THEN 9 WHEN 1 THEN 13 ELSE 17 END AS severity_number, '/' || event_type AS path FROM events""")
+def _(spark, sf):
+    e = t(spark, sf, "events")
+    status = F.element_at(F.array(F.lit("200"), F.lit("404"), F.lit("500")), (F.col("event_id") % 3 + 1).cast("int"))
+    line = F.concat(F.lit("10.0.0.1 - u ["), F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), F.lit(' +0000] "GET /'), "event_type", F.lit(' HTTP/1.1" '), status, F.lit(" "), F.col("event_id").cast("string"), F.lit(' "-" "agent"'))
+    x = P.parse_logs(e.select(line.alias("body_text")), "apache_combined_logs")
+    return x.select(F.element_at("fields", "body_bytes_sent").cast("long").alias("event_id"), "ts", "severity_number", F.element_at("fields", "path").alias("path"))
+
+
+@registered("l_kafka", """
+SELECT event_id, time_bucket(INTERVAL '1 millisecond', ts) AS ts, CASE WHEN value < 50 THEN 9 ELSE 17 END AS severity_number FROM events WHERE event_type <> 'view'""")
+def _(spark, sf):
+    line = F.concat(F.lit("["), F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS"), F.lit("] "), F.when(F.col("value") < 50, "INFO").otherwise("ERROR"), F.lit(" "), F.col("event_id").cast("string"))
+    e = t(spark, sf, "events").select(F.when(F.col("event_type") == "view", F.col("props")).otherwise(line).alias("body_text"))
+    x = P.parse_logs(e, "kafka_logs").where("fields is not null")
+    return x.select(F.element_at("fields", "message").cast("long").alias("event_id"), "ts", "severity_number")
+
+
+@registered("l7_syslog", """
+SELECT event_id, CAST(event_id % 192 // 8 AS INT) AS facility, CAST(event_id % 192 % 8 AS INT) AS severity, 'h' || user_id AS host, CASE WHEN event_id % 2 = 0 THEN event_type END AS msgid FROM events""")
+def _(spark, sf):
+    pri = F.concat(F.lit("<"), (F.col("event_id") % 192).cast("string"), F.lit(">"))
+    new = F.concat(pri, F.lit("1 2024-01-02T03:04:05Z h"), "user_id", F.lit(" app 7 "), "event_type", F.lit(" - "), F.col("event_id").cast("string"))
+    old = F.concat(pri, F.lit("Jan  2 03:04:05 h"), "user_id", F.lit(" app[7]: "), F.col("event_id").cast("string"))
+    e = t(spark, sf, "events").select(F.when(F.col("event_id") % 2 == 0, new).otherwise(old).alias("line"))
+    return P.syslog_parse(e, "line").select(F.col("syslog.message").cast("long").alias("event_id"), "syslog.facility", "syslog.severity", "syslog.host", "syslog.msgid")
+
+
+@registered("l12_change_fields", "SELECT event_id, event_type AS kind, CASE WHEN value > 50 THEN 'high' END AS size, CASE WHEN json_extract_string(props, '$.k') IS NULL THEN 2 ELSE 3 END + CASE WHEN value > 50 THEN 1 ELSE 0 END - 1 AS n FROM events")
+def _(spark, sf):
+    e = event_logs(spark, sf).withColumn("attributes", F.map_filter("attributes", lambda _, v: v.isNotNull()))
+    x = P.change_fields(e, [("move", "type", "kind"), ("copy", "none", "x"), (("add", "size", "'high'"), "value > 50"), ("copy", "k", "kk"), ("remove", "k"), ("add", "gone", "1"), ("retain", "kind", "size", "kk")])
+    return x.select("event_id", F.element_at("attributes", "kind").alias("kind"), F.try_element_at("attributes", F.lit("size")).alias("size"), F.size("attributes").alias("n"))
