@@ -73,14 +73,16 @@ def named(value: Column, names: tuple[str, ...], prefix: str) -> Column:
 
 def _scopes(df: DataFrame, col: str, signal: str, outer: str, inner: str, items: str) -> DataFrame:
     """One row for each item below resource and scope; text that is no such document gives none."""
-    r = df.select(F.explode(F.from_json(col, SCHEMAS[signal])[outer]).alias("r"))
-    s = r.select("r", F.explode(F.col("r")[inner]).alias("s"))
-    return s.select(
+    r = df.select(F.explode(F.from_json(col, SCHEMAS[signal])[outer]).alias("r")).select(
         attribute_map(F.col("r.resource.attributes")).alias("resource"), F.col("r.schemaUrl").alias("resource_schema_url"), F.coalesce("r.resource.droppedAttributesCount", F.lit(0)).alias("resource_dropped"),
-        F.col("s.scope.name").alias("scope_name"), F.col("s.scope.version").alias("scope_version"), F.col("s.schemaUrl").alias("scope_schema_url"),
-        attribute_map(F.col("s.scope.attributes")).alias("scope_attributes"), F.coalesce("s.scope.droppedAttributesCount", F.lit(0)).alias("scope_dropped"),
-        F.explode(F.col("s")[items]).alias("i"),
+        F.col("r")[inner].alias("scopes"),
     )
+    # the maps of a resource and of a scope are made once, before their items are dealt out
+    s = r.select("resource", "resource_schema_url", "resource_dropped", F.explode("scopes").alias("s")).withColumns({
+        "scope_name": F.col("s.scope.name"), "scope_version": F.col("s.scope.version"), "scope_schema_url": F.col("s.schemaUrl"), "scope_attributes": attribute_map(F.col("s.scope.attributes")),
+        "scope_dropped": F.coalesce("s.scope.droppedAttributesCount", F.lit(0)), "items": F.col("s")[items],
+    }).drop("s")
+    return s.select(*[c for c in s.columns if c != "items"], F.explode("items").alias("i"))
 
 
 def flatten_logs(df: DataFrame, col: str = "value") -> DataFrame:

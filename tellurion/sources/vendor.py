@@ -119,7 +119,8 @@ def neuron_metrics(df: DataFrame, col: str) -> DataFrame:
 
     Shares in percent become fractions; cores whose key is no number are left out. Text that is no report gives no rows.
     """
-    rep = F.from_json(col, _MONITOR)
+    df, given = df.withColumn("_rep", F.from_json(col, _MONITOR)), df.columns
+    rep = F.col("_rep")
     cores = lambda m: F.map_filter(m, lambda k, _: k.rlike(r"^\d+$"))
 
     def of_runtime(r: Column) -> Column:
@@ -143,7 +144,7 @@ def neuron_metrics(df: DataFrame, col: str) -> DataFrame:
 
     runtimes = F.flatten(F.transform(rep["neuron_runtime_data"], of_runtime))
     devices = F.flatten(F.transform(rep["system_data"]["neuron_hw_counters"]["neuron_devices"], of_device))
-    rows = df.select(*[c for c in df.columns if c not in ("metric_name", "value", "attributes")], F.concat(F.coalesce(runtimes, F.array()), F.coalesce(devices, F.array())).alias("_m"))
+    rows = df.select(*[c for c in given if c not in ("metric_name", "value", "attributes")], F.concat(F.coalesce(runtimes, F.array()), F.coalesce(devices, F.array())).alias("_m"))
     return rows.select(*[c for c in rows.columns if c != "_m"], F.inline("_m")).where("value is not null")
 
 
