@@ -138,6 +138,22 @@ def test_vendor_rows_of_bad_text(spark):
 
 
 LINES = {
+    "aerospike_logs": ("Jan 02 2024 03:04:05 GMT: WARNING (hb): (hb.c:12) {test} text", "2024-01-02 03:04:05", 13),
+    "cisco_catalyst_logs": ("<189>29: *Jan  2 03:04:05.678: %SYS-5-CONFIG_I: text", None, 13),
+    "cisco_meraki_logs": ("<134>1 1704164645.0 mx flows src=1.2.3.4 dst=5.6.7.8 mac=a", None, 9),
+    "cockroachdb_logs": ("E240102 03:04:05.678901 12 1@a/b.go:7 ⋮ [n1] 34 text", "2024-01-02 03:04:05.678901", 17),
+    "common_event_format_logs": ("Jan  2 03:04:05 h CEF:0|v|p|1|id|name|8|src=1.2.3.4", None, 17),
+    "couchbase_logs": ("[ns:warn,2024-01-02T03:04:05.678-01:00,n@h:a<0.1>:m:f:1]text", "2024-01-02 04:04:05.678", 13),
+    "couchdb_logs": ("[notice] 2024-01-02T03:04:05.678901Z n@h <0.1.0> abc h:5984 1.2.3.4 u GET /db 200 ok 3", "2024-01-02 03:04:05.678901", 9),
+    "elasticsearch_logs": ("[2024-01-02T03:04:05.678+0000][1][gc,start] GC(7) text", "2024-01-02 03:04:05.678", 0),
+    "esxi_logs": ("<167>2024-01-02T03:04:05.678Z h Hostd[12]: text", "2024-01-02 03:04:05.678", 5),
+    "haproxy_logs": ('Jan  2 03:04:05 h haproxy[9]: 1.2.3.4:5 [02/Jan/2024:03:04:05.678] f~ b/s1 0/0/1/2/3 503 12 - - ---- 1/1/0/0/0 0/0 {x} "GET /a HTTP/1.1"', "2024-01-02 03:04:05.678", 17),
+    "ingress_nginx_logs": ('1.2.3.4 - - [02/Jan/2024:03:04:05 +0000] "GET /a HTTP/1.1" 404 5 "-" "a b" 10 0.001 [up] [] 5.6.7.8:80 5 0.001 404 abc1', "2024-01-02 03:04:05", 13),
+    "macos_logs": ("2024-01-02 03:04:05+01 h p[12]: text", "2024-01-02 02:04:05", 0),
+    "mysql_logs": ("2024-01-02T03:04:05.678901Z 7 [Warning] text", "2024-01-02 03:04:05.678901", 13),
+    "pgbouncer_logs": ("2024-01-02 03:04:05.678 UTC [9] NOISE text", "2024-01-02 03:04:05.678", 5),
+    "ubiquiti_logs": ("<12>Jan  2 03:04:05 aabb,U7-1: hostapd: text", None, 13),
+    "windows_dhcp": ("10,01/02/24,03:04:05,Assign,1.2.3.4,h,AA,,0,6,,,,,,,,,0", "2024-01-02 03:04:05", 0),
     "apache_common_logs": ('1.2.3.4 - u [02/Jan/2024:03:04:05 +0100] "GET /a HTTP/1.1" 503 12', "2024-01-02 02:04:05", 17),
     "apache_cassandra_logs": ("WARN  [main] 2024-01-02 03:04:05,678 text", "2024-01-02 03:04:05.678", 13),
     "cisco_asa_logs": ("Jan 02 2024 03:04:05: %ASA-6-1: built", "2024-01-02 03:04:05", 0),
