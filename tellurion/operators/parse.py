@@ -122,6 +122,22 @@ def delimited_parse(df: DataFrame, col: str, header: str, delimiter: str = ",",
     return df.withColumn(into, F.when(F.size(fields) == len(names), F.map_from_arrays(F.array(*[F.lit(n) for n in names]), fields)))
 
 
+def headed_parse(df: DataFrame, col: str, file: str, line_no: str, mark: str = "#Fields: ", delimiter: str = " ", into: str = "parsed") -> DataFrame:
+    """Rows of delimited lines, with a map from the names of their file's last header line before them to their fields.
+
+    Header lines begin with `mark`; they and other lines that begin with its first character give no rows. Lines before any header,
+    and lines with another number of fields than their header, have a null map. Headers are few and meet their lines by a join on the
+    file, so that a file of any length is dealt to many tasks.
+    """
+    w = W.partitionBy("_file").orderBy("_from")
+    heads = df.where(F.col(col).startswith(mark)).select(F.col(file).alias("_file"), F.col(line_no).alias("_from"), F.split(F.trim(F.substring(F.col(col), len(mark) + 1, F.length(col))), re.escape(delimiter)).alias("_names"))
+    heads = heads.withColumn("_to", F.lead("_from").over(w))
+    lines = df.where(~F.col(col).startswith(mark[0]))
+    met = lines.join(heads, (F.col(file) == F.col("_file")) & (F.col(line_no) > F.col("_from")) & (F.col("_to").isNull() | (F.col(line_no) < F.col("_to"))), "left")
+    fields = F.split(F.col(col), re.escape(delimiter))
+    return met.withColumn(into, F.when(F.size(fields) == F.size("_names"), F.map_from_arrays("_names", fields))).drop("_file", "_from", "_to", "_names")
+
+
 def uri_parse(df: DataFrame, col: str, into: str = "uri") -> DataFrame:
     """Add scheme, host, path and query of a URI, each null where it is missing or the URI malformed."""
     part = lambda p: F.try_parse_url(F.col(col), F.lit(p))

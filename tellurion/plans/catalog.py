@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tellurion.functions.shared import shared_path
 from tellurion.operators import aggregates as A
 from tellurion.operators import enrich as J
 from tellurion.operators import filters as X
@@ -18,6 +19,7 @@ from tellurion.sources import landing as S
 from tellurion.sources import otlp as O
 from tellurion.sources import sinks as K
 from tellurion.sources import vendor as V
+from tellurion.streaming import runs as Q
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -733,3 +735,165 @@ def _(spark, sf):
     e = event_logs(spark, sf).withColumn("attributes", F.map_filter("attributes", lambda _, v: v.isNotNull()))
     x = P.change_fields(e, [("move", "type", "kind"), ("copy", "none", "x"), (("add", "size", "'high'"), "value > 50"), ("copy", "k", "kk"), ("remove", "k"), ("add", "gone", "1"), ("retain", "kind", "size", "kk")])
     return x.select("event_id", F.element_at("attributes", "kind").alias("kind"), F.try_element_at("attributes", F.lit("size")).alias("size"), F.size("attributes").alias("n"))
+
+
+@registered("l_common_event_format", """
+SELECT event_id, event_type AS name, CASE WHEN event_id % 11 <= 3 THEN 9 WHEN event_id % 11 <= 6 THEN 13 WHEN event_id % 11 <= 8 THEN 17 ELSE 21 END AS severity_number FROM events""")
+def _(spark, sf):
+    line = F.concat(F.lit("Jan  2 03:04:05 h CEF:0|shop|web|1|"), "event_id", F.lit("|"), "event_type", F.lit("|"), (F.col("event_id") % 11).cast("string"), F.lit("|user="), "user_id")
+    x = P.parse_logs(t(spark, sf, "events").select(line.alias("body_text")), "common_event_format_logs")
+    return x.select(F.element_at("fields", "signature_id").cast("long").alias("event_id"), F.element_at("fields", "name").alias("name"), "severity_number")
+
+
+@registered("l1_fingerprint", """
+SELECT 'json' AS form, event_type, 1 AS n_fingerprints FROM events GROUP BY 2 UNION ALL SELECT 'clf', event_type, 1 FROM events GROUP BY 2""")
+def _(spark, sf):
+    clf = F.concat(F.lit('10.0.0.1 - - [x] "GET /'), "event_type", F.lit("/"), "event_id", F.lit('?q=1 HTTP/1.1" 200 '), "user_id")
+    e = t(spark, sf, "events").select("event_type", F.explode(F.create_map(F.lit("json"), F.to_json(F.struct("event_id", "ts", "event_type")), F.lit("clf"), clf)).alias("form", "log"))
+    return e.groupBy("form", "event_type").agg(F.count_distinct(L.fingerprint("log")).cast("int").alias("n_fingerprints"))
+
+
+@registered("l4_json_parse", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def _(spark, sf):
+    return L.json_parse(t(spark, sf, "events"), "props", "k bigint").select("event_id", "parsed.k")
+
+
+@registered("l5_delimited_parse", """SELECT event_id, event_type || '"|"x' AS kind, user_id AS user FROM events""")
+def _(spark, sf):
+    line = F.concat(F.col("event_id").cast("string"), F.lit('|"'), "event_type", F.lit('\\"|\\"x"|'), "user_id")
+    x = L.delimited_parse(t(spark, sf, "events").select(line.alias("l")), "l", "id|kind|user", "|")
+    return x.select(F.element_at("parsed", "id").cast("long").alias("event_id"), F.element_at("parsed", "kind").alias("kind"), F.element_at("parsed", "user").cast("long").alias("user"))
+
+
+@registered("l5_headed_parse", "SELECT event_id, CASE WHEN event_id % 1000 < 500 THEN event_type END AS kind, CASE WHEN event_id % 1000 >= 500 THEN event_type END AS type FROM events")
+def _(spark, sf):
+    e = t(spark, sf, "events").select(F.floor(F.col("event_id") / 1000).alias("file"), (F.col("event_id") % 1000 * 2 + 1).alias("n"), F.concat_ws(" ", "event_id", "event_type").alias("line"))
+    heads = e.select("file", F.explode(F.array(F.struct(F.lit(0).cast("long").alias("n"), F.lit("#Fields: id kind").alias("line")), F.struct(F.lit(1000).cast("long").alias("n"), F.lit("#Fields: id type").alias("line")))).alias("h")).select("file", "h.*").distinct()
+    x = L.headed_parse(e.unionByName(heads), "line", "file", "n")
+    return x.select(F.element_at("parsed", "id").cast("long").alias("event_id"), F.try_element_at("parsed", F.lit("kind")).alias("kind"), F.try_element_at("parsed", F.lit("type")).alias("type"))
+
+
+@registered("l6_uri_parse", "SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS scheme, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host FROM pages")
+def _(spark, sf):
+    return L.uri_parse(t(spark, sf, "pages"), "url").select("page_id", "uri.scheme", "uri.host")
+
+
+@registered("l9_recombine", "SELECT conv_id, count(*) FILTER (role = 'assistant') + CASE WHEN arg_max(role, struct_pack(a := turn, b := role)) = 'assistant' THEN 0 ELSE 1 END AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM conversations WHERE text IS NOT NULL GROUP BY 1")
+def _(spark, sf):
+    c = t(spark, sf, "conversations").where("text is not null").withColumn("at", F.struct("turn", "role", "text"))
+    return L.recombine(c, "conv_id", "role = 'assistant'", "text", "at").groupBy("conv_id").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+
+
+@registered("l10_time_parse", "SELECT event_id, date_trunc('second', ts) - INTERVAL '5 hours' AS ts FROM events")
+def _(spark, sf):
+    e = t(spark, sf, "events").select("event_id", F.date_format("ts", "dd/MMM/yyyy HH:mm:ss").alias("text"))
+    return L.time_parse(e, "text", "dd/MMM/yyyy HH:mm:ss", "+05:00").select("event_id", "ts")
+
+
+# ---------------------------------------------------------------- more landing, delivery bodies
+
+
+@registered("s1_read_range", "SELECT event_id, ts FROM events WHERE ts >= date_trunc('hour', (SELECT min(ts) FROM events) + INTERVAL '1 day') AND ts < date_trunc('hour', (SELECT min(ts) FROM events) + INTERVAL '3 days') + INTERVAL '1 hour'")
+def _(spark, sf):
+    from datetime import timedelta
+
+    path, e = shared_path(spark, "landed"), t(spark, sf, "events").select("event_id", "ts")
+    S.write_partitioned(e.repartition(F.date_trunc("hour", "ts")), path)
+    first = e.agg(F.min("ts")).first()[0]
+    return S.read_partitioned(spark, path, first + timedelta(days=1), first + timedelta(days=3), "event_id long, ts timestamp").select("event_id", "ts")
+
+
+@registered("s3_path_time", "SELECT event_id, date_trunc('hour', ts) AS path_ts FROM events")
+def _(spark, sf):
+    e = t(spark, sf, "events").select("event_id", F.concat(F.lit("logs/"), F.date_format("ts", "yyyy/MM/dd'T'HH"), F.lit("/x.json")).alias("p"))
+    return S.with_path_time(e, "logs/{year}/{month}/{day}T{hour}", path=F.col("p")).select("event_id", "path_ts")
+
+
+@registered("s12_object_manifest", "SELECT 'logs' AS bucket, 'a b/' || event_id || '+.json' AS key, event_id AS size FROM events WHERE event_type = 'click'")
+def _(spark, sf):
+    o = F.struct(F.struct(F.lit("logs").alias("name")).alias("bucket"), F.struct(F.concat(F.lit("a%20b/"), "event_id", F.lit("+.json")).alias("key"), F.col("event_id").alias("size")).alias("object"))
+    r = F.array(F.struct(F.when(F.col("event_type") == "click", "ObjectCreated:Put").otherwise("ObjectRemoved:Delete").alias("eventName"), o.alias("s3")))
+    plain = F.to_json(F.struct(r.alias("Records")))
+    e = t(spark, sf, "events").select(F.when(F.col("event_id") % 2 == 0, plain).otherwise(F.to_json(F.struct(plain.alias("Message")))).alias("j"))
+    return S.object_manifest(e, "j", "^logs$", r"\.json$").select("bucket", "key", "size")
+
+
+@registered("s14_explode_pages", "SELECT event_id FROM events")
+def _(spark, sf):
+    g = t(spark, sf, "events").groupBy("user_id", F.floor(F.col("event_id") / 100).alias("h")).agg(F.collect_list(F.struct("event_id")).alias("c"))
+    page = g.select(F.to_json(F.struct(F.struct(F.array(F.struct("c")).alias("b")).alias("a"))).alias("j"))
+    return S.explode_pages(page, "j", "a.b[0].c").select(F.get_json_object("record", "$.event_id").cast("long").alias("event_id"))
+
+
+@registered("s15_ndjson_pages", "SELECT event_id, user_id FROM events")
+def _(spark, sf):
+    g = t(spark, sf, "events").groupBy("user_id", F.floor(F.col("event_id") / 100).alias("h")).agg(F.collect_list(F.to_json(F.struct("event_id"))).alias("l"))
+    page = g.select(F.concat(F.array_join("l", "\n"), F.lit("\n"), F.to_json(F.struct("user_id")), F.lit("\n")).alias("p"))
+    x = S.explode_ndjson_page(page, "p", metadata_last=True)
+    return x.select(F.get_json_object("record", "$.event_id").cast("long").alias("event_id"), F.get_json_object("metadata", "$.user_id").cast("long").alias("user_id"))
+
+
+@registered("k8_lines", "SELECT md5(replace(replace(text, chr(10), ' '), chr(13), ' ')) AS h FROM documents WHERE text IS NOT NULL")
+def _(spark, sf):
+    path = shared_path(spark, "lines")
+    S.write_lines(t(spark, sf, "documents").select(F.regexp_replace("text", r"[\r\n]", " ").alias("line")), path, "line")
+    return spark.read.text(path).select(F.md5("value").alias("h"))
+
+
+@registered("r4_raw_log", "SELECT event_id, CASE WHEN event_type = 'click' THEN NULL ELSE event_type END AS type, CAST(user_id AS VARCHAR) AS user FROM events")
+def _(spark, sf):
+    x = R.raw_log(event_logs(spark, sf).withColumn("body", F.col("event_id")).withColumn("attributes", F.map_filter("attributes", lambda _, v: v != "click")))
+    at = lambda p: F.get_json_object("raw", f"$.{p}")
+    return x.select(at("body").cast("long").alias("event_id"), at("attributes.type").alias("type"), at("resource_attributes.user").alias("user"))
+
+
+@registered("r7_webhook_rows", """SELECT CASE WHEN event_id % 2 = 0 THEN props ELSE '"' || event_type || '"' END AS payload FROM events""")
+def _(spark, sf):
+    e = t(spark, sf, "events").select(F.when(F.col("event_id") % 2 == 0, F.col("props")).otherwise(F.col("event_type")).alias("body_text"))
+    return R.webhook_rows(e)
+
+
+@registered("t8_event_time", "SELECT event_id, CASE WHEN event_type = 'click' THEN ts + INTERVAL '1 second' ELSE ts END AS event_ts FROM events")
+def _(spark, sf):
+    e = t(spark, sf, "events").withColumns({"observed_ts": F.col("ts") + F.expr("interval 1 second"), "ts": F.when(F.col("event_type") != "click", F.col("ts"))})
+    return R.event_time(e).select("event_id", "event_ts")
+
+
+# ---------------------------------------------------------------- streams
+
+
+def _landed_stream(spark, sf, files=4):
+    """Events landed as files, and the stream that reads two of these at a time."""
+    path = shared_path(spark, "landed")
+    t(spark, sf, "events").repartition(files).write.options(**S.TIME_LAYOUT).json(path)
+    return S.stream_landing(spark, path, "event_id long, ts timestamp, user_id long, event_type string, value double, props string", 2)
+
+
+@registered("st_a1_counts", "SELECT time_bucket(INTERVAL '1 hour', ts) AS start_ts, event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1, 2")
+def _(spark, sf):
+    path = shared_path(spark, "counts")
+    Q.keep_sums(_landed_stream(spark, sf), path, shared_path(spark, "commits"), ["event_type"], "1 hour")
+    return Q.sums(spark, path, ["event_type"])
+
+
+@registered("st_a6_latest", "SELECT user_id, max(ts) AS last_seen FROM events WHERE user_id IS NOT NULL GROUP BY 1")
+def _(spark, sf):
+    path = shared_path(spark, "latest")
+    Q.keep_latest(_landed_stream(spark, sf), path, shared_path(spark, "commits"), ["user_id"])
+    return Q.latest(spark, path, ["user_id"])
+
+
+@registered("st_enrich_filter", "SELECT event_id, c_name FROM events LEFT JOIN customer ON user_id = c_custkey WHERE event_type = 'click'")
+def _(spark, sf):
+    path, ref = shared_path(spark, "enriched"), t(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("c_custkey"), "c_name")
+    clicks = X.match(_landed_stream(spark, sf), "event_type = 'click'")
+    Q.keep_rows(J.lookup(clicks, ref, "user_id", "c_custkey").select("event_id", "c_name"), path, shared_path(spark, "commits"))
+    return spark.read.parquet(path)
+
+
+@registered("st_s13_dedup", "SELECT event_id FROM events")
+def _(spark, sf):
+    path, s = shared_path(spark, "deduped"), _landed_stream(spark, sf)
+    twice = s.select("event_id", "ts", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"))
+    Q.keep_rows(S.dedup_objects(twice, ["event_id"], "365 days", "ts").select("event_id"), path, shared_path(spark, "commits"))
+    return spark.read.parquet(path)

@@ -10,6 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 PARTS = ("year", "month", "day", "hour", "minute")
+#: How times are written as JSON: with microseconds, which Spark's own layout cuts to milliseconds.
+TIME_LAYOUT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def time_prefixes(start: datetime, end: datetime, pattern: str = "year={year}/month={month}/day={day}/hour={hour}", root: str = "") -> list[str]:
@@ -58,7 +60,7 @@ def write_partitioned(df: DataFrame, path: str, ts: str = "ts", level: str = "ho
     """NDJSON below year=/month=/day=/hour=[/minute=] of the UTC time, zero-padded, so that read_partitioned finds it again."""
     names = PARTS[: PARTS.index(level) + 1]
     forms = dict(zip(PARTS, ("yyyy", "MM", "dd", "HH", "mm"), strict=True))
-    w = df.withColumns({n: F.date_format(ts, forms[n]) for n in names}).write.mode(mode).partitionBy(*names)
+    w = df.withColumns({n: F.date_format(ts, forms[n]) for n in names}).write.mode(mode).options(**TIME_LAYOUT).partitionBy(*names)
     (w.option("compression", "gzip") if gzip else w).json(path)
 
 

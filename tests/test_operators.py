@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tellurion.functions.expressions import java_pattern
 from tellurion.operators import aggregates, enrich, filters, parse, rewrite
 from tellurion.sources import landing
+from tellurion.streaming import runs
 
 
 def rows(df):
@@ -129,3 +130,31 @@ def test_landed_payloads(spark):
     assert sorted(r.record for r in landing.sniffed(o, "o").collect()) == ["l1", "l2", '{"x":1}']
     e = spark.createDataFrame([('{"Records":[{"eventName":"ObjectCreated:Put","s3":{"bucket":{"name":"b"},"object":{"key":"a%20b+c","size":3}}},{"eventName":"ObjectRemoved"}]}',)], "e string")
     assert rows(landing.object_manifest(e, "e").select("bucket", "key", "size")) == [("b", "a b+c", 3)]
+
+
+def test_headed_lines(spark):
+    df = spark.createDataFrame([("f", 0, "1 2"), ("f", 1, "#Fields: a b"), ("f", 2, "x y"), ("f", 3, "#Date: z"), ("f", 4, "x"), ("f", 5, "#Fields: c"), ("f", 6, "z"), ("g", 7, None)], "file string, n int, line string")
+    got = {r.n: r.parsed for r in parse.headed_parse(df, "line", "file", "n").collect()}
+    assert got == {0: None, 2: {"a": "x", "b": "y"}, 4: None, 6: {"c": "z"}}
+    assert parse.headed_parse(df.limit(0), "line", "file", "n").count() == 0
+
+
+def test_a_second_run_reads_only_what_is_new(spark, tmp_path):
+    def land(a, b):
+        spark.range(a, b).selectExpr("id", "timestamp_seconds(id) ts", "id % 2 k").write.mode("append").json(str(tmp_path / "in"))
+
+    for a, b in ((0, 90), (90, 150)):
+        land(a, b)
+        s = landing.stream_landing(spark, str(tmp_path / "in"), "id long, ts timestamp, k long")
+        runs.keep_sums(s, str(tmp_path / "n"), str(tmp_path / "c1"), ["k"])
+        runs.keep_latest(s, str(tmp_path / "l"), str(tmp_path / "c2"), ["k"])
+    assert [r.n for r in runs.sums(spark, str(tmp_path / "n"), ["k"]).orderBy("start_ts", "k").collect()] == [30, 30, 30, 30, 15, 15]
+    assert [r.last_seen.second for r in runs.latest(spark, str(tmp_path / "l"), ["k"]).orderBy("k").collect()] == [28, 29]
+
+
+def test_a_batch_that_comes_again_counts_once(spark, tmp_path):
+    df = spark.range(10).selectExpr("timestamp_seconds(id) ts", "1 k")
+    write = runs._parts(str(tmp_path), lambda b: b.groupBy("k").count())
+    write(df, 3)
+    write(df, 3)
+    assert rows(spark.read.parquet(str(tmp_path)).select("k", "count")) == [(1, 10)]
