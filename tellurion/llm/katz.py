@@ -60,6 +60,20 @@ def unpacked(raw: bytes) -> list[np.ndarray]:
     return out
 
 
+def distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ascending distinct keys, and the place of each key among them, in half the memory of np.unique."""
+    order = np.argsort(key)
+    ranked = key[order]
+    new = np.append(np.ones(min(1, len(key)), bool), ranked[1:] != ranked[:-1])
+    found = ranked[new]
+    del ranked
+    rank = np.cumsum(new, dtype=np.int32)
+    rank -= 1
+    at = np.empty(len(key), np.int32)
+    at[order] = rank
+    return found, at
+
+
 def _steps(h: np.ndarray) -> np.ndarray:
     """Differences of ascending hashes, whose high bytes are mostly zero."""
     return np.diff(h, prepend=np.uint64(0))
@@ -227,10 +241,11 @@ def _cell(t: pa.Table, grid: int, star: np.ndarray, total: int, unknown: float,
         docs.append(np.cumsum(step, dtype=np.int32))
         train.append(np.unpackbits(flags).astype(bool)[docs[-1]])
         spans.append((chunk, len(step)))
-    key, docs, train = (np.concatenate(x) for x in (key, docs, train))
-    pair, at = np.unique(key, return_inverse=True)
+    key = np.concatenate(key)
+    docs = np.concatenate(docs)
+    train = np.concatenate(train)
+    pair, at = distinct(key)
     del key
-    at = at.astype(np.int32)
     seen = np.bincount(at[train], minlength=len(pair))
     del train
     p2 = np.append(discounted(c2, star) / max(1, total), unknown)

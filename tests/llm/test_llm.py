@@ -368,3 +368,11 @@ def test_pipeline_stages(spark, odd):
     assert kept["language_id"] >= kept["near_duplicates"] >= kept["decontamination"] >= kept["mixture"] == kept["token_ids"] > 0
     assert df.select("doc_id").distinct().count() == df.count()
     assert sorted(map(str, corpus_pipeline.run(spark, SF).columns)) == ["doc_id", "ids_crc32", "n_tokens", "start"]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1000])
+def test_distinct_equals_unique(n):
+    key = np.random.default_rng(n).integers(0, 50, n)
+    want, at = np.unique(key, return_inverse=True)
+    got, place = katz.distinct(key)
+    assert got.tolist() == want.tolist() and place.tolist() == at.tolist()
