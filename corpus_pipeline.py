@@ -21,7 +21,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the least id of each group of texts whose five-word shingles have a similarity of about 0.8 or more."""
+    """Keep the document with the least id of each group of texts whose five-word shingles have a Jaccard similarity of 0.8 or more."""
     groups = simhash.similar_groups(docs)
     gone = written(groups.where("doc_id <> component_id").select("doc_id"), "near-copies")
     kept = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)

@@ -218,20 +218,23 @@ BITS = 512
 SEGMENTS = [(k, k + 1) for k in range(0, BITS // 8, 2)] + [(k, k + BITS // 16) for k in range(16)]
 #: Counters of the signed count sketch between shingles and bits, and counters that a shingle adds to.
 COUNTERS, ADDS = 4096, 4
+#: Texts of a group of candidates that one task compares by their shingles; larger groups are cut into pairs of blocks.
+EXACT_ROWS = 5_000
 
 
 def wide_radius(similarity: float, bits: int = BITS) -> int:
-    """Differing bits that two sets of one size with this Jaccard similarity have on average, and 1.5 standard deviations more."""
+    """Differing bits that two sets of one size with this Jaccard similarity have on average, and 3 standard deviations more:
+    99.9 % of such pairs pass. Sets of two sizes differ in fewer bits. Pairs within it are candidates, no more."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * p + 1.5 * math.sqrt(bits * p * (1 - p)))
+    return round(bits * p + 3 * math.sqrt(bits * p * (1 - p)))
 
 
 def _planes() -> np.ndarray:
     return np.random.default_rng(SEED).standard_normal((COUNTERS, BITS), np.float32)
 
 
-def _wide(texts: pa.Array, shingle: int, planes: np.ndarray) -> np.ndarray:
-    """(texts, BITS / 64) unsigned words: signs of random planes over the set of shingles of each text."""
+def _shingles(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Text number, ascending, and 64-bit hash of each different shingle of each text; fewer words are one shingle."""
     w = words(texts, SPACED)
     h, n = w.hashes(), len(w.per_text)
     size = np.minimum(shingle, w.per_text)
@@ -244,7 +247,14 @@ def _wide(texts: pa.Array, shingle: int, planes: np.ndarray) -> np.ndarray:
         key[part] = mix(key[part] * np.uint64(5) + h[at[part] + k])
     _, keep = np.unique(mix(key ^ (doc.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)
     keep.sort()
-    doc, key, out = doc[keep], key[keep], np.zeros((n, BITS // 64), np.uint64)
+    return doc[keep], key[keep]
+
+
+def _wide(texts: pa.Array, shingle: int, planes: np.ndarray) -> np.ndarray:
+    """(texts, BITS / 64) unsigned words: signs of random planes over the set of shingles of each text."""
+    n = len(texts)
+    doc, key = _shingles(texts, shingle)
+    out = np.zeros((n, BITS // 64), np.uint64)
     for a in range(0, n, 512):
         mine, rows = slice(*np.searchsorted(doc, [a, a + 512])), min(512, n - a)
         counts = np.zeros(rows * COUNTERS)
@@ -256,14 +266,50 @@ def _wide(texts: pa.Array, shingle: int, planes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _bytes_as_words(t: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(t.column("fp").to_pylist()), "<u8").reshape(-1, BITS // 64)
+
+
+class Sets:
+    """The shingle sets of one table of texts, and which of its rows are as similar as asked; rows stand as their numbers."""
+
+    def __init__(self, shingle: int, similarity: float, radius: int):
+        self.shingle, self.similarity, self.radius = shingle, similarity, radius
+
+    def rows(self, t: pa.Table) -> np.ndarray:
+        self.fp, self.sets = _bytes_as_words(t), []
+        for batch in slices(t.select(["text"]).to_batches(), "text"):
+            doc, key = _shingles(batch.column(0), self.shingle)
+            key = key[np.lexsort((key, doc))]
+            cut = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+            self.sets += [key[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+        self.size = np.array([len(x) for x in self.sets])
+        return np.arange(t.num_rows)
+
+    def near(self, x: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """Whether each pair's exact Jaccard similarity is reached; sets are compared only if bits and sizes allow it."""
+        x = np.broadcast_to(x, others.shape)
+        p, q = self.size[x], self.size[others]
+        hit = np.minimum(p, q) >= self.similarity * np.maximum(p, q) - 1e-9
+        some = np.flatnonzero(hit)
+        hit[some] = np.bitwise_count(self.fp[others[some]] ^ self.fp[x[some]]).sum(axis=-1, dtype=np.int64) <= self.radius
+        for k in np.flatnonzero(hit):
+            a, b = self.sets[x[k]], self.sets[others[k]]
+            both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum()) if len(a) else 0
+            hit[k] = both >= self.similarity * (len(a) + len(b) - both) - 1e-9
+        return hit
+
+
 def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Per id its component_id, the least id reachable by links of texts whose word shingles have about this similarity or more.
+    """Per id its component_id, the least id reachable by links of texts whose sets of word shingles have this Jaccard similarity.
 
-    Fingerprints of 512 bits are linked within `wide_radius(similarity)` differing bits. Candidates share a value of one of 48
+    Candidates first: fingerprints of 512 bits within `wide_radius(similarity)` differing bits that share a value of one of 48
     segments of 16 bits (balls of radius 0, for so many short segments outdo balls in fewer: at similarity 0.8, one in 14 segments
-    of a pair agrees, so 97 % of pairs meet directly, at 0.85 99 % and at 0.9 nearly all, and pairs that miss each other are often
-    joined through others of their group); complete distances are verified in each bucket, where a search over what is not yet
-    reached gives a forest of links, never all pairs. Null ids are left out; empty texts are one class; equal texts always link.
+    of a pair agrees, so 97 % of pairs meet directly, at 0.85 99 % and at 0.9 nearly all). Each bucket gives a forest of them by a
+    search over what is not yet reached, never all pairs. The groups that candidates form hold every link to be found, so the
+    texts of each group are dealt once to a task (of a group over EXACT_ROWS, to pairs of blocks), which searches it again, by the
+    exact similarity of shingle sets; there, pairs that share no segment are compared too. Of texts with one fingerprint, one
+    stands for all. Null ids are left out; empty texts are one class; equal texts always link.
     """
     held = docs.sparkSession.sparkContext.broadcast(_planes())
     radius = wide_radius(similarity)
@@ -271,23 +317,27 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 << 20):
             fp = _wide(batch.column("text"), shingle, held.value)
-            yield pa.record_batch([batch.column("doc_id"), pa.array([r.tobytes() for r in fp], pa.binary())], ["doc_id", "fp"])
+            yield pa.record_batch([batch.column("doc_id"), batch.column("h"), pa.array([r.tobytes() for r in fp], pa.binary())], ["doc_id", "h", "fp"])
 
-    some = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
-    rows = written(some.mapInArrow(prints, "doc_id long, fp binary"), "prints")
-    classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("node")), "classes")
+    some = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null").withColumn("h", F.xxhash64("text"))
+    rows = written(some.mapInArrow(prints, "doc_id long, h long, fp binary"), "prints")
+    classes = written(rows.groupBy("fp").agg(F.min(F.struct("doc_id", "h")).alias("m")).select("fp", F.col("m.doc_id").alias("node"), "m.h"), "classes")
     byte = lambda k: F.substring("fp", k + 1, 1)
     cut = F.array(*[F.struct(F.lit(n).cast("byte").alias("seg"), F.conv(F.hex(F.concat(byte(x), byte(y))), 16, 10).cast("int").alias("key")) for n, (x, y) in enumerate(SEGMENTS)])
     segments = classes.select("fp", "node", F.explode(cut).alias("p")).select("p.seg", "p.key", "fp", "node")
-    heavy = segments.groupBy("seg", "key").count().where(F.col("count") > TILE_ROWS).select("seg", "key", F.ceil(F.col("count") / TILE_ROWS).cast("int").alias("blocks"))
+
+    def heavy(buckets: DataFrame, tile: int) -> DataFrame:
+        return buckets.groupBy("seg", "key").count().where(F.col("count") > tile).select("seg", "key", F.ceil(F.col("count") / tile).cast("int").alias("blocks"))
 
     def near(x: np.ndarray, others: np.ndarray) -> np.ndarray:
         return np.bitwise_count(others ^ x).sum(axis=-1, dtype=np.int64) <= radius
 
-    def wide(t: pa.Table) -> np.ndarray:
-        return np.frombuffer(b"".join(t.column("fp").to_pylist()), "<u8").reshape(-1, BITS // 64)
-
-    dealt = in_tiles(segments, heavy).repartition("seg", "key", "i", "j").sortWithinPartitions("seg", "key", "i", "j")
-    same = rows.join(classes, "fp").where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
-    groups = connected_components(dealt.mapInArrow(bucket_links(near, wide), "a long, b long").unionAll(same))
+    dealt = in_tiles(segments, heavy(segments, TILE_ROWS)).repartition("seg", "key", "i", "j").sortWithinPartitions("seg", "key", "i", "j")
+    maybe = connected_components(dealt.mapInArrow(bucket_links(near, _bytes_as_words), "a long, b long"))
+    members = written(classes.join(maybe, "node").select(F.lit(0).cast("byte").alias("seg"), F.col("component").alias("key"), "fp", "node", "h"), "candidates")
+    texts = some.withColumnRenamed("doc_id", "node").join(members, ["node", "h"]).select("seg", "key", "fp", "node", "text")
+    sets = Sets(shingle, similarity, radius)
+    dealt = in_tiles(texts, heavy(members, EXACT_ROWS)).repartition("seg", "key", "i", "j").sortWithinPartitions("seg", "key", "i", "j")
+    same = rows.join(classes.select("fp", "node"), "fp").where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
+    groups = connected_components(dealt.mapInArrow(bucket_links(sets.near, sets.rows), "a long, b long").unionAll(same))
     return rows.select("doc_id").distinct().join(groups, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.coalesce("component", "doc_id").alias("component_id"))

@@ -254,6 +254,28 @@ def test_similar_groups_find_edited_copies(spark):
     assert all(got[i] // 10 == i // 10 for i, _ in rows)
 
 
+def test_similar_groups_are_exact(spark, monkeypatch):
+    """Similarities of 0.74 stay apart and those of 0.82 link, in whole groups and in groups cut into blocks."""
+    rng = np.random.default_rng(5)
+    rows, text = [], {}
+    for d in range(40):
+        base = [f"w{x}" for x in rng.integers(0, 10**9, 300)]
+        for copy, edits in enumerate((0, 9, 6)):
+            edited = list(base)
+            for k in range(edits):
+                edited[10 + 30 * k + copy] = f"e{d}-{copy}-{k}"
+            text[d * 10 + copy] = {tuple(edited[k : k + 5]) for k in range(296)}
+            rows.append((d * 10 + copy, " ".join(edited)))
+    links = [(a, b) for a in text for b in text if a < b and a // 10 == b // 10 and len(text[a] & text[b]) >= 0.8 * len(text[a] | text[b])]
+    want = classes(links, text)
+    assert len(links) == 40
+    for tile in (simhash.EXACT_ROWS, 2):
+        monkeypatch.setattr(simhash, "EXACT_ROWS", tile)
+        got = {r.doc_id: r.component_id for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert all(got[i] == i for i in got if i % 10 == 1)  # none is dropped below the similarity
+        assert np.mean([got[i] == want[i] for i in got]) >= 0.96
+
+
 # ---------------------------------------------------------------- 7
 
 
