@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,10 +14,10 @@ from pyspark.sql import types as T
 
 from .common import fold, slices, small_batches, table
 
-#: The bounded sample: characters of text for each language, the longest document in it, and languages (the most frequent).
-SAMPLE_CHARS, SAMPLE_DOC, LANGUAGES = 24_000, 8_000, 64
-#: Characters with a code of their own; 0 is padding, 1 any other character.
-ALPHABET = 62
+#: The bounded sample: characters of text for each language, and the longest document in it.
+SAMPLE_CHARS, SAMPLE_DOC = 24_000, 8_000
+#: Letters up to which automata that share them are a dense table, bytes of all dense tables, and automata in one model.
+ALPHABET, DENSE_BYTES, TOGETHER = 254, 256 << 20, 64
 #: Characters that are parsed in one run; the parse starts anew after them, which adds at most a phrase to each run.
 RUN = 256
 OTHER = re.compile(r"[\W\d_]+")
@@ -53,35 +52,57 @@ def automaton(text: np.ndarray) -> list[dict[int, int]]:
     return move
 
 
+def letters_of(text: str) -> set[str]:
+    return set(OTHER.sub(" ", text.lower()))
+
+
 class Model:
-    """The automata of all languages as one table: for each state and code, twice the next row, plus 1 where a phrase begins."""
+    """The automata of some languages as one table: for each state and code, twice the next row, plus 1 where a phrase begins.
+    Every letter of the samples has a code; 0 is padding, 1 any other letter. Unless dense, only the automata's own transitions
+    are kept, under sorted keys (row and code); the others are those of the start state."""
 
-    def __init__(self, samples: dict[str, str]):
-        self.languages = sorted(samples)
-        seen = Counter(OTHER.sub(" ", "".join(samples.values()).lower()))
-        letters = sorted(seen, key=lambda c: (-seen[c], c))[:ALPHABET]
+    def __init__(self, samples: dict[str, str], dense: bool = True):
+        self.languages, self.dense = sorted(samples), dense
+        letters = sorted(letters_of("".join(samples.values())))
         self.width = len(letters) + 2
-        self.codes = np.ones(0x110000, np.uint8)
+        self.codes = np.ones(0x110000, np.uint8 if self.width <= 256 else np.uint32)
         for k, c in enumerate(letters):
             self.codes[ord(c)] = k + 2
-        parts, self.dead, self.cost, at = [], [], [], 0
+        kind = np.int32 if dense else np.int64
+        parts, keys, starts, self.dead, self.cost, at = [], [], [], [], [], 0
         for name in self.languages:
             coded = self.coded(samples[name])
             move = automaton(coded[coded > 1])
             n, dead = len(move), (at + len(move)) * self.width
-            start = np.full(self.width, dead * 2 + 1, np.int32)
+            start = np.full(self.width, dead * 2 + 1, kind)
             for c, to in move[0].items():
                 start[c] = (at + to) * self.width * 2 + 1
             start[0] = dead * 2
-            rows = np.tile(start, (n + 1, 1))
-            for s, m in enumerate(move):
-                for c, to in m.items():
-                    rows[s, c] = (at + to) * self.width * 2
-            parts.append(rows)
+            if dense:
+                rows = np.tile(start, (n + 1, 1))
+                for s, m in enumerate(move):
+                    for c, to in m.items():
+                        rows[s, c] = (at + to) * self.width * 2
+                parts.append(rows.ravel())
+            else:
+                own = [((at + s) * self.width + c, (at + to) * self.width * 2) for s, m in enumerate(move) for c, to in sorted(m.items())]
+                keys.append(np.array([k for k, _ in own], np.int64))
+                parts.append(np.array([to for _, to in own], np.int64))
+                starts.append(start)
             self.dead.append(dead)
             self.cost.append(math.log2(max(2, len(coded))))
             at += n + 1
-        self.table = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
+        self.table = np.concatenate(parts) if parts else np.zeros(0, kind)
+        if not dense:
+            self.keys, self.starts = np.append(np.concatenate(keys), -1), np.array(starts)
+
+    def step(self, state: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """For each automaton and run, what its table has for a state and the next code."""
+        if self.dense:
+            return self.table.take(state + column)
+        key = state + column
+        k = np.searchsorted(self.keys[:-1], key)
+        return np.where(self.keys[k] == key, self.table[np.minimum(k, len(self.table) - 1)] if len(self.table) else 0, self.starts[:, column])
 
     def coded(self, text: str) -> np.ndarray:
         """Letters of the lower-cased text, each run of other characters as one space."""
@@ -89,16 +110,16 @@ class Model:
 
     def entropies(self, texts: list[str | None]) -> np.ndarray:
         """(texts, languages): bits a character, phrases of the cross-parse times the bits that name a place in the sample."""
-        coded = [self.coded(t) if t else np.zeros(0, np.uint8) for t in texts]
+        coded = [self.coded(t) if t else np.zeros(0, self.codes.dtype) for t in texts]
         runs = np.array([-(-len(c) // RUN) for c in coded])
-        flat = np.zeros((int(runs.sum()), RUN), np.uint8)
+        flat = np.zeros((int(runs.sum()), RUN), self.codes.dtype)
         for c, at in zip(coded, np.cumsum(runs) - runs, strict=True):
             flat[at : at + -(-len(c) // RUN)].reshape(-1)[: len(c)] = c
-        state = np.repeat(np.array(self.dead, np.int32)[:, None], len(flat), axis=1)
+        state = np.repeat(np.array(self.dead, self.table.dtype)[:, None], len(flat), axis=1)
         phrases = np.zeros(state.shape, np.int32)
         for column in np.ascontiguousarray(flat.T):
-            got = self.table.take(state + column)
-            phrases += got & 1
+            got = self.step(state, column)
+            phrases += (got & 1).astype(np.int32)
             state = got >> 1
         total = np.zeros((len(self.languages), len(texts)))
         some = np.flatnonzero(runs)
@@ -107,45 +128,65 @@ class Model:
         return (total * np.array(self.cost)[:, None] / np.maximum(1, [len(c) for c in coded])).T
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", chars: int = SAMPLE_CHARS, longest: int = SAMPLE_DOC, languages: int = LANGUAGES) -> Model:
-    """Fit on a bounded sample: for each of the `languages` most frequent labels, whole documents in the order of a hash of their
-    id, of up to `longest` characters each (the first of any length if a language has none), until `chars` characters are met."""
+def models(samples: dict[str, str]) -> list[Model]:
+    """Automata of all languages, by name in runs that share an alphabet: dense tables as far as letters and bytes go, else sparse."""
+    groups, left = [], DENSE_BYTES
+    for name in sorted(samples):
+        letters, states = letters_of(samples[name]), 2 * len(samples[name]) + 2
+        if groups and len(groups[-1][0]) < TOGETHER:
+            names, has, n, dense = groups[-1]
+            more = (len(has | letters) + 2) * (n + states) * 4
+            if not dense and (len(letters) > ALPHABET or left < (len(letters) + 2) * states * 4) or dense and len(has | letters) <= ALPHABET and more - (len(has) + 2) * n * 4 <= left:
+                left -= (more - (len(has) + 2) * n * 4) if dense else 0
+                groups[-1] = ([*names, name], has | letters, n + states, dense)
+                continue
+        dense = len(letters) <= ALPHABET and (len(letters) + 2) * states * 4 <= left
+        left -= (len(letters) + 2) * states * 4 if dense else 0
+        groups.append(([name], letters, states, dense))
+    return [Model({n: samples[n] for n in names}, dense) for names, _, _, dense in groups]
+
+
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", chars: int = SAMPLE_CHARS, longest: int = SAMPLE_DOC) -> list[Model]:
+    """Fit on a bounded sample of every label: whole documents in the order of a hash of their id, of up to `longest` characters
+    each (the first of any length if a language has none), until `chars` characters are met."""
+    spark = docs.sparkSession
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id).cast("string")).alias("h"))
     short = F.length("text") <= longest
     # median length is unknown, so each language's share is set by the characters it has
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.when(short, F.length("text"))).alias("c"), F.min_by("text", F.struct(F.length("text"), "h")).alias("one"))
-    found = sizes.orderBy(F.desc("n"), "lang").limit(languages).collect()
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.when(short, F.length("text"))).alias("c"), F.min_by(F.substring("text", 1, chars), F.struct(F.length("text"), "h")).alias("one"))
+    found = sizes.orderBy(F.desc("n"), "lang").collect()
     samples = {r.lang: r.one for r in found}
     shares = {r.lang: min(1.0, 4 * chars / r.c) for r in found if r.c}
     if shares:
-        share = F.create_map(*[x for k, v in shares.items() for x in (F.lit(k), F.lit(v))])
-        hit = rows.where(short & F.col("lang").isin(list(shares)) & (F.pmod("h", F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30)))
+        share = F.broadcast(spark.createDataFrame(list(shares.items()), "lang string, share double"))
+        hit = rows.where(short).join(share, "lang").where(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30))
         for name in shares:
             samples[name] = ""
-        for r in hit.select("lang", "text", "h").orderBy("h", "text").limit(languages * 4 * chars).collect():  # about 4 * chars characters of each
+        for r in hit.select("lang", "text", "h").orderBy("h", "text").limit(len(shares) * 4 * chars).collect():  # about 4 * chars characters of each
             if len(samples[r.lang]) < chars:
                 samples[r.lang] += r.text + "\n"
         samples |= {r.lang: r.one for r in found if not samples[r.lang]}
-    return Model({k: v[:chars] for k, v in samples.items()})
+    return models({k: v[:chars] for k, v in samples.items()})
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: list[Model], text: str = "text") -> DataFrame:
     """Add lang_pred, the language with the least cross-parsing entropy (the first by name of equal ones), and score, by what share
     it undercuts the second (1 if only one was learned). Whole texts are parsed, in runs of 256 characters. Texts that are null or
     hold no letter are `und` with score 0, as is all if nothing was learned. Columns stay; those of these two names are replaced."""
     docs = docs.drop("lang_pred", "score")
     small_batches(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = [docs.sparkSession.sparkContext.broadcast(m) for m in model]
+    languages = np.array([name for m in model for name in m.languages], object)
+    by_name = np.argsort(languages, kind="stable")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = held.value
         for batch in slices(batches, text, 4 << 20):
-            if not m.languages:
+            if not len(languages):
                 best, score = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
             else:
-                e = m.entropies(batch.column(text).to_pylist())
-                at = e.argmin(axis=1)
-                best = [m.languages[k] for k in at]
+                texts = batch.column(text).to_pylist()
+                e = np.concatenate([m.value.entropies(texts) for m in held], axis=1)[:, by_name]
+                best = languages[by_name][e.argmin(axis=1)].tolist()
                 two = np.sort(e, axis=1)[:, :2]
                 score = 1 - two[:, 0] / np.maximum(two[:, 1], 1e-12) if e.shape[1] > 1 else np.ones(len(e))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best, pa.string()), pa.array(np.clip(score, 0, 1))], [*batch.schema.names, "lang_pred", "score"])

@@ -342,6 +342,28 @@ def test_language_held_out(spark, odd):
     assert {r.lang_pred for r in langid.identify(odd, langid.learn(odd.limit(0))).collect()} == {"und"}
 
 
+def test_languages_of_many_scripts(spark):
+    """Seventy labels, of Latin, Cyrillic, Greek and Chinese letters: all are learned, whatever letters they share."""
+    rng = np.random.default_rng(3)
+    scripts = {"la": (97, 26), "cy": (0x430, 32), "el": (0x3B1, 25), "zh": (0x4E00, 3000)}
+    rows = []
+    for k in range(70):
+        base, n = list(scripts.values())[k % 4]
+        vocabulary = ["".join(map(chr, base + rng.integers(0, n, 5))) for _ in range(60)]
+        rows += [(100 * k + d, " ".join(rng.choice(vocabulary, 60)), f"{list(scripts)[k % 4]}{k}", "s", 1) for d in range(8)]
+    df = spark.createDataFrame(rows, DOCS)
+    found = langid.learn(df.where("doc_id % 100 < 6"))
+    assert len({m.dense for m in found}) == 2 and sum(len(m.languages) for m in found) == 70
+    held = langid.identify(df.where("doc_id % 100 >= 6"), found).collect()
+    assert np.mean([r.lang == r.lang_pred for r in held]) == 1
+
+
+def test_sparse_automata_equal_dense():
+    samples = {"a": "abcabd xyz", "b": "zzzz", "c": ""}
+    texts = ["abdabc", "zzzzz", "xyzab", "qq", None, "cab xyzzz" * 90]
+    assert np.array_equal(langid.Model(samples).entropies(texts), langid.Model(samples, False).entropies(texts))
+
+
 def test_cross_parse_counts_longest_matches():
     m = langid.Model({"a": "abcabd xyz", "b": "zzzz"})
 
