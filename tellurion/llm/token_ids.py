@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import Encoder
-from .common import new_path, slices, table
+from .common import BATCH_ROWS, new_path, slices, table
 
 END_ID = 2
 #: Ids after which a shard is closed; a shard always holds whole documents.
@@ -24,6 +24,11 @@ STEP = 256
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 
+#: Ones of each byte, and the place of each of them.
+_COUNT = np.bitwise_count(np.arange(256, dtype=np.uint8)).astype(np.int64)
+_PLACE = np.array([([k for k in range(8) if b >> k & 1] + [0] * 8)[:8] for b in range(256)], np.int64)
+
+
 class EliasFano:
     """A non-decreasing sequence of n integers from 0 to `top`: low bits packed, high bits in unary, every 256th one sampled.
 
@@ -66,6 +71,23 @@ class EliasFano:
         low = int.from_bytes(self.low[a // 8 : (b + 7) // 8].tobytes(), "little") >> (a % 8) & ((1 << self.l) - 1)
         return (one - i) << self.l | low
 
+    def select(self, i: np.ndarray) -> np.ndarray:
+        """The values at these places: for all at once what one place takes, from the sample before each on, byte by byte."""
+        at, left = self.samples[i // STEP].astype(np.int64), i % STEP
+        byte = at >> 3
+        here = self.high[byte] >> (at & 7) << (at & 7)
+        here = here.astype(np.uint8)
+        far = np.arange(len(i))
+        while len(far := far[_COUNT[here[far]] <= left[far]]):
+            left[far] -= _COUNT[here[far]]
+            byte[far] += 1
+            here[far] = self.high[byte[far]]
+        value = byte * 8 + _PLACE[here, left] - i << self.l
+        for k in range(self.l):
+            bit = i * self.l + k
+            value |= (self.low[bit >> 3] >> (bit & 7) & 1).astype(np.int64) << k
+        return value
+
     def all(self) -> np.ndarray:
         if not self.n:
             return np.zeros(0, np.int64)
@@ -183,6 +205,14 @@ def read_token_index(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, "ids_crc32 long", lambda ids, a, b: zlib.crc32(ids[a:b].astype("<u4").tobytes()), pa.int64())
 
 
+def _documents(s: Shard) -> Iterator[tuple[list[int | None], np.ndarray]]:
+    """Document ids, and the boundaries before, between and after them, of runs of at most BATCH_ROWS documents, by select."""
+    for a in range(0, len(s), BATCH_ROWS):
+        b = min(len(s), a + BATCH_ROWS)
+        nulls = max(0, min(b, s.nulls) - a)
+        yield [None] * nulls + (s.base + s.docs.select(np.arange(a + nulls, b) - s.nulls)).tolist(), s.bounds.select(np.arange(a, b + 1))
+
+
 def _read(spark: SparkSession, path: str, column: str, of, kind: pa.DataType) -> DataFrame:
     shards = spark.read.schema(SHARDS).parquet(path)
     sizes = sorted(tuple(r) for r in shards.groupBy("part").agg(F.sum("n_ids")).collect())  # a row for each partition written
@@ -193,10 +223,10 @@ def _read(spark: SparkSession, path: str, column: str, of, kind: pa.DataType) ->
         for batch in batches:
             for part, before, raw in zip(*(batch.column(c).to_pylist() for c in ("part", "before", "shard")), strict=True):
                 s = Shard(raw)
-                bounds, names = s.bounds.all(), [None] * s.nulls + (s.base + s.docs.all()).tolist()
-                got = [of(s.ids, a, b) for a, b in zip(bounds, bounds[1:], strict=False)]
-                start = base[part] + before + bounds[:-1]
-                yield pa.record_batch([pa.array(names, pa.int64()), pa.array(start), pa.array(np.diff(bounds)), pa.array(got, kind)], ["doc_id", "start", "n_tokens", column.split()[0]])
+                for names, bounds in _documents(s):
+                    got = [of(s.ids, a, b) for a, b in zip(bounds, bounds[1:], strict=False)]
+                    start = base[part] + before + bounds[:-1]
+                    yield pa.record_batch([pa.array(names, pa.int64()), pa.array(start), pa.array(np.diff(bounds)), pa.array(got, kind)], ["doc_id", "start", "n_tokens", column.split()[0]])
 
     return shards.select("part", "before", "shard").mapInArrow(documents, f"doc_id long, start long, n_tokens long, {column}")
 

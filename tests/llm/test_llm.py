@@ -111,6 +111,27 @@ def test_elias_fano(values, dense):
     assert end == len(raw) + 1 and e.all().tolist() == v.tolist() and [e[i] for i in range(len(v))] == v.tolist()
 
 
+@settings(deadline=None, max_examples=60)
+@given(st.lists(st.integers(0, 2**62), max_size=700), st.integers(0, 62))
+def test_select_of_many_places(values, shift):
+    v = np.sort(np.array([x >> shift for x in values], np.int64))
+    i = np.random.default_rng(len(v)).integers(0, max(1, len(v)), len(v))
+    assert token_ids.EliasFano.encode(v).select(i).tolist() == v[i].tolist()
+
+
+def test_shards_are_read_by_select(spark, odd, tmp_path, monkeypatch):
+    """Runs of two documents, across the null ids, without a table of all boundaries."""
+    token_ids.write_token_ids(odd, str(tmp_path / "t"), TOKENIZER, shard_ids=1000)
+    monkeypatch.setattr(token_ids, "BATCH_ROWS", 2)
+    for r in spark.read.parquet(str(tmp_path / "t")).collect():
+        s = token_ids.Shard(bytes(r.shard))
+        names, bounds = [s.doc_id(i) for i in range(len(s))], s.bounds.all().tolist()
+        with monkeypatch.context() as m:
+            m.delattr(token_ids.EliasFano, "all")
+            got = list(token_ids._documents(s))
+        assert [x for n, _ in got for x in n] == names and [x for _, b in got for x in b[:-1].tolist()] == bounds[:-1] and all(len(n) <= 2 for n, _ in got)
+
+
 @settings(deadline=None, max_examples=60)
 @given(st.lists(st.text(alphabet="ab'stremvlSD  \n\t é1２.,!　日\U0001f600\u0085", max_size=30), max_size=5))
 def test_pieces_encode_as_the_library_does(texts):
