@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import json
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -10,20 +10,21 @@ import pyarrow as pa
 from .common import Words, flat
 
 LETTER, NUMBER, SPACE = 1, 2, 3
-#: Pieces that one worker keeps; beyond that it starts anew, so memory stays bounded and results the same.
-CACHE = 700_000
+#: Pieces in each of two generations that one worker keeps: those met since the last change, and those met before it.
+#: A piece in neither is encoded again, so memory stays bounded and results the same. Pieces of more bytes are not kept.
+GENERATION, LONGEST = 200_000, 64
 
 
 def _classes() -> np.ndarray:
     """Class of each code point, as the regex engine has them."""
     import regex
 
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    at = np.array([*range(0xD800), *range(0xE000, 0x110000)])
-    out = np.zeros(0x110000, np.uint8)
-    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
-        for m in regex.finditer(pattern, every):
-            out[at[m.start() : m.end()]] = kind
+    out, step = np.zeros(0x110000, np.uint8), 1 << 13
+    for a in [*range(0, 0xD800, step), *range(0xE000, 0x110000, step)]:  # no text holds the surrogates between
+        some = "".join(map(chr, range(a, min(a + step, 0xD800) if a < 0xD800 else a + step)))
+        for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+            for m in regex.finditer(pattern, some):
+                out[a + m.start() : a + m.end()] = kind
     return out
 
 
@@ -38,22 +39,17 @@ class Encoder:
     """encode(texts) gives all ids and their number per text, equal to Tokenizer.encode(text, add_special_tokens=False)."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            d = json.load(f)
-        pre = d.get("pre_tokenizer") or {}
-        self.by_piece = d["model"]["type"] == "BPE" and not d.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
-        self.added = [t["content"].encode() for t in d.get("added_tokens", [])]
-        self.classes, self.chars = _classes(), {b: c for b, c in _byte_chars().items()}
-        self.latin = str.maketrans({chr(b): c for b, c in self.chars.items()})
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.offsets, self.ids = [np.zeros(1, np.int64)], []
-        self.offset, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        from tokenizers import Tokenizer, models, pre_tokenizers
+
+        t = self.tokenizer = Tokenizer.from_file(path)
+        pre = t.pre_tokenizer
+        byte_level = isinstance(t.model, models.BPE) and t.normalizer is None and isinstance(pre, pre_tokenizers.ByteLevel)
+        self.by_piece = byte_level and pre.use_regex and not pre.add_prefix_space
+        self.added = [x.content.encode() for x in t.get_added_tokens_decoder().values()]
+        self.classes = _classes()
+        self.latin = str.maketrans({chr(b): c for b, c in _byte_chars().items()})
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def pieces(self, raw: np.ndarray, offsets: np.ndarray) -> Words:
         """The matches of 's|'t|'re|'ve|'m|'ll|'d| ?L+| ?N+| ?[^sLN]+|s+(?!S)|s+ in each text, by runs of one class."""
@@ -88,38 +84,40 @@ class Encoder:
         end = np.append(start[1:], len(raw)) if len(start) else start
         return Words(raw, start, end, np.diff(np.searchsorted(start, offsets)))
 
-    def learn(self, w: Words, h: np.ndarray, at: np.ndarray) -> None:
-        """Encode the pieces at these places and keep their ids under their hashes."""
-        model, latin, raw, ids, ends = self.tokenizer.model, self.latin, w.data.tobytes(), [], []
-        total = len(self.flat)
-        for key, a, b in zip(h[at].tolist(), w.start[at].tolist(), w.end[at].tolist(), strict=True):
-            got = [t.id for t in model.tokenize(raw[a:b].decode("latin-1").translate(latin))]
-            ids += got
-            total += len(got)
-            ends.append(total)
-            self.known[key] = len(self.offset) - 2 + len(ends)
-        self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
-        self.offset = np.concatenate([self.offset, np.array(ends, np.int64)])
+    def ids_of(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece, as little-endian unsigned 32-bit integers."""
+        if len(self.young) > GENERATION:
+            self.old, self.young = self.young, {}
+        tokenize, latin, young, old, out = self.tokenizer.model.tokenize, self.latin, self.young, self.old, []
+        for piece in pieces:
+            ids = young.get(piece)
+            if ids is None:
+                ids = old.get(piece)
+                if ids is None:
+                    ids = array("I", [t.id for t in tokenize(piece.decode("latin-1").translate(latin))]).tobytes()
+                if len(piece) <= LONGEST:
+                    young[piece] = ids
+            out.append(ids)
+        return out
+
+    def whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        got = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(["" if t is None else t for t in texts.to_pylist()], add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, np.uint32), *got]), np.array([len(g) for g in got], np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         raw, offsets = flat(texts)
-        if not self.by_piece or any(x in raw.tobytes() for x in self.added):
-            got = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(["" if t is None else t for t in texts.to_pylist()], add_special_tokens=False)]
-            return np.concatenate([np.zeros(0, np.uint32), *got]), np.array([len(g) for g in got], np.int64)
         if not len(raw):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
-        if len(self.known) > CACHE:
-            self.clear()
+        text = raw.tobytes()
+        if not self.by_piece or any(x in text for x in self.added):
+            return self.whole(texts)
         w = self.pieces(raw, offsets)
-        h = w.hashes()
-        some, at, back = np.unique(h, return_index=True, return_inverse=True)
-        get = self.known.get
-        which = np.fromiter((get(x, -1) for x in some.tolist()), np.int64, len(some))
-        if len(new := np.flatnonzero(which < 0)):
-            self.learn(w, h, at[new])
-            which[new] = np.arange(len(self.offset) - 1 - len(new), len(self.offset) - 1)
-        piece = which[back]
-        begin, length = self.offset[piece], self.offset[piece + 1] - self.offset[piece]
+        _, at, back = np.unique(w.hashes(), return_index=True, return_inverse=True)
+        if not w.equal(at[back], np.arange(len(back))).all():  # two pieces share a hash
+            return self.whole(texts)
+        found = self.ids_of([text[a:b] for a, b in zip(w.start[at].tolist(), w.end[at].tolist(), strict=True)])
+        known, size = np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+        length, begin = size[back], (np.cumsum(size) - size)[back]
         upto = np.cumsum(length)
-        ids = self.flat[np.arange(upto[-1]) + np.repeat(begin - upto + length, length)]
+        ids = known[np.arange(upto[-1]) + np.repeat(begin - upto + length, length)]
         return ids, np.diff(np.concatenate([[0], upto])[w.first])

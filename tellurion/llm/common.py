@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch: with long texts, the default of 10,000 rows can take hundreds of MB in each worker.
 BATCH_ROWS = 2000
+#: Bytes of text that array code works on at once; the arrays of a slice take some twenty times that.
+SLICE_BYTES = 1 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -100,6 +102,22 @@ class Words:
             at, left = at[more] + 8, left[more] - 8
         return h
 
+    def equal(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether words i[k] and j[k] have the same bytes."""
+        n = self.end[i] - self.start[i]
+        same = n == self.end[j] - self.start[j]
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        eight = np.ndarray((len(self.data) + 1,), "<u8", padded, strides=(1,))
+        left = np.flatnonzero(same & (i != j))
+        a, b, n = self.start[i[left]], self.start[j[left]], n[left]
+        while len(left):
+            spare = np.uint64(64) - np.minimum(n, 8).astype(np.uint64) * np.uint64(8)
+            apart = ((eight[a] ^ eight[b]) << spare != 0) & (n > 0)
+            same[left[apart]] = False
+            more = ~apart & (n > 8)
+            left, a, b, n = left[more], a[more] + 8, b[more] + 8, n[more] - 8
+        return same
+
     def text(self, i: int, j: int) -> bytes:
         """Words i to j - 1, joined by spaces."""
         return b" ".join(self.data[a:b].tobytes() for a, b in zip(self.start[i:j], self.end[i:j], strict=True))
@@ -142,7 +160,7 @@ def words(texts: pa.Array, kind: np.ndarray) -> Words:
     return Words(data, start, end, np.diff(np.searchsorted(start, offsets)))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows with about `limit` bytes of text, so that arrays stay small."""
     for batch in batches:
         if not batch.num_rows:

@@ -18,8 +18,8 @@ from .common import fold, slices, small_batches, table
 SAMPLE_CHARS, SAMPLE_DOC = 24_000, 8_000
 #: Letters up to which automata that share them are a dense table, bytes of all dense tables, and automata in one model.
 ALPHABET, DENSE_BYTES, TOGETHER = 254, 256 << 20, 64
-#: Characters that are parsed in one run; the parse starts anew after them, which adds at most a phrase to each run.
-RUN = 256
+#: Characters of a run, and bytes of what is noted of runs parsed side by side. Neither changes a result.
+RUN, NOTED_BYTES = 256, 16 << 20
 OTHER = re.compile(r"[\W\d_]+")
 
 
@@ -96,36 +96,80 @@ class Model:
         if not dense:
             self.keys, self.starts = np.append(np.concatenate(keys), -1), np.array(starts)
 
-    def step(self, state: np.ndarray, column: np.ndarray) -> np.ndarray:
-        """For each automaton and run, what its table has for a state and the next code."""
+    def step(self, state: np.ndarray, code: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """What the table has for each state and next code; which: the state's automaton."""
         if self.dense:
-            return self.table.take(state + column)
-        key = state + column
+            return self.table.take(state + code)
+        key = state + code
         k = np.searchsorted(self.keys[:-1], key)
-        return np.where(self.keys[k] == key, self.table[np.minimum(k, len(self.table) - 1)] if len(self.table) else 0, self.starts[:, column])
+        return np.where(self.keys[k] == key, self.table[np.minimum(k, len(self.table) - 1)] if len(self.table) else 0, self.starts[which, code])
 
     def coded(self, text: str) -> np.ndarray:
         """Letters of the lower-cased text, each run of other characters as one space."""
         return self.codes[np.frombuffer(OTHER.sub(" ", text.lower()).encode("utf-32-le", "surrogatepass"), np.uint32)]
 
-    def entropies(self, texts: list[str | None]) -> np.ndarray:
-        """(texts, languages): bits a character, phrases of the cross-parse times the bits that name a place in the sample."""
+    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(texts, languages): bits a character, which are phrases of the cross-parse times the bits that name a place in the
+        sample; and characters a phrase."""
         coded = [self.coded(t) if t else np.zeros(0, self.codes.dtype) for t in texts]
-        runs = np.array([-(-len(c) // RUN) for c in coded])
+        size = np.array([len(c) for c in coded], np.int64)
+        runs = -(-size // RUN)
+        ends = np.cumsum(runs)
         flat = np.zeros((int(runs.sum()), RUN), self.codes.dtype)
-        for c, at in zip(coded, np.cumsum(runs) - runs, strict=True):
-            flat[at : at + -(-len(c) // RUN)].reshape(-1)[: len(c)] = c
-        state = np.repeat(np.array(self.dead, self.table.dtype)[:, None], len(flat), axis=1)
-        phrases = np.zeros(state.shape, np.int32)
-        for column in np.ascontiguousarray(flat.T):
-            got = self.step(state, column)
-            phrases += (got & 1).astype(np.int32)
-            state = got >> 1
-        total = np.zeros((len(self.languages), len(texts)))
+        for c, end, n in zip(coded, ends, runs, strict=True):
+            flat[end - n : end].reshape(-1)[: len(c)] = c
+        first = np.zeros(len(flat), bool)
         some = np.flatnonzero(runs)
+        first[(ends - runs)[some]] = True
+        phrases, before = np.zeros((len(self.languages), len(flat)), np.int64), np.array(self.dead, self.table.dtype)
+        step = max(1, NOTED_BYTES // (RUN * len(self.languages) * (self.table.dtype.itemsize + 2)))
+        for a in range(0, len(flat), step):
+            phrases[:, a : a + step], before = self._parse(flat[a : a + step], first[a : a + step], before)
+        total = np.zeros((len(self.languages), len(texts)), np.int64)
         if len(some):
-            total[:, some] = np.add.reduceat(phrases, (np.cumsum(runs) - runs)[some], axis=1)
-        return (total * np.array(self.cost)[:, None] / np.maximum(1, [len(c) for c in coded])).T
+            total[:, some] = np.add.reduceat(phrases, (ends - runs)[some], axis=1)
+        return (total * np.array(self.cost)[:, None] / np.maximum(1, size)).T, (size / np.maximum(1, total)).T
+
+    def _parse(self, runs: np.ndarray, first: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases that begin in each run of one unbroken parse of each text, and the last run's end states.
+
+        All runs are parsed at once as if each began a text, with states and phrases noted at every character. A run that goes on
+        from another is then parsed from that one's end state, until it comes to a state that was noted there: from then on both
+        parses are the same. Where it never does, the next run has another beginning, and is parsed again.
+        """
+        columns, n = np.ascontiguousarray(runs.T), len(runs)
+        which = np.arange(len(self.languages))[:, None]
+        dead = np.array(self.dead, self.table.dtype)
+        state = np.repeat(dead[:, None], n, axis=1)
+        states, begun, count = np.empty((RUN, *state.shape), self.table.dtype), np.empty((RUN, *state.shape), np.uint16), np.zeros(state.shape, np.uint16)
+        for k, column in enumerate(columns):
+            got = self.step(state, column, which)
+            count += (got & 1).astype(np.uint16)
+            state = got >> 1
+            states[k], begun[k] = state, count
+        phrases, end = begun[-1].astype(np.int64), states[-1].copy()
+        lang, run = np.nonzero(np.broadcast_to(~first, state.shape))
+        while len(run):
+            now = np.where(run > 0, end[lang, run - 1], before[lang])
+            own, alive = np.zeros(len(run), np.int64), np.flatnonzero(now != dead[lang])
+            phrases[lang, run], new = begun[-1, lang, run], states[-1, lang, run]
+            for k in range(RUN):
+                if not len(alive):
+                    break
+                l, r = lang[alive], run[alive]  # noqa: E741
+                got = self.step(now[alive], columns[k, r], l)
+                now[alive] = got >> 1
+                own[alive] += got & 1
+                same = now[alive] == states[k, l, r]
+                met = alive[same]
+                phrases[lang[met], run[met]] += own[met] - begun[k, lang[met], run[met]]
+                alive = alive[~same]
+            phrases[lang[alive], run[alive]], new[alive] = own[alive], now[alive]
+            moved = new != end[lang, run]
+            end[lang, run] = new
+            moved &= (run + 1 < n) & ~first[np.minimum(run + 1, n - 1)]
+            lang, run = lang[moved], run[moved] + 1
+        return phrases, end[:, -1]
 
 
 def models(samples: dict[str, str]) -> list[Model]:
@@ -171,27 +215,29 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
 
 def identify(docs: DataFrame, model: list[Model], text: str = "text") -> DataFrame:
     """Add lang_pred, the language with the least cross-parsing entropy (the first by name of equal ones), and score, by what share
-    it undercuts the second (1 if only one was learned). Whole texts are parsed, in runs of 256 characters. Texts that are null or
-    hold no letter are `und` with score 0, as is all if nothing was learned. Columns stay; those of these two names are replaced."""
-    docs = docs.drop("lang_pred", "score")
+    it undercuts the second (1 if only one was learned), and phrase_chars, the characters a phrase of that language's parse. Whole
+    texts are parsed, each in one unbroken parse. Texts that are null or hold no letter are `und` with score 0, as is all if nothing
+    was learned. Columns stay; those of these three names are replaced."""
+    docs = docs.drop("lang_pred", "score", "phrase_chars")
     small_batches(docs.sparkSession)
     held = [docs.sparkSession.sparkContext.broadcast(m) for m in model]
     languages = np.array([name for m in model for name in m.languages], object)
     by_name = np.argsort(languages, kind="stable")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text, 4 << 20):
+        for batch in slices(batches, text):
             if not len(languages):
-                best, score = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
+                best, score, long = ["und"] * batch.num_rows, np.zeros(batch.num_rows), np.zeros(batch.num_rows)
             else:
                 texts = batch.column(text).to_pylist()
-                e = np.concatenate([m.value.entropies(texts) for m in held], axis=1)[:, by_name]
-                best = languages[by_name][e.argmin(axis=1)].tolist()
+                e, chars = (np.concatenate(x, axis=1)[:, by_name] for x in zip(*(m.value.entropies(texts) for m in held), strict=True))
+                at = e.argmin(axis=1)
+                best, long = languages[by_name][at].tolist(), chars[np.arange(len(at)), at]
                 two = np.sort(e, axis=1)[:, :2]
                 score = 1 - two[:, 0] / np.maximum(two[:, 1], 1e-12) if e.shape[1] > 1 else np.ones(len(e))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best, pa.string()), pa.array(np.clip(score, 0, 1))], [*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best, pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(long)], [*batch.schema.names, "lang_pred", "score", "phrase_chars"])
 
-    found = docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    found = docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("phrase_chars", T.DoubleType())]))
     letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     return found.withColumn("lang_pred", F.when(letter, F.col("lang_pred")).otherwise(F.lit("und"))).withColumn("score", F.when(letter, F.col("score")).otherwise(F.lit(0.0)))
 

@@ -18,12 +18,12 @@ from .common import BATCH_ROWS, new_path, slices, table
 END_ID = 2
 #: Ids after which a shard is closed; a shard always holds whole documents.
 SHARD_IDS = 2 << 20
+#: Bytes of shards that a writing task gathers before it puts them to disk.
+ROW_GROUP = 16 << 20
 #: A select sample for so many ones.
 STEP = 256
 
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
-
-
 #: Ones of each byte, and the place of each of them.
 _COUNT = np.bitwise_count(np.arange(256, dtype=np.uint8)).astype(np.int64)
 _PLACE = np.array([([k for k in range(8) if b >> k & 1] + [0] * 8)[:8] for b in range(256)], np.int64)
@@ -181,7 +181,7 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = EN
             before, size, held = before + len(ids), 0, []
             return pa.record_batch([pa.array(x, t) for x, t in zip(row, (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["part", "before", "n_docs", "n_ids", "shard"])
 
-        for batch in slices(batches, text, 4 << 20):
+        for batch in slices(batches, text):
             ids, n = enc.encode(batch.column(text))
             with_end = np.insert(ids, np.cumsum(n), end_id)
             held.append((batch.column(doc_id).to_pylist(), n + 1, with_end))
@@ -192,7 +192,7 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = EN
             yield close()
 
     rows = docs.select(F.col(doc_id).cast("long").alias(doc_id), text).repartitionByRange(doc_id).sortWithinPartitions(doc_id, text)
-    rows.mapInArrow(shards, SHARDS).write.option("compression", "zstd").parquet(path)
+    rows.mapInArrow(shards, SHARDS).write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(path)
 
 
 def read_token_ids(spark: SparkSession, path: str) -> DataFrame:

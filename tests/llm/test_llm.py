@@ -382,11 +382,18 @@ def test_languages_of_many_scripts(spark):
 def test_sparse_automata_equal_dense():
     samples = {"a": "abcabd xyz", "b": "zzzz", "c": ""}
     texts = ["abdabc", "zzzzz", "xyzab", "qq", None, "cab xyzzz" * 90]
-    assert np.array_equal(langid.Model(samples).entropies(texts), langid.Model(samples, False).entropies(texts))
+    for x, y in zip(langid.Model(samples).entropies(texts), langid.Model(samples, False).entropies(texts), strict=True):
+        assert np.array_equal(x, y)
 
 
-def test_cross_parse_counts_longest_matches():
-    m = langid.Model({"a": "abcabd xyz", "b": "zzzz"})
+@pytest.mark.parametrize(("run", "noted"), [(256, 1 << 20), (16, 1 << 20), (16, 200), (256, 1)])
+def test_cross_parse_counts_longest_matches(monkeypatch, run, noted):
+    """One unbroken parse of each text, however long it is and wherever runs and what is noted of them end."""
+    monkeypatch.setattr(langid, "RUN", run)
+    monkeypatch.setattr(langid, "NOTED_BYTES", noted)
+    rng = np.random.default_rng(5)
+    samples = {"a": "abcabd xyz", "b": "zzzz", "c": re.sub(" +", " ", "".join(rng.choice(list("abc "), 300))).strip(), "d": "a" * 90}
+    models = langid.Model(samples), langid.Model(samples, False)
 
     def phrases(text, sample):
         n = i = 0
@@ -397,9 +404,13 @@ def test_cross_parse_counts_longest_matches():
             n, i = n + 1, i + k
         return n
 
-    for t in ("abdabc", "zzzzz", "xyzab", "qq", "cab xyzzz"):
-        want = [phrases(t, s) * c / len(t) for s, c in zip(("abcabd xyz", "zzzz"), m.cost, strict=True)]
-        assert np.allclose(m.entropies([t])[0], want)
+    texts = ["abdabc", "zzzzz", "xyzab", "qq", "cab xyzzz", None, "z" * 1500, "a" * 1500, "abd" * 700, samples["c"] * 5, "".join(rng.choice(list("abcxyz"), 3000)), ""]
+    for m in models:
+        bits, chars = m.entropies(texts)
+        for k, t in enumerate(texts):
+            if t:
+                want = np.array([phrases(t, s) for s in samples.values()])
+                assert np.allclose(bits[k], want * m.cost / len(t)) and np.allclose(chars[k], len(t) / want)
 
 
 # ---------------------------------------------------------------- 10
