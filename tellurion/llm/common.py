@@ -175,9 +175,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
 # ---------------------------------------------------------------- components
 
 
-def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace the links of one partition by as many as a forest needs: each node to the least node reachable here."""
+def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replace the links (a, b) of each batch by as many as a forest needs: each node to the least node reachable here."""
     for batch in batches:
+        if not batch.num_rows:
+            continue
         a, b = (batch.column(i).to_numpy() for i in (0, 1))
         nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
         x, y, root = at[: len(a)], at[len(a) :], np.arange(len(nodes))
@@ -194,30 +196,39 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(nodes[root[rest]]), pa.array(nodes[rest])], ["a", "b"])
 
 
+#: Nodes with over this share of the links, and over so many, get their neighbour's number by broadcast: at most 2 / share of them.
+HUB_SHARE, HUB_LINKS = 0.001, 1000
+
+
+def _meet(rows: DataFrame, key: str, least: DataFrame, limit: float) -> DataFrame:
+    """Add m of `least` (u, m, n) to the links whose `key` is u. The links of hubs (n over `limit`) stay in their tasks."""
+    hubs = F.broadcast(least.where(F.col("n") > limit).select(F.col("u").alias("hub"), F.col("m").alias("hm")))
+    dealt = rows.select("a", "b").join(hubs, F.col(key) == F.col("hub"), "left")
+    rest = dealt.where("hub is null").select("a", "b").join(least.select("u", "m"), F.col(key) == F.col("u")).select("a", "b", "m")
+    return dealt.where("hub is not null").select("a", "b", F.col("hm").alias("m")).unionAll(rest)
+
+
 def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """Columns node and component (the least node reachable) for every node of the links (a, b), both long.
 
-    Each round turns links into stars about the least neighbour, first upward, then downward, and writes the result; a
-    forest of each partition first leaves fewer links. Ends when a round changes nothing. Links with null ends are ignored.
+    Each round turns links into stars about the least neighbour, first upward, then downward, and writes the result. Ends when a
+    round changes nothing. Links with null ends are ignored. `forest` lets tasks that make links leave fewer of them.
     """
-    spark = edges.sparkSession
     a, b = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    e = edges.where("a is not null and b is not null and a <> b").select(a, b).mapInArrow(_forest, "a long, b long").distinct()
-    e = written(e, "links")
+    e = written(edges.where("a is not null and b is not null and a <> b").select(a, b).distinct(), "links")
     seen = None
     for _ in range(rounds):
         now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now[0] == 0 or now == seen:
             break
-        seen = now
+        seen, limit = now, max(HUB_LINKS, HUB_SHARE * now[0])
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy(F.col("a").alias("u")).agg(F.min(F.least("a", "b")).alias("m"))
-        up = both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("m").alias("a"), "b").where("a <> b").distinct()
-        floor = up.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))
-        down = up.join(floor, F.col("b") == F.col("u")).select("m", F.explode(F.array("a", "b")).alias("v"))
+        least = both.groupBy(F.col("a").alias("u")).agg(F.min(F.least("a", "b")).alias("m"), F.count("*").alias("n"))
+        up = _meet(both.where("b > a"), "a", least, limit).select(F.col("m").alias("a"), "b").where("a <> b").distinct()
+        floor = up.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"), F.count("*").alias("n"))
+        down = _meet(up, "b", floor, limit).select("m", F.explode(F.array("a", "b")).alias("v"))
         e = written(down.where("m <> v").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct(), "links")
     else:
         raise RuntimeError("components did not settle")
     found = e.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
-    roots = e.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
-    return found.union(roots) if spark else found
+    return found.union(e.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACED, connected_components, mix, slices, table, words, written
+from .common import SPACED, connected_components, forest, mix, slices, table, words, written
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
 #: Rows of one bucket that one task compares; a larger bucket is cut into blocks, and tasks take pairs of blocks.
@@ -109,6 +109,9 @@ def _walk(fp: np.ndarray, node: np.ndarray, near) -> tuple[list, list]:
 def bucket_links(near, fp_of):
     """A mapInArrow function over rows sorted by their bucket columns: the links of each bucket, as many as a forest needs."""
 
+    def fewest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return forest(links(batches))
+
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for batch in batches:
@@ -156,7 +159,7 @@ def bucket_links(near, fp_of):
         if a:
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return links
+    return fewest
 
 
 def in_tiles(rows: DataFrame, heavy: DataFrame) -> DataFrame:
