@@ -10,16 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM, fold, slices, table, words, written
+from .common import ALNUM, fold, slices, table, words
 
-#: The bounded sample: labelled documents of each label, and hashed terms that the machine may use.
-SAMPLE, TERMS = 10_000, 2048
-#: A term is used if its document frequencies under the two labels differ by so many standard errors, in so many documents.
-LEAST_Z, LEAST_DOCS = 5.0, 3
+#: The bounded sample: about so many labelled documents of each label.
+SAMPLE = 7_500
+#: Terms are hashed to so many bits; every term of the sample is a feature, whatever its share under either label.
+BITS = 19
 #: Terms of a word: itself, and its first 4, 5 and 6 bytes if it is longer, which also meet inflected and padded forms.
 PREFIXES = (4, 5, 6)
-FACTORS, EPOCHS, THRESHOLD = 8, 50, 0.7
-TABLE_BITS = 22
+FACTORS, THRESHOLD, BATCH = 8, 0.7, 128
+#: Passes that pick weights under L1, that fit those picked, and that fit factors; the least loss on held-back documents ends the last.
+PICK, REFIT, PAIRS = 6, 60, 8
+#: Steps of weights and factors, pressure of L1 and L2, spread of the factors' beginning, share of the sample held back.
+RATE, PAIR_RATE, L1, L2, SPREAD, HELD = 0.1, 0.2, 8e-3, 1e-4, 0.3, 0.1
 
 
 def _terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -38,73 +41,138 @@ def _salted(h: np.ndarray, n: int) -> np.ndarray:
     return h ^ np.uint64(n * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
 
 
-def _distinct(rows: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((hashes, rows))
-    rows, hashes = rows[order], hashes[order]
-    new = np.ones(len(rows), bool)
-    new[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
-    return rows[new], hashes[new]
+class Rows:
+    """The features of some documents: doc ascending, term its hashed terms, each once."""
+
+    def __init__(self, doc: np.ndarray, term: np.ndarray, n: int):
+        self.doc, self.term, self.n = doc.astype(np.int32), term.astype(np.int32), n
+
+    @classmethod
+    def of(cls, texts: pa.Array) -> Rows:
+        doc, h = _terms(texts)
+        pair = np.unique(doc << BITS | (h >> np.uint64(64 - BITS)).astype(np.int64))
+        return cls(pair >> BITS, pair & ((1 << BITS) - 1), len(texts))
+
+    def only(self, docs: np.ndarray | None = None, terms: np.ndarray | None = None) -> Rows:
+        """The documents numbered (ascending), or the terms flagged."""
+        if terms is not None:
+            keep = terms[self.term]
+            return Rows(self.doc[keep], self.term[keep], self.n)
+        new = np.full(self.n, -1, np.int32)
+        new[docs] = np.arange(len(docs))
+        keep = new[self.doc] >= 0
+        return Rows(new[self.doc[keep]], self.term[keep], len(docs))
+
+    def batches(self, rng: np.random.Generator) -> list[tuple]:
+        """Random batches: documents, row in the batch, distinct terms, and which of them each feature is."""
+        first, order, out = np.searchsorted(self.doc, np.arange(self.n + 1)), rng.permutation(self.n), []
+        for a in range(0, self.n, BATCH):
+            mine = order[a : a + BATCH]
+            size = first[mine + 1] - first[mine]
+            upto = np.cumsum(size)
+            t = self.term[np.repeat(first[mine] - upto + size, size) + np.arange(upto[-1])]
+            some, which = np.unique(t, return_inverse=True)
+            out.append((mine, np.repeat(np.arange(len(mine), dtype=np.int32), size), some, which.astype(np.int32)))
+        return out
+
+
+def _chance(out: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
 class Machine:
-    """P(label 1) of a set of terms: sigmoid(bias + sum of weights + sum over pairs of the product of their factors)."""
-
-    def __init__(self, hashes: np.ndarray, seed: int = 7):
-        self.hashes = np.sort(hashes.astype(np.uint64))
-        rng, n = np.random.default_rng(seed), len(hashes)
-        self.bias, self.weights, self.factors = 0.0, np.zeros(n), rng.normal(0, 0.05, (n, FACTORS))
-        self.table = np.zeros(1 << TABLE_BITS, bool)
-        self.table[(self.hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
-
-    def known(self, rows: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Row and number of each known term, once for each row."""
-        at = np.flatnonzero(self.table[(hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
-        if not len(self.hashes) or not len(at):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        k = np.minimum(np.searchsorted(self.hashes, hashes[at]), len(self.hashes) - 1)
-        hit = self.hashes[k] == hashes[at]
-        pair = np.unique(rows[at[hit]] * len(self.hashes) + k[hit])
-        return pair // len(self.hashes), pair % len(self.hashes)
-
-    def logits(self, rows: np.ndarray, terms: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        sums = np.zeros((n, FACTORS))
-        np.add.at(sums, rows, self.factors[terms])
-        out = self.bias + np.bincount(rows, self.weights[terms], n) + 0.5 * ((sums**2).sum(1) - np.bincount(rows, (self.factors[terms] ** 2).sum(1), n))
-        return out, sums
-
-    def fit(self, rows: np.ndarray, terms: np.ndarray, labels: np.ndarray, odds: float, decay: float = 1e-5, rate: float = 0.3, batch: int = 256, seed: int = 7) -> None:
-        """Adagrad on the log loss; rows ascend. odds: what to add to the bias, because labels aren't sampled in proportion."""
-        rng, first = np.random.default_rng(seed), np.searchsorted(rows, np.arange(len(labels) + 1))
-        g_w, g_f, g_b = np.full(len(self.weights), 1e-3), np.full(self.factors.shape, 1e-3), 1e-3
-        for _ in range(EPOCHS):
-            order = rng.permutation(len(labels))
-            for a in range(0, len(order), batch):
-                mine = order[a : a + batch]
-                n = first[mine + 1] - first[mine]
-                r = np.repeat(np.arange(len(mine)), n)
-                t = terms[np.repeat(first[mine], n) + np.arange(len(r)) - np.repeat(np.cumsum(n) - n, n)]
-                out, sums = self.logits(r, t, len(mine))
-                error = 1 / (1 + np.exp(-np.clip(out, -30, 30))) - labels[mine]
-                dw = np.bincount(t, error[r], len(self.weights)) / len(mine)
-                df = np.zeros_like(self.factors)
-                np.add.at(df, t, error[r][:, None] * (sums[r] - self.factors[t]) / len(mine))
-                seen = np.unique(t)
-                dw[seen] += decay * self.weights[seen]
-                df[seen] += decay * self.factors[seen]
-                g_w += dw**2
-                g_f += df**2
-                g_b += error.mean() ** 2
-                self.weights -= rate * dw / np.sqrt(g_w)
-                self.factors -= 0.1 * rate * df / np.sqrt(g_f)
-                self.bias -= rate * error.mean() / np.sqrt(g_b)
-        self.bias += odds
-
-
-def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", sample: int = SAMPLE, terms: int = TERMS) -> Machine:
+    """P(label 1) of a set of k terms: sigmoid(bias + sum of weights + sum over pairs of the product of their factors / k)."""
+
+    def __init__(self, bias: float = 0.0):
+        self.bias, self.weights, self.factors = bias, np.zeros(1 << BITS, np.float32), None
+
+    def logits(self, x: Rows) -> np.ndarray:
+        out = self.bias + np.bincount(x.doc, self.weights[x.term], x.n)
+        if self.factors is None or not len(x.term):
+            return out
+        begin = np.flatnonzero(np.diff(x.doc, prepend=-1))  # one for each document with terms
+        f = self.factors[x.term]
+        pairs = (np.add.reduceat(f, begin, dtype=np.float64) ** 2).sum(1) - np.add.reduceat((f**2).sum(1), begin, dtype=np.float64)
+        out[x.doc[begin]] += 0.5 * pairs / np.diff(np.append(begin, len(x.doc)))
+        return out
+
+    def loss(self, x: Rows, y: np.ndarray) -> float:
+        out = self.logits(x)
+        return float(np.mean(np.logaddexp(0, out) - y * out))
+
+    def fit(self, x: Rows, y: np.ndarray, seed: int = 7) -> None:
+        """Adagrad on the log loss. Weights first, under L1, so that few terms have one; these again without it; then the factors of
+        every term beside them. What is kept is what held-back documents are scored best by, the label's share alone included."""
+        rng = np.random.default_rng(seed)
+        held = rng.random(x.n) < HELD
+        if not 0 < y[~held].mean() < 1 or held.sum() < 20:
+            held[:] = False
+        inner, outer = np.flatnonzero(~held), np.flatnonzero(held if held.any() else ~held)
+        rest, y_rest, check, y_check = x.only(inner), y[inner], x.only(outer), y[outer]
+        plain = Machine(float(np.log(y_rest.mean() / (1 - y_rest.mean()))))
+        best = [plain.loss(check, y_check), plain.bias, plain.weights.copy(), None]
+        batches = rest.batches(rng)
+        self._weights(batches, y_rest, rng, PICK, L1, 0.0)
+        picked = self.weights != 0
+        self._weights(rest.only(terms=picked).batches(rng), y_rest, rng, REFIT, 0.0, L2)
+        if (loss := self.loss(check, y_check)) < best[0]:
+            best = [loss, self.bias, self.weights.copy(), None]
+        else:
+            self.bias, self.weights, picked = plain.bias, plain.weights, picked & False
+        there = np.zeros(1 << BITS, bool)
+        there[rest.term] = True
+        self.factors = (rng.normal(0, SPREAD, (1 << BITS, FACTORS)) * there[:, None]).astype(np.float32)
+        steps = np.full(1 << BITS, 1e-4), np.full(1 << BITS, 1e-6)
+        for _ in range(PAIRS):
+            self._pairs(batches, y_rest, rng, picked, steps)
+            if (loss := self.loss(check, y_check)) < best[0]:
+                best = [loss, self.bias, self.weights.copy(), self.factors.copy()]
+        _, self.bias, self.weights, self.factors = best
+
+    def _weights(self, batches: list[tuple], y: np.ndarray, rng: np.random.Generator, passes: int, l1: float, l2: float) -> None:
+        past, past_bias = np.full(1 << BITS, 1e-4), 1e-4
+        for _ in range(passes):
+            for k in rng.permutation(len(batches)):
+                mine, row, some, which = batches[k]
+                w, n = self.weights[some].astype(float), len(mine)
+                error = _chance(self.bias + np.bincount(row, w[which], n)) - y[mine]
+                g = np.bincount(which, error[row], len(some)) / n + l2 * w
+                past[some] += g**2
+                step = RATE / np.sqrt(past[some])
+                w -= step * g
+                self.weights[some] = np.sign(w) * np.maximum(np.abs(w) - step * l1, 0)
+                past_bias += error.mean() ** 2
+                self.bias -= RATE * error.mean() / np.sqrt(past_bias)
+
+    def _pairs(self, batches: list[tuple], y: np.ndarray, rng: np.random.Generator, picked: np.ndarray, steps: tuple[np.ndarray, np.ndarray]) -> None:
+        """One pass over factors, and over the weights that are picked."""
+        past, past_pairs = steps
+        for k in rng.permutation(len(batches)):
+            mine, row, some, which = batches[k]
+            f, n = self.factors[some].astype(float), len(mine)
+            size = np.maximum(np.bincount(row, minlength=n), 1)
+            sums = np.stack([np.bincount(row, f[which, j], n) for j in range(FACTORS)], 1)
+            pairs = 0.5 * ((sums**2).sum(1) - np.bincount(row, (f**2).sum(1)[which], n)) / size
+            error = _chance(self.bias + np.bincount(row, self.weights[some][which], n) + pairs) - y[mine]
+            share = (error / size)[row]
+            g = np.stack([np.bincount(which, share * sums[row, j], len(some)) for j in range(FACTORS)], 1) / n
+            g += (L2 - np.bincount(which, share, len(some)) / n)[:, None] * f
+            past_pairs[some] += (g**2).mean(1)
+            self.factors[some] = f - PAIR_RATE * g / np.sqrt(past_pairs[some])[:, None]
+            own = picked[some]
+            if own.any():
+                w = self.weights[some]
+                g = (np.bincount(which, error[row], len(some)) / n + L2 * w) * own
+                past[some] += g**2
+                self.weights[some] = w - RATE * g / np.sqrt(past[some])
+            self.bias -= 0.1 * RATE * error.mean()
+
+
+def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", sample: int = SAMPLE) -> Machine:
     """Fit on a bounded sample: of each label about `sample` labelled documents by a hash of their id, of their whole texts.
 
-    Tasks count the documents of each hashed term under either label; the `terms` terms whose shares differ most clearly stay, and
-    the sampled documents come to the driver as the numbers of their known terms. Rows with null id, label or text teach nothing;
+    Tasks hash the terms of the sampled documents, and their numbers, 4 bytes each, come to the driver, which fits the machine. Every
+    term is a feature of 2**BITS, so a term that tells only beside another counts too. Rows with null id, label or text teach nothing;
     an id with several labels counts once, as the largest of them; with no labelled row, or rows of one label only, every score is
     the label's smoothed share.
     """
@@ -113,39 +181,22 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     n0, n1 = n.get(0, 0), n.get(1, 0)
     share = F.when(F.col("y") == 1, min(1.0, sample / max(1, n1))).otherwise(min(1.0, sample / max(1, n0)))
     some = given.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))  # about 2 * sample rows of two numbers
-    rows = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(F.col("text").isNotNull()).join(F.broadcast(some), "doc_id").select("text", "y"), "labelled")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            doc, h = _distinct(*_terms(batch.column("text")))
-            term, at = np.unique(h, return_inverse=True)
-            y = batch.column("y").to_numpy()[doc]
-            ones = np.bincount(at, y, len(term)).astype(np.int64)
-            yield pa.record_batch([pa.array(term.view(np.int64)), pa.array(np.bincount(at, minlength=len(term)) - ones), pa.array(ones)], ["term", "zeros", "ones"])
-
-    m = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    m0, m1 = m.get(0, 0), m.get(1, 0)
-    found: list = []
-    if m0 and m1:
-        counts = rows.mapInArrow(count, "term long, zeros long, ones long").groupBy("term").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
-        pooled = (F.col("zeros") + F.col("ones") + 1) / (m0 + m1 + 2)
-        z = F.abs(F.col("ones") / m1 - F.col("zeros") / m0) / F.sqrt(pooled * (1 - pooled) * (1 / m0 + 1 / m1))
-        found = counts.where(F.col("zeros") + F.col("ones") >= LEAST_DOCS).withColumn("z", z).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "term").limit(terms).select("term").collect()
-    machine = Machine(np.array([r.term for r in found], np.int64).view(np.uint64))
-    if not found:
-        machine.bias = float(np.log((n1 + 1) / (n0 + 1)))
-        return machine
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("text is not null").join(F.broadcast(some), "doc_id")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            row, term = machine.known(*_terms(batch.column("text")))
-            cut = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            yield pa.record_batch([batch.column("y"), pa.array([term[a:b].tolist() for a, b in zip(cut, cut[1:], strict=False)], pa.list_(pa.int32()))], ["y", "terms"])
-
-    got = rows.mapInArrow(features, T.StructType([rows.schema["y"], T.StructField("terms", T.ArrayType(T.IntegerType()))])).orderBy(F.xxhash64("terms"), "terms", "y").collect()
-    sizes = np.array([len(r.terms) for r in got])
-    flat = np.array([t for r in got for t in r.terms], np.int64)
-    machine.fit(np.repeat(np.arange(len(got)), sizes), flat, np.array([r.y for r in got], float), float(np.log((n1 / n0) / (m1 / m0))))
+            x = Rows.of(batch.column("text"))
+            cut = np.searchsorted(x.doc, np.arange(x.n + 1))
+            yield pa.record_batch([batch.column("y").cast(pa.int32()), pa.array([x.term[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())], ["y", "terms"])
+
+    got = sorted(tuple(r) for r in rows.select("text", "y").mapInArrow(features, "y int, terms binary").collect())
+    y = np.array([r[0] for r in got], float)
+    machine = Machine(float(np.log((n1 + 1) / (n0 + 1))))
+    if not len(got) or y.min() == y.max():
+        return machine
+    terms = [np.frombuffer(r[1], np.int32) for r in got]
+    machine.fit(Rows(np.repeat(np.arange(len(got)), [len(t) for t in terms]), np.concatenate(terms), len(got)), y)
+    machine.bias += float(np.log((n1 / n0) / (y.mean() / (1 - y.mean()))))  # labels aren't sampled in proportion
     return machine
 
 
@@ -157,9 +208,8 @@ def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
-            rows, terms = held.value.known(*_terms(batch.column(text)))
-            out, _ = held.value.logits(rows, terms, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(out, -30, 30))))], [*batch.schema.names, "score"])
+            found = _chance(held.value.logits(Rows.of(batch.column(text))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, "score"])
 
     return docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
 

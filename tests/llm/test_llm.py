@@ -218,15 +218,35 @@ def test_toxicity_held_out(spark, odd):
     assert toxicity.score(odd, toxicity.learn(odd, labels.limit(0))).select("score").distinct().count() == 1
 
 
-def test_machine_learns_pairs():
-    """Label 1 only where both terms meet: no additive score can tell."""
+def test_pairs_are_learned_from_texts(spark):
+    """Label 1 where just one of two words stands: either is as common under both labels, and no additive score can tell."""
     rng = np.random.default_rng(0)
-    x = rng.integers(0, 2, (600, 2))
-    m = toxicity.Machine(np.array([1 << 60, 2 << 60], np.uint64))
-    rows, terms = np.nonzero(x)
-    y = (x[:, 0] == x[:, 1]).astype(float)
-    m.fit(rows, terms, y, 0.0)
-    assert (((m.logits(rows, terms, 600)[0] > 0) == y).mean()) > 0.99
+    x = rng.integers(0, 2, (2400, 2))
+    fill = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 4)) for _ in range(200)]
+    texts = [" ".join([*rng.choice(fill, 12), ("dolt", "pal")[a], ("elf", "man")[b]]) for a, b in x.tolist()]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS)
+    labels = spark.createDataFrame([(i, int(a != b)) for i, (a, b) in enumerate(x.tolist()) if i < 2000], "doc_id long, toxic int")
+    got = toxicity.score(df.where("doc_id >= 2000"), toxicity.learn(df, labels)).collect()
+    assert np.mean([(r.score > 0.5) == (x[r.doc_id, 0] != x[r.doc_id, 1]) for r in got]) > 0.9
+
+
+def test_scores_are_sums_over_pairs(spark, odd):
+    rng = np.random.default_rng(2)
+    m = toxicity.Machine(-0.3)
+    m.weights, m.factors = rng.normal(0, 0.1, m.weights.shape).astype(np.float32), rng.normal(0, 0.1, (len(m.weights), toxicity.FACTORS)).astype(np.float32)
+    texts = ["one two threefold four", "Insults, insults and insulting!", "", None, "a b c d e f g"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for r in toxicity.score(df, m).collect():
+        terms = set()
+        for w in re.findall(r"[0-9a-z]+", (r.text or "").lower()):
+            for k in (0, 4, 5, 6):
+                if k == 0 or len(w) > k:
+                    h = words(pa.array([w[: k or None]]), SPACED).hashes()[0] if k == 0 else toxicity._salted(words(pa.array([w]), SPACED).hashes(k), k)[0]
+                    terms.add(int(h) >> (64 - toxicity.BITS))
+        terms = sorted(terms)
+        pairs = sum(float(m.factors[s].astype(float) @ m.factors[t].astype(float)) for i, s in enumerate(terms) for t in terms[i + 1 :])
+        out = m.bias + sum(float(m.weights[t]) for t in terms) + pairs / max(1, len(terms))
+        assert abs(r.score - 1 / (1 + math.exp(-out))) < 1e-6
 
 
 # ---------------------------------------------------------------- 6
