@@ -95,15 +95,25 @@ def mine_templates(df: DataFrame, col: str) -> DataFrame:
     return rows.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min("example").alias("example"))
 
 
+#: Stands between the groups of a match while they are one text: a private character and a control character.
+_BETWEEN = "\uf8ff\x01"
+
+
 def regex_parse(df: DataFrame, col: str, pattern: str, into: str = "parsed") -> DataFrame:
-    """Add a struct of the pattern's named groups, null where it doesn't match; rows stay."""
+    """Add a struct of the pattern's named groups, null where it doesn't match; rows stay.
+
+    One replacement gives all groups of a line, not a match for each. A text that holds U+F8FF before U+0001 gives null.
+    """
     names = re.findall(r"\(\?P?<([A-Za-z_]\w*)>", pattern)
     numbered = java_pattern(re.sub(r"\(\?P<", "(?<", pattern))
     bare = re.compile(re.sub(r"\(\?<([A-Za-z_])", r"(?P<\1", pattern.replace("(?P<", "(?<")))
     index = bare.groupindex
     java = re.sub(r"\(\?<[A-Za-z_]\w*>", "(", numbered)
-    groups = F.struct(*[F.regexp_extract(col, java, index[n]).alias(n) for n in names])
-    return df.withColumn(into, F.when(F.col(col).rlike(java), groups))
+    once = rf"\A[\s\S]*?(?:{java})[\s\S]*\z"
+    groups = F.split(F.regexp_replace(F.col(col), F.lit(once), F.lit(_BETWEEN.join(f"${index[n]}" for n in names))), _BETWEEN)
+    df = df.withColumn("_groups", F.when(F.col(col).rlike(java) & ~F.contains(F.col(col), F.lit(_BETWEEN)), groups))
+    found = F.struct(*[F.col("_groups")[i].alias(n) for i, n in enumerate(names)])
+    return df.withColumn(into, F.when(F.col("_groups").isNotNull(), found)).drop("_groups")
 
 
 def json_parse(df: DataFrame, col: str, schema: str | None = None, into: str = "parsed") -> DataFrame:
@@ -115,9 +125,10 @@ def delimited_parse(df: DataFrame, col: str, header: str, delimiter: str = ",",
     """Add a map from the header's names to the fields of a delimited line; null if their numbers differ."""
     names = [h.strip() for h in header.split(delimiter)]
     if quotes:
-        got = F.from_csv(col, ", ".join(f"c{i} string" for i in range(len(names))), {"sep": delimiter, "mode": "PERMISSIVE"})
+        schema = ", ".join([*(f"c{i} string" for i in range(len(names))), "bad string"])  # `bad`: a line with more or fewer fields
+        got = F.from_csv(col, schema, {"sep": delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"})
         fields = F.array(*[got[f"c{i}"] for i in range(len(names))])
-        return df.withColumn(into, F.map_from_arrays(F.array(*[F.lit(n) for n in names]), fields))
+        return df.withColumn(into, F.when(got["bad"].isNull(), F.map_from_arrays(F.array(*[F.lit(n) for n in names]), fields)))
     fields = F.split(col, re.escape(delimiter))
     return df.withColumn(into, F.when(F.size(fields) == len(names), F.map_from_arrays(F.array(*[F.lit(n) for n in names]), fields)))
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellurion.functions.shared import shared_path
@@ -720,6 +722,41 @@ def _(spark, sf):
     return x.select(F.element_at("fields", "message").cast("long").alias("event_id"), "ts", "severity_number")
 
 
+#: For each format: how its lines are written from the time, a level and a message, its words for three levels, the precision of its
+#: times, and the field that holds the message.
+TEN_FORMATS = {
+    "hadoop_logs": ("%(yyyy-MM-dd HH:mm:ss)s,123 %(level)s a.B: %(text)s", ("INFO", "WARN", "ERROR"), "second", "message"),
+    "apache_cassandra_logs": ("%(level)s [main] %(yyyy-MM-dd HH:mm:ss,SSS)s %(text)s", ("INFO", "WARN", "ERROR"), "millisecond", "message"),
+    "wildfly_logs": ("%(yyyy-MM-dd HH:mm:ss,SSS)s %(level)s [a.b] (t) %(text)s", ("INFO", "WARN", "ERROR"), "millisecond", "message"),
+    "zookeeper_logs": ("%(yyyy-MM-dd HH:mm:ss,SSS)s [myid:1] - %(level)s [a:b:S@1] - %(text)s", ("INFO", "WARN", "ERROR"), "millisecond", "message"),
+    "postgresql_logs": ("%(yyyy-MM-dd HH:mm:ss.SSS)s UTC [9] u@d %(level)s:  %(text)s", ("LOG", "WARNING", "ERROR"), "millisecond", "message"),
+    "pgbouncer_logs": ("%(yyyy-MM-dd HH:mm:ss.SSS)s UTC [9] %(level)s %(text)s", ("LOG", "WARNING", "ERROR"), "millisecond", "message"),
+    "mysql_logs": ("%(yyyy-MM-dd'T'HH:mm:ss.SSSSSS)sZ 7 [%(level)s] %(text)s", ("Note", "Warning", "Error"), "microsecond", "message"),
+    "rabbitmq_logs": ("%(yyyy-MM-dd HH:mm:ss.SSSSSS)s+00:00 [%(level)s] <0.1.0> %(text)s", ("info", "warning", "error"), "microsecond", "message"),
+    "mongodb_logs": ("%(yyyy-MM-dd'T'HH:mm:ss.SSS)s+0000 %(level)s NETWORK  [conn1] %(text)s", ("I", "W", "E"), "millisecond", "message"),
+    "iis_logs": ("%(yyyy-MM-dd HH:mm:ss)s 10.0.0.1 GET %(text)s - 80 - 10.0.0.2 agent - %(level)s 0 0 12", ("200", "404", "500"), "second", "cs_uri_stem"),
+}
+
+
+def _line(layout: str, level: Column) -> Column:
+    """A line of one of TEN_FORMATS for each event."""
+    parts = re.split(r"%\((.*?)\)s", layout)
+    value = {"level": level, "text": F.col("event_type")}
+    return F.concat(*[F.lit(x) if i % 2 == 0 else value.get(x, F.date_format("ts", x)) for i, x in enumerate(parts)])
+
+
+@registered("l3_ten_formats", f"""
+SELECT format, event_id, date_trunc(kind, ts) AS ts, CASE event_id % 3 WHEN 0 THEN CASE format WHEN 'mysql_logs' THEN 10 ELSE 9 END WHEN 1 THEN 13 ELSE 17 END AS severity_number, event_type AS message
+FROM events, (VALUES {", ".join(f"('{n}', '{kind}')" for n, (_, _, kind, _) in TEN_FORMATS.items())}) AS f(format, kind)""")
+def _(spark, sf):
+    parts = []
+    for name, (layout, levels, _, text) in TEN_FORMATS.items():
+        level = F.element_at(F.array(*[F.lit(x) for x in levels]), (F.col("event_id") % 3 + 1).cast("int"))
+        x = P.parse_logs(t(spark, sf, "events").select("event_id", _line(layout, level).alias("body_text")), name)
+        parts.append(x.select(F.lit(name).alias("format"), "event_id", "ts", "severity_number", F.element_at("fields", text).alias("message")))
+    return functools.reduce(DataFrame.unionAll, parts)
+
+
 @registered("l7_syslog", """
 SELECT event_id, CAST(event_id % 192 // 8 AS INT) AS facility, CAST(event_id % 192 % 8 AS INT) AS severity, 'h' || user_id AS host, CASE WHEN event_id % 2 = 0 THEN event_type END AS msgid FROM events""")
 def _(spark, sf):

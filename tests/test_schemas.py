@@ -172,6 +172,10 @@ LINES = {
     "tomcat_logs": ("02-Jan-2024 03:04:05.678 INFO [main] a.b.C text", "2024-01-02 03:04:05.678", 9),
     "wildfly_logs": ("2024-01-02 03:04:05,678 DEBUG [a.b] (t) text", "2024-01-02 03:04:05.678", 5),
     "zookeeper_logs": ("2024-01-02 03:04:05,678 - WARN  [t:S@1] - text", "2024-01-02 03:04:05.678", 13),
+    "apache_http_logs": ("[Tue Jan 02 03:04:05.678901 2024] [core:error] [pid 9:tid 7] [client 1.2.3.4:5] AH00126: text", "2024-01-02 03:04:05.678901", 17),
+    "iis_logs": ("2024-01-02 03:04:05 1.2.3.4 GET /a - 80 - 5.6.7.8 agent - 503 0 0 12", "2024-01-02 03:04:05", 17),
+    "oracle_database_logs": ("2024-01-02T03:04:05.678901+01:00 text", "2024-01-02 02:04:05.678901", 0),
+    "vcenter_logs": ("<12>1 2024-01-02T03:04:05.678901+00:00 h vpxd 7 - - text", "2024-01-02 03:04:05.678901", 13),
 }
 
 
@@ -188,3 +192,16 @@ def test_syslog_edges(spark):
     df = spark.createDataFrame([("<999>1 - - - - - - x",), ("<13>1 - - - - - - x",), ("no",), (None,)], "l string")
     got = [r.syslog for r in templates.syslog_parse(df, "l").collect()]
     assert got[0] is None and got[1].severity == 5 and got[1].host is None and got[1].message == "x" and got[2] is None and got[3] is None
+
+
+def test_layouts_are_patterns():
+    import re
+
+    p = templates.pattern_of("[{time:yyyy-MM-dd HH:mm:ss[.SSS]}] (?{{{name}}} ?){n:int}|{_:word} {rest:rest}")
+    assert re.match(p, "[2024-01-02 03:04:05] {a b} 12|x y\nz").groupdict() == {"time": "2024-01-02 03:04:05", "name": "a b", "n": "12", "rest": "y\nz"}
+    assert re.match(p, "[2024-01-02 03:04:05.678] 12|x y")["name"] is None and not re.match(p, "[2024-01-02] 12|x y")
+    start = templates.TEMPLATES["kafka_logs"].start
+    assert re.match(start, "[2024-01-02 03:04:05,678] INFO x") and not re.match(start, "  at a.b")
+    assert templates.TEMPLATES["nginx_logs"].start is None
+    slow = "# Time: 2024-01-02T03:04:05.678901Z\n# User@Host: u[u] @ h [1.2.3.4]  Id: 7\n# Query_time: 0.5  Lock_time: 0.1 Rows_sent: 1  Rows_examined: 2\nselect 1;"
+    assert re.match(templates.TEMPLATES["mysql_logs"].patterns[0], slow).groupdict() == {"timestamp": "2024-01-02T03:04:05.678901Z", "user": "u", "host": "h", "ip": "1.2.3.4", "tid": "7", "query_time": "0.5", "lock_time": "0.1", "rows_sent": "1", "rows_examined": "2", "message": "select 1;"}
