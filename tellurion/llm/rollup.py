@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import ALNUM, SPACED, flat, new_path, slices, table, words, written
+from .token_ids import encoder
 
 KEYS = ["source", "lang", "tokenizer"]
 DELTAS = T.StructType([*(T.StructField(k, T.StringType()) for k in KEYS), T.StructField("docs", T.LongType()), T.StructField("tokens", T.LongType()), T.StructField("batch", T.StringType())])
@@ -73,20 +74,41 @@ class Rollup:
         self.spark.createDataFrame([(batch, covers)], COMMITS).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/batch_id={batch}")
         return True
 
-    def totals(self) -> DataFrame:
-        """source, lang, tokenizer, docs and tokens over all committed batches; keys whose documents are all gone are left out."""
+    def live(self) -> list[str]:
+        """Names of the committed batches that no other one stands for; compact() keeps their number small."""
         done = self.commits()
         gone = done.select(F.explode("covers").alias("batch"))
-        live = [r.batch for r in done.join(gone, "batch", "left_anti").select("batch").collect()]  # a name for each batch since the last compaction
+        return sorted(r.batch for r in done.join(gone, "batch", "left_anti").select("batch").collect())
+
+    def totals(self, live: list[str] | None = None) -> DataFrame:
+        """source, lang, tokenizer, docs and tokens over all committed batches, or those named; keys whose documents are all gone are
+        left out."""
+        live = self.live() if live is None else live
         if not live:
             return self.spark.createDataFrame([], DELTAS).drop("batch")
         deltas = self.spark.read.schema(DELTAS).parquet(*[f"{self.path}/deltas/id={b}" for b in live])
         return deltas.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 or tokens <> 0")
 
     def compact(self, batch: str) -> bool:
-        """Put the totals of all batches so far in their place, as one batch."""
-        covers = [r.batch for r in self.commits().select("batch").collect()]
-        return self._commit(batch, self.totals(), covers)
+        """Put the totals of the batches that are live now in their place, as one batch. A batch committed meanwhile is not among them:
+        it is neither in the totals nor covered, and counts on its own."""
+        live = self.live()
+        return self._commit(batch, self.totals(live), live)
+
+
+def counted_by(docs: DataFrame, tokenizers: dict[str, str]) -> DataFrame:
+    """doc_id, source, lang, tokenizer (a version's name) and tokens: of whole texts, the ids that each version's vocabulary file
+    (name -> path) gives, without special ids; null texts have none. Other columns are ignored."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            for name, path in tokenizers.items():
+                n = encoder(path).encode(batch.column("text"))[1]
+                columns = [*(batch.column(c) for c in ("doc_id", "source", "lang")), pa.array([name] * batch.num_rows), pa.array(n.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "source", "lang", "tokenizer", "tokens"])
+
+    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", "text")
+    return some.mapInArrow(count, "doc_id long, source string, lang string, tokenizer string, tokens long")
 
 
 def counted(docs: DataFrame) -> DataFrame:

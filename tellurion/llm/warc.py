@@ -15,8 +15,11 @@ from .common import new_path, table, written
 
 #: Payloads of fewer bytes are always stored as responses.
 LEAST_BYTES = 1000
-#: Records of one archive file, so that a reader's task holds a bounded file.
-FILE_RECORDS = 20_000
+#: Bytes of payloads that one archive file holds at most (or a single larger payload), so that a reader's task holds a bounded file;
+#: and of a payload up to which archives hold FILE_BYTES / SMALL_BYTES of them. Larger payloads have archives of their own.
+FILE_BYTES, SMALL_BYTES = 128 << 20, 32 << 10
+#: Pages of one payload, and their share of all pages, over which they meet the page that they repeat by broadcast.
+COMMON, COMMON_SHARE = 1000, 0.001
 DATE = "2020-01-01T00:00:00Z"
 END = "\r\n\r\n"
 
@@ -28,15 +31,20 @@ def with_digests(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
     return some.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha1(F.encode("payload", "UTF-8"))})
 
 
-def revisits(headers: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
+def revisits(headers: DataFrame, least_bytes: int = LEAST_BYTES, common: int = COMMON) -> DataFrame:
     """Rows (page_id, payload_digest, payload_bytes, origin, origin_url) of the pages that repeat another page's payload.
 
-    Only headers are shuffled, by digest and length; the page with the largest id keeps its payload, the rest refer to it.
+    Only headers are shuffled, by digest and length; the page with the largest id keeps its payload, the rest refer to it. Payloads of
+    more than `common` pages (the caller's bound on their number is all pages / common) meet their pages by broadcast, not in a task.
     """
     keys = ["payload_digest", "payload_bytes"]
     large = headers.where(F.col("payload_bytes") >= least_bytes).select("page_id", "url", *keys)
     origins = large.groupBy(*keys).agg(F.count("*").alias("n"), F.max(F.struct("page_id", "url")).alias("o")).where("n > 1 and o.page_id is not null")
-    found = large.join(origins, keys).where(~F.col("page_id").eqNullSafe(F.col("o.page_id")))
+    often = F.broadcast(origins.where(F.col("n") > common).select(*keys, F.col("o").alias("often")))
+    dealt = large.join(often, keys, "left")
+    rest = dealt.where("often is null").drop("often").join(origins.where(F.col("n") <= common), keys)
+    met = dealt.where("often is not null").select("page_id", *keys, F.col("often").alias("o")).unionByName(rest.select("page_id", *keys, "o"))
+    found = met.where(~F.col("page_id").eqNullSafe(F.col("o.page_id")))
     return found.select("page_id", *keys, F.col("o.page_id").alias("origin"), F.col("o.url").alias("origin_url")).distinct()
 
 
@@ -82,15 +90,22 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, date
     Spark broadcasts it if its size allows, else joins by page id, over which no payload is common. The text writer ends each
     record with the two line breaks that the format asks for.
 
+    Files are bounded in bytes: pages over SMALL_BYTES are written apart from the others, fewer to a file.
+
     Null html is an empty payload; a null url has no target header; a null page_id has no id header, is never an original beside
     pages with ids, and revisits them; rows that repeat the largest id of their payload are all responses; an empty table gives no
     archive; other columns are ignored.
     """
     all_of_it = with_digests(pages, **columns)
-    again = written(revisits(all_of_it, least_bytes), "revisits")
+    n, most = all_of_it.agg(F.count("*"), F.coalesce(F.max("payload_bytes"), F.lit(0))).first()
+    again = written(revisits(all_of_it, least_bytes, max(COMMON, int(COMMON_SHARE * n))), "revisits")
     on = all_of_it["page_id"].eqNullSafe(again["page_id"]) & (all_of_it["payload_digest"] == again["payload_digest"]) & (all_of_it["payload_bytes"] == again["payload_bytes"])
     dealt = all_of_it.join(again, on, "left").select(all_of_it["*"], again["origin"], again["origin_url"])
-    records(dealt, date).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    small = F.col("payload_bytes") <= SMALL_BYTES
+    for name, some, bound in (("small", small, SMALL_BYTES), ("large", ~small, most)):
+        if name == "small" or most > SMALL_BYTES:
+            per_file = max(1, FILE_BYTES // max(1, bound))
+            records(dealt.where(some), date).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(f"{path}/{name}")
 
 
 FIELDS = "record_id string, type string, page_id long, uri string, date string, declared_digest string, refers_to_id string, payload_bytes long, payload_digest string"
@@ -116,8 +131,8 @@ def parse_warc(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
     """A row for each record of the archives: its headers, payload_bytes and payload_digest (of the stored payload; null for
-    revisits), and the payload unless payload=False. A file goes to one task; write_warc bounds its records."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    revisits), and the payload unless payload=False. A file goes to one task; write_warc bounds its bytes."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", "true").load(path).select("content")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -168,6 +168,33 @@ def test_rollup_commits_are_idempotent(spark, tmp_path):
     assert r.commit("b2", first.limit(1)) and [tuple(x) for x in r.totals().collect()] == [("a", "en", "t", 3, 14)]
 
 
+def test_a_batch_committed_during_compaction_counts_once(spark, tmp_path, monkeypatch):
+    r = rollup.Rollup(spark, f"file://{tmp_path}/r")
+    row = lambda n: spark.createDataFrame([("insert", "a", "en", "v1", n, None)], "op string, source string, lang string, tokenizer string, tokens long, old_tokens long")
+    r.commit("1", row(5))
+    inner = r.totals
+
+    def late(live=None):
+        r.commit("2", row(7))  # another writer, after the batches to put together were listed
+        return inner(live)
+
+    monkeypatch.setattr(r, "totals", late)
+    r.compact("all")
+    monkeypatch.undo()
+    assert [(x.docs, x.tokens) for x in r.totals().collect()] == [(2, 12)] and r.live() == ["2", "all"]
+
+
+def test_counts_by_public_vocabularies(spark, odd):
+    from tokenizers import Tokenizer
+
+    paths = {n: __import__("public_tokenizers").path(f"{n}.json") for n in ("byte_bpe_50k", "word_bpe_49k")}
+    got = {(r.doc_id, r.tokenizer): r.tokens for r in rollup.counted_by(odd.drop("source", "tokens").withColumn("source", F.lit("s")), paths).collect()}
+    for name, path in paths.items():
+        t = Tokenizer.from_file(path)
+        for r in odd.collect():
+            assert got[(r.doc_id, name)] == len(t.encode(r.text or "", add_special_tokens=False).ids)
+
+
 def test_changes_lead_from_old_to_new(spark, tmp_path):
     kind = "doc_id long, source string, lang string, tokenizer string, tokens long"
     old = spark.createDataFrame([(1, "a", "en", "t", 5), (2, "a", None, "t", 6), (3, "b", "en", "t", 7)], kind)
@@ -436,6 +463,22 @@ def test_cross_parse_counts_longest_matches(monkeypatch, run, noted):
 # ---------------------------------------------------------------- 10
 
 
+def test_archives_are_bounded_and_common_payloads_meet(spark, tmp_path, monkeypatch):
+    """Several files in either class of sizes, and a payload that many pages have; a null page id, url and html; a clashing column."""
+    for name, value in (("FILE_BYTES", 40_000), ("SMALL_BYTES", 4_000), ("COMMON", 5)):
+        monkeypatch.setattr(warc, name, value)
+    rows = [(i, f"u{i}", "c" * 1500) for i in range(40)] + [(100 + i, None if i % 2 else "u", f"{i}" * 9000) for i in range(9)] + [(200 + i, "u", f"{i}" * 700) for i in range(60)] + [(None, "u", None), (None, "u", "c" * 1500)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("payload", F.lit("mine")).coalesce(1)
+    path = f"file://{tmp_path}/w"
+    warc.write_warc(df, path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").load(path).select("path").collect()
+    assert sum("/large/" in r.path for r in files) >= 2 and sum("/small/" in r.path for r in files) >= 5
+    got = warc.resolved(warc.read_warc(spark, path, payload=False)).collect()
+    assert len(got) == len(rows) and {r.refers_to for r in got if r.record_type == "revisit"} == {39}
+    assert sum(r.record_type == "revisit" for r in got) == 40
+    assert sorted((r.page_id or -1, r.payload_bytes) for r in got) == sorted((i or -1, len(h or "")) for i, _, h in rows)
+
+
 def test_archives_round_trip(spark, tmp_path):
     long, other = "ü" * 600, "y" * 1000
     rows = [(1, "http://a/\r\nx", long), (2, None, long), (3, "u", "short"), (4, "u", "short"), (5, "u", None), (6, "u", other), (None, "u", long), (7, "u", "a\r\n\r\nWARC/1.1\r\nb\x00"), (8, "u", long)]
