@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,27 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM, slices, table, words, written
+from .common import ALNUM, Words, slices, table, words, written
 
 WINDOW = 10
 #: Bytes of benchmark text in one broadcast set; a larger benchmark is scanned for in several sets, one after another.
 BLOCK_BYTES = 8 << 20
 
 
-def _windows(items: list[tuple[str, str]], n: int) -> dict[int, dict[bytes, list[str]]]:
-    """By length in words: normalised window -> items that hold it."""
-    out: dict[int, dict[bytes, list[str]]] = {}
-    for item, text in items:
-        w = words(pa.array([text], pa.string()), ALNUM)
-        total = len(w.start)
-        size = min(n, total)
-        for i in range(total - size + 1 if total else 0):
-            held = out.setdefault(size, {}).setdefault(w.text(i, i + size), [])
-            if item not in held:
-                held.append(item)
-    return out
-
-
 def _rolled(h: np.ndarray, n: int) -> np.ndarray:
     """A 64-bit hash of each n consecutive word hashes."""
     out = h[: len(h) - n + 1].copy()
@@ -41,23 +26,50 @@ def _rolled(h: np.ndarray, n: int) -> np.ndarray:
 
 
 class Index:
-    """Hash set of windows of one length: a bit table by the high hash bits, then the sorted hashes."""
-
-    def __init__(self, held: dict[bytes, list[str]], size: int):
-        self.size, self.held = size, held
-        keys = [_rolled(words(pa.array([k.decode()]), ALNUM).hashes(), size)[0] for k in held]
-        self.hashes = np.unique(np.array(keys, np.uint64))
-        self.bits = int(np.clip(np.ceil(np.log2(len(keys) + 1)) + 8, 16, 27))
-        self.table = np.zeros(1 << self.bits, bool)
-        self.table[(self.hashes >> np.uint64(64 - self.bits)).astype(np.int64)] = True
-
-    def candidates(self, h: np.ndarray) -> np.ndarray:
+    """Hash set of the windows of one length of some items: packed bits by the high hash bits, the sorted hashes, and for each of them
+    its item and the place of its words in one normalised text, by which hits are verified."""
+
+    def __init__(self, size: int, items: list[str], w: Words, first: np.ndarray, item: np.ndarray):
+        """first: the first word of each window in w; item: its item's number."""
+        self.size, self.items = size, items
+        keys = _rolled(w.hashes(), size)[first]
+        order = np.argsort(keys, kind="stable")
+        self.hashes, self.item = keys[order], item[order].astype(np.int32)
+        self.text = w.text(0, len(w.start))
+        upto = np.cumsum(w.end - w.start + 1)
+        begin = np.concatenate([[0], upto])[:-1]
+        self.begin, self.end = begin[first[order]].astype(np.int32), (upto[first[order] + size - 1] - 1).astype(np.int32)
+        self.shift = np.uint64(64 - int(np.clip(np.ceil(np.log2(len(keys) + 1)) + 5, 16, 30)))
+        flags = np.zeros(1 << (64 - int(self.shift)), bool)
+        flags[(self.hashes >> self.shift).astype(np.int64)] = True
+        self.bits = np.packbits(flags, bitorder="little")
+
+    def candidates(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places whose hash some window has, and the range of these windows."""
         if len(h) < self.size:
-            return np.zeros(0, np.int64)
+            return (np.zeros(0, np.int64),) * 3
         r = _rolled(h, self.size)
-        at = np.flatnonzero(self.table[(r >> np.uint64(64 - self.bits)).astype(np.int64)])
-        k = np.minimum(np.searchsorted(self.hashes, r[at]), len(self.hashes) - 1)
-        return at[self.hashes[k] == r[at]]
+        bit = (r >> self.shift).astype(np.int64)
+        at = np.flatnonzero(self.bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
+        low, high = np.searchsorted(self.hashes, r[at]), np.searchsorted(self.hashes, r[at], side="right")
+        hit = high > low
+        return at[hit], low[hit], high[hit]
+
+    def holders(self, window: bytes, low: int, high: int) -> set[str]:
+        """Items that have this very window."""
+        return {self.items[self.item[k]] for k in range(low, high) if self.text[self.begin[k] : self.end[k]] == window}
+
+
+def indexes_of(items: list[tuple[str, str]], window: int) -> list[Index]:
+    """An index for each length of windows: `window` words, or all words of an item that has fewer."""
+    w = words(pa.array([t for _, t in items], pa.string()), ALNUM)
+    names, n, out = [i for i, _ in items], w.per_text, []
+    for size in np.unique(np.minimum(n[n > 0], window)).tolist():
+        mine = np.flatnonzero(np.minimum(n, window) == size)
+        count = n[mine] - size + 1
+        first = np.arange(count.sum()) + np.repeat(w.first[mine] - np.cumsum(count) + count, count)
+        out.append(Index(size, names, w, first, np.repeat(mine, count)))
+    return out
 
 
 SPANS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
@@ -69,12 +81,12 @@ def _scan(batches: Iterator[pa.RecordBatch], indexes: list[Index], text: str) ->
         w = words(batch.column(text), ALNUM)
         h, spans, items = w.hashes(), [[] for _ in range(batch.num_rows)], [set() for _ in range(batch.num_rows)]
         for index in indexes:
-            at = index.candidates(h)
+            at, low, high = index.candidates(h)
             doc = np.searchsorted(w.first, at, side="right") - 1
             inside = at + index.size <= w.first[doc + 1]
-            for i, d in zip(at[inside].tolist(), doc[inside].tolist(), strict=True):
-                if held := index.held.get(w.text(i, i + index.size)):
-                    items[d].update(held)
+            for i, d, a, b in zip(*(x[inside].tolist() for x in (at, doc, low, high)), strict=True):
+                if found := index.holders(w.text(i, i + index.size), a, b):
+                    items[d].update(found)
                     spans[d].append((i - int(w.first[d]), i - int(w.first[d]) + index.size))
         got = [pa.array(w.per_text.astype(np.int64)), pa.array([_merged(s) for s in spans], SPANS), pa.array([sorted(s) for s in items], pa.list_(pa.string()))]
         yield pa.RecordBatch.from_arrays([*batch.columns, *got], [*batch.schema.names, "n_words", "spans", "items"])
@@ -109,7 +121,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
     found = None
     for k in range(blocks):
         part = some if blocks == 1 else some.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == k)
-        indexes = [Index(v, n) for n, v in _windows([tuple(r) for r in part.collect()], window).items()]  # about block_bytes of text
+        indexes = indexes_of([tuple(r) for r in part.collect()], window)  # about block_bytes of text
         if found is None:
             found = _one_set(docs, indexes, text)
         else:
@@ -122,11 +134,11 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
 
 
 def _one_set(docs: DataFrame, indexes: list[Index], text: str) -> DataFrame:
-    held = docs.sparkSession.sparkContext.broadcast(pickle.dumps(indexes))
+    held = docs.sparkSession.sparkContext.broadcast(indexes)
     schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL(SCHEMA).fields])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _scan(batches, pickle.loads(held.value), text)
+        return _scan(batches, held.value, text)
 
     return docs.mapInArrow(scan, schema)
 
