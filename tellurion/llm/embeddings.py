@@ -19,6 +19,13 @@ BLOCK, STRIP, PIVOTS, PIVOT_SAMPLE = 4096, 512, 48, 4096
 CENTRE_BYTES = 32 << 20
 
 
+def unit(v: np.ndarray) -> np.ndarray:
+    """Vectors of length 1 in double precision. The largest component is taken out first, so that no square overflows."""
+    v = v.astype(np.float64)
+    v /= np.abs(v).max(axis=1, keepdims=True, initial=0.0)
+    return v / np.sqrt((v**2).sum(axis=1, keepdims=True))
+
+
 def quantised(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """int8 codes of unit vectors, the scale of each, and the exact length of what the codes leave out."""
     scale = np.abs(v).max(axis=1) / 127
@@ -26,6 +33,12 @@ def quantised(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, scale, np.linalg.norm(v - codes * scale[:, None], axis=1) + 1e-15
 
 
+def components(vectors: pa.Array) -> np.ndarray:
+    """All components of a column of vectors, none of them null, as single precision if the column is, else as double."""
+    flat = vectors.flatten()
+    return flat.to_numpy() if pa.types.is_float32(flat.type) else flat.cast(pa.float64()).to_numpy()
+
+
 def _union(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Join the classes of x[i] and y[i]; each class stays under its least member."""
     while len(x):
@@ -41,19 +54,19 @@ def _union(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """Some vectors as one binary: row count, dimension, ids, numbers of copies, components."""
+    """Some vectors as one binary: row count, dimension, bytes of a component, ids, numbers of copies, components. Components are as wide
+    as in the table (single precision travels as such); codes, products and sums are made from their double values."""
 
     def __init__(self, raw: bytes):
-        n, d = np.frombuffer(raw, np.int64, 2)
-        self.node, self.copies = np.frombuffer(raw, np.int64, n, 16), np.frombuffer(raw, np.int64, n, 16 + 8 * n)
-        self.vectors = np.frombuffer(raw, np.float64, n * d, 16 + 16 * n).reshape(n, d)
-        self.norm = np.sqrt((self.vectors**2).sum(axis=1))
-        codes, self.scale, self.error = quantised(self.vectors / self.norm[:, None])
+        n, d, width = np.frombuffer(raw, np.int64, 3)
+        self.node, self.copies = np.frombuffer(raw, np.int64, n, 24), np.frombuffer(raw, np.int64, n, 24 + 8 * n)
+        self.vectors = unit(np.frombuffer(raw, f"<f{width}", n * d, 24 + 16 * n).reshape(n, d))
+        codes, self.scale, self.error = quantised(self.vectors)
         self.codes = codes.astype(np.float32 if d <= 1000 else np.float64)  # products of so many codes stay exact
 
     @staticmethod
     def pack(node: np.ndarray, copies: np.ndarray, vectors: np.ndarray) -> bytes:
-        return np.array(vectors.shape, np.int64).tobytes() + node.tobytes() + copies.tobytes() + np.ascontiguousarray(vectors, np.float64).tobytes()
+        return np.array([*vectors.shape, vectors.itemsize], np.int64).tobytes() + node.tobytes() + copies.tobytes() + np.ascontiguousarray(vectors).tobytes()
 
 
 def tile_links(a: Block, b: Block, same: bool, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,7 +95,7 @@ def tile_links(a: Block, b: Block, same: bool, threshold: float) -> tuple[np.nda
             s, t = s[possible], t[possible]
             for k in range(0, len(s), 1 << 16):
                 u, v = s[k : k + (1 << 16)], t[k : k + (1 << 16)]
-                linked = np.einsum("ij,ij->i", a.vectors[u], b.vectors[v]) / (a.norm[u] * b.norm[v]) >= threshold
+                linked = np.einsum("ij,ij->i", a.vectors[u], b.vectors[v]) >= threshold
                 u, v = u[linked], v[linked]
                 counts += np.bincount(u, b.copies[v], na + nb).astype(np.int64)
                 counts += np.bincount(v if same else v + na, a.copies[u], na + nb).astype(np.int64)
@@ -97,8 +110,7 @@ def tile_links(a: Block, b: Block, same: bool, threshold: float) -> tuple[np.nda
 def _pivots(classes: DataFrame, dim: int) -> np.ndarray:
     """Unit vectors far from each other, from a bounded sample; they only order rows, so that blocks hold neighbours."""
     rows = classes.where(F.col("dim") == dim).orderBy(F.xxhash64("node")).limit(PIVOT_SAMPLE).select("embedding").collect()
-    v = np.array([r[0] for r in rows], np.float64)
-    v /= np.linalg.norm(v, axis=1)[:, None]
+    v = unit(np.array([r[0] for r in rows], np.float64))
     picked, near = [0], v @ v[0]
     while len(picked) < min(PIVOTS, len(v)):
         picked.append(int(near.argmin()))
@@ -113,8 +125,7 @@ def _blocks(classes: DataFrame, dim: int) -> DataFrame:
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                v = np.array(batch.column("embedding").to_pylist(), np.float64).reshape(batch.num_rows, dim)
-                near = v @ pivots.value.T / np.linalg.norm(v, axis=1)[:, None]
+                near = unit(components(batch.column("embedding")).reshape(batch.num_rows, dim)) @ pivots.value.T
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.argmax(axis=1).astype(np.int32)), pa.array(near.max(axis=1))], [*batch.schema.names, "pivot", "near"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,8 +138,8 @@ def _blocks(classes: DataFrame, dim: int) -> DataFrame:
                 t = pa.Table.from_batches(held)
                 mine, rest = t.slice(0, BLOCK), t.slice(BLOCK)
                 held, rows = rest.to_batches(), rest.num_rows
-                v = np.array(mine.column("embedding").to_pylist(), np.float64).reshape(mine.num_rows, dim)
-                u = v / np.linalg.norm(v, axis=1)[:, None]
+                v = components(mine.column("embedding").combine_chunks()).reshape(mine.num_rows, dim)
+                u = unit(v)
                 centre = u.sum(axis=0)
                 centre = centre / np.linalg.norm(centre) if np.linalg.norm(centre) > 1e-9 else u[0]
                 reach = float(np.arccos(np.clip(u @ centre, -1, 1)).max())

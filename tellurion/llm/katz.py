@@ -12,7 +12,8 @@ a(h) = (1 - sum of P(w | h) over seen w) / (1 - sum of P(w) over seen w), exactl
 
 Pairs go to cells of a grid: the slice of the context by the slice of the word. A cell gets the counts of both slices' words, so a
 frequent context or word is spread over a row or column of cells, and the words' table is needed once for each row and column
-only. What travels is packed: a row is a cell's share of some millions of tokens.
+only. What travels is packed: a row is a cell's share of some millions of tokens. A pair that alone would fill a cell does not
+travel: it is found and counted first, and tasks score its tokens where they read them.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACED, fold, free_shuffles, slices, table, words, written
+from .common import SPACED, fold, free_shuffles, mix, slices, table, words, written
 
 #: Counts up to K are discounted by Good-Turing, larger ones by TAIL.
 K, TAIL = 5, 0.5
@@ -145,8 +146,89 @@ def _table(rows: list[list]) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [x.split()[0] for x in COLUMNS.split(", ")])
 
 
-def _packs(docs: DataFrame, grid: int) -> DataFrame:
-    """Rows for cells: pairs of a chunk of documents in the cell, and in one of the cells the chunk's documents."""
+def _before(tokens: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The token before each, BEGIN before a text's first."""
+    before = np.empty_like(tokens)
+    before[1:] = tokens[:-1]
+    before[np.cumsum(n) - n] = BEGIN
+    return before
+
+
+def _pair_keys(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    return mix(before * np.uint64(3) ^ tokens)
+
+
+class Hot:
+    """Pairs too frequent for a cell, by ascending key, with their counts in training: of the pair, the context and the word."""
+
+    def __init__(self, rows: list[tuple[int, ...]] = ()):
+        h1, h2, r, c1, c2 = (np.array([x[k] for x in rows], np.int64) for k in range(5)) if rows else (np.zeros(0, np.int64),) * 5
+        order = np.argsort(_pair_keys(h1.view(np.uint64), h2.view(np.uint64)))
+        self.h1, self.h2 = h1.view(np.uint64)[order], h2.view(np.uint64)[order]
+        self.r, self.c1, self.c2, self.key = r[order], c1[order], c2[order], _pair_keys(self.h1, self.h2)
+
+    def find(self, before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """The number of each pair among these, or -1."""
+        if not len(self.key):
+            return np.full(len(tokens), -1)
+        k = np.minimum(np.searchsorted(self.key, _pair_keys(before, tokens)), len(self.key) - 1)
+        return np.where((self.h1[k] == before) & (self.h2[k] == tokens), k, -1)
+
+
+def _pair_counts(docs: DataFrame, least: float | None, some: Hot | None = None) -> DataFrame:
+    """Rows (h1, h2, c) of chunks of documents, summed: pairs with a share of `least` of a chunk's tokens, or those of `some`."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            n, tokens = np.concatenate([x[1] for x in held]), np.concatenate([x[0] for x in held])
+            before = _before(tokens, n)
+            if some is not None:
+                k = some.find(before, tokens)
+                c = np.bincount(k[k >= 0], minlength=len(some.key))
+                h1, h2 = some.h1, some.h2
+            else:
+                key, at, c = np.unique(_pair_keys(before, tokens), return_index=True, return_counts=True)
+                many = c >= least * len(tokens)
+                h1, h2, c = before[at[many]], tokens[at[many]], c[many]
+            return pa.record_batch([pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(c.astype(np.int64))], ["h1", "h2", "c"])
+
+        for batch in slices(batches, "text"):
+            held.append(_tokens(batch.column("text")))
+            size += len(held[-1][0])
+            if size > PACK_TOKENS // 2:
+                yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
+
+    return docs.select("text").mapInArrow(count, "h1 long, h2 long, c long").groupBy("h1", "h2").agg(F.sum("c").alias("c"))
+
+
+def hot_pairs(rows: DataFrame, counts: DataFrame, texts: int, cell_tokens: int) -> Hot:
+    """Pairs with `cell_tokens` or more of all tokens, of which there are no more than cells, and over 1000 of the training tokens.
+
+    A pair with a share s of all tokens has that share in some chunk, so pairs with a quarter of that share of a chunk are candidates;
+    chunks that don't name a candidate hold less than a quarter of what makes it hot.
+    """
+    size, n = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
+    most = size / 2 + 1.5 * n  # tokens at most: a word and its space are two bytes
+    if most < cell_tokens:
+        return Hot()
+    found = _pair_counts(rows, cell_tokens / most / 4).where(F.col("c") >= 0.75 * cell_tokens * 0.99).select("h1", "h2").collect()
+    if not found:
+        return Hot()
+    exact = _pair_counts(rows.where("train"), None, Hot([(r.h1, r.h2, 0, 0, 0) for r in found])).where("c > 1000").collect()
+    words = rows.sparkSession.createDataFrame(sorted({(h,) for r in exact for h in (r.h1, r.h2)}) or [], "h long")
+    count = {r.h: r.c for r in counts.join(F.broadcast(words), "h").select("h", "c").collect()} | {int(BEGIN.view(np.int64)): texts}
+    return Hot([(r.h1, r.h2, r.c, count[r.h1], count[r.h2]) for r in exact])
+
+
+def _packs(docs: DataFrame, grid: int, hot: Hot) -> DataFrame:
+    """Rows for cells: pairs of a chunk of documents in the cell, and in one of the cells the chunk's documents and, of its hot pairs,
+    the scores."""
+    held_hot = docs.sparkSession.sparkContext.broadcast(hot)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, at = [], 0, (TaskContext.get().partitionId() << 24)
@@ -155,14 +237,22 @@ def _packs(docs: DataFrame, grid: int) -> DataFrame:
             n, tokens = np.concatenate([x[1] for x in held]), np.concatenate([x[0] for x in held])
             ids, train = [d for x in held for d in x[2]], np.concatenate([x[3] for x in held])
             doc = np.repeat(np.arange(len(n), dtype=np.int32), n)
-            before = np.empty_like(tokens)
-            before[1:] = tokens[:-1]
-            before[np.cumsum(n) - n] = BEGIN
+            before, home = _before(tokens, n), at % (grid * grid)
+            hot = held_hot.value
+            k = hot.find(before, tokens)
+            if (k >= 0).any():
+                mine, k = np.flatnonzero(k >= 0), k[k >= 0]
+                own, place = np.unique(doc[mine], return_inverse=True)
+                sums = [np.bincount(place, x[k]) for x in (np.log10(hot.c2 + 1.0), np.log10(hot.r - TAIL) - np.log10(hot.c1))]
+                yield batch_of("hot", home, packed(own, *sums, np.bincount(place, hot.c2[k] > 0).astype(np.int64), *[np.zeros(len(own), np.int64)] * K))
+                rest = np.ones(len(tokens), bool)
+                rest[mine] = False
+                before, tokens, doc = before[rest], tokens[rest], doc[rest]
             cell = _slice(before, grid) * grid + _slice(tokens, grid)
             cell = cell.astype(np.uint16) if grid < 256 else cell
             order = np.argsort(cell, kind="stable").astype(np.int32)
             cuts = np.searchsorted(cell[order], np.arange(grid * grid + 1))
-            yield batch_of("docs", at % (grid * grid), packed(np.array([0 if d is None else d for d in ids], np.int64).view(np.uint64), np.array([d is None for d in ids], np.uint8), train.astype(np.uint8), n))
+            yield batch_of("docs", home, packed(np.array([0 if d is None else d for d in ids], np.int64).view(np.uint64), np.array([d is None for d in ids], np.uint8), train.astype(np.uint8), n))
             for c in range(grid * grid):
                 mine = order[cuts[c] : cuts[c + 1]]
                 if len(mine):
@@ -202,18 +292,25 @@ def _word_packs(counts: DataFrame, grid: int) -> DataFrame:
     return counts.mapInArrow(pack, "cell long, kind string, chunk long, blob binary")
 
 
-def _cell(t: pa.Table, grid: int, star: np.ndarray, total: int, unknown: float, texts: int) -> pa.Table:
+def _cell(t: pa.Table, grid: int, star: np.ndarray, total: int, unknown: float, texts: int, hot: Hot) -> pa.Table:
     """Count a cell's pairs and score its tokens as far as the cell knows: what contexts need, and what documents have."""
     cell, kinds, chunks = t.column("cell")[0].as_py(), t.column("kind").to_pylist(), t.column("chunk").to_pylist()
     rows, role, pairs = [], {"words1": [], "words2": []}, []
     for kind, chunk, blob in zip(kinds, chunks, t.column("blob"), strict=True):
         if kind == "docs":
             rows.append(_row("docs", 0, chunk, blob.as_py()))
+        elif kind == "hot":
+            rows.append(_row("scores", 0, chunk, blob.as_py()))
         elif kind == "pairs":
             pairs.append((chunk, blob.as_py()))
         else:
             h, c = unpacked(blob.as_py())
             role[kind].append((np.cumsum(h), c.astype(np.int64)))
+    here = np.flatnonzero(_slice(hot.h1, grid) * grid + _slice(hot.h2, grid) == cell)  # what contexts need of hot pairs, in the pairs' own cells
+    for k in here.tolist():
+        part = cell // grid * grid + int(_slice(hot.h1[k : k + 1] >> np.uint64(13), grid)[0])
+        tail, below = np.array([hot.r[k] - TAIL]), discounted(hot.c2[k : k + 1], star) / max(1, total)
+        rows.append(_row("contexts", part, 0, packed(hot.h1[k : k + 1], hot.c1[k : k + 1], *[np.zeros(1, np.int64)] * K, tail, below)))
     if not pairs:
         return _table(rows)
     if int(_slice(np.array([BEGIN]), grid)[0]) == cell // grid:
@@ -352,7 +449,8 @@ def katz_scores(docs: DataFrame, train: str = "train", doc_id: str = "doc_id", t
     unknown = 1 - (kept + sum(star1[r] * m[f"n{r}"] for r in range(1, K + 1))) / m.total if m.total else 1.0
     total, types, texts = m.total, m.types, m.texts
     grid = max(1, math.ceil(math.sqrt(total / CELL_TOKENS)))
-    cells = _packs(rows, grid).unionAll(_word_packs(counts, grid)).groupBy("cell").applyInArrow(lambda t: _cell(t, grid, star1, total, unknown, texts), COLUMNS)
+    hot = hot_pairs(rows, counts, texts, CELL_TOKENS)
+    cells = _packs(rows, grid, hot).unionAll(_word_packs(counts, grid)).groupBy("cell").applyInArrow(lambda t: _cell(t, grid, star1, total, unknown, texts, hot), COLUMNS)
     known = written(cells, "cells", ["kind"])
     free_shuffles(spark)
     n2 = known.where("kind = 'counts'").agg(*[F.coalesce(F.sum(f"n{r}"), F.lit(0)) for r in range(1, K + 2)]).first()

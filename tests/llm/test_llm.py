@@ -208,13 +208,13 @@ def test_changes_lead_from_old_to_new(spark, tmp_path):
 # ---------------------------------------------------------------- 4
 
 
-def test_vectors_against_brute_force(spark):
+def test_vectors_against_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(40, 16))
     v = [(i, [float(x) for x in centres[i % 40] + rng.normal(size=16) * (0.05, 0.2, 0.6)[i % 3]]) for i in range(900)]
     v += [(2000 + i, v[7][1]) for i in range(50)] + [(3000, None), (3001, [0.0] * 16), (3002, [float("nan")] + [1.0] * 15), (3003, [None] + [1.0] * 15), (3004, []), (None, v[7][1]), (3005, [float("inf")] * 16)]
     for block in (embeddings.BLOCK, 128):
-        embeddings.BLOCK = block
+        monkeypatch.setattr(embeddings, "BLOCK", block)
         got = {r.vec_id: r for r in embeddings.near_vectors(spark.createDataFrame(v, "vec_id long, embedding array<double>")).collect()}
         good = [(i, np.array(e)) for i, e in v if i is not None and i < 3000]
         u = np.array([e / np.linalg.norm(e) for _, e in good])
@@ -222,7 +222,6 @@ def test_vectors_against_brute_force(spark):
         want = classes([(ids[a], ids[b]) for a, b in zip(*np.nonzero(near), strict=True)], ids)
         assert all(got[i].n_links == near[k].sum() - 1 and got[i].component_id == want[i] and got[i].kept == (i == want[i]) for k, i in enumerate(ids))
         assert all(got[i].n_links == 0 and got[i].kept for i in range(3000, 3006)) and got[None].component_id is None
-    embeddings.BLOCK = 4096
 
 
 def test_quantisation_bound_holds():
@@ -347,7 +346,7 @@ def test_similar_groups_are_exact(spark, monkeypatch):
 # ---------------------------------------------------------------- 7
 
 
-def test_katz_against_brute_force(spark, docs, odd):
+def test_katz_against_brute_force(spark, docs, odd, monkeypatch):
     def check(df):
         rows = [(r.doc_id, r.text) for r in df.collect()]
         tok = [re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()) + [None] for _, t in rows]
@@ -376,9 +375,12 @@ def test_katz_against_brute_force(spark, docs, odd):
         assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4), round(r.score, 4)) for r in got.collect()) == sorted(want)
 
     check(docs.select("doc_id", "text"))
-    old, katz.CELL_TOKENS = katz.CELL_TOKENS, 4000
-    check(docs.select("doc_id", "text").unionAll(odd.select("doc_id", "text")))
-    katz.CELL_TOKENS = old
+    monkeypatch.setattr(katz, "CELL_TOKENS", 4000)
+    found, inner = [], katz.hot_pairs
+    monkeypatch.setattr(katz, "hot_pairs", lambda *a: found.append(inner(*a)) or found[-1])
+    both = docs.select("doc_id", "text").unionAll(odd.select("doc_id", "text"))
+    check(both)
+    assert len(found[-1].key) == 1  # `word word` of the long text is scored where it is read
     assert katz.katz_scores(docs.limit(0).withColumn("train", F.lit(True))).count() == 0
 
 
