@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from .common import ALNUM, fold, slices, table, words
 
 #: The bounded sample: about so many labelled documents of each label.
-SAMPLE = 7_500
+SAMPLE = 4_000
 #: Terms are hashed to so many bits; every term of the sample is a feature, whatever its share under either label.
 BITS = 19
 #: Terms of a word: itself, and its first 4, 5 and 6 bytes if it is longer, which also meet inflected and padded forms.
@@ -45,7 +45,7 @@ class Rows:
     """The features of some documents: doc ascending, term its hashed terms, each once."""
 
     def __init__(self, doc: np.ndarray, term: np.ndarray, n: int):
-        self.doc, self.term, self.n = doc.astype(np.int32), term.astype(np.int32), n
+        self.doc, self.term, self.n = doc.astype(np.int32, copy=False), term.astype(np.int32, copy=False), n
 
     @classmethod
     def of(cls, texts: pa.Array) -> Rows:
@@ -121,7 +121,7 @@ class Machine:
             self.bias, self.weights, picked = plain.bias, plain.weights, picked & False
         there = np.zeros(1 << BITS, bool)
         there[rest.term] = True
-        self.factors = (rng.normal(0, SPREAD, (1 << BITS, FACTORS)) * there[:, None]).astype(np.float32)
+        self.factors = rng.standard_normal((1 << BITS, FACTORS), np.float32) * np.float32(SPREAD) * there[:, None]
         steps = np.full(1 << BITS, 1e-4), np.full(1 << BITS, 1e-6)
         for _ in range(PAIRS):
             self._pairs(batches, y_rest, rng, picked, steps)
@@ -194,8 +194,10 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     machine = Machine(float(np.log((n1 + 1) / (n0 + 1))))
     if not len(got) or y.min() == y.max():
         return machine
-    terms = [np.frombuffer(r[1], np.int32) for r in got]
-    machine.fit(Rows(np.repeat(np.arange(len(got)), [len(t) for t in terms]), np.concatenate(terms), len(got)), y)
+    size = np.array([len(r[1]) // 4 for r in got])
+    terms = np.frombuffer(b"".join(r[1] for r in got), np.int32)
+    del got
+    machine.fit(Rows(np.repeat(np.arange(len(size), dtype=np.int32), size), terms, len(size)), y)
     machine.bias += float(np.log((n1 / n0) / (y.mean() / (1 - y.mean()))))  # labels aren't sampled in proportion
     return machine
 
