@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,8 +16,9 @@ from .common import ALNUM, SPACED, flat, slices, table, words, written
 
 #: Cells (combinations of the dimensions' values) up to which the fit runs on their list at the driver; more are fitted by Spark jobs.
 DRIVER_CELLS = 200_000
-#: Passes over all dimensions, and the share of a target by which marginals may be off, at which the fit ends.
-PASSES, CLOSE = 200, 1e-9
+#: Passes over all dimensions at most, and how far a marginal share may be from its target when the fit ends. A fit that ends with a
+#: share further off than UNMET warns by how much: such targets contradict each other or ask for what no cell has.
+PASSES, CLOSE, UNMET = 200, 1e-9, 1e-6
 #: Share of all tokens to keep, and the exponents that temper observed shares where no targets are given.
 BUDGET, TEMPER = 0.7, {"source": 0.5, "lang": 0.7, "topic": 0.7}
 SEED = 13
@@ -78,9 +80,15 @@ def rake_driver(keys: list[np.ndarray], tokens: np.ndarray, targets: list[np.nda
             w = w * factor[k]
         if off < CLOSE:
             break
+    _warn(off)
     return w
 
 
+def _warn(off: float) -> None:
+    if off > UNMET:
+        warnings.warn(f"targets are not met: a share is off by {off:.3g} after {PASSES} passes", stacklevel=3)
+
+
 def rake_spark(cells: DataFrame, dims: list[str], targets: dict[str, DataFrame]) -> DataFrame:
     """The same by jobs over the table of cells, written after each pass."""
     total = cells.agg(F.sum("tokens")).first()[0]
@@ -95,6 +103,7 @@ def rake_spark(cells: DataFrame, dims: list[str], targets: dict[str, DataFrame])
         w = written(w, "cells")
         if max(off) < CLOSE:
             break
+    _warn(max(off, default=0.0))
     return w
 
 

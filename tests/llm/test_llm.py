@@ -404,6 +404,39 @@ def test_raking_meets_targets_both_ways(spark, odd):
 # ---------------------------------------------------------------- 9
 
 
+def test_raking_against_plain_python(spark):
+    """Probabilities of sf0.01 from dictionaries alone, kept rows by the hash of their id; targets that contradict are reported."""
+    got = [r.asDict() for r in mixing.op8_mixing(spark, "/root/testdata/sf0.01").withColumn("u", F.shiftrightunsigned(F.xxhash64(F.lit(mixing.SEED), F.col("doc_id").cast("string")), 11) / float(1 << 53)).collect()]
+    dims, tokens = ("source", "lang", "topic"), Counter()
+    for r in got:
+        tokens[tuple(r[d] for d in dims)] += r["n_tokens"]
+    tokens = {k: float(t) for k, t in tokens.items() if t}
+    total, goal = sum(tokens.values()), []
+    for i, d in enumerate(dims):
+        sums = Counter()
+        for k, t in tokens.items():
+            sums[k[i]] += t
+        raw = {v: t ** mixing.TEMPER[d] for v, t in sums.items()}
+        goal.append({v: x / sum(raw.values()) for v, x in raw.items()})
+    w = dict(tokens)
+    for _ in range(300):
+        for i in range(3):
+            have = Counter()
+            for k, x in w.items():
+                have[k[i]] += x
+            w = {k: x * goal[i][k[i]] * total / have[k[i]] for k, x in w.items()}
+    low, high = 0.0, 100.0
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(min(1, mid * w[k] / t) * t for k, t in tokens.items()) < mixing.BUDGET * total else (low, mid)
+    for r in got:
+        k = tuple(r[d] for d in dims)
+        p = min(1, high * w[k] / tokens[k]) if k in tokens else 0
+        assert abs(r["probability"] - p) < 1e-6 and (r["kept"] == (r["u"] < p) or abs(r["u"] - p) < 1e-6)
+    with pytest.warns(UserWarning, match="not met"):
+        mixing.rake_driver([np.array([0, 1]), np.array([0, 1])], np.array([1.0, 1.0]), [np.array([0.9, 0.1]), np.array([0.1, 0.9])])
+
+
 def test_language_held_out(spark, odd):
     r = langid.op9_langid(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "doc_id").where("held_out").toPandas()
     assert (r.lang == r.lang_pred).mean() > 0.95 and r.score.between(0, 1).all()
