@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -22,11 +23,24 @@ MASK_RULES = {
 }
 
 
+#: What any match of a default rule holds, quick to find. No replacement holds such text or makes it, so it is looked for once.
+_SIGNS = {"credit_card": "[0-9]{4}", "email": "@", "ipv4": r"[0-9]\.[0-9]", "phone": r"[0-9OlZSB]{3}[-. ][0-9OlZSB]{4}", "ssn": "[0-9]{3}[- ][0-9]{2}[- ]"}
+
+
+def _may_match(text: Column, name: str, pattern: str) -> Column:
+    """False only where the rule surely has no match."""
+    if MASK_RULES.get(name) != pattern:
+        return F.lit(True)
+    return text.contains("@") if name == "email" else text.rlike(_SIGNS[name])
+
+
 def masked(text: Column, rules: Mapping[str, str] | None = None) -> Column:
     """Every match of each rule, in the order of the rules' names, as [masked_<rule>]."""
-    for name, pattern in sorted((rules if rules is not None else MASK_RULES).items()):
-        text = F.regexp_replace(text, java_pattern(pattern), f"[masked_{name}]")
-    return text
+    rules, done = sorted((rules if rules is not None else MASK_RULES).items()), text
+    for name, pattern in rules:
+        done = F.regexp_replace(done, java_pattern(pattern), f"[masked_{name}]")
+    some = [_may_match(text, name, pattern) for name, pattern in rules]
+    return F.when(functools.reduce(Column.__or__, some), done).otherwise(text) if some else text
 
 
 def mask(df: DataFrame, columns: Sequence[str], rules: Mapping[str, str] | None = None, exclude: Sequence[str] = ()) -> DataFrame:
@@ -52,7 +66,8 @@ def _masked_values(c: str, keys: Sequence[str], rules: Mapping[str, str] | None)
 def mask_report(df: DataFrame, text: str, rules: Mapping[str, str] | None = None) -> DataFrame:
     """Rows that hold a match, and matches, of each rule alone."""
     rules = dict(sorted((rules if rules is not None else MASK_RULES).items()))
-    hits = df.select(*[F.regexp_count(text, F.lit(java_pattern(p))).alias(n) for n, p in rules.items()])
+    count = lambda n, p: F.when(_may_match(F.col(text), n, p), F.regexp_count(text, F.lit(java_pattern(p)))).otherwise(F.lit(0))
+    hits = df.select(*[count(n, p).alias(n) for n, p in rules.items()])
     one = hits.agg(*[x for n in rules for x in (F.count_if(F.col(n) > 0).alias(f"{n}_rows"), F.coalesce(F.sum(n), F.lit(0)).alias(f"{n}_hits"))])
     return one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), F.col(f"{n}_rows").alias("n_rows"), F.col(f"{n}_hits").cast("long").alias("n_hits")) for n in rules])).alias("r")).select("r.*")
 
