@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir, or below a temporary folder where that is unset (tests)."""
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir. Where that is unset, a temporary one if all of Spark is one process (tests), else an error:
+    executors elsewhere would not see it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tellurion-")
         spark.conf.set("spark.checkpoint.dir", found)
-    return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    return found.rstrip("/")
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

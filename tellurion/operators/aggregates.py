@@ -79,14 +79,22 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFra
     return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.max(ts).alias("last_seen"))
 
 
-def topology(df: DataFrame, src: str, dst: str, ts: str = "ts") -> DataFrame:
-    """Each source with its destinations and when each was last seen, in order; sources without destinations are left out."""
+def topology(df: DataFrame, src: str, dst: str, ts: str = "ts", many: int = 10_000) -> DataFrame:
+    """Each source with its destinations and when each was last seen, in order; sources without destinations are left out.
+
+    A source of more than about `many` destinations has a row for each `part` of them, dealt by a hash, so no array is unbounded.
+    """
     edges = latest_by_key(df, [src, dst], ts)
-    return edges.groupBy(src).agg(F.array_sort(F.collect_list(F.struct(dst, "last_seen"))).alias("destinations"))
+    sizes = edges.groupBy(src).agg(F.ceil(F.count("*") / many).alias("_parts")).where("_parts > 1").withColumnRenamed(src, "_src")
+    dealt = edges.join(sizes, F.col(src) == F.col("_src"), "left").withColumn("part", F.pmod(F.xxhash64(dst), F.coalesce("_parts", F.lit(1))))
+    return dealt.groupBy(src, "part").agg(F.array_sort(F.collect_list(F.struct(dst, "last_seen"))).alias("destinations"))
 
 
-def run_counts(df: DataFrame, order: Sequence[str], keys: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Lengths of runs of equal keys in an ordered table, each with its number; `by` names tables within the table."""
+def run_counts(df: DataFrame, order: Sequence[str], keys: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Lengths of runs of equal keys in ordered tables, each with its number; `by` names the tables, each of which is put in order by
+    one task. So a whole large table isn't one: it needs a `by`, such as its file or hour."""
+    if not by:
+        raise ValueError("run_counts needs columns that divide the table")
     w = W.partitionBy(*by).orderBy(*order)
     now = F.struct(*keys)
     new = (F.row_number().over(w) == 1) | ~now.eqNullSafe(F.lag(now).over(w))

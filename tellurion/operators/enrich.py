@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Rows of a reference table up to which it is broadcast by hint; larger ones are left to the planner.
+#: Rows and bytes (of the rows as JSON) of a reference table up to which it is broadcast by hint; larger ones are left to the planner.
 SMALL_ROWS = 1_000_000
+SMALL_BYTES = 64 << 20
 
 
-def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """The table with a broadcast hint if it has few rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> DataFrame:
+    """The table with a broadcast hint if both its rows and their bytes are few. The measure reads at most rows + 1 rows."""
+    row_bytes = F.octet_length(F.to_json(F.struct(*df.columns)))
+    found = df.limit(rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("size")).first()
+    return F.broadcast(df) if found["n"] <= rows and found["size"] <= size else df
 
 
 def last_by_key(ref: DataFrame, key: str, order: str | None = None) -> DataFrame:
@@ -46,12 +49,27 @@ def lookup(df: DataFrame, ref: DataFrame, field: str | Column, key: str) -> Data
 
 
 def lookup_valid(df: DataFrame, ref: DataFrame, on: str, ts: str, fetched: str, ttl: str = "5 minutes") -> DataFrame:
-    """Join each row to the entry of its key that was fetched last before it and is no older than the TTL; else null columns."""
+    """Join each row to the entry of its key that was fetched last before it and is younger than the TTL; else null columns.
+
+    Rows and entries are put in order by key and TTL-long slice of time, each entry in its own slice and the next, and each row takes
+    the last entry before it: no pairs are made, and a frequent key is dealt out by time. Of entries fetched at one time the greatest
+    counts; rows and entries without key or time don't meet. The TTL is of days or shorter units. Batch only.
+    """
     extra = [c for c in ref.columns if c not in (on, fetched)]
-    r = ref.withColumn("_until", F.col(fetched) + F.expr(f"interval {ttl}"))
-    nxt = F.lead(fetched).over(W.partitionBy(on).orderBy(fetched))
-    r = r.withColumn("_until", F.least("_until", F.coalesce(nxt, F.col("_until")))).select(F.col(on).alias("_on"), F.col(fetched).alias("_from"), "_until", *extra)
-    return df.join(r, (F.col(on) == F.col("_on")) & (F.col(ts) >= F.col("_from")) & (F.col(ts) < F.col("_until")), "left").drop("_on", "_from", "_until")
+    span = F.expr(f"unix_micros(timestamp_micros(0) + interval {ttl})")
+    at = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    slice_of = lambda c: F.floor(at(c) / span).cast("long")
+    entries = ref.where(F.col(on).isNotNull() & F.col(fetched).isNotNull()).select(
+        F.col(on).alias("_on"), F.explode(F.array(slice_of(fetched), slice_of(fetched) + 1)).alias("_slice"), at(fetched).alias("_at"),
+        F.struct(at(fetched).alias("_from"), *extra).alias("_entry"),
+    )
+    rows = df.select(F.col(on).alias("_on"), slice_of(ts).alias("_slice"), at(ts).alias("_at"), F.struct(*df.columns).alias("_row"))
+    both = rows.unionByName(entries, allowMissingColumns=True)
+    # at one time entries, whose _row is null, stand before rows
+    w = W.partitionBy("_on", "_slice").orderBy("_at", F.col("_row").isNotNull(), F.col("_entry").asc_nulls_last()).rowsBetween(W.unboundedPreceding, 0)
+    met = both.withColumn("_last", F.last("_entry", ignorenulls=True).over(w)).where("_row is not null")
+    valid = F.col("_at") < F.col("_last._from") + span
+    return met.select("_row.*", *[F.when(valid, F.col(f"_last.{c}")).alias(c) for c in extra])
 
 
 def with_reload(fn: Callable[[DataFrame, DataFrame], DataFrame], read: Callable[[], DataFrame], sink: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
@@ -112,31 +130,48 @@ def only_clean(df: DataFrame, known: DataFrame, field: str, value: str = "indica
     return df.join(k, F.trim(F.col(field).cast("string")) == k["indicator"], "left_anti")
 
 
-def bloom(known: DataFrame, value: str, fpr: float = 0.01) -> tuple[bytes, int]:
-    """(bits, hashes) of a Bloom filter over the indicators; each task sets bits in its own array, and the arrays are joined."""
+#: Bits of a block of a Bloom filter: eight numbers of 64 bits, one row of the filter's table.
+BLOCK_BITS = 512
+
+
+@dataclass(frozen=True)
+class Bloom:
+    """A Bloom filter as a table (block, bits): a value's bits all lie in the block that its hash names."""
+
+    table: DataFrame
+    blocks: int
+    hashes: int
+
+
+def bloom(known: DataFrame, value: str, fpr: float = 0.01) -> Bloom:
+    """A Bloom filter over the indicators. It stays a table of Spark, so it may be of any size; no part of it passes the driver."""
     values = indicators(known, value)
     n = max(1, values.count())
-    m = int(np.ceil(-n * np.log(fpr) / np.log(2) ** 2 / 64)) * 64
-    k = max(1, round(m / n * np.log(2)))
-    words = values.select(F.explode(_bits(F.col("indicator"), m, k)).alias("b")).select((F.col("b") / 64).cast("long").alias("w"), (F.col("b") % 64).cast("int").alias("s"))
-    rows = words.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, s)")).alias("x")).collect()  # m / 64 words at most
-    out = np.zeros(m // 64, np.int64)
-    for r in rows:
-        out[r.w] = r.x
-    return out.tobytes(), k
-
-
-def _bits(value: Column, m: int, k: int) -> Column:
-    return F.array(*[F.pmod(F.xxhash64(F.lit(i), value), F.lit(m)) for i in range(k)])
-
-
-def maybe_matched(df: DataFrame, filt: tuple[bytes, int], field: str) -> DataFrame:
-    """Rows whose field may be an indicator: all that are, and few others."""
-    words, k = np.frombuffer(filt[0], np.int64), filt[1]
-    table = F.array(*[F.lit(int(x)) for x in words]) if len(words) <= 4096 else F.from_json(F.lit("[" + ",".join(map(str, words.tolist())) + "]"), "array<bigint>")
-    bits = _bits(F.trim(F.col(field).cast("string")), len(words) * 64, k)
-    hit = F.forall(bits, lambda b: F.call_function("getbit", F.get(table, (b / 64).cast("int")), (b % 64).cast("int")) == 1)
-    return df.where(F.col(field).isNotNull() & hit)
+    # blocks fill unevenly, so a filter in blocks takes a tenth more bits than one in a single array
+    m = 1.1 * -n * math.log(fpr) / math.log(2) ** 2
+    blocks, hashes = math.ceil(m / BLOCK_BITS), max(1, round(m / 1.1 / n * math.log(2)))
+    one = values.select(_block(F.col("indicator"), blocks).alias("block"), F.explode(_bits(F.col("indicator"), hashes)).alias("b"))
+    bit = F.expr("shiftleft(1L, b % 64)")
+    words = [F.coalesce(F.bit_or(F.when(F.floor(F.col("b") / 64) == i, bit)), F.lit(0).cast("long")) for i in range(BLOCK_BITS // 64)]
+    return Bloom(one.groupBy("block").agg(F.array(*words).alias("bits")), blocks, hashes)
+
+
+def _block(value: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(-1), value), F.lit(blocks))
+
+
+def _bits(value: Column, hashes: int) -> Column:
+    return F.array(*[F.pmod(F.xxhash64(F.lit(i), value), F.lit(BLOCK_BITS)).cast("int") for i in range(hashes)])
+
+
+def maybe_matched(df: DataFrame, filt: Bloom, field: str) -> DataFrame:
+    """Rows whose field may be an indicator: all that are, and few others. The filter's blocks are broadcast up to SMALL_BYTES, else
+    each row is sent to its block."""
+    value = F.trim(F.col(field).cast("string"))
+    table = filt.table.select(F.col("block").alias("_block"), F.col("bits").alias("_bits"))
+    table = F.broadcast(table) if filt.blocks * (BLOCK_BITS // 8 + 32) <= SMALL_BYTES else table
+    hit = F.forall(_bits(value, filt.hashes), lambda b: F.call_function("getbit", F.get(F.col("_bits"), F.floor(b / 64).cast("int")), b % 64) == 1)
+    return df.where(F.col(field).isNotNull()).join(table, _block(value, filt.blocks) == F.col("_block")).where(hit).drop("_block", "_bits")
 
 
 def decode(df: DataFrame, column: str, table: Mapping | DataFrame, into: str, key: str = "key", value: str = "value") -> DataFrame:

@@ -21,6 +21,12 @@ def drop_where(df: DataFrame, cond: str | Column) -> DataFrame:
     return df.where(~holds(cond))
 
 
+def drawn(key: Column, seed: int = 0) -> Column:
+    """A number below 2^48 that any engine draws alike for a key: the first 12 hex digits of the MD5 of `seed:key`. Null is ''."""
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("bigint")
+
+
 def sample(df: DataFrame, drop_ratio: float, cond: str | Column = "true", seed: int = 0, key: str | Column | None = None) -> DataFrame:
     """Drop rows that meet the condition with probability `drop_ratio`; others stay, as do rows whose condition is null.
 
@@ -31,7 +37,7 @@ def sample(df: DataFrame, drop_ratio: float, cond: str | Column = "true", seed:
     if drop_ratio >= 1:
         return drop_where(df, cond)
     k = F.col(key) if isinstance(key, str) else key
-    draw = F.rand(seed) if k is None else F.shiftrightunsigned(F.xxhash64(F.lit(seed), k), 11) / float(1 << 53)
+    draw = F.rand(seed) if k is None else drawn(k, seed) / float(1 << 48)
     return df.where(~(holds(cond) & (draw <= drop_ratio)))
 
 
@@ -72,7 +78,7 @@ def most_recent(df: DataFrame, n: int = 100, ts: str = "ts", tie: Sequence[str]
 
 def sample_within_bytes(df: DataFrame, max_bytes: int, key: str, size: Column) -> DataFrame:
     """The largest of 1, 25, 50, 75 and 100 percent of the rows, by a hash of the key, whose summed size is within the budget."""
-    u = F.pmod(F.xxhash64(key), F.lit(100))
+    u = drawn(F.col(key)) % 100
     steps = (1, 25, 50, 75, 100)
     sums = df.agg(*[F.coalesce(F.sum(F.when(u < p, size)), F.lit(0)).alias(f"p{p}") for p in steps]).first()
     fit = [p for p in steps if sums[f"p{p}"] <= max_bytes]

@@ -67,25 +67,26 @@ SYSLOG_3164 = r"^<\d{1,3}>[A-Z][a-z]{2} [ \d]\d \d\d:\d\d:\d\d \S+ ([^\s:\[]+)(?
 SYSLOG_5424 = r"^<\d{1,3}>\d \S+ \S+ (\S+) \S+ \S+ (?:-|(?:\[.*?\])+) ?(.*)$"
 
 
-def fingerprint(col: str | Column) -> Column:
-    """Hex fingerprint of a log's structure (JSON, XML, syslog or common log format), null if it has none.
+def structure(col: str | Column) -> Column:
+    """A log's structure as text (JSON, XML, syslog or common log format), null if it has none.
 
-    Equal structures have equal fingerprints. JSON: names and kinds of values; XML: elements and attribute names, equal
-    neighbours once; common log format: request without query, path parts with a digit as one kind; syslog: the program, and
-    the structure of the message where it is one of the others.
+    JSON: names and kinds of values; XML: elements and attribute names, equal neighbours once; common log format: request without
+    query, path parts with a digit as one kind; syslog: the program, and the structure of the message where it is one of the others.
+    The text to look at is chosen first, so JSON and XML take one pass of Python, and only texts that begin like them go there.
     """
     c = F.col(col) if isinstance(col, str) else col
+    forms = (SYSLOG_5424, SYSLOG_3164)
+    program = F.coalesce(*[F.when(c.rlike(rx), F.regexp_extract(c, rx, 1)) for rx in forms])
+    text = F.coalesce(*[F.when(c.rlike(rx), F.regexp_extract(c, rx, 2)) for rx in forms], c)
+    path = F.regexp_replace(F.regexp_extract(text, CLF, 5), r"[^/]*\d[^/]*", "<val>")
+    clf = F.when(text.rlike(CLF), F.concat(F.lit("clf:"), F.regexp_extract(text, CLF, 4), F.lit(" "), path))
+    plain = F.coalesce(_structures(F.when(text.rlike(r"^\s*[{\[<]"), text)), clf)
+    return F.when(program.isNotNull(), F.concat(F.lit("syslog:"), program, F.lit(":"), F.coalesce(plain, F.lit("")))).otherwise(plain)
 
-    def plain(x: Column) -> Column:
-        path = F.regexp_replace(F.regexp_extract(x, CLF, 5), r"[^/]*\d[^/]*", "<val>")
-        clf = F.concat(F.lit("clf:"), F.regexp_extract(x, CLF, 4), F.lit(" "), path)
-        return F.coalesce(_structures(x), F.when(x.rlike(CLF), clf))
-
-    def syslog(rx: str) -> Column:
-        message = F.when(c.rlike(rx), F.regexp_extract(c, rx, 2))
-        return F.when(c.rlike(rx), F.concat(F.lit("syslog:"), F.regexp_extract(c, rx, 1), F.lit(":"), F.coalesce(plain(message), F.lit(""))))
 
-    found = F.coalesce(syslog(SYSLOG_5424), syslog(SYSLOG_3164), plain(c))
+def fingerprint(col: str | Column) -> Column:
+    """Hex fingerprint of a log's structure, null if it has none. Equal structures have equal fingerprints."""
+    found = structure(col)
     return F.when(found.isNotNull(), F.lower(F.hex(F.xxhash64(found))))
 
 

@@ -218,7 +218,15 @@ def flatten_json(df: DataFrame, col: str, into: str = "fields", mapping: Mapping
 
 
 def renest(df: DataFrame, keys: Sequence[str], into: str = "records", rows: int = 100_000, order: Sequence[str] = ()) -> DataFrame:
-    """Rows of each resource as arrays of structs, at most `rows` in one, so that no array holds a whole large resource."""
+    """Rows of each resource as arrays of structs, at most `rows` in one, so that no array holds a whole large resource.
+
+    Resources are counted first; one of more rows is dealt to buckets by a hash of the order columns. `part` is text that names the
+    array within its resource: bucket and number.
+    """
     rest = [c for c in df.columns if c not in keys]
-    n = (F.row_number().over(W.partitionBy(*keys).orderBy(*(order or rest))) - 1) / rows
-    return df.withColumn("part", F.floor(n)).groupBy(*keys, "part").agg(F.array_sort(F.collect_list(F.struct(*rest))).alias(into))
+    by = list(order or rest)
+    many = df.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(F.ceil(F.count("*") / rows).alias("_buckets")).where("_buckets > 1")
+    sized = df.join(many, [F.col(f"_key{i}").eqNullSafe(F.col(k)) for i, k in enumerate(keys)], "left")
+    dealt = sized.withColumn("_bucket", F.pmod(F.xxhash64(*by), F.coalesce("_buckets", F.lit(1))))
+    n = F.floor((F.row_number().over(W.partitionBy(*keys, "_bucket").orderBy(*by)) - 1) / rows)
+    return dealt.withColumn("part", F.concat_ws("-", "_bucket", n)).groupBy(*keys, "part").agg(F.array_sort(F.collect_list(F.struct(*rest))).alias(into))

@@ -68,6 +68,9 @@ PATTERNS = {
 #: Columns that every row of the table schema needs.
 REQUIRED_COLUMNS = ("TimeGenerated", "EventCount", "EventStartTime", "EventEndTime", "EventType", "EventResult", "EventProduct", "EventVendor", "EventSchema", "EventSchemaVersion", "Dvc")
 
+#: Types of table columns.
+COLUMN_TYPES = ("string", "datetime", "int", "long", "real", "boolean", "dynamic")
+
 _SCALARS = ("integer", "long", "float", "boolean", "timestamp", "datetime")
 #: Times with a T may name a zone, those with a blank are UTC.
 _TIME = r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})?| \d{2}:\d{2}:\d{2}(\.\d+)?)$"
@@ -260,36 +263,48 @@ def table_rows(
     `validate`, rows without a required column go.
     """
     original = F.coalesce(F.try_parse_json(body), F.col(body).cast("variant"))
-    chosen, row, stream, whole = first_match(df, events), None, None, None
+    own = F.coalesce(*[rfc3339(F.col(c)) for c in (ts, observed) if c], rfc3339(F.current_timestamp()))
+    # three projections, each over columns of the one before, so that no value is coerced twice
+    typed, times, names = {}, {}, []
     for i, e in enumerate(events):
-        kinds = types.get(str(e.target), {})
+        kinds, here = types.get(str(e.target), {}), F.col("event") == i
         sources: dict[str, Column] = {}
         for f in e.fields:
             sources[f.to] = _source(f) if f.to not in sources else F.coalesce(_source(f).cast("string"), sources[f.to].cast("string"))
-        values = {to: table_value(df, c, kinds.get(to, "dynamic")) for to, c in sources.items()}
-        values["EventSchema"] = F.lit(e.schema)
-        fallback = [table_value(df, sources[c], "datetime") for c in ("TimeGenerated",) if c in sources]
-        unset = sources["TimeGenerated"].isNull() if "TimeGenerated" in sources else F.lit(True)
-        spare = None
-        for c in ("EventEndTime", "EventStartTime"):
+        names.append({to: f"_value{i}_{j}" for j, to in enumerate(sources)})
+        typed |= {names[i][to]: F.when(here, table_value(df, c, kinds.get(to, "dynamic"))) for to, c in sources.items()}
+        time = own
+        for c in ("EventStartTime", "EventEndTime", "TimeGenerated"):
             if c in sources:
-                spare = F.when(sources[c].isNotNull(), table_value(df, sources[c], "datetime")) if spare is None else spare.when(sources[c].isNotNull(), table_value(df, sources[c], "datetime"))
-        own = F.coalesce(*[rfc3339(F.col(c)) for c in (ts, observed) if c], rfc3339(F.current_timestamp()))
-        spare = own if spare is None else spare.otherwise(own)
-        values["TimeGenerated"] = F.when(unset, spare).otherwise(fallback[0]) if fallback else spare
+                instant = F.col(names[i][c]) if kinds.get(c) == "datetime" else table_value(df, sources[c], "datetime")
+                time = F.when(sources[c].isNotNull(), instant).otherwise(time)
+        times[f"_time{i}"] = F.when(here, time)
+    row = stream = whole = None
+    for i, e in enumerate(events):
+        values = {to: F.col(n) for to, n in names[i].items()} | {"EventSchema": F.lit(e.schema)}
+        values["TimeGenerated"] = F.col(f"_time{i}")
         extra = F.struct(original.alias("OriginalEvent"), F.struct(*[F.lit(v).alias(k) for k, v in sorted(attribution.items())]).alias("Attribution")) if attribution else original
-        missing = [c for c in REQUIRED_COLUMNS if c not in values]
-        complete = F.lit(not missing)
+        complete = F.lit(all(c in values for c in REQUIRED_COLUMNS))
         for c in REQUIRED_COLUMNS:
             complete = complete & values[c].isNotNull() if c in values else complete
         here = F.col("event") == i
         text = F.to_json(F.struct(*[c.alias(k) for k, c in values.items()], extra.alias("AdditionalFields")))
         name = F.lit(f"Custom-{e.target}")
         row, stream, whole = (F.when(here, text), F.when(here, name), F.when(here, complete)) if row is None else (row.when(here, text), stream.when(here, name), whole.when(here, complete))
-    out = chosen.withColumns({"stream": stream, "row_json": row, "_whole": whole}).drop("event")
+    valued = first_match(df, events).withColumns(typed).withColumns(times)
+    out = valued.withColumns({"stream": stream, "row_json": row, "_whole": whole}).drop("event", *typed, *times)
     return (out.where("_whole") if validate else out).drop("_whole")
 
 
+def table_columns(text: str) -> dict[str, dict[str, str]]:
+    """The column catalogue of tables from JSON, {table: {column: type}}, for `types` of table_rows. An unknown type is an error."""
+    out = {str(k): dict(v) for k, v in json.loads(text).items()}
+    unknown = sorted({kind for columns in out.values() for kind in columns.values()} - set(COLUMN_TYPES))
+    if unknown:
+        raise ValueError(f"unknown column types: {', '.join(unknown)}")
+    return out
+
+
 def rules_json(text: str) -> dict[int, ClassRules]:
     """Class rules from JSON: {class: {types, rules, at_least_one, just_one}}, as a deployment keeps its schema versions."""
     return {int(k): ClassRules(v.get("types", {}), [Rule(**r) for r in v.get("rules", [])], v.get("at_least_one", []), v.get("just_one", [])) for k, v in json.loads(text).items()}

@@ -203,8 +203,8 @@ def _(spark, sf):
     return X.sample(t(spark, sf, "events"), 0.0).select("event_id")
 
 
-@registered("f3_sample_half")
-def _(spark, sf):
+@registered("f3_sample_half", "SELECT event_id FROM events WHERE CAST('0x' || left(md5('0:' || event_id), 12) AS BIGINT) / 281474976710656.0 > 0.5")
+def sample_half(spark, sf):
     return X.sample(t(spark, sf, "events"), 0.5, key="event_id").select("event_id")
 
 
@@ -230,8 +230,12 @@ def _(spark, sf):
     return X.most_recent(t(spark, sf, "events").select("event_id", "ts"), 100, tie=["event_id"])
 
 
-@registered("f8_sample_within_bytes")
-def _(spark, sf):
+@registered("f8_sample_within_bytes", """
+WITH d AS (SELECT doc_id, CAST('0x' || left(md5('0:' || doc_id), 12) AS BIGINT) % 100 AS u, coalesce(octet_length(encode(text)), 0) AS size FROM documents),
+p AS (SELECT unnest([1, 25, 50, 75, 100]) AS share),
+fit AS (SELECT max(share) AS share FROM p WHERE (SELECT coalesce(sum(size), 0) FROM d WHERE u < share) <= 2000000)
+SELECT doc_id FROM d WHERE u < (SELECT coalesce(share, 0) FROM fit)""")
+def sample_within_bytes(spark, sf):
     d = t(spark, sf, "documents")
     return X.sample_within_bytes(d, 2_000_000, "doc_id", F.coalesce(F.octet_length("text"), F.lit(0))).select("doc_id")
 
@@ -292,10 +296,16 @@ def _(spark, sf):
     return J.threat_match(o, [J.Rule("debt", ["o_custkey"], debt), J.Rule("urgent", ["o_orderstatus", "o_orderpriority"], urgent)]).select("o_orderkey", "threat_rule")
 
 
-@registered("j2a_bloom")
-def _(spark, sf):
+@registered("j2a_bloom", """
+SELECT count(*) AS matched, true AS few_others FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""")
+def bloom_finds_all(spark, sf):
+    """Rows of indicators that the filter let through (all must be), and whether others are under a tenth of the table."""
+    orders = t(spark, sf, "orders")
     known = t(spark, sf, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("indicator"))
-    return J.maybe_matched(t(spark, sf, "orders"), J.bloom(known, "indicator"), "o_custkey").select("o_orderkey")
+    passed = J.maybe_matched(orders, J.bloom(known, "indicator"), "o_custkey")
+    marked = passed.join(known.withColumn("real", F.lit(True)), F.col("o_custkey") == F.col("indicator"), "left")
+    found = marked.agg(F.count("real").alias("matched"), F.count_if(F.col("real").isNull()).alias("others"))
+    return found.crossJoin(F.broadcast(orders.agg(F.count("*").alias("n")))).select("matched", (F.col("others") <= F.col("n") / 10).alias("few_others"))
 
 
 @registered("j2b_only_matched", "SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)")
@@ -411,10 +421,17 @@ def _(spark, sf):
     return S.records_json(objects, "o").select(F.get_json_object("record", "$.event_id").cast("long").alias("event_id"), F.get_json_object("record", "$.event_type").alias("event_type"))
 
 
-@registered("s9_sniffed", r"SELECT md5(line) AS h FROM (SELECT unnest(string_split_regex(text, '\r?\n')) AS line FROM documents WHERE left(ltrim(text, ' '), 1) NOT IN ('[', '{')) WHERE trim(line, ' ') <> ''")
-def _(spark, sf):
-    d = t(spark, sf, "documents").where("left(ltrim(text), 1) not in ('[', '{')")
-    return S.sniffed(d, "text").select(F.md5("record").alias("h"))
+@registered("s9_sniffed", r"""
+SELECT md5(line) AS h FROM (SELECT unnest(string_split_regex(text, '\r?\n')) AS line FROM documents) WHERE trim(line, ' ') <> ''
+UNION ALL SELECT md5('{"event_id":' || event_id || '}') FROM events UNION ALL SELECT md5('{"user_id":' || user_id || '}') FROM events""")
+def sniffed(spark, sf):
+    """Texts of lines, arrays of fifty events, and objects that hold fifty more below a value that looks like the name."""
+    by = F.floor(F.col("event_id") / 50).alias("g")
+    arrays = t(spark, sf, "events").groupBy(by).agg(F.to_json(F.collect_list(F.struct("event_id"))).alias("text"))
+    held = F.struct(F.lit('"Records": none').alias("note"), F.collect_list(F.struct("user_id")).alias("Records"))
+    objects = t(spark, sf, "events").groupBy(by).agg(F.to_json(held).alias("text"))
+    texts = t(spark, sf, "documents").select("text").unionByName(arrays.select("text")).unionByName(objects.select("text"))
+    return S.sniffed(texts, "text").select(F.md5("record").alias("h"))
 
 
 @registered("s10_cut_lines", "SELECT doc_id, CAST(ceil(length(text) / 1000.0) AS BIGINT) AS n FROM documents WHERE length(text) > 0")
@@ -438,6 +455,46 @@ def _(spark, sf):
     return S.read_since(t(spark, sf, "events"), "event_id", 100).select("event_id")
 
 
+@registered("s16_next_mark", "SELECT max(ts) + INTERVAL 1 SECOND AS mark FROM events")
+def next_mark(spark, sf):
+    return S.next_mark(t(spark, sf, "events"), "ts", "epoch_s")
+
+
+@registered("s16_epoch_time", "SELECT event_id, date_trunc('second', ts) AS s, date_trunc('millisecond', ts) AS ms FROM events")
+def epoch_times(spark, sf):
+    e, at = t(spark, sf, "events"), F.col("ts").cast("timestamp")
+    return e.select("event_id", S.epoch_time(F.unix_seconds(at)).alias("s"), S.epoch_time(F.unix_millis(at)).alias("ms"))
+
+
+@registered("s5_read_matching", "SELECT event_id FROM events WHERE event_type LIKE 'c%'")
+def files_by_glob(spark, sf):
+    """Events landed as compressed lines below a folder for each type; those of types with a `c` are read."""
+    path = shared_path(spark, "glob")
+    lines = t(spark, sf, "events").select(F.to_json(F.struct("event_id")).alias("value"), F.col("event_type").alias("type"))
+    lines.write.partitionBy("type").option("compression", "bzip2").text(path)
+    found = S.read_matching(spark, [f"{path}/type=c*"], r"^part-.*\.txt\.bz2$")
+    return found.select(F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"))
+
+
+@registered("s8_raw_text", "SELECT user_id % 50 AS b, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY 1")
+def whole_objects(spark, sf):
+    """Events landed as one file for each of 50 groups of users, each file read as one log."""
+    path = shared_path(spark, "objects")
+    lines = t(spark, sf, "events").select(F.col("event_id").cast("string").alias("value"), (F.col("user_id") % 50).alias("b"))
+    lines.repartition("b").write.partitionBy("b").text(path)
+    whole = S.read_raw_text(spark, f"{path}/b=*")
+    ids = F.transform(F.split(F.rtrim(F.col("body_text"), F.lit("\n")), "\n"), lambda x: x.cast("bigint"))
+    return whole.select(F.regexp_extract("path", r"/b=(\d+)/", 1).cast("bigint").alias("b"), F.size(ids).cast("bigint").alias("n"), F.aggregate(ids, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("ids"))
+
+
+@registered("s6_quarantined", """
+SELECT event_id, ['kept', 'blank', 'malformed', 'no_object', 'missing'][event_id % 5 + 1] AS reason FROM events""")
+def poison_rows(spark, sf):
+    forms = F.array(F.concat(F.lit('{"id":'), "event_id", F.lit("}")), F.lit("  "), F.concat(F.lit('{"id":'), "event_id"), F.lit("[1]"), F.lit(None))
+    rows, bad = S.quarantined(t(spark, sf, "events").select("event_id", F.get(forms, (F.col("event_id") % 5).cast("int")).alias("value")))
+    return rows.select("event_id", F.lit("kept").alias("reason")).unionByName(bad.select("event_id", "reason"))
+
+
 @registered("s17_json_to_logs", "SELECT event_id, make_timestamp(event_id * 1000000) AS ts FROM events")
 def _(spark, sf):
     j = t(spark, sf, "events").select(F.to_json(F.struct("event_id", F.col("event_id").alias("time"))).alias("j"))
@@ -478,9 +535,17 @@ def _(spark, sf):
     return L.severity(t(spark, sf, "events"), "value", [(17, "value < 10"), (13, "value < 50")], 9).select("event_id", "severity_number")
 
 
-@registered("l2_mine_templates")
-def _(spark, sf):
-    return L.mine_templates(t(spark, sf, "events"), "props")
+@registered("l2_mine_templates", """
+SELECT count(*) AS n, min('{"event_id":' || event_id || ',"event_type":"' || event_type || '"}') AS example FROM events
+UNION ALL SELECT count(*), min('10.0.0.1 - - [x] "GET /' || event_type || '/' || event_id || '?q=1 HTTP/1.1" 200 ' || user_id) FROM events GROUP BY event_type""")
+def mined_templates(spark, sf):
+    return L.mine_templates(_mixed_logs(spark, sf), "log").select("n", "example")
+
+
+@registered("l1_structures", """
+SELECT event_id, 'json:{event_id:<val>,event_type:<txt>}' AS structure FROM events UNION ALL SELECT event_id, 'clf:GET /' || event_type || '/<val>' FROM events""")
+def structures(spark, sf):
+    return _mixed_logs(spark, sf).select("event_id", L.structure("log").alias("structure"))
 
 
 # ---------------------------------------------------------------- security schemas
@@ -621,10 +686,22 @@ def _(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
-@registered("k7_json_arrays", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
-def _(spark, sf):
-    a = K.json_arrays(t(spark, sf, "orders").select("o_orderstatus", "o_orderkey"), ["o_orderstatus"], 100)
-    return a.groupBy("o_orderstatus").agg(F.sum(F.json_array_length("body")).alias("n"))
+@registered("k7_json_arrays", "SELECT o_orderstatus, o_orderkey, o_custkey FROM orders")
+def json_arrays(spark, sf):
+    a = K.json_arrays(t(spark, sf, "orders").select("o_orderstatus", "o_orderkey", "o_custkey"), ["o_orderstatus"], 100)
+    return a.select("o_orderstatus", F.inline(F.from_json("body", "array<struct<o_orderkey:bigint,o_custkey:bigint>>")))
+
+
+@registered("k2a_class_schemas", "SELECT 'signin' AS source, 3002 AS class_uid, epoch_us(ts) // 1000 AS time, user_id AS uid, event_type AS activity FROM events")
+def typed_lake(spark, sf):
+    """Events written to the lake with the columns of their class, and read back."""
+    schemas = K.class_schemas('{"3002": "time bigint, activity_name string, user struct<uid: bigint>"}')
+    e = t(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    event = F.struct(F.lit(3002).alias("class_uid"), F.unix_millis("ts").alias("time"), F.col("event_type").alias("activity_name"), F.struct(F.col("user_id").alias("uid")).alias("user"))
+    rows, _ = K.lake_rows(e.select(F.to_json(event).alias("body_text")), {3002: "signin"})
+    path = shared_path(spark, "lake")
+    K.write_lake(rows, path, "r1", "a1", schemas, file_rows=20_000)
+    return spark.read.parquet(path).select(F.col("ext").alias("source"), F.col("class_uid").cast("int").alias("class_uid"), "time", F.col("event.user.uid").alias("uid"), F.col("event.activity_name").alias("activity"))
 
 
 # ---------------------------------------------------------------- vendor records
@@ -640,11 +717,22 @@ def _(spark, sf):
 
 @registered("s21_m365_logs", """
 SELECT event_id, ['Regular', 'Reserved', 'Admin', 'DcAdmin', 'System', 'Application', 'ServicePrincipal', 'CustomPolicy', 'SystemPolicy', 'unknown'][event_id % 10 + 1] AS user_type,
- CASE WHEN event_id % 2 = 0 THEN 'a' || event_id END AS alert FROM events""")
-def _(spark, sf):
-    j = F.to_json(F.struct(F.col("event_id").alias("Id"), (F.col("event_id") % 10).alias("UserType"), F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("a"), "event_id")).otherwise("").alias("AlertId")))
+ CASE WHEN event_id % 2 = 0 THEN 'a' || event_id END AS alert, CASE WHEN event_id % 2 = 0 THEN 'n' || event_id END AS alert_name,
+ CASE WHEN event_id % 2 = 1 THEN 'u' || event_id END AS url, ['Pending', 'Timeout', 'Error', 'Good', 'Bad', 'unknown'][event_id % 6 + 1] AS verdict,
+ '[{"actor.id":"' || user_id || '","actor.type":"' || ['Claim', 'Name', 'Other', 'PUID', 'SPN', 'UPN', 'unknown'][event_id % 7 + 1] || '"}]' AS actors FROM events""")
+def office_audit(spark, sf):
+    n, even = F.col("event_id"), F.col("event_id") % 2 == 0
+    j = F.to_json(F.struct(
+        n.alias("Id"), (n % 10).alias("UserType"), F.when(even, F.concat(F.lit("a"), n)).otherwise("").alias("AlertId"), F.concat(F.lit("n"), n).alias("Name"),
+        F.when(even, 20).otherwise(41).alias("RecordType"), F.concat(F.lit("u"), n).alias("URL"), F.struct((n % 6 - 3).alias("FileVerdict")).alias("FileData"),
+        F.array(F.struct(F.col("user_id").cast("string").alias("ID"), (n % 7).alias("Type"))).alias("Actor"),
+    ))
     x = V.m365_logs(t(spark, sf, "events").select(j.alias("j")), "j", "general", "t1")
-    return x.select(F.element_at("attributes", "id").cast("long").alias("event_id"), F.element_at("attributes", "user.type").alias("user_type"), F.try_element_at("attributes", F.lit("security.alert.id")).alias("alert"))
+    at = lambda k: F.try_element_at("attributes", F.lit(k))
+    return x.select(
+        at("id").cast("long").alias("event_id"), at("user.type").alias("user_type"), at("security.alert.id").alias("alert"), at("security.alert.name").alias("alert_name"),
+        at("defender.url.url").alias("url"), at("defender.file.verdict").alias("verdict"), at("azure.actors").alias("actors"),
+    )
 
 
 @registered("s22_audit_logs", "SELECT CAST(event_id AS VARCHAR) AS id, event_type AS action, CAST(user_id AS VARCHAR) AS account FROM events")
@@ -782,6 +870,13 @@ def _(spark, sf):
     return x.select(F.element_at("fields", "signature_id").cast("long").alias("event_id"), F.element_at("fields", "name").alias("name"), "severity_number")
 
 
+def _mixed_logs(spark, sf):
+    """Each event as a JSON object and as a line of an access log."""
+    clf = F.concat(F.lit('10.0.0.1 - - [x] "GET /'), "event_type", F.lit("/"), "event_id", F.lit('?q=1 HTTP/1.1" 200 '), "user_id")
+    both = F.array(F.to_json(F.struct("event_id", "event_type")), clf)
+    return t(spark, sf, "events").select("event_id", F.explode(both).alias("log"))
+
+
 @registered("l1_fingerprint", """
 SELECT 'json' AS form, event_type, 1 AS n_fingerprints FROM events GROUP BY 2 UNION ALL SELECT 'clf', event_type, 1 FROM events GROUP BY 2""")
 def _(spark, sf):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
@@ -28,8 +29,6 @@ def time_prefixes(start: datetime, end: datetime, pattern: str = "year={year}/mo
 def with_path_time(df: DataFrame, pattern: str, anchored: bool = True, path: Column | None = None, into: str = "path_ts") -> DataFrame:
     """The time that a file's path names by {year}{month}{day}{hour}{minute}{second}; month and day default to 1, the rest to 0.
     Paths that don't match, or name no real time, give null."""
-    import re
-
     names = re.findall(r"\{(\w+)\}", pattern)
     if "year" not in names:
         raise ValueError("the pattern names no year")
@@ -56,12 +55,13 @@ def read_partitioned(spark: SparkSession, path: str, start: datetime | None = No
     return df
 
 
-def write_partitioned(df: DataFrame, path: str, ts: str = "ts", level: str = "hour", gzip: bool = True, mode: str = "append") -> None:
-    """NDJSON below year=/month=/day=/hour=[/minute=] of the UTC time, zero-padded, so that read_partitioned finds it again."""
+def write_partitioned(df: DataFrame, path: str, ts: str = "ts", level: str = "hour", gzip: bool = True, mode: str = "append", codec: str | None = None) -> None:
+    """NDJSON, with gzip or another of Spark's codecs (bzip2, deflate, lz4, snappy, zstd), below year=/month=/day=/hour=[/minute=] of the UTC time, zero-padded, so that read_partitioned finds it again."""
     names = PARTS[: PARTS.index(level) + 1]
     forms = dict(zip(PARTS, ("yyyy", "MM", "dd", "HH", "mm"), strict=True))
     w = df.withColumns({n: F.date_format(ts, forms[n]) for n in names}).write.mode(mode).options(**TIME_LAYOUT).partitionBy(*names)
-    (w.option("compression", "gzip") if gzip else w).json(path)
+    codec = codec or ("gzip" if gzip else "none")
+    w.option("compression", codec).json(path)
 
 
 def stream_landing(spark: SparkSession, path: str, schema: str, max_files: int | None = None) -> DataFrame:
@@ -82,6 +82,15 @@ def bad_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     return lines.agg(F.count_if(t == "").alias("blank"), F.count_if((t != "") & v.isNull()).alias("malformed"), F.count_if(v.isNotNull() & ~t.startswith("{")).alias("no_object"))
 
 
+def quarantined(lines: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantined): lines that are JSON objects, and all others with why in `reason`: `missing` (null), `blank`, `malformed`
+    or `no_object`. Every row is in one of the two."""
+    t, v = F.trim(col), F.try_parse_json(F.col(col))
+    reason = F.when(F.col(col).isNull(), "missing").when(t == "", "blank").when(v.isNull(), "malformed").when(~t.startswith("{"), "no_object")
+    marked = lines.withColumn("reason", reason)
+    return marked.where("reason is null").drop("reason"), marked.where("reason is not null")
+
+
 def records_json(objects: DataFrame, col: str, field: str = "records") -> DataFrame:
     """A row for each element of {"records": [...]}; malformed objects and empty lists give none."""
     items = F.from_json(F.get_json_object(col, f"$.{field}"), "array<string>")
@@ -89,9 +98,10 @@ def records_json(objects: DataFrame, col: str, field: str = "records") -> DataFr
 
 
 def sniffed(objects: DataFrame, col: str, field: str = "Records", within: int = 4096) -> DataFrame:
-    """Elements of a JSON array; of an object's array under `field`, if that name begins within so many characters; else its lines."""
+    """Elements of a JSON array; of an object's array under `field`, if that name (as a name, not a value) begins within so many
+    characters; else its lines."""
     t = F.trim(col)
-    at = F.locate(f'"{field}"', col)
+    at = F.regexp_instr(t, F.lit(rf'[{{,]\s*"{re.escape(field)}"\s*:'))
     listed = F.when(t.startswith("["), F.from_json(t, "array<string>")).when(t.startswith("{") & (at > 0) & (at <= within), F.from_json(F.get_json_object(t, f"$.{field}"), "array<string>"))
     lines = F.filter(F.split(col, r"\r?\n"), lambda x: F.trim(x) != "")
     return objects.select(F.explode(F.coalesce(listed, lines)).alias("record"))
@@ -139,6 +149,41 @@ def read_since(df: DataFrame, ts: str, high_water=None) -> DataFrame:
     return df if high_water is None else df.where(F.col(ts) > F.lit(high_water))
 
 
+def epoch_time(value: Column) -> Column:
+    """A number since 1970 as a time: over 1e10 it is milliseconds, else seconds; fractions are kept to the microsecond."""
+    n = value.try_cast("double")
+    whole = F.floor(n)
+    scale = F.when(n > 1e10, 1_000).otherwise(1_000_000)
+    return F.timestamp_micros((whole * scale + F.round((n - whole) * scale)).cast("bigint"))
+
+
+#: The least step of each form of a time, in microseconds; of nanoseconds the least that a time can hold.
+MARK_STEPS = {"epoch_s": 1_000_000, "epoch_ms": 1_000, "epoch_us": 1, "epoch_ns": 1, "epoch_s_frac": 1, "text": 1}
+
+
+def next_mark(df: DataFrame, ts: str, form: str = "text") -> DataFrame:
+    """One row with `mark`: the newest time and one step of the form it is asked for in, from which the next read starts (inclusive).
+    A table without times gives a null mark, that is, the mark so far stays."""
+    return df.agg(F.timestamp_micros(F.unix_micros(F.max(F.col(ts).cast("timestamp"))) + MARK_STEPS[form]).alias("mark"))
+
+
+def read_matching(spark: SparkSession, globs: Sequence[str], name: str | None = None, schema: str = "value string", form: str = "text", **options) -> DataFrame:
+    """Files below paths with wildcards, as rows with `path`; of these only files whose name the pattern is found in.
+
+    Compressed files are read by their extension (gz, bz2, zst, deflate, lz4, snappy). The pattern holds for the file's name
+    before any of its rows is read on.
+    """
+    df = spark.read.options(**options).schema(schema).format(form).load(list(globs))
+    df = df.where(F.col("_metadata.file_name").rlike(name)) if name else df
+    return df.select("*", F.col("_metadata.file_path").alias("path"))
+
+
+def read_raw_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """A row for each whole file, as body_text with its path; files of nothing but white space are left out."""
+    df = spark.read.text(path, wholetext=True).select(F.col("value").alias("body_text"), F.col("_metadata.file_path").alias("path"))
+    return df.where(F.col("body_text").rlike(r"\S"))
+
+
 #: Fields that may hold a record's time, and its number, in order.
 TIME_FIELDS = ("timestamp", "time", "created_at", "createdAt", "date", "datetime", "@timestamp")
 VALUE_FIELDS = ("value", "count", "total", "sum", "amount", "metric", "measurement")
@@ -163,14 +208,21 @@ def json_to_metrics(df: DataFrame, col: str, name: str | Column, attrs_exclude:
     return df.select((F.lit(name) if isinstance(name, str) else name).alias("metric_name"), number(F.element_at(m, key)).alias("value"), shown.alias("attributes")).where("metric_name is not null and value is not null")
 
 
+#: Batches of a bucket of size_batches, on average.
+BUCKET_BATCHES = 16
+
+
 def size_batches(df: DataFrame, keys: Sequence[str], size: Column, limit: int = 4_000_000, order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(rows with batch, oversized rows): rows of each key numbered into batches whose sizes sum to at most `limit`.
 
-    Two steps by hash ranges would split a large key; here batches are cut per key and bucket of rows, so that a key of any size is
-    dealt to many tasks: a bucket is a hash of the order columns.
+    Sizes are summed by key first. A key of more than BUCKET_BATCHES batches is dealt to as many buckets as its sum asks for, by a hash
+    of the order columns, and batches are cut within a bucket; so a key of any size is shared by many tasks.
     """
     rest = [F.col(c) for c in (order or [c for c in df.columns if c not in keys])]
-    sized = df.withColumns({"_size": size, "_bucket": F.pmod(F.xxhash64(*rest), F.lit(64))})
+    sized = df.withColumn("_size", size)
+    of_key = [F.col(f"_key{i}").eqNullSafe(F.col(k)) for i, k in enumerate(keys)]
+    many = sized.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(F.ceil(F.sum("_size") / (limit * BUCKET_BATCHES)).alias("_buckets")).where("_buckets > 1")
+    sized = sized.join(many, of_key, "left").withColumn("_bucket", F.pmod(F.xxhash64(*rest), F.coalesce("_buckets", F.lit(1)))).drop("_buckets", *[f"_key{i}" for i in range(len(keys))])
     w = W.partitionBy(*keys, "_bucket").orderBy(*rest)
     fit = sized.where(F.col("_size") <= limit)
     # rows of at most half the limit fill windows of half the limit; larger ones stand alone

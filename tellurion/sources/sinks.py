@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Target columns that the three signals share, and the flat columns that fill them.
 SHARED = {
@@ -91,27 +93,44 @@ def lake_rows(df: DataFrame, sources: dict[int, str], body: str = "body_text") -
     return out.where("reason is null").drop("reason"), out.where("reason is not null")
 
 
-def write_lake(rows: DataFrame, path: str, region: str, account: str, schemas: dict[int, str] | None = None, body: str = "body_text", salt: int = 16, mode: str = "append") -> None:
+def class_schemas(text: str) -> dict[int, str]:
+    """The typed columns of event classes from JSON, {class: DDL}, for `schemas` of write_lake. DDL that Spark can't read is an error."""
+    out = {int(k): v for k, v in json.loads(text).items()}
+    for ddl in out.values():
+        StructType.fromDDL(ddl)
+    return out
+
+
+def write_lake(rows: DataFrame, path: str, region: str, account: str, schemas: dict[int, str] | None = None, body: str = "body_text", salt: int = 1, file_rows: int = 1_000_000, mode: str = "append") -> None:
     """Parquet (zstd) below ext=<source>/region=/accountId=/eventDay=/class=, each file sorted by time.
 
-    A source and day of any size is dealt to `salt` tasks. With a schema (DDL) of a class its bodies become typed columns; the rest
+    Rows are counted by source, day and class, and each of these is dealt to a task for every
+    `file_rows` of its rows, `salt` at least. With a schema (DDL) of a class its bodies become typed columns; the rest
     stay JSON. A class with a schema is written on its own, as its columns are.
     """
     schemas = schemas or {}
     parts = [(rows.where(F.col("class_uid") == k), s) for k, s in schemas.items()] + [(rows.where(~F.col("class_uid").isin(list(schemas) or [-1])), None)]
     for df, schema in parts:
         shaped = df.select("source", "event_day", "class_uid", "time", *([F.from_json(body, schema).alias("event")] if schema else [F.col(body)]))
-        dealt = shaped.repartition("source", "event_day", "class_uid", F.pmod(F.xxhash64("time"), F.lit(salt)))
+        many = df.groupBy(F.col("source").alias("_s"), F.col("event_day").alias("_d"), F.col("class_uid").alias("_c")).agg(F.greatest(F.ceil(F.count("*") / file_rows), F.lit(salt)).alias("_files")).where("_files > 1")
+        sized = shaped.join(many, (F.col("source") == F.col("_s")) & (F.col("event_day") == F.col("_d")) & (F.col("class_uid") == F.col("_c")), "left")
+        spread = F.pmod(F.xxhash64("time", *([] if schema else [body])), F.coalesce("_files", F.lit(1)))
+        dealt = sized.withColumn("_file", spread).repartition("source", "event_day", "class_uid", "_file").drop("_s", "_d", "_c", "_files", "_file")
         named = dealt.withColumns({"region": F.lit(region), "accountId": F.lit(account), "eventDay": F.col("event_day"), "ext": F.col("source"), "class": F.col("class_uid")})
         w = named.drop("source", "event_day").sortWithinPartitions("ext", "eventDay", "class", "time")
         w.write.mode(mode).partitionBy("ext", "region", "accountId", "eventDay", "class").option("compression", "zstd").parquet(path)
 
 
 def json_arrays(df: DataFrame, keys: Sequence[str], rows: int = 1000) -> DataFrame:
-    """JSON arrays of at most about `rows` rows of the same keys: rows are dealt to buckets by hash, so no key lands in one task."""
-    rest = [c for c in df.columns if c not in keys]
-    totals = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    joined = df.alias("l").join(totals.alias("r"), same).select("l.*", "r._n")
-    bucket = F.pmod(F.xxhash64(*rest), F.ceil(F.col("_n") / rows)).cast("int")
-    return joined.withColumn("bucket", bucket).groupBy(*keys, "bucket").agg(F.to_json(F.collect_list(F.struct(*rest))).alias("body"), F.count("*").alias("n"))
+    """JSON arrays of about `rows` rows of the same keys. Equal rows are counted first and dealt out in pieces; pieces go to buckets by
+    hash, as many as the key's count asks for, so neither a key nor the copies of one row land in one task."""
+    rest, piece = [c for c in df.columns if c not in keys], max(1, rows // 10)
+    counted = df.select(*keys, F.to_json(F.struct(*rest)).alias("_row")).groupBy(*keys, "_row").agg(F.count("*").alias("_n"))
+    many = counted.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(F.ceil(F.sum("_n") / rows).alias("_buckets")).where("_buckets > 1")
+    sized = counted.join(many, [F.col(f"_key{i}").eqNullSafe(F.col(k)) for i, k in enumerate(keys)], "left")
+    last = F.floor((F.col("_n") - 1) / piece)
+    pieces = sized.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))))
+    copies = F.when(F.col("_piece") == last, F.col("_n") - last * piece).otherwise(piece).cast("int")
+    bucket = F.pmod(F.xxhash64("_row", "_piece"), F.coalesce("_buckets", F.lit(1))).cast("int")
+    lists = pieces.withColumn("bucket", bucket).groupBy(*keys, "bucket").agg(F.flatten(F.collect_list(F.array_repeat("_row", copies))).alias("_rows"))
+    return lists.select(*keys, "bucket", F.concat(F.lit("["), F.array_join("_rows", ","), F.lit("]")).alias("body"), F.size("_rows").cast("long").alias("n"))

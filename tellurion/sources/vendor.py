@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,14 +20,31 @@ ACTOR_TYPES = ("Claim", "Name", "Other", "PUID", "SPN", "UPN")
 FILE_WORKLOADS = ("SharePoint Online", "OneDrive for Business", "Microsoft Teams")
 REQUEST_SOURCES = ("SCC", "Cmdlet", "URLlink")
 
+#: Verdicts on files, by number.
+FILE_VERDICTS = {0: "Good", 1: "Bad", -1: "Error", -2: "Timeout", -3: "Pending"}
+
 #: Optional attributes of office audit events, and the JSON paths that hold them.
 M365 = {
-    "yammer.file.id": "FileId", "dlp.sharepoint.user": "SharePointMetaData.From", "dlp.exchange.message.id": "ExchangeMetaData.MessageID",
+    "workload": "Workload", "result": "ResultStatus", "sharepoint.site.id": "Site", "exchange.mailbox.id": "MailboxGuid", "yammer.user.id": "ActorUserId", "yammer.file.id": "FileId",
+    "investigation.id": "InvestigationId", "investigation.status": "Status", "dynamics365.entity.id": "EntityId", "dynamics365.entity.name": "EntityName", "forms.form.id": "FormId",
+    "mip.label.id": "LabelId", "todo.app.id": "ActorAppId", "todo.item.id": "ItemID", "web.project.id": "ProjectId", "web.roadmap.id": "RoadmapId", "web.roadmap.item.id": "RoadmapItemId",
+    "dlp.sharepoint.user": "SharePointMetaData.From", "dlp.exchange.message.id": "ExchangeMetaData.MessageID",
     "communication_compliance.exchange.network.message.id": "ExchangeDetails.NetworkMessageId", "system_sync.data.share.id": "Invitation.ShareId", "defender.file.id": "FileData.DocumentId",
-    "security.alert.id": "AlertId", "security.alert.name": "Name", "compliance_connector.job.id": "JobId", "viva.username": "Username", "actor.id": "Actor[0].ID",
-    "policy.id": "PolicyDetails[0].PolicyId", "policy.name": "PolicyDetails[0].PolicyName", "file.name": "AttachmentData[0].FileName",
+    "security.alert.id": "AlertId", "security.alert.name": "Name", "compliance_connector.job.id": "JobId", "compliance_connector.task.id": "TaskId",
+    "viva.username": "Username", "viva.organization.name": "OrganizationName",
+}
+#: Attributes that count only beside another field, and those of one record type only.
+M365_BESIDE = {"security.alert.name": "AlertId", "compliance_connector.task.id": "JobId", "viva.organization.name": "Username"}
+M365_OF_TYPE = {"powerbi.app.name": (20, "AppName"), "defender.url.url": (41, "URL"), "encrypted_portal.message.id": (154, "MessageId"), "graph.consent.app.id": (217, "ApplicationId")}
+M365_ENUMS = {
+    "quarantine.request_source": ("RequestSource", REQUEST_SOURCES), "defender.file.source_workload": ("SourceWorkload", FILE_WORKLOADS), "defender.file.verdict": ("FileData.FileVerdict", FILE_VERDICTS),
+}
+#: Attributes that are lists, their JSON path, and the names and fields (and enumerations) of their items.
+M365_LISTS = {
+    "azure.actors": ("Actor", {"actor.id": ("ID", None), "actor.type": ("Type", ACTOR_TYPES)}),
+    "dlp.policy_details": ("PolicyDetails", {"policy.id": ("PolicyId", None), "policy.name": ("PolicyName", None)}),
+    "defender.email.attachments": ("AttachmentData", {"file.name": ("FileName", None)}),
 }
-M365_ENUMS = {"quarantine.request_source": ("RequestSource", REQUEST_SOURCES), "defender.file.source_workload": ("SourceWorkload", FILE_WORKLOADS), "actor.type": ("Actor[0].Type", ACTOR_TYPES)}
 
 #: Positions of the metrics in the rows of each usage report.
 USAGE_REPORTS = {
@@ -51,10 +69,19 @@ def _at(col: str, path: str) -> Column:
     return F.get_json_object(col, f"$.{path}")
 
 
-def enum_name(value: Column, names: Sequence[str], other: str = "unknown") -> Column:
-    """The name of a number from 0, `other` for a number without one, null for no number."""
+def enum_name(value: Column, names: Sequence[str] | Mapping[int, str], other: str = "unknown") -> Column:
+    """The name of a number (of a sequence from 0), `other` for a number without one, null for no number."""
+    known = names if isinstance(names, Mapping) else dict(enumerate(names))
+    table = F.create_map(*[F.lit(x) for p in known.items() for x in p])
     n = value.try_cast("int")
-    return F.when(n.between(0, len(names) - 1), F.element_at(F.array(*[F.lit(x) for x in names]), n + 1)).when(n.isNotNull(), F.lit(other))
+    return F.when(n.isNotNull(), F.coalesce(F.try_element_at(table, n), F.lit(other)))
+
+
+def _inside(record: str, path: str) -> Column:
+    """A value of an object that was parsed into a map of its fields; only a field below it is parsed again."""
+    head, below = re.match(r"([^.\[]+)(.*)", path).groups()
+    value = F.try_element_at(record, F.lit(head))
+    return F.get_json_object(value, f"${below}") if below else value
 
 
 def okta_logs(df: DataFrame, col: str, domain: str) -> DataFrame:
@@ -65,14 +92,27 @@ def okta_logs(df: DataFrame, col: str, domain: str) -> DataFrame:
     return df.where(F.try_parse_json(col).isNotNull()).select("*", *[c.alias(k) for k, c in out.items() if k not in df.columns])
 
 
+def _item(fields: Mapping[str, tuple]) -> Callable[[Column], Column]:
+    return lambda x: F.struct(*[(enum_name(x[f], names) if names else x[f]).alias(n) for n, (f, names) in fields.items()])
+
+
 def m365_logs(df: DataFrame, col: str, audit: str, tenant: str, more: Mapping[str, str] | None = None) -> DataFrame:
-    """Office audit events as logs: ts when created (else now), attributes from fixed paths and those in `more`; empty ones are left out."""
-    attrs = {"id": _at(col, "Id"), "operation": _at(col, "Operation"), "user.id": _at(col, "UserId"), "user.type": enum_name(F.coalesce(_at(col, "UserType"), F.lit("0")), USER_TYPES)}
-    attrs |= {k: F.nullif(_at(col, p), F.lit("")) for k, p in (M365 | dict(more or {})).items()}
-    attrs |= {k: enum_name(_at(col, p), names) for k, (p, names) in M365_ENUMS.items()}
-    ts = F.coalesce(F.try_to_timestamp(_at(col, "CreationTime")), F.current_timestamp())
+    """Office audit events as logs: ts when created (else now), attributes from fixed paths and those in `more`; empty ones are left
+    out, and lists are JSON text. Each event is parsed once."""
+    df, given = df.withColumn("_rec", F.from_json(col, "map<string,string>")), df.columns
+    at = lambda p: _inside("_rec", p)
+    some = lambda p: F.nullif(at(p), F.lit(""))
+    attrs = {"id": at("Id"), "operation": at("Operation"), "user.id": at("UserId"), "user.type": enum_name(F.coalesce(at("UserType"), F.lit("0")), USER_TYPES)}
+    for k, p in (M365 | dict(more or {})).items():
+        attrs[k] = F.when(some(M365_BESIDE[k]).isNotNull(), some(p)) if k in M365_BESIDE else some(p)
+    attrs |= {k: F.when(at("RecordType").try_cast("int") == n, some(p)) for k, (n, p) in M365_OF_TYPE.items()}
+    attrs |= {k: enum_name(at(p), names) for k, (p, names) in M365_ENUMS.items()}
+    for k, (p, fields) in M365_LISTS.items():
+        items = F.from_json(at(p), f"array<struct<{', '.join(f'{f}:string' for f, _ in fields.values())}>>")
+        attrs[k] = F.to_json(F.transform(items, _item(fields)))
+    ts = F.coalesce(F.try_to_timestamp(at("CreationTime")), F.current_timestamp())
     resource = F.create_map(F.lit("m365.audit"), F.lit(audit), F.lit("m365.organization.id"), F.lit(tenant))
-    return df.select("*", *[c.alias(k) for k, c in (("ts", ts), ("body_text", F.col(col)), ("attributes", attributes(attrs)), ("resource", resource)) if k not in df.columns])
+    return df.select(*given, *[c.alias(k) for k, c in (("ts", ts), ("body_text", F.col(col)), ("attributes", attributes(attrs)), ("resource", resource)) if k not in given])
 
 
 def audit_logs(df: DataFrame, parsed: bool = True, ts: str = "timestamp", url: str = "", url_name: str = "platform_url") -> DataFrame:
