@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellurion.functions.shared import shared_path
+from tellurion.functions.shared import shared_path, spread
 from tellurion.operators import aggregates as A
 from tellurion.operators import enrich as J
 from tellurion.operators import filters as X
@@ -50,9 +50,14 @@ def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def event_logs(spark: SparkSession, sf: str) -> DataFrame:
+def dealt(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table whose every row is dear to work on, so that even a small one is dealt to all cores."""
+    return spread(t(spark, sf, name))
+
+
+def event_logs(spark: SparkSession, sf: str, read: Callable[..., DataFrame] = t) -> DataFrame:
     """The events table as flat logs."""
-    e = t(spark, sf, "events")
+    e = read(spark, sf, "events")
     return e.select(
         "event_id", "ts", "user_id", "event_type", "value", F.col("props").alias("body_text"),
         F.create_map(F.lit("user"), F.col("user_id").cast("string")).alias("resource"), F.concat(F.lit('{"user":"'), F.col("user_id").cast("string"), F.lit('"}')).alias("resource_key"),
@@ -342,12 +347,12 @@ def _mask_sql(names):
 
 @registered("r1_mask", f"SELECT doc_id, md5({_mask_sql(R.MASK_RULES)}) AS h FROM documents")
 def _(spark, sf):
-    return R.mask(t(spark, sf, "documents"), ["text"]).select("doc_id", F.md5("text").alias("h"))
+    return R.mask(dealt(spark, sf, "documents"), ["text"]).select("doc_id", F.md5("text").alias("h"))
 
 
 @registered("r1b_mask_report", " UNION ALL ".join(f"SELECT '{n}' AS rule, count(*) FILTER (regexp_matches(text, '{p}')) AS n_rows, CAST(coalesce(sum(len(regexp_extract_all(text, '{p}'))), 0) AS BIGINT) AS n_hits FROM documents" for n, p in sorted(R.MASK_RULES.items())))
 def _(spark, sf):
-    return R.mask_report(t(spark, sf, "documents"), "text")
+    return R.mask_report(dealt(spark, sf, "documents"), "text")
 
 
 @registered("r2_remove_empty", "SELECT event_id, CASE WHEN event_type = 'click' THEN 1 ELSE 2 END - CASE WHEN props IS NULL OR json_extract_string(props, '$.k') IS NULL THEN 1 ELSE 0 END AS n FROM events")
@@ -563,27 +568,27 @@ _CLASS_RULES = {
 
 @registered("n1_first_match", "SELECT event_id, CASE WHEN event_type IN ('click', 'view') THEN 3002 ELSE 3001 END AS class_uid FROM events WHERE event_type IN ('click', 'view') OR event_type <> 'signup'")
 def _(spark, sf):
-    return N.class_rows(t(spark, sf, "events"), [_SIGN_IN, _ACCOUNT], "1.3.0", validate=False)[0].select("event_id", "class_uid")
+    return N.class_rows(dealt(spark, sf, "events"), [_SIGN_IN, _ACCOUNT], "1.3.0", validate=False)[0].select("event_id", "class_uid")
 
 
 @registered("n3_class_rows", """
 SELECT event_id, 3002 AS class_uid, 3 AS category_uid, 300200 + CASE event_type WHEN 'click' THEN 1 ELSE 2 END AS type_uid, epoch_us(ts) // 1000 AS time, 'u' || user_id AS user_name, '1.3.0' AS version,
  CAST(json_extract_string(props, '$.k') AS BIGINT) AS n FROM events WHERE event_type IN ('click', 'view') AND user_id % 2 = 0""")
 def _(spark, sf):
-    rows, _ = N.class_rows(t(spark, sf, "events"), [_SIGN_IN], "1.3.0", _CLASS_RULES)
+    rows, _ = N.class_rows(dealt(spark, sf, "events"), [_SIGN_IN], "1.3.0", _CLASS_RULES)
     at = lambda p, kind: F.get_json_object("body_text", f"$.{p}").cast(kind)
     return rows.select("event_id", "class_uid", at("category_uid", "int").alias("category_uid"), at("type_uid", "int").alias("type_uid"), at("time", "bigint").alias("time"), at("user.name", "string").alias("user_name"), at("metadata.version", "string").alias("version"), at("count", "bigint").alias("n"))
 
 
 @registered("n4_coercion", "SELECT event_id, CASE WHEN value < 50 THEN '2' ELSE 'high' END AS severity, CASE WHEN value < 50 THEN 0 ELSE 1 END AS n_errors FROM events WHERE event_type <> 'signup'")
 def _(spark, sf):
-    rows, _ = N.class_rows(t(spark, sf, "events"), [_ACCOUNT], "1.3.0", _CLASS_RULES, validate=False)
+    rows, _ = N.class_rows(dealt(spark, sf, "events"), [_ACCOUNT], "1.3.0", _CLASS_RULES, validate=False)
     return rows.select("event_id", F.get_json_object("body_text", "$.severity_id").alias("severity"), F.size("coercion_errors").alias("n_errors"))
 
 
 @registered("n5_rejected", "SELECT event_id, 'user.name: format' AS errors FROM events WHERE event_type IN ('click', 'view') AND user_id % 2 = 1 UNION ALL SELECT event_id, 'severity_id, status_id: just one' FROM events WHERE event_type NOT IN ('click', 'view', 'signup') AND value >= 50")
 def _(spark, sf):
-    _, rejected = N.class_rows(t(spark, sf, "events"), [_SIGN_IN, _ACCOUNT], "1.3.0", _CLASS_RULES)
+    _, rejected = N.class_rows(dealt(spark, sf, "events"), [_SIGN_IN, _ACCOUNT], "1.3.0", _CLASS_RULES)
     return rejected.select("event_id", F.array_join("errors", "; ").alias("errors"))
 
 
@@ -599,7 +604,7 @@ _TABLE_TYPES = {"ASimAuthenticationEventLogs": {"EventCount": "int", "EventStart
 SELECT event_id, 'Custom-ASimAuthenticationEventLogs' AS stream, CASE WHEN event_id % 3 = 0 THEN 16 ELSE 7 END AS n, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS generated, json_extract_string(props, '$.k') AS k
 FROM events WHERE event_type <> 'view' AND event_id % 3 <> 2""")
 def _(spark, sf):
-    rows = N.table_rows(event_logs(spark, sf), [_TABLE], _TABLE_TYPES, attribution={"by": "x"})
+    rows = N.table_rows(event_logs(spark, sf, dealt), [_TABLE], _TABLE_TYPES, attribution={"by": "x"})
     at = lambda p: F.get_json_object("row_json", f"$.{p}")
     return rows.select("event_id", "stream", at("EventCount").cast("int").alias("n"), at("TimeGenerated").alias("generated"), at("AdditionalFields.OriginalEvent.k").alias("k"))
 
@@ -709,7 +714,7 @@ def typed_lake(spark, sf):
 
 @registered("s20_okta_logs", "SELECT event_id, ts, event_type AS displayMessage, 'u' || user_id AS actor FROM events")
 def _(spark, sf):
-    e = t(spark, sf, "events")
+    e = dealt(spark, sf, "events")
     j = F.to_json(F.struct(F.col("event_id").cast("string").alias("uuid"), F.col("event_type").alias("displayMessage"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("published"), F.struct(F.concat(F.lit("u"), "user_id").alias("id")).alias("actor")))
     x = V.okta_logs(e.select(j.alias("j")), "j", "example.com")
     return x.select(F.element_at("attributes", "uuid").cast("long").alias("event_id"), "ts", F.element_at("attributes", "displayMessage").alias("displayMessage"), F.element_at("attributes", "actor.id").alias("actor"))
@@ -727,7 +732,7 @@ def office_audit(spark, sf):
         F.when(even, 20).otherwise(41).alias("RecordType"), F.concat(F.lit("u"), n).alias("URL"), F.struct((n % 6 - 3).alias("FileVerdict")).alias("FileData"),
         F.array(F.struct(F.col("user_id").cast("string").alias("ID"), (n % 7).alias("Type"))).alias("Actor"),
     ))
-    x = V.m365_logs(t(spark, sf, "events").select(j.alias("j")), "j", "general", "t1")
+    x = V.m365_logs(dealt(spark, sf, "events").select(j.alias("j")), "j", "general", "t1")
     at = lambda k: F.try_element_at("attributes", F.lit(k))
     return x.select(
         at("id").cast("long").alias("event_id"), at("user.type").alias("user_type"), at("security.alert.id").alias("alert"), at("security.alert.name").alias("alert_name"),
@@ -737,7 +742,7 @@ def office_audit(spark, sf):
 
 @registered("s22_audit_logs", "SELECT CAST(event_id AS VARCHAR) AS id, event_type AS action, CAST(user_id AS VARCHAR) AS account FROM events")
 def _(spark, sf):
-    x = V.audit_logs(t(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("ts").alias("timestamp"), F.col("event_type").alias("action"), F.col("user_id").alias("account"), F.col("props").alias("description")))
+    x = V.audit_logs(dealt(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("ts").alias("timestamp"), F.col("event_type").alias("action"), F.col("user_id").alias("account"), F.col("props").alias("description")))
     return x.select(F.element_at("attributes", "id").alias("id"), F.element_at("attributes", "action").alias("action"), F.element_at("resource", "account").alias("account"))
 
 
@@ -755,7 +760,7 @@ def _(spark, sf):
     report = F.struct(F.struct(core.alias("neuroncores_in_use")).alias("neuroncore_counters"), F.struct(F.create_map(F.lit("completed"), F.col("user_id")).alias("execution_summary")).alias("execution_stats"))
     devices = F.struct(F.struct(F.array(F.struct(F.lit(0).alias("neuron_device_index"), F.col("event_id").alias("mem_ecc_corrected"))).alias("neuron_devices")).alias("neuron_hw_counters"))
     j = F.to_json(F.struct(F.array(F.struct(report.alias("report"))).alias("neuron_runtime_data"), devices.alias("system_data")))
-    return V.neuron_metrics(t(spark, sf, "events").select("event_id", j.alias("j")), "j").select("event_id", "metric_name", "value")
+    return V.neuron_metrics(dealt(spark, sf, "events").select("event_id", j.alias("j")), "j").select("event_id", "metric_name", "value")
 
 
 @registered("s25_table_metrics", "SELECT CAST(c_nationkey AS VARCHAR) AS nation, 'balance' AS metric_name, count(*) AS n FROM customer WHERE c_acctbal >= 0 GROUP BY 1")
@@ -840,7 +845,7 @@ def _(spark, sf):
     parts = []
     for name, (layout, levels, _, text) in TEN_FORMATS.items():
         level = F.element_at(F.array(*[F.lit(x) for x in levels]), (F.col("event_id") % 3 + 1).cast("int"))
-        x = P.parse_logs(t(spark, sf, "events").select("event_id", _line(layout, level).alias("body_text")), name)
+        x = P.parse_logs(dealt(spark, sf, "events").select("event_id", _line(layout, level).alias("body_text")), name)
         parts.append(x.select(F.lit(name).alias("format"), "event_id", "ts", "severity_number", F.element_at("fields", text).alias("message")))
     return functools.reduce(DataFrame.unionAll, parts)
 
@@ -866,7 +871,7 @@ def _(spark, sf):
 SELECT event_id, event_type AS name, CASE WHEN event_id % 11 <= 3 THEN 9 WHEN event_id % 11 <= 6 THEN 13 WHEN event_id % 11 <= 8 THEN 17 ELSE 21 END AS severity_number FROM events""")
 def _(spark, sf):
     line = F.concat(F.lit("Jan  2 03:04:05 h CEF:0|shop|web|1|"), "event_id", F.lit("|"), "event_type", F.lit("|"), (F.col("event_id") % 11).cast("string"), F.lit("|user="), "user_id")
-    x = P.parse_logs(t(spark, sf, "events").select(line.alias("body_text")), "common_event_format_logs")
+    x = P.parse_logs(dealt(spark, sf, "events").select(line.alias("body_text")), "common_event_format_logs")
     return x.select(F.element_at("fields", "signature_id").cast("long").alias("event_id"), F.element_at("fields", "name").alias("name"), "severity_number")
 
 
@@ -874,14 +879,14 @@ def _mixed_logs(spark, sf):
     """Each event as a JSON object and as a line of an access log."""
     clf = F.concat(F.lit('10.0.0.1 - - [x] "GET /'), "event_type", F.lit("/"), "event_id", F.lit('?q=1 HTTP/1.1" 200 '), "user_id")
     both = F.array(F.to_json(F.struct("event_id", "event_type")), clf)
-    return t(spark, sf, "events").select("event_id", F.explode(both).alias("log"))
+    return dealt(spark, sf, "events").select("event_id", F.explode(both).alias("log"))
 
 
 @registered("l1_fingerprint", """
 SELECT 'json' AS form, event_type, 1 AS n_fingerprints FROM events GROUP BY 2 UNION ALL SELECT 'clf', event_type, 1 FROM events GROUP BY 2""")
 def _(spark, sf):
     clf = F.concat(F.lit('10.0.0.1 - - [x] "GET /'), "event_type", F.lit("/"), "event_id", F.lit('?q=1 HTTP/1.1" 200 '), "user_id")
-    e = t(spark, sf, "events").select("event_type", F.explode(F.create_map(F.lit("json"), F.to_json(F.struct("event_id", "ts", "event_type")), F.lit("clf"), clf)).alias("form", "log"))
+    e = dealt(spark, sf, "events").select("event_type", F.explode(F.create_map(F.lit("json"), F.to_json(F.struct("event_id", "ts", "event_type")), F.lit("clf"), clf)).alias("form", "log"))
     return e.groupBy("form", "event_type").agg(F.count_distinct(L.fingerprint("log")).cast("int").alias("n_fingerprints"))
 
 
