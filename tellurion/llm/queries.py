@@ -13,13 +13,14 @@ from .langid import op9_langid
 from .mixing import op8_mixing
 from .rollup import OP3_SQL, op3_token_rollup
 from .simhash import op6_simhash
+from .spelling import op12_spelling
 from .token_ids import op2_token_ids
 from .toxicity import op5_toxicity
 from .warc import OP10_SQL, op10_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_decontaminate, op2_token_ids, op3_token_rollup, op4_embedding_dedup, op5_toxicity, op6_simhash, op7_katz, op8_mixing, op9_langid, op10_warc)
+    found = (op1_decontaminate, op2_token_ids, op3_token_rollup, op4_embedding_dedup, op5_toxicity, op6_simhash, op7_katz, op8_mixing, op9_langid, op10_warc, op12_spelling)
     return {f.__name__: f for f in found}
 
 
