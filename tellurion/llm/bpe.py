@@ -1,13 +1,15 @@
-"""Byte-level BPE over whole texts: numpy finds the pieces, the tokenizers library encodes each different piece once."""
+"""BPE over whole texts: numpy finds the pieces, the tokenizers library encodes each different piece once."""
 
 from __future__ import annotations
 
+import json
+import os
 from array import array
 
 import numpy as np
 import pyarrow as pa
 
-from .common import Words, flat
+from .common import Words, flat, split
 
 LETTER, NUMBER, SPACE = 1, 2, 3
 #: Pieces in each of two generations that one worker keeps: those met since the last change, and those met before it.
@@ -121,3 +123,75 @@ class Encoder:
         upto = np.cumsum(length)
         ids = known[np.arange(upto[-1]) + np.repeat(begin - upto + length, length)]
         return ids, np.diff(np.concatenate([[0], upto])[w.first])
+
+
+#: Words between white space; byte 0 is part of words and stands as 255, which no UTF-8 text holds.
+_BLANK = np.array([0 if b in (9, 10, 11, 12, 13, 32) else b or 255 for b in range(256)], np.uint8)
+_ALPHA = np.array([65 <= b <= 90 or 97 <= b <= 122 for b in range(256)])
+#: Words that are encoded as one text.
+JOINED = 512
+
+
+class WordEncoder(Encoder):
+    """encode(texts) for vocabularies that never look past white space: each different word between blanks is encoded once.
+
+    That holds if texts are only composed (NFC), lower-cased and their white space made alike, and then cut by a pattern whose
+    matches hold no white space. With any other tokenizer texts are encoded whole.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark fills the cores
+        t = self.tokenizer = Tokenizer.from_file(path)
+        form = json.loads(t.to_str())
+        parts = lambda x, key: (x or {}).get(key, [x] if x else [])
+        normal, pre = parts(form["normalizer"], "normalizers"), parts(form["pre_tokenizer"], "pretokenizers")
+        alike = all(x["type"] in ("NFC", "Lowercase") or (x["type"] == "Replace" and x["pattern"] == {"Regex": r"\s+"} and x["content"] == " ") for x in normal)
+        first = pre[0] if pre else {"type": None}
+        cut = first["type"] == "Split" and first["behavior"] == "Removed" and first["invert"] and r"[^\s" in first["pattern"].get("Regex", "") and " " not in first["pattern"]["Regex"]
+        rest = all(x["type"] == "ByteLevel" and not x["add_prefix_space"] and not x["use_regex"] for x in pre[1:])
+        self.by_piece = bool(alike and cut and rest)
+        self.added = [x.content.encode() for x in t.get_added_tokens_decoder().values()]
+        self.young, self.old = {}, {}
+        suffix = form["model"].get("end_of_word_suffix")
+        vocabulary = t.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # the last token of each word
+        self.ends[[i for x, i in vocabulary.items() if suffix and x.endswith(suffix)]] = True
+        self.by_piece = self.by_piece and bool(suffix)
+
+    def pieces(self, raw: np.ndarray, offsets: np.ndarray) -> Words:
+        """Words between white space, cut where an ASCII letter and another ASCII character meet, but not after an apostrophe, with
+        which a contraction may begin."""
+        alpha, plain = _ALPHA[raw], raw < 128
+        before = np.zeros(len(raw), bool)
+        before[1:] = (alpha[1:] != alpha[:-1]) & plain[1:] & plain[:-1] & (raw[:-1] != 39)
+        return split(raw, offsets, _BLANK, before)
+
+    def ids_of(self, pieces: list[bytes]) -> list[bytes]:
+        if len(self.young) > GENERATION:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        out = [young.get(p) or old.get(p) for p in pieces]
+        new = [k for k, ids in enumerate(out) if ids is None]
+        texts = [pieces[k].decode() for k in new]
+        words = [k for k, x in enumerate(texts) if x.isalpha()]
+        rest = [k for k, x in enumerate(texts) if not x.isalpha()]
+        runs = [words[a : a + JOINED] for a in range(0, len(words), JOINED)]
+        encode = lambda some: self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+        for run, e in zip(runs, encode([" ".join([texts[k] for k in run]) for run in runs]), strict=True):
+            ids = np.array(e.ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(run):  # a word of several parts, such as one with a mark that lower-casing splits off
+                rest += run
+                continue
+            raw, at = ids.tobytes(), 0
+            for k, end in zip(run, (4 * ends).tolist(), strict=True):
+                out[new[k]] = raw[at:end]
+                at = end
+        for k, e in zip(rest, encode([texts[k] for k in rest]), strict=True):
+            out[new[k]] = array("I", e.ids).tobytes()
+        for piece, ids in zip(pieces, out, strict=True):
+            if len(piece) <= LONGEST and ids:
+                young[piece] = ids
+        return out

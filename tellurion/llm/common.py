@@ -134,7 +134,11 @@ def flat(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words(texts: pa.Array, kind: np.ndarray) -> Words:
-    raw, offsets = flat(texts)
+    return split(*flat(texts), kind)
+
+
+def split(raw: np.ndarray, offsets: np.ndarray, kind: np.ndarray, before: np.ndarray | None = None) -> Words:
+    """Words of texts that lie one after another in `raw`; words are also cut before the bytes marked in `before`."""
     data = kind[raw]
     inside = data != 0
     if not len(data):
@@ -147,6 +151,9 @@ def words(texts: pa.Array, kind: np.ndarray) -> Words:
     cut = cut[(cut > 0) & (cut < len(data))]
     opens[cut] = inside[cut]  # a text's first byte begins a word, its last one ends it
     closes[cut - 1] = inside[cut - 1]
+    if before is not None:
+        within = np.flatnonzero(before[1:] & inside[1:] & inside[:-1])
+        opens[within + 1] = closes[within] = True
     start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
     return Words(data, start, end, np.diff(np.searchsorted(start, offsets)))
 

@@ -11,6 +11,7 @@ from .embeddings import OP4_SQL, op4_embedding_dedup
 from .katz import op7_katz
 from .langid import op9_langid
 from .mixing import op8_mixing
+from .packing import op13_packing
 from .rollup import OP3_SQL, op3_token_rollup
 from .simhash import op6_simhash
 from .spelling import op12_spelling
@@ -20,7 +21,7 @@ from .warc import OP10_SQL, op10_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_decontaminate, op2_token_ids, op3_token_rollup, op4_embedding_dedup, op5_toxicity, op6_simhash, op7_katz, op8_mixing, op9_langid, op10_warc, op12_spelling)
+    found = (op1_decontaminate, op2_token_ids, op3_token_rollup, op4_embedding_dedup, op5_toxicity, op6_simhash, op7_katz, op8_mixing, op9_langid, op10_warc, op12_spelling, op13_packing)
     return {f.__name__: f for f in found}
 
 
