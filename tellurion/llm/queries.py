@@ -11,6 +11,7 @@ from .embeddings import OP4_SQL, op4_embedding_dedup
 from .katz import op7_katz
 from .langid import op9_langid
 from .mixing import op8_mixing
+from .negatives import OP11_SQL, op11_hard_negatives
 from .packing import op13_packing
 from .rollup import OP3_SQL, op3_token_rollup
 from .simhash import op6_simhash
@@ -21,9 +22,9 @@ from .warc import OP10_SQL, op10_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_decontaminate, op2_token_ids, op3_token_rollup, op4_embedding_dedup, op5_toxicity, op6_simhash, op7_katz, op8_mixing, op9_langid, op10_warc, op12_spelling, op13_packing)
+    found = (op1_decontaminate, op2_token_ids, op3_token_rollup, op4_embedding_dedup, op5_toxicity, op6_simhash, op7_katz, op8_mixing, op9_langid, op10_warc, op11_hard_negatives, op12_spelling, op13_packing)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL, "op3_token_rollup": OP3_SQL, "op4_embedding_dedup": OP4_SQL, "op10_warc": OP10_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op3_token_rollup": OP3_SQL, "op4_embedding_dedup": OP4_SQL, "op10_warc": OP10_SQL, "op11_hard_negatives": OP11_SQL}
