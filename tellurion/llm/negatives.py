@@ -160,7 +160,7 @@ class Index:
     def reaching(self, some: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Anchor, row and score of all pairs of these anchors with scores of `least` (one for each anchor) or more."""
         if self.whole is None:
-            possible = self.partial[some] + 1.000001 * self.left_q[some, None] * self.left_x >= least[some, None] - 1
+            possible = self.partial[some] + 1.000001 * self.left_q[some, None] * self.left_x >= least[some, None].astype(np.float64) - 1
             if possible.sum() * 4 < possible.size:
                 a, x = np.nonzero(possible)
                 a = some[a]
@@ -171,9 +171,9 @@ class Index:
         found = self.whole[some]
         if self.kind is object:
             found = np.clip(found, NEVER, np.iinfo(np.int64).max).astype(np.int64)
-            a, x = np.nonzero(found >= np.where(np.isinf(least[some]), NEVER, least[some]).astype(object)[:, None])
+            a, x = np.nonzero(found >= least[some, None])
         else:
-            a, x = np.nonzero(found >= least[some, None].astype(self.kind if self.kind is np.float64 else np.float64))
+            a, x = np.nonzero(found >= least[some, None].astype(np.float64))
         return some[a], x, found[a, x].astype(np.int64)
 
 
@@ -229,9 +229,7 @@ def fill(anchors: Rows, windows: np.ndarray, blocks: list[Rows], same: bool, k:
         for rows in blocks:
             need = state.need()
             top = np.minimum(state.cap.astype(np.float64), norm[a:b][owner] * np.sqrt((rows.codes**2).sum(axis=1).max(initial=0)) + 1)
-            lowest = np.full(b - a, np.inf)
-            np.minimum.at(lowest, owner, np.where(need == NEVER, -np.inf, need.astype(np.float64)))
-            index = Index(anchors.codes[a:b], rows.codes, lowest.min())
+            index = Index(anchors.codes[a:b], rows.codes, float(need.min()))
             active = np.unique(owner[top >= need])
             for level in LEVELS:
                 if not len(active):
@@ -241,8 +239,8 @@ def fill(anchors: Rows, windows: np.ndarray, blocks: list[Rows], same: bool, k:
                 else:
                     floor = np.where(need == NEVER, -top, need.astype(np.float64))
                     least = np.maximum(need, np.floor(np.clip(top - (top - floor) * level, -9.2e18, 9.2e18)).astype(np.int64))
-                low = np.full(b - a, np.inf)
-                np.minimum.at(low, owner, np.where(least == NEVER, -np.inf, least.astype(np.float64)))
+                low = np.full(b - a, np.iinfo(np.int64).max)
+                np.minimum.at(low, owner, least)
                 i, x, score = index.reaching(active, low)
                 ok = ((anchors.labels[a:b][i] == rows.labels[x]) == same) & (anchors.key[a:b][i] != rows.key[x])
                 i, x, score = i[ok], x[ok], score[ok]
