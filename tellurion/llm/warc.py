@@ -15,9 +15,11 @@ from .common import new_path, table, written
 
 #: Payloads of fewer bytes are always stored as responses.
 LEAST_BYTES = 1000
-#: Bytes of payloads that one archive file holds at most (or a single larger payload), so that a reader's task holds a bounded file;
-#: and of a payload up to which archives hold FILE_BYTES / SMALL_BYTES of them. Larger payloads have archives of their own.
-FILE_BYTES, SMALL_BYTES = 128 << 20, 32 << 10
+#: Bytes of payloads that one archive file holds at most (or a single larger payload), so that a reader's task holds a bounded file.
+FILE_BYTES = 128 << 20
+#: Pages are written in classes of payloads of up to so many bytes, then CLASS times as many, and so on: a full file of a class holds
+#: at least FILE_BYTES / CLASS but in the first, and one large page makes no other page's file smaller.
+SMALL_BYTES, CLASS = 32 << 10, 8
 #: Pages of one payload, and their share of all pages, over which they meet the page that they repeat by broadcast.
 COMMON, COMMON_SHARE = 1000, 0.001
 DATE = "2020-01-01T00:00:00Z"
@@ -90,7 +92,7 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, date
     Spark broadcasts it if its size allows, else joins by page id, over which no payload is common. The text writer ends each
     record with the two line breaks that the format asks for.
 
-    Files are bounded in bytes: pages over SMALL_BYTES are written apart from the others, fewer to a file.
+    Files are bounded in bytes: pages are written by classes of their size, each with its own number of records to a file.
 
     Null html is an empty payload; a null url has no target header; a null page_id has no id header, is never an original beside
     pages with ids, and revisits them; rows that repeat the largest id of their payload are all responses; an empty table gives no
@@ -101,11 +103,15 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, date
     again = written(revisits(all_of_it, least_bytes, max(COMMON, int(COMMON_SHARE * n))), "revisits")
     on = all_of_it["page_id"].eqNullSafe(again["page_id"]) & (all_of_it["payload_digest"] == again["payload_digest"]) & (all_of_it["payload_bytes"] == again["payload_bytes"])
     dealt = all_of_it.join(again, on, "left").select(all_of_it["*"], again["origin"], again["origin_url"])
-    small = F.col("payload_bytes") <= SMALL_BYTES
-    for name, some, bound in (("small", small, SMALL_BYTES), ("large", ~small, most)):
-        if name == "small" or most > SMALL_BYTES:
-            per_file = max(1, FILE_BYTES // max(1, bound))
-            records(dealt.where(some), date).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(f"{path}/{name}")
+    bounds = [SMALL_BYTES]
+    while bounds[-1] < most:
+        bounds.append(bounds[-1] * CLASS)
+    size_class = sum((F.col("payload_bytes") > x).cast("int") for x in bounds)
+    there = [r[0] for r in all_of_it.select(size_class.alias("c")).distinct().collect()] if len(bounds) > 1 else [0]
+    for c in sorted(there) or [0]:
+        some = dealt.where(size_class == c) if len(bounds) > 1 else dealt
+        out = records(some, date).write.option("lineSep", END).option("compression", "gzip")
+        out.option("maxRecordsPerFile", max(1, FILE_BYTES // bounds[c])).text(f"{path}/large/upto-{bounds[c]}" if c else f"{path}/small")
 
 
 FIELDS = "record_id string, type string, page_id long, uri string, date string, declared_digest string, refers_to_id string, payload_bytes long, payload_digest string"

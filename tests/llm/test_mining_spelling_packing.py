@@ -238,3 +238,18 @@ def test_packing_query(spark):
     assert check_pieces([r.doc_id for r in docs], pieces, ids, 2048) < 0.01 * sum(len(x) for x in ids)
     by = {r.doc_id: x for r, x in zip(docs, ids, strict=True)}
     assert all(p.ids_crc32 == zlib.crc32(by[p.doc_id][p.start : p.start + p.length].tobytes()) for p in pieces)
+
+
+# ---------------------------------------------------------------- 10
+
+
+def test_one_large_page_leaves_other_archives_alone(spark, tmp_path):
+    from tellurion.llm import warc
+
+    sizes = [100] * 50 + [40_000] * 60 + [300_000] * 4 + [20_000_000]
+    pages = spark.createDataFrame([(i, f"u{i}", n) for i, n in enumerate(sizes)], "page_id long, url string, n int").coalesce(2)
+    pages = pages.select("page_id", "url", F.expr("repeat(chr(65 + int(page_id % 26)), n - 5) || lpad(string(page_id), 5, '0')").alias("html"))
+    warc.write_warc(pages, str(tmp_path / "w"))
+    assert len(list((tmp_path / "w").rglob("*.gz"))) <= 8  # a file of each size class for each task
+    got = warc.resolved(warc.read_warc(spark, str(tmp_path / "w"), payload=False)).collect()
+    assert sorted((r.page_id, r.payload_bytes) for r in got) == list(enumerate(sizes))
