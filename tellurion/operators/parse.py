@@ -100,21 +100,52 @@ def mine_templates(df: DataFrame, col: str) -> DataFrame:
 _BETWEEN = "\uf8ff\x01"
 
 
-def regex_parse(df: DataFrame, col: str, pattern: str, into: str = "parsed") -> DataFrame:
-    """Add a struct of the pattern's named groups, null where it doesn't match; rows stay.
-
-    One replacement gives all groups of a line, not a match for each. A text that holds U+F8FF before U+0001 gives null.
+def group_names(pattern: str) -> list[str]:
+    """The names of a pattern's groups, in order."""
+    return re.findall(r"\(\?P?<([A-Za-z_]\w*)>", pattern)
+
+
+def _anchored(pattern: str) -> bool:
+    """Whether the pattern can match only at the beginning: it starts with ^ and has no alternatives outside of groups."""
+    depth, i, inside = 0, 1, False
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\":
+            i += 2
+            continue
+        if inside:
+            inside = c != "]" or pattern[i - 1] == "["
+        elif c == "[":
+            inside = True
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+        elif c == "|" and not depth:
+            return False
+        i += 1
+    return pattern.startswith("^")
+
+
+def captured(text: Column, pattern: str) -> Column:
+    """The pattern's named groups, in order, as an array; null where it doesn't match.
+
+    One replacement of the whole text gives all groups and tells whether it matched. A text that holds U+F8FF before U+0001 gives null.
     """
-    names = re.findall(r"\(\?P?<([A-Za-z_]\w*)>", pattern)
-    numbered = java_pattern(re.sub(r"\(\?P<", "(?<", pattern))
+    names = group_names(pattern)
     bare = re.compile(re.sub(r"\(\?<([A-Za-z_])", r"(?P<\1", pattern.replace("(?P<", "(?<")))
-    index = bare.groupindex
-    java = re.sub(r"\(\?<[A-Za-z_]\w*>", "(", numbered)
-    once = rf"\A[\s\S]*?(?:{java})[\s\S]*\z"
-    groups = F.split(F.regexp_replace(F.col(col), F.lit(once), F.lit(_BETWEEN.join(f"${index[n]}" for n in names))), _BETWEEN)
-    df = df.withColumn("_groups", F.when(F.col(col).rlike(java) & ~F.contains(F.col(col), F.lit(_BETWEEN)), groups))
-    found = F.struct(*[F.col("_groups")[i].alias(n) for i, n in enumerate(names)])
-    return df.withColumn(into, F.when(F.col("_groups").isNotNull(), found)).drop("_groups")
+    java = re.sub(r"\(\?<[A-Za-z_]\w*>", "(", java_pattern(re.sub(r"\(\?P<", "(?<", pattern)))
+    whole = rf"\A(?:{java})[\s\S]*\z" if _anchored(pattern) else rf"\A[\s\S]*?(?:{java})[\s\S]*\z"
+    marked = _BETWEEN.join(["", *(f"${bare.groupindex[n]}" for n in names)])
+    parts = F.split(F.regexp_replace(text, F.lit(whole), F.lit(marked)), _BETWEEN)
+    return F.when(~F.contains(text, F.lit(_BETWEEN)), F.get(F.filter(F.array(parts), lambda p: F.size(p) == len(names) + 1), F.lit(0)))
+
+
+def regex_parse(df: DataFrame, col: str, pattern: str, into: str = "parsed") -> DataFrame:
+    """Add a struct of the pattern's named groups, null where it doesn't match; rows stay, and so do all other columns."""
+    names = group_names(pattern)
+    own = "_groups" + "_" * max(len(c) for c in df.columns)
+    df = df.withColumn(own, captured(F.col(col), pattern))
+    found = F.struct(*[F.col(own)[i + 1].alias(n) for i, n in enumerate(names)])
+    return df.withColumn(into, F.when(F.col(own).isNotNull(), found)).drop(own)
 
 
 def json_parse(df: DataFrame, col: str, schema: str | None = None, into: str = "parsed") -> DataFrame:

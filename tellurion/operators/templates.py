@@ -53,15 +53,26 @@ def _literal(text: str) -> str:
 
 
 def _stops(after: str) -> str:
-    """The characters that end a field without a kind: the first of the text after it, and of what follows parts that may miss."""
-    found, depth_at = [], re.split(r"(\(\?|\?\))", after)
-    want = True
-    for x in depth_at:
-        if x in ("(?", "?)"):
-            want = True
-        elif x and want:
-            found.append(r"\s" if x[0].isspace() else re.escape(x[0]))
-            want = False
+    """The characters that can follow a field without a kind and so end it: the first of the fixed text after it, and before that of
+    each part that may be missing. Other fields stand as NUL in `after`; what they begin with is not known, so the search ends there."""
+    found, at, optional = [], 0, False
+    while at < len(after):
+        two = after[at : at + 2]
+        if two == "(?":
+            at, optional = at + 2, True
+        elif two == "?)":
+            at += 2  # the end of a part that the field itself stands in
+        elif after[at] == "\0":
+            break
+        else:
+            found.append(r"\s" if after[at].isspace() else re.escape(after[at]))
+            if not optional:
+                break
+            depth, optional = 1, False
+            while at < len(after) and depth:  # on to what follows the part
+                step = after[at : at + 2]
+                depth += (step == "(?") - (step == "?)")
+                at += 2 if step in ("(?", "?)") else 1
     return "".join(dict.fromkeys(found))
 
 
@@ -74,7 +85,7 @@ def pattern_of(layout: str) -> str:
         out.append(_literal(text))
         if name is None:
             continue
-        after = "".join(t + ("" if n is None else "\0") for t, n, _ in parts[i + 1 :]).split("\0")[0]
+        after = "".join(t + ("" if n is None else "\0") for t, n, _ in parts[i + 1 :])
         inner = KINDS.get(kind) or (time_pattern(kind) if kind else f"[^{_stops(after)}]*" if _stops(after) else KINDS["rest"])
         out.append(f"(?:{inner})" if name == "_" else f"(?P<{name}>{inner})")
     return "".join(out)
@@ -138,6 +149,7 @@ _SYSLOG = "MMM d HH:mm:ss"
 _ACCESS = '{remote_addr} {remote_host} {remote_user} [{time:' + _WEB + '}] "{method} {path}(? {protocol}/{protocol_version}?)" {status} {body_bytes_sent}'
 _KLOG = "{severity:letter}{%s:MMdd HH:mm:ss.SSSSSS} {pid:int} {src}:{src_line}] {message:rest}"
 _HAPROXY = "{timestamp:" + _SYSLOG + "} {host} {process_name}[{pid}]"
+_HAPROXY_LOAD = "{process_concurrent_connections}/{frontend_concurrent_connections}/{backend_concurrent_connections}/{server_concurrent_connections}/{retries} {server_queue}/{backend_queue:int}"
 #: Severity numbers of a syslog priority modulo 8 in formats of their own, and of event severities 0 to 10.
 _BY_PRIORITY = {"0": 22, "1": 19, "2": 18, "3": 17, "4": 13, "5": 10, "6": 9, "7": 5}
 _HOST_PRIORITY = {"0": 21, "1": 22, "2": 18, "3": 17, "4": 13, "5": 10, "6": 9, "7": 5}
@@ -173,7 +185,8 @@ TEMPLATES = {
     "hadoop_logs": Template([f"{{timestamp:{_DAY}}},{{_:int}} {{severity:word}} {{fqcn}}: {{message:rest}}"], "severity", several=True),
     "haproxy_logs": Template(
         [
-            _HAPROXY + ": {client_ip}:{client_port} [{accept_date:dd/MMM/yyyy:HH:mm:ss.SSS}] {frontend_name_transport} {backend_name}/{server_name} {client_request_send_time}/{queue_wait_time}/{response_time}/{response_send_time}/{client_request_active_time} {status:int} {bytes_read:int} {captured_request_cookie} {captured_response_cookie} {termination_state} {connections} {server_queue}/{backend_queue} (?{{{_}}} ?)(?{{{_}}} ?)\"{method} {uri}(? {protocol}?)\"",
+            _HAPROXY + ": {client_ip}:{client_port} [{accept_date:dd/MMM/yyyy:HH:mm:ss.SSS}] {frontend_name_transport} {backend_name}/{server_name} {client_request_send_time}/{queue_wait_time}/{response_time}/{response_send_time}/{client_request_active_time} {status:int} {bytes_read:int} {captured_request_cookie} {captured_response_cookie} {termination_state} " + _HAPROXY_LOAD + " (?{{{_}}} ?)(?{{{_}}} ?)\"{method} {uri}(? {protocol}?)\"",
+            _HAPROXY + ": {client_ip}:{client_port} [{accept_date:dd/MMM/yyyy:HH:mm:ss.SSS}] {frontend_name_transport} {backend_name}/{server_name} {queue_wait_time}/{server_response_time}/{session_duration} {bytes_read} {termination_state} " + _HAPROXY_LOAD,
             _HAPROXY + ": [{severity}] {message:rest}", _HAPROXY + ": {message:rest}",
         ],
         ["status", "severity"], {"emerg": 21, "alert": 22, "crit": 23},

@@ -1034,3 +1034,6 @@ def _(spark, sf):
     twice = s.select("event_id", "ts", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"))
     Q.keep_rows(S.dedup_objects(twice, ["event_id"], "365 days", "ts").select("event_id"), path, shared_path(spark, "commits"))
     return spark.read.parquet(path)
+
+
+from tellurion.plans import graph_queries as _graph_queries  # noqa: E402, F401  (registers its queries)
