@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tellurion.functions.expressions import attributes, canonical, column, holds
+from tellurion.operators.scans import run_numbers
 
 
 def _count(df: DataFrame, cond: str | Column, attrs: Mapping[str, str | Column] | None, interval: str, name: str, unit: str, ts: str) -> DataFrame:
@@ -90,16 +91,11 @@ def topology(df: DataFrame, src: str, dst: str, ts: str = "ts", many: int = 10_0
     return dealt.groupBy(src, "part").agg(F.array_sort(F.collect_list(F.struct(dst, "last_seen"))).alias("destinations"))
 
 
-def run_counts(df: DataFrame, order: Sequence[str], keys: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """Lengths of runs of equal keys in ordered tables, each with its number; `by` names the tables, each of which is put in order by
-    one task. So a whole large table isn't one: it needs a `by`, such as its file or hour."""
-    if not by:
-        raise ValueError("run_counts needs columns that divide the table")
-    w = W.partitionBy(*by).orderBy(*order)
-    now = F.struct(*keys)
-    new = (F.row_number().over(w) == 1) | ~now.eqNullSafe(F.lag(now).over(w))
-    runs = df.withColumn("_new", new.cast("int")).withColumn("run", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    return runs.groupBy(*by, "run", *keys).agg(F.count("*").alias("n"))
+def run_counts(df: DataFrame, order: Sequence[str], keys: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Lengths of runs of equal keys in ordered tables, each with its number, `run`; `by` names the tables (none: all rows are one).
+    However large a table, its slices are scanned side by side; a user's column `run` is none of the result's."""
+    numbered = run_numbers(df.select(*dict.fromkeys([*by, *order, *keys])), keys, order, by, "_run")
+    return numbered.groupBy(*by, F.col("_run").alias("run"), *keys).agg(F.count("*").alias("n"))
 
 
 def pipe_table_counts(df: DataFrame, text: str, field: int, header_word: str | None = None) -> DataFrame:

@@ -61,14 +61,40 @@ def since(df: DataFrame, ts, column: str = "ts") -> DataFrame:
     return df.where(F.col(column) > F.lit(ts))
 
 
+#: Bits of a draw by which one step of sample_percent counts.
+STEP_BITS = 16
+
+
 def sample_percent(df: DataFrame, pct: int, seed: int = 0, order: str | None = None) -> DataFrame:
-    """floor(n * pct / 100) rows (pct 0 counts as 1, 100 keeps all), the least by a hash of `order` or by a random draw."""
+    """floor(n * pct / 100) rows (pct 0 counts as 1, 100 keeps all): those of the least draws by MD5 of `order`, or of the whole row.
+
+    Nothing is sorted and nothing meets in one task: rows are counted by the first 16 bits of their draws, those at the border by
+    the next 16, then the last, at most 65,536 counts at a time. Rows of the border's own draw are told apart by a hash of the whole
+    row in the same way; of equal rows so many copies are kept as are due.
+    """
     pct = pct or 1
     if pct >= 100:
         return df
-    n = df.count() * pct // 100
-    draw = F.rand(seed) if order is None else F.xxhash64(F.lit(seed), F.col(order))
-    return df.orderBy(draw, *([order] if order else [])).limit(n)
+    whole = F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
+    draw, row = "_draw" + "_" * max(map(len, df.columns)), "_row" + "_" * max(map(len, df.columns))
+    marked = df.withColumn(draw, drawn(F.col(order) if order else whole, seed))
+    left = df.count() * pct // 100
+    kept, open_ = F.lit(False), F.lit(True)  # rows surely kept, and those that agree with the border so far
+    for column, bits in ((F.col(draw), 48), (F.xxhash64(whole), 64)):
+        for low in range(bits - STEP_BITS, -1, -STEP_BITS):
+            digit = F.shiftright(column, low).bitwiseAND((1 << STEP_BITS) - 1)
+            border = 1 << STEP_BITS
+            for value, n in sorted(marked.where(open_).groupBy(digit.alias("d")).count().collect()):
+                if n > left:
+                    border = value
+                    break
+                left -= n
+            kept, open_ = kept | (open_ & (digit < border)), open_ & (digit == border)
+            if not left or border == 1 << STEP_BITS:
+                return marked.where(kept).drop(draw)
+    one = marked.where(open_).drop(draw).limit(1)  # all that are left equal it
+    copies = df.sparkSession.range(left).withColumnRenamed("id", row).crossJoin(F.broadcast(one)).drop(row)
+    return marked.where(kept).drop(draw).unionByName(copies)
 
 
 def most_recent(df: DataFrame, n: int = 100, ts: str = "ts", tie: Sequence[str] = ()) -> DataFrame:

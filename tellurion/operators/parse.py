@@ -8,11 +8,11 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tellurion.functions.expressions import column, holds, java_pattern
+from tellurion.operators.scans import fresh, running_count
 
 DEPTH = 64
 
@@ -169,16 +169,17 @@ def headed_parse(df: DataFrame, col: str, file: str, line_no: str, mark: str = "
     """Rows of delimited lines, with a map from the names of their file's last header line before them to their fields.
 
     Header lines begin with `mark`; they and other lines that begin with its first character give no rows. Lines before any header,
-    and lines with another number of fields than their header, have a null map. Headers are few and meet their lines by a join on the
-    file, so that a file of any length is dealt to many tasks.
+    and lines with another number of fields than their header, have a null map. Lines are numbered by the headers before them, in
+    slices side by side, and meet their header by file and number.
     """
-    w = W.partitionBy("_file").orderBy("_from")
-    heads = df.where(F.col(col).startswith(mark)).select(F.col(file).alias("_file"), F.col(line_no).alias("_from"), F.split(F.trim(F.substring(F.col(col), len(mark) + 1, F.length(col))), re.escape(delimiter)).alias("_names"))
-    heads = heads.withColumn("_to", F.lead("_from").over(w))
-    lines = df.where(~F.col(col).startswith(mark[0]))
-    met = lines.join(heads, (F.col(file) == F.col("_file")) & (F.col(line_no) > F.col("_from")) & (F.col("_to").isNull() | (F.col(line_no) < F.col("_to"))), "left")
+    number, names = fresh(df, "_header"), fresh(df, "_names")
+    counted = running_count(df, F.col(col).startswith(mark), [line_no], [file], number)
+    heads = counted.where(F.col(col).startswith(mark))
+    heads = heads.select(F.col(file).alias("_file"), F.col(number).alias("_number"), F.split(F.trim(F.substring(F.col(col), len(mark) + 1, F.length(col))), re.escape(delimiter)).alias(names))
+    lines = counted.where(~F.col(col).startswith(mark[0]))
+    met = lines.join(heads, F.col(file).eqNullSafe(F.col("_file")) & (F.col(number) == F.col("_number")), "left")
     fields = F.split(F.col(col), re.escape(delimiter))
-    return met.withColumn(into, F.when(F.size(fields) == F.size("_names"), F.map_from_arrays("_names", fields))).drop("_file", "_from", "_to", "_names")
+    return met.withColumn(into, F.when(F.size(fields) == F.size(names), F.map_from_arrays(names, fields))).drop("_file", "_number", number, names)
 
 
 def uri_parse(df: DataFrame, col: str, into: str = "uri") -> DataFrame:
@@ -208,16 +209,18 @@ def severity(df: DataFrame, col: str, levels: Sequence[tuple[int, str | Column]]
 
 
 def assemble_multiline(df: DataFrame, line: str, start: str, file: str, line_no: str) -> DataFrame:
-    """Join the lines of one record, which begins where a line matches `start`; lines before the first such are a record."""
-    w = W.partitionBy(file).orderBy(line_no).rowsBetween(W.unboundedPreceding, 0)
-    n = F.sum(F.col(line).rlike(java_pattern(start)).cast("int")).over(w)
-    parts = df.withColumn("record", F.coalesce(n, F.lit(0))).groupBy(file, "record").agg(F.array_sort(F.collect_list(F.struct(F.col(line_no).alias("n"), F.col(line).alias("t")))).alias("l"))
-    return parts.select(file, "record", F.array_join(F.transform("l", lambda x: x["t"]), "\n").alias("text"))
+    """file, record, text: the lines of one record, which begins where a line matches `start`; lines before the first such are a record.
+    A file of any length is numbered in slices side by side. Null lines are left out of a text; other columns are dropped."""
+    rows = df.select(F.col(file).alias("f"), F.col(line_no).alias("n"), F.col(line).alias("t"))
+    numbered = running_count(rows, F.col("t").rlike(java_pattern(start)), ["n"], ["f"], "record")
+    parts = numbered.groupBy("f", "record").agg(F.array_sort(F.collect_list(F.struct("n", "t"))).alias("l"))
+    return parts.select(F.col("f").alias(file), "record", F.array_join(F.transform("l", lambda x: x["t"]), "\n").alias("text"))
 
 
 def recombine(df: DataFrame, source: str, is_last: str | Column, field: str, order: str) -> DataFrame:
-    """Join the parts of each source up to the one that is last; a source's open rest is a record too."""
-    w = W.partitionBy(source).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    done = F.coalesce(F.sum(holds(is_last).cast("int")).over(w), F.lit(0))
-    parts = df.withColumn("record", done).groupBy(source, "record").agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("n"), F.col(field).alias("t")))).alias("l"))
-    return parts.select(source, "record", F.array_join(F.transform("l", lambda x: x["t"]), "").alias(field))
+    """source, record, field: the parts of each source up to the one that is last; a source's open rest is a record too. A source of
+    any length is numbered in slices side by side. Other columns are dropped."""
+    rows = df.select(F.col(source).alias("s"), F.col(order).alias("n"), F.col(field).alias("t"), holds(is_last).alias("last"))
+    numbered = running_count(rows, F.col("last"), ["n"], ["s"], "upto").withColumn("record", F.col("upto") - F.col("last").cast("int"))
+    parts = numbered.groupBy("s", "record").agg(F.array_sort(F.collect_list(F.struct("n", "t"))).alias("l"))
+    return parts.select(F.col("s").alias(source), "record", F.array_join(F.transform("l", lambda x: x["t"]), "").alias(field))

@@ -7,9 +7,11 @@ import json
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tellurion.functions.expressions import attributes, column, holds, java_pattern
 
@@ -44,23 +46,36 @@ def masked(text: Column, rules: Mapping[str, str] | None = None) -> Column:
 
 
 def mask(df: DataFrame, columns: Sequence[str], rules: Mapping[str, str] | None = None, exclude: Sequence[str] = ()) -> DataFrame:
-    """Mask text columns and the values of text maps; `column` or `column.key` in exclude is left alone."""
-    kinds, out = dict(df.dtypes), {}
-    for c in columns:
-        if c in exclude:
-            continue
-        keys = [e[len(c) + 1 :] for e in exclude if e.startswith(f"{c}.")]
-        if kinds[c] == "map<string,string>":
-            out[c] = _masked_values(c, keys, rules)
-        elif kinds[c] == "array<string>":
-            out[c] = F.transform(c, lambda v: masked(v, rules))
-        else:
-            out[c] = masked(F.col(c), rules)
-    return df.withColumns(out)
+    """Mask texts in columns of any shape: texts, values of maps, fields of structs, at any depth, and the texts of arrays of texts.
 
+    What `exclude` names by a dotted path (`column`, `column.key`, `column.key.inner`) is left alone; a key that holds dots is meant
+    by the same path. Other arrays, and values that are no text, stay. One native expression for each column.
+    """
+    paths = [e for e in exclude]
+    return df.withColumns({c: _masked_any(F.col(c), df.schema[c].dataType, c, paths, rules) for c in columns if c not in paths})
+
+
+def _masked_any(x: Column, kind: T.DataType, path: str, exclude: Sequence[str], rules: Mapping[str, str] | None) -> Column:
+    """A value masked by its type. Map keys are only known by row, so paths below a map are told apart by what excludes name."""
+    if isinstance(kind, T.StringType):
+        return masked(x, rules)
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
+        return F.transform(x, lambda v: masked(v, rules))
+    if isinstance(kind, T.StructType):
+        parts = [(x[f.name] if f"{path}.{f.name}" in exclude else _masked_any(x[f.name], f.dataType, f"{path}.{f.name}", exclude, rules)).alias(f.name) for f in kind.fields]
+        return F.when(x.isNotNull(), F.struct(*parts))
+    if isinstance(kind, T.MapType) and isinstance(kind.keyType, T.StringType):
+        return F.transform_values(x, lambda k, v: _masked_entry(k, v, kind.valueType, path, exclude, rules))
+    return x
 
-def _masked_values(c: str, keys: Sequence[str], rules: Mapping[str, str] | None) -> Column:
-    return F.transform_values(c, lambda k, v: F.when(k.isin(list(keys)), v).otherwise(masked(v, rules)) if keys else masked(v, rules))
+
+def _masked_entry(key: Column, value: Column, kind: T.DataType, path: str, exclude: Sequence[str], rules: Mapping[str, str] | None) -> Column:
+    out = _masked_any(value, kind, f"{path}.\0", [], rules)  # an entry below which nothing is excluded
+    below = [e[len(path) + 1 :] for e in exclude if e.startswith(f"{path}.")]
+    if isinstance(kind, (T.MapType, T.StructType)):
+        for name in dict.fromkeys(e.split(".")[0] for e in below if "." in e):
+            out = F.when(key == name, _masked_any(value, kind, f"{path}.{name}", exclude, rules)).otherwise(out)
+    return F.when(key.isin(below), value).otherwise(out) if below else out
 
 
 def mask_report(df: DataFrame, text: str, rules: Mapping[str, str] | None = None) -> DataFrame:
@@ -144,24 +159,99 @@ def raw_log(df: DataFrame, field: str | None = None, body: str = "body", attrs:
 
 
 def ingestion_labels(df: DataFrame, labels: Mapping[str, str], prefix: str, attrs: str = "attributes") -> DataFrame:
-    """Add labels: those given, and over them attributes whose name has the prefix, without it."""
-    own = F.map_filter(attrs, lambda k, _: k.startswith(prefix))
-    cut = F.transform_keys(own, lambda k, _: F.substring(k, len(prefix) + 1, F.length(k)))
-    fixed = attributes({k: F.lit(v) for k, v in labels.items()})
-    return df.withColumn("labels", F.map_concat(F.map_filter(fixed, lambda k, _: ~F.array_contains(F.map_keys(cut), k)), cut))
+    """Add labels: those given, and over them attributes whose name has the prefix, without it and without brackets and quotes about
+    the rest. An attribute that is a JSON object of texts (nulls are empty) gives its entries instead. Of equal names the last counts."""
+    own = F.map_entries(F.map_filter(attrs, lambda k, _: k.startswith(prefix)))
+    name = lambda k: F.regexp_replace(F.substring(k, len(prefix) + 1, F.length(k)), r'^[\[\]"]+|[\[\]"]+$', "")
+    entry = lambda k, v: F.struct(k.alias("key"), v.alias("value"))
 
+    def spread(e: Column) -> Column:
+        inner = F.try_variant_get(F.try_parse_json(e["value"]), "$", "map<string,variant>")
+        texts = F.forall(F.map_values(inner), lambda v: F.schema_of_variant(v).isin("STRING", "VOID"))
+        spread_out = F.transform(F.map_entries(inner), lambda x: entry(x["key"], F.coalesce(F.try_variant_get(x["value"], "$", "string"), F.lit(""))))
+        nothing = F.trim(e["value"]) == "null"
+        return F.when(nothing, F.slice(F.array(entry(F.lit(""), F.lit(""))), 1, 0)).when(texts, spread_out).otherwise(F.array(entry(name(e["key"]), e["value"])))
 
-def sentinel_rows(df: DataFrame, raw_field: str | None = None, body: str = "body", ts: str = "ts") -> DataFrame:
-    """TimeGenerated (RFC 3339), RawData with escaped line breaks, SeverityText and SeverityNumber where known."""
-    time = F.date_format(F.col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    raw = F.replace(F.replace(column(raw_field or body).cast("string"), F.lit("\r"), F.lit("\\r")), F.lit("\n"), F.lit("\\n"))
-    rest = [F.col(c).alias(n) for c, n in (("severity_text", "SeverityText"), ("severity_number", "SeverityNumber"), ("trace_id", "TraceId"), ("span_id", "SpanId")) if c in df.columns]
-    return df.select(time.alias("TimeGenerated"), raw.alias("RawData"), *rest)
+    fixed = F.array(*[entry(F.lit(k), F.lit(v)) for k, v in labels.items()]) if labels else F.expr("cast(array() as array<struct<key:string,value:string>>)")
+    every = F.concat(fixed, F.flatten(F.transform(F.coalesce(own, F.expr("cast(array() as array<struct<key:string,value:string>>)")), spread)))
+    names = F.transform(F.reverse(every), lambda e: e["key"])
+    last = F.filter(F.reverse(every), lambda e, i: F.array_position(names, e["key"]) == i + 1)
+    return df.withColumn("labels", F.map_from_entries(F.reverse(last)))
+
+
+#: Ids that stand for none.
+NO_IDS = ("", "0" * 32, "0" * 16)
+
+
+def _id(c: str) -> Column:
+    return F.when(~F.col(c).isin(*NO_IDS), F.col(c))
 
 
-def webhook_rows(df: DataFrame, body: str = "body_text") -> DataFrame:
-    """payload: the body if it is JSON, else the body as a JSON string."""
-    return df.select(F.when(F.try_parse_json(body).isNotNull(), F.col(body)).otherwise(F.to_json(F.array(body)).substr(F.lit(2), F.length(F.to_json(F.array(body))) - 2)).alias("payload"))
+def sentinel_rows(df: DataFrame, raw_field: str | None = None, body: str = "body", ts: str = "ts") -> DataFrame:
+    """TimeGenerated (RFC 3339), RawData with escaped line breaks, and where known severity and ids; ids of zeros are none.
+
+    A body that is a map of texts, or a struct, is no RawData: its fields are in `Fields` as JSON, without those that have the names of
+    the other columns. `sentinel_entries` gives the rows as JSON.
+    """
+    time = F.date_format(F.col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    rest = [(_id(c) if c.endswith("_id") else F.col(c)).alias(n) for c, n in (("severity_text", "SeverityText"), ("severity_number", "SeverityNumber"), ("trace_id", "TraceId"), ("span_id", "SpanId")) if c in df.columns]
+    kind = df.schema[body].dataType if raw_field is None and body in df.columns else T.StringType()
+    if isinstance(kind, T.MapType):
+        what = F.to_json(F.map_filter(body, lambda k, _: ~k.isin(*_RESERVED))).alias("Fields")
+    elif isinstance(kind, T.StructType):
+        kept = [F.col(f"{body}.{f.name}").alias(f.name) for f in kind.fields if f.name not in _RESERVED]
+        what = F.to_json(F.struct(*kept)).alias("Fields")
+    else:
+        what = F.replace(F.replace(column(raw_field or body).cast("string"), F.lit("\r"), F.lit("\\r")), F.lit("\n"), F.lit("\\n")).alias("RawData")
+    return df.select(time.alias("TimeGenerated"), what, *rest)
+
+
+#: Names that a delivery sets itself.
+_RESERVED = ("TimeGenerated", "SeverityText", "SeverityNumber", "TraceId", "SpanId")
+
+
+def sentinel_entries(df: DataFrame, body: str = "body", ts: str = "ts", observed: str = "observed_ts") -> DataFrame:
+    """`entry`: each record as the JSON object of a delivery. The fields of a map or struct body, or RawData; over them the time to the
+    second (else when it was observed, else the query's), severity, and ids but those of zeros."""
+    kind = df.schema[body].dataType
+    known = lambda c, d: F.col(c) if c in df.columns else d
+    none = F.lit(None).cast("string")
+    at = F.coalesce(F.col(ts), known(observed, F.lit(None).cast("timestamp")), F.current_timestamp())
+    own = F.struct(
+        F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("TimeGenerated"), F.coalesce(known("severity_text", none), F.lit("")).alias("SeverityText"), F.coalesce(known("severity_number", F.lit(0)), F.lit(0)).cast("int").alias("SeverityNumber"),
+        (_id("trace_id") if "trace_id" in df.columns else none).alias("TraceId"), (_id("span_id") if "span_id" in df.columns else none).alias("SpanId"),
+    )
+    if isinstance(kind, T.MapType):
+        fields = F.to_json(F.map_filter(body, lambda k, _: ~k.isin(*_RESERVED)))
+    elif isinstance(kind, T.StructType):
+        fields = F.to_json(F.struct(*[F.col(f"{body}.{f.name}").alias(f.name) for f in kind.fields if f.name not in _RESERVED]))
+    else:
+        fields = F.to_json(F.struct(F.coalesce(F.col(body).cast("string"), F.lit("")).alias("RawData")))
+    inner = F.substring(F.coalesce(fields, F.lit("{}")), 2, F.length(F.coalesce(fields, F.lit("{}"))) - 2)
+    head = F.to_json(own)
+    return df.select(F.when(inner == "", head).otherwise(F.concat(F.substring(head, 1, F.length(head) - 1), F.lit(","), inner, F.lit("}"))).alias("entry"))
+
+
+def webhook_rows(df: DataFrame, body: str = "body_text", rows: int = 0) -> DataFrame:
+    """payload: the body if it is JSON, else the body as a JSON string. With `rows`, JSON arrays of at most so many bodies each: each
+    task numbers what it holds, so no row moves."""
+    text = F.to_json(F.array(body))
+    one = df.select(F.when(F.try_parse_json(body).isNotNull(), F.col(body)).otherwise(F.substring(text, F.lit(2), F.length(text) - 2)).alias("payload"))
+    if not rows:
+        return one
+
+    def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[str] = []
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                held.append("null" if x is None else x)
+                if len(held) == rows:
+                    yield pa.record_batch([pa.array([f"[{','.join(held)}]"])], ["payload"])
+                    held = []
+        if held:
+            yield pa.record_batch([pa.array([f"[{','.join(held)}]"])], ["payload"])
+
+    return one.mapInArrow(arrays, "payload string")
 
 
 # ---------------------------------------------------------------- shape

@@ -57,8 +57,23 @@ class ClassRules:
         return [r for r in self.rules if r.profile is None or r.profile in profiles]
 
 
+def ip_pattern() -> str:
+    """A regular expression of an IPv4 or IPv6 address, with white space about it and a zone after it: eight groups of hex digits, any
+    run of them as `::` once, the last two as an IPv4 address."""
+    octet, group = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)", "[0-9A-Fa-f]{1,4}"
+    four = rf"{octet}(?:\.{octet}){{3}}"
+    forms = [f"(?:{group}:){{7}}{group}", f"(?:{group}:){{6}}{four}", f"::(?:{group}:){{0,5}}{four}", f":(?:(?::{group}){{1,7}}|:)"]
+    for before in range(1, 8):  # so many groups stand before the ::
+        forms.append(f"(?:{group}:){{{before}}}(?:(?::{group}){{1,{7 - before}}}|:)" if before < 7 else f"(?:{group}:){{7}}:")
+        if before < 6:
+            forms.append(f"(?:{group}:){{{before}}}(?::{group}){{0,{5 - before}}}:{four}")
+    return rf"^\s*(?:{four}|(?:{'|'.join(forms)})(?:%.+)?)\s*$"
+
+
 #: Patterns of the named string types.
 PATTERNS = {
+    "hostname_t": r"^(([a-zA-Z0-9]|[a-zA-Z0-9][a-zA-Z0-9\-]*[a-zA-Z0-9])\.)*([A-Za-z0-9]|[A-Za-z0-9][A-Za-z0-9\-]*[A-Za-z0-9])$",
+    "ip_t": ip_pattern(),
     "datetime_t": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d+)?(Z|[\+-]\d{2}:\d{2})?$",
     "email_t": r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+$",
     "mac_t": r"^([0-9A-Fa-f]{2}[:-]){5}([0-9A-Fa-f]{2})$",

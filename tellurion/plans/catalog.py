@@ -225,11 +225,6 @@ def _(spark, sf):
     return X.since(t(spark, sf, "events"), datetime(2024, 1, 2)).select("event_id")
 
 
-@registered("f6_sample_percent", "SELECT count(*) * 10 // 100 AS n FROM events")
-def _(spark, sf):
-    return X.sample_percent(t(spark, sf, "events"), 10, order="event_id").agg(F.count("*").alias("n"))
-
-
 @registered("f7_most_recent", "SELECT event_id, ts FROM events ORDER BY ts DESC, event_id DESC LIMIT 100")
 def _(spark, sf):
     return X.most_recent(t(spark, sf, "events").select("event_id", "ts"), 100, tie=["event_id"])
@@ -1037,3 +1032,4 @@ def _(spark, sf):
 
 
 from tellurion.plans import graph_queries as _graph_queries  # noqa: E402, F401  (registers its queries)
+from tellurion.plans import shape_queries as _shape_queries  # noqa: E402, F401

@@ -114,11 +114,21 @@ def cut_lines(lines: DataFrame, col: str, size: int) -> DataFrame:
 
 
 def object_manifest(events: DataFrame, col: str, bucket: str | None = None, key: str | None = None) -> DataFrame:
-    """bucket, key and size of each created object that a notification names; keys are URL-decoded, a plus stays a plus."""
+    """bucket, key, size and event_ts of each object that a notification names; keys are URL-decoded, a plus stays a plus.
+
+    Three forms: `Records` of created objects, the same within the `Message` of a topic, and a file drop, which names one bucket and
+    `files`, each with a path and a size, and whose time is in milliseconds. Others, and keys that can't be decoded, give no rows.
+    """
     schema = "array<struct<eventName:string,eventTime:string,s3:struct<bucket:struct<name:string>,object:struct<key:string,size:bigint>>>>"
     message = F.coalesce(F.get_json_object(col, "$.Message"), F.col(col))
-    r = events.select(F.explode(F.from_json(F.get_json_object(message, "$.Records"), schema)).alias("r")).where(F.col("r.eventName").contains("ObjectCreated:"))
-    out = r.select(F.col("r.s3.bucket.name").alias("bucket"), F.try_url_decode(F.replace(F.col("r.s3.object.key"), F.lit("+"), F.lit("%2B"))).alias("key"), F.col("r.s3.object.size").alias("size"), F.try_to_timestamp(F.col("r.eventTime")).alias("event_ts"))
+    records = F.filter(F.from_json(F.get_json_object(message, "$.Records"), schema), lambda r: r["eventName"].contains("ObjectCreated:"))
+    item = lambda bucket, key, size, at: F.struct(bucket.alias("bucket"), key.alias("key"), size.alias("size"), at.alias("event_ts"))
+    created = F.transform(records, lambda r: item(r["s3"]["bucket"]["name"], r["s3"]["object"]["key"], r["s3"]["object"]["size"], F.try_to_timestamp(r["eventTime"])))
+    files = F.from_json(F.get_json_object(message, "$.files"), "array<struct<path:string,size:bigint>>")
+    at = F.timestamp_millis(F.get_json_object(message, "$.timestamp").try_cast("bigint"))
+    dropped = F.transform(files, lambda f: item(F.get_json_object(message, "$.bucket"), f["path"], f["size"], at))
+    out = events.select(F.explode(F.coalesce(created, dropped)).alias("o")).select("o.*")
+    out = out.withColumn("key", F.try_url_decode(F.replace("key", F.lit("+"), F.lit("%2B")))).where(F.col("key").isNotNull())
     for c, rx in (("bucket", bucket), ("key", key)):
         out = out.where(F.col(c).rlike(rx)) if rx else out
     return out
@@ -131,10 +141,21 @@ def dedup_objects(df: DataFrame, keys: Sequence[str] = ("bucket", "key"), ttl: s
     return df.dropDuplicates(list(keys))
 
 
-def explode_pages(df: DataFrame, col: str, path: str = "data") -> DataFrame:
-    """The objects of an array at a dotted path with indices (`a.b[0].c`) of a landed page."""
-    items = F.from_json(F.get_json_object(col, f"$.{path}"), "array<string>")
-    return df.select(F.explode(items).alias("record")).where(F.trim("record").startswith("{"))
+def explode_pages(df: DataFrame, col: str, path: str | None = None) -> DataFrame:
+    """The objects of an array of a landed page, as `record`: at a dotted path with indices (`a.b[0].c`), or without a path the page
+    itself if it is an array, else `data` if that is one, else the first field, by name, that is. Elements that are no objects,
+    and pages without such an array, give no rows."""
+    text = F.trim(col)
+    if path:
+        found = F.get_json_object(text, f"$.{path}")
+    else:
+        fields = F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
+        arrays = F.array_sort(F.map_keys(F.map_filter(fields, lambda _, v: F.schema_of_variant(v).startswith("ARRAY"))))
+        name = F.when(F.array_contains(arrays, "data"), F.lit("data")).otherwise(F.get(arrays, F.lit(0)))
+        at = F.concat(F.lit("$['"), name, F.lit("']"))
+        quoted = F.to_json(F.try_element_at(fields, name))  # a path can't name a field that holds a quote
+        found = F.when(text.startswith("["), text).when(name.contains("'"), quoted).otherwise(F.call_function("get_json_object", text, at))
+    return df.select(F.explode(F.from_json(found, "array<string>")).alias("record")).where(F.trim("record").startswith("{"))
 
 
 def explode_ndjson_page(df: DataFrame, col: str, metadata_last: bool = False) -> DataFrame:
