@@ -6,7 +6,9 @@ import json
 import re
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,10 +58,147 @@ def _structure(text: str | None) -> str | None:
     return None
 
 
-@F.pandas_udf(T.StringType())
-def _structures(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in parts:
-        yield s.map(_structure)
+#: Shapes whose structure a worker keeps.
+_KEPT = 50_000
+_BYTES = np.arange(256)
+_BLANK, _DIGIT = np.isin(_BYTES, [9, 10, 13, 32]), (_BYTES >= 48) & (_BYTES <= 57)
+_HEX, _ESCAPABLE = np.isin(_BYTES, list(b"0123456789abcdefABCDEF")), np.isin(_BYTES, list(b'"\\/bfnrtu'))
+_NUMERIC = _DIGIT | np.isin(_BYTES, list(b"+-.eE"))
+
+
+def _rows_with(places: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Which rows hold at least one of these places, which are in order."""
+    return np.searchsorted(places, offsets[1:]) > np.searchsorted(places, offsets[:-1])
+
+
+def json_shapes(texts: pa.Array) -> pa.Array:
+    """JSON texts with every string that is no name as "", every whole or decimal number as 0, and such neighbours in lists once.
+
+    A structural index over the bytes of all texts: a quote counts unless an odd number of backslashes stands before it; quotes so far
+    tell strings from the rest; a string before a colon is a name. A text with a string that is malformed stays as it is, and
+    so does a number that is malformed or has an exponent: a text is malformed just if its shape is. Null stays null.
+    """
+    texts = texts.cast(pa.large_string())
+    kept = texts.drop_null()
+    if not len(kept):
+        return texts
+    _, off, raw = kept.buffers()
+    offsets = np.frombuffer(off, np.int64)[kept.offset : kept.offset + len(kept) + 1]
+    data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    n = len(data)
+    odd = np.zeros(len(kept), bool)  # rows that stay as they are
+    quote = data == 34
+    slash = np.flatnonzero(data == 92)
+    if len(slash):
+        fresh_run = np.concatenate([[True], np.diff(slash) > 1])
+        first = slash[np.maximum.accumulate(np.where(fresh_run, np.arange(len(slash)), 0))]
+        escapes = slash[(slash - first) % 2 == 0]  # every second of a run escapes what follows
+        after = np.minimum(escapes + 1, n - 1)
+        quote[after] = False
+        bad = escapes[(escapes + 1 >= n) | ~_ESCAPABLE[data[after]]]
+        u = after[data[after] == 117]
+        padded = np.concatenate([data, np.zeros(5, np.uint8)])
+        bad_u = u[~(_HEX[padded[u + 1]] & _HEX[padded[u + 2]] & _HEX[padded[u + 3]] & _HEX[padded[u + 4]])]
+        odd |= _rows_with(np.sort(bad), offsets) | _rows_with(bad_u, offsets)
+    at = np.flatnonzero(quote)
+    upto = np.searchsorted(at, offsets)
+    odd |= np.diff(upto) % 2 == 1
+    # rows of an odd number of quotes are left alone, so the rest pair up
+    row_of = np.repeat(np.arange(len(kept)), np.diff(upto))
+    at = at[~odd[row_of]]
+    opens, closes = at[::2], at[1::2]
+    inside = np.zeros(n + 1, np.int8)
+    inside[opens] += 1
+    inside[closes + 1] -= 1
+    inside = np.cumsum(inside[:-1], dtype=np.int8).view(bool)
+    control = np.flatnonzero(inside & (data < 32))
+    odd |= _rows_with(control, offsets)
+    solid = np.flatnonzero(~_BLANK[data])
+    following = np.searchsorted(solid, closes + 1)
+    next_at = solid[np.minimum(following, len(solid) - 1)] if len(solid) else closes
+    named = (following < len(solid)) & (data[next_at] == 58) & (next_at < offsets[1:][np.searchsorted(offsets, closes, "right") - 1])
+    value = ~named
+    drop = np.zeros(n + 1, np.int8)
+    drop[opens[value] + 1] += 1
+    drop[closes[value]] -= 1
+    brackets = np.flatnonzero(data == 91)
+    if len(opens) and len(brackets):  # a name that holds a bracket might look like a list below
+        within = np.searchsorted(opens, brackets) - 1
+        odd |= _rows_with(brackets[inside[brackets] & named[np.maximum(within, 0)]], offsets)
+    out = data.copy()
+    # numbers: runs of their characters outside of strings, of digits with at most a sign before them and a point within
+    numeric = _NUMERIC[data] & ~inside
+    edge = np.flatnonzero(np.diff(numeric.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+    starts, ends = edge[::2], edge[1::2]
+    one_row = np.searchsorted(offsets, starts, "right") == np.searchsorted(offsets, ends - 1, "right")
+    starts, ends = starts[one_row], ends[one_row]
+    dot = np.flatnonzero(data == 46)
+    other = np.flatnonzero(numeric & ~_DIGIT[data])  # signs, points and exponents
+    sign = (data[starts] == 45).astype(np.int64) if len(starts) else np.zeros(0, np.int64)
+    begin = np.minimum(starts + sign, n - 1)
+    size = ends - starts - sign
+    dots = np.searchsorted(dot, ends) - np.searchsorted(dot, starts)
+    count = ends - starts - (np.searchsorted(other, ends) - np.searchsorted(other, starts))
+    lead = (data[begin] != 48) | (size == 1) | (data[np.minimum(begin + 1, n - 1)] == 46)
+    plain = (size > 0) & (dots <= 1) & (count + dots == size) & lead & _DIGIT[data[begin]] & _DIGIT[data[ends - 1]]
+    starts, ends = starts[plain], ends[plain]
+    out[starts] = 48
+    drop[starts + 1] += 1
+    drop[ends] -= 1
+    drop = np.cumsum(drop[:-1], dtype=np.int8).astype(bool)
+    if odd.any():
+        whole = np.repeat(odd, np.diff(offsets))
+        drop &= ~whole
+        out[whole] = data[whole]
+    keep = ~drop
+    sizes = np.concatenate([[0], np.cumsum(keep, dtype=np.int32)])[offsets]
+    shapes = pa.LargeStringArray.from_buffers(len(kept), pa.py_buffer(sizes.astype(np.int64)), pa.py_buffer(out[keep]))
+    lists = shapes
+    for one in ('""', "0"):
+        lists = pc.replace_substring_regex(lists, rf"\[[ \t\r\n]*{one}(?:[ \t\r\n]*,[ \t\r\n]*{one})+", f"[{one}")
+    shapes = pc.if_else(pc.and_(pc.starts_with(shapes, "{"), pa.array(~odd)), lists, shapes)
+    if len(kept) == len(texts):
+        return shapes
+    places = np.cumsum(np.asarray(texts.is_valid())) - 1
+    return shapes.take(pa.array(places, mask=np.asarray(texts.is_null())))
+
+
+#: What may stand in XML between tags, and in an attribute, where it is neither markup nor malformed.
+_XML_TEXT, _XML_VALUE = r"[^<&\]\x00-\x08\x0b\x0c\x0e-\x1f\x{fffe}\x{ffff}]", r'[^"<&\x00-\x1f\x{fffe}\x{ffff}]'
+
+
+def xml_shapes(texts: pa.Array) -> pa.Array:
+    """XML texts without what stands between tags and in attributes; entities and the like stay, as malformed text does."""
+    texts = pc.replace_substring_regex(texts, rf'="{_XML_VALUE}*"', '=""')
+    return pc.replace_substring_regex(texts, rf">{_XML_TEXT}+<", "><")
+
+
+_SHAPES: dict[str, str | None] = {}
+
+
+def structures_of(texts: pa.Array) -> pa.Array:
+    """The structure of each JSON or XML text; texts of one shape are parsed once."""
+    texts = pc.utf8_trim_whitespace(texts).cast(pa.large_string())
+    is_json = pc.fill_null(pc.match_substring_regex(texts, r"^[{\[]"), False)
+    is_xml = pc.fill_null(pc.and_(pc.starts_with(texts, "<"), pc.invert(pc.match_substring_regex(texts, "<[!?]"))), False)
+    none = pa.scalar(None, texts.type)
+    shapes = pc.coalesce(json_shapes(pc.if_else(is_json, texts, none)), xml_shapes(pc.if_else(is_xml, texts, none)), texts).dictionary_encode()
+    out = []
+    for shape in shapes.dictionary.to_pylist():
+        if shape not in _SHAPES:
+            if len(_SHAPES) >= _KEPT:
+                _SHAPES.clear()
+            found = _structure(shape)
+            _SHAPES[shape] = found and found.encode(errors="replace").decode()  # a name may escape half a pair
+        out.append(_SHAPES[shape])
+    return pa.array(out, pa.string()).take(shapes.indices) if out else pa.nulls(len(texts), pa.string())
+
+
+@F.arrow_udf(T.StringType())
+def _structures(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for texts in parts:
+        yield structures_of(texts)
 
 
 CLF = r'^(\S+) (\S+) (\S+) \[[^\]]+\] "([A-Z]+) ([^ "?]+)[^"]*" (\d{3}) (\d+|-)(.*)$'
@@ -76,8 +215,9 @@ def structure(col: str | Column) -> Column:
     """
     c = F.col(col) if isinstance(col, str) else col
     forms = (SYSLOG_5424, SYSLOG_3164)
-    program = F.coalesce(*[F.when(c.rlike(rx), F.regexp_extract(c, rx, 1)) for rx in forms])
-    text = F.coalesce(*[F.when(c.rlike(rx), F.regexp_extract(c, rx, 2)) for rx in forms], c)
+    heads = F.startswith(c, F.lit("<")) & F.substring(c, 2, 1).between("0", "9")
+    program = F.when(heads, F.coalesce(*[F.when(c.rlike(rx), F.regexp_extract(c, rx, 1)) for rx in forms]))
+    text = F.coalesce(F.when(heads, F.coalesce(*[F.when(c.rlike(rx), F.regexp_extract(c, rx, 2)) for rx in forms])), c)
     path = F.regexp_replace(F.regexp_extract(text, CLF, 5), r"[^/]*\d[^/]*", "<val>")
     clf = F.when(text.rlike(CLF), F.concat(F.lit("clf:"), F.regexp_extract(text, CLF, 4), F.lit(" "), path))
     plain = F.coalesce(_structures(F.when(text.rlike(r"^\s*[{\[<]"), text)), clf)

@@ -1033,3 +1033,4 @@ def _(spark, sf):
 
 from tellurion.plans import graph_queries as _graph_queries  # noqa: E402, F401  (registers its queries)
 from tellurion.plans import shape_queries as _shape_queries  # noqa: E402, F401
+from tellurion.plans import landed_queries as _landed_queries  # noqa: E402, F401

@@ -92,9 +92,10 @@ def test_renest_and_topology_cut_large_keys(spark):
     assert len(parts) == 9 and sorted(int(x.d) for r in parts for x in r.destinations) == list(range(900))
 
 
-def test_runs_need_a_division(spark):
-    with pytest.raises(ValueError):
-        aggregates.run_counts(spark.range(1), ["id"], ["id"], [])
+
+def test_runs_of_a_whole_table(spark):
+    got = aggregates.run_counts(spark.range(100).selectExpr("id", "id div 30 k", "1 run"), ["id"], ["k"]).collect()
+    assert sorted((r.run, r.k, r.n) for r in got) == [(1, 0, 30), (2, 1, 30), (3, 2, 30), (4, 3, 10)]
 
 
 def test_batches_follow_the_size_of_a_key(spark):
