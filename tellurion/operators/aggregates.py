@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tellurion.functions.expressions import attributes, canonical, column, holds
 from tellurion.operators.scans import run_numbers
@@ -75,6 +77,30 @@ def throughput(df: DataFrame, by: Sequence[str], body: str = "body_text", origin
     return df.groupBy(*by).agg(F.count("*").alias("n_rows"), F.sum(size).alias("n_bytes"), F.sum(F.octet_length(raw)).alias("raw_bytes"))
 
 
+class Measured:
+    """Rows, bytes and last success of a table while another job reads it: give `rows` to the write, then ask `result`.
+
+    Nothing is read twice. `result` waits for the first action on `rows`; a stream's come with its progress, as `progress` picks them.
+    """
+
+    def __init__(self, df: DataFrame, body: str = "body_text", original: str | None = None, status: str | Column | None = None, ts: str | None = None, name: str | None = None):
+        raw = F.coalesce(*([F.col(original)] if original else []), F.col(body), F.lit(""))
+        ok = holds(status) if status is not None else F.lit(True)
+        said = [F.count("*").alias("n_rows"), F.coalesce(F.sum(F.octet_length(raw)), F.lit(0)).alias("raw_bytes"), F.count_if(ok).alias("accepted"), F.count_if(~ok).alias("dropped")]
+        said += [F.max(F.when(ok, F.col(ts))).alias("last_success")] if ts else []
+        self.name = name or f"measured-{uuid.uuid4().hex[:8]}"
+        self.observation = None if df.isStreaming else Observation(self.name)
+        self.rows = df.observe(self.observation or self.name, *said)
+
+    def result(self) -> dict:
+        """The measures of a batch, once its write has run."""
+        return dict(self.observation.get)
+
+    def progress(self, query: StreamingQuery) -> list[dict]:
+        """The measures of a stream's batches so far, those that its progress still holds."""
+        return [p.observedMetrics[self.name].asDict() for p in query.recentProgress if self.name in p.observedMetrics]
+
+
 def latest_by_key(df: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFrame:
     """The last time each combination of keys was seen; rows that lack one of them don't count."""
     return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.max(ts).alias("last_seen"))

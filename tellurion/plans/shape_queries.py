@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from tellurion.functions.hashes import fnv1a
+from tellurion.functions.shared import shared_path
 from tellurion.operators import aggregates as A
 from tellurion.operators import filters as X
 from tellurion.operators import parse as L
@@ -128,3 +131,22 @@ def one_long_file(spark, sf):
     made = L.assemble_multiline(lines, "line", "^click ", "file", "event_id")
     ids = F.transform(F.split("text", "\n"), lambda x: F.element_at(F.split(x, " "), 2).cast("long"))
     return made.select("record", F.size(ids).cast("long").alias("n"), F.aggregate(ids, F.lit(0).cast("long"), lambda a, b: a + b).alias("ids"))
+
+
+@registered("a5_measured_write", "SELECT count(*) AS n_rows, CAST(sum(octet_length(encode(coalesce(props, '')))) AS BIGINT) AS raw_bytes, count(*) FILTER (event_type = 'click') AS accepted, max(ts) FILTER (event_type = 'click') AS last_success FROM events")
+def measured_write(spark, sf):
+    """What a write lets through, told by the write itself."""
+    m = A.Measured(t(spark, sf, "events"), "props", status="event_type = 'click'", ts="ts")
+    m.rows.write.parquet(shared_path(spark, "measured"))
+    found = m.result()
+    return spark.createDataFrame([(found["n_rows"], found["raw_bytes"], found["accepted"], found["last_success"])], "n_rows long, raw_bytes long, accepted long, last_success timestamp_ntz")
+
+
+@registered("s4_folders_of_a_range", """
+SELECT event_id, ts FROM events WHERE ts >= date_trunc('day', (SELECT min(ts) FROM events)) + INTERVAL '30 hours' AND ts < date_trunc('day', (SELECT min(ts) FROM events)) + INTERVAL '76 hours'""")
+def folders_of_a_range(spark, sf):
+    """From the sixth hour of the second day to the third of the fourth: whole days are one folder, the rest hours."""
+    path, e = shared_path(spark, "landed"), t(spark, sf, "events").select("event_id", "ts")
+    first = e.agg(F.min(F.date_trunc("day", "ts"))).first()[0]
+    S.write_partitioned(e.repartition(F.date_trunc("day", "ts")), path)
+    return S.read_partitioned(spark, path, first + timedelta(hours=30), first + timedelta(hours=75), "event_id long, ts timestamp").select("event_id", "ts")

@@ -6,6 +6,7 @@ import re
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -41,11 +42,63 @@ def with_path_time(df: DataFrame, pattern: str, anchored: bool = True, path: Col
     return df.withColumn(into, F.when(p.rlike(rx), made))
 
 
+_NEXT = dict(zip(PARTS, (*PARTS[1:], ""), strict=True))
+_LETTERS = dict(zip(PARTS, "YmdHM", strict=True))
+
+
+def _turn(at: datetime, part: str) -> datetime:
+    """The beginning of the year, month, day, hour or minute after this one's."""
+    first = {"year": {"month": 1, "day": 1, "hour": 0, "minute": 0}, "month": {"day": 1, "hour": 0, "minute": 0}, "day": {"hour": 0, "minute": 0}, "hour": {"minute": 0}, "minute": {}}[part]
+    at = at.replace(second=0, microsecond=0, **first)
+    if part == "year":
+        return at.replace(year=at.year + 1)
+    if part == "month":
+        return at.replace(year=at.year + at.month // 12, month=at.month % 12 + 1)
+    return at + {"day": timedelta(days=1), "hour": timedelta(hours=1), "minute": timedelta(minutes=1)}[part]
+
+
+def range_folders(start: datetime, end: datetime, level: str = "hour") -> list[str]:
+    """The fewest folders year=/month=/day=/hour=[/minute=] that hold all times from start to end, both inclusive, and no others: a whole
+    year, month, day or hour stands for all below it."""
+    names, out = PARTS[: PARTS.index(level) + 1], []
+    at = datetime(start.year, *(getattr(start, p) if p in names else {"month": 1, "day": 1}.get(p, 0) for p in PARTS[1:]))
+    while at <= end:
+        for i, part in enumerate(names):
+            whole = all(getattr(at, p) == (1 if p in ("month", "day") else 0) for p in names[i + 1 :])
+            if part == level or (whole and _turn(at, part) - timedelta(microseconds=1) <= _last(end, level)):
+                out.append("/".join(f"{p}={at:%{_LETTERS[p]}}" for p in names[: i + 1]))
+                at = _turn(at, part)
+                break
+    return out
+
+
+def _last(end: datetime, level: str) -> datetime:
+    """The last moment of the folder that the end stands in."""
+    return _turn(end, level) - timedelta(microseconds=1)
+
+
+def _within(path: str, start: datetime | None, end: datetime | None, level: str) -> str:
+    """The path, or one with alternatives for just the folders of a closed range, so that no others are listed."""
+    return f"{path.rstrip('/')}/{{{','.join(range_folders(start, end, level))}}}" if start and end and start <= end else path
+
+
 def read_partitioned(spark: SparkSession, path: str, start: datetime | None = None, end: datetime | None = None, schema: str | None = None, level: str = "hour") -> DataFrame:
-    """NDJSON below year=/month=/day=/hour=[/minute=], the path's time from start to end, both inclusive; folders outside are pruned."""
+    """NDJSON below year=/month=/day=/hour=[/minute=], the path's time from start to end, both inclusive.
+
+    Of a closed range only the folders within it are listed, however many stand beside them; with one end open all are, and those
+    outside pruned. A range without folders gives no rows if a schema is given, else it is an error.
+    """
     names = PARTS[: PARTS.index(level) + 1]
+    whole = f"{schema}, {', '.join(f'{n} string' for n in names)}" if schema else None
     reader = spark.read.option("basePath", path)
-    df = (reader.schema(f"{schema}, {', '.join(f'{n} string' for n in names)}") if schema else reader).json(path)
+    if whole and start and end and start > end:
+        return spark.createDataFrame([], whole)
+    try:
+        df = (reader.schema(whole) if whole else reader).json(_within(path, start, end, level))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND" or not (whole and start and end):
+            raise
+        return spark.createDataFrame([], whole)
     at = F.concat_ws("-", *[F.lpad(F.col(n).cast("string"), 4 if n == "year" else 2, "0") for n in names])
     form = "-".join(f"%{x}" for x in "YmdHM"[: len(names)])
     if start:
@@ -64,10 +117,11 @@ def write_partitioned(df: DataFrame, path: str, ts: str = "ts", level: str = "ho
     w.option("compression", codec).json(path)
 
 
-def stream_landing(spark: SparkSession, path: str, schema: str, max_files: int | None = None) -> DataFrame:
-    """A stream of the NDJSON files below a folder; the checkpoint of the query remembers those already read."""
+def stream_landing(spark: SparkSession, path: str, schema: str, max_files: int | None = None, start: datetime | None = None, end: datetime | None = None, level: str = "hour") -> DataFrame:
+    """A stream of the NDJSON files below a folder; the checkpoint of the query remembers those already read. Of a closed range only
+    its folders year=/month=/day=/hour=[/minute=] are listed at each turn."""
     r = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
-    return (r.option("maxFilesPerTrigger", max_files) if max_files else r).json(path)
+    return (r.option("maxFilesPerTrigger", max_files) if max_files else r).json(_within(path, start, end, level))
 
 
 def ndjson_logs(lines: DataFrame, col: str = "value") -> DataFrame:

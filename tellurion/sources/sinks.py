@@ -7,7 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
+
+from tellurion.functions.shared import shared_path
 
 #: Target columns that the three signals share, and the flat columns that fill them.
 SHARED = {
@@ -109,16 +111,25 @@ def write_lake(rows: DataFrame, path: str, region: str, account: str, schemas: d
     stay JSON. A class with a schema is written on its own, as its columns are.
     """
     schemas = schemas or {}
-    parts = [(rows.where(F.col("class_uid") == k), s) for k, s in schemas.items()] + [(rows.where(~F.col("class_uid").isin(list(schemas) or [-1])), None)]
-    for df, schema in parts:
-        shaped = df.select("source", "event_day", "class_uid", "time", *([F.from_json(body, schema).alias("event")] if schema else [F.col(body)]))
-        many = df.groupBy(F.col("source").alias("_s"), F.col("event_day").alias("_d"), F.col("class_uid").alias("_c")).agg(F.greatest(F.ceil(F.count("*") / file_rows), F.lit(salt)).alias("_files")).where("_files > 1")
-        sized = shaped.join(many, (F.col("source") == F.col("_s")) & (F.col("event_day") == F.col("_d")) & (F.col("class_uid") == F.col("_c")), "left")
+    keys = ["source", "event_day", "class_uid"]
+    rows = rows.select(*keys, "time", body)
+    if schemas:  # put to disk by class once, so that each class's own write reads only its rows
+        staged, spark = shared_path(rows.sparkSession, "classes"), rows.sparkSession
+        typed = F.when(F.col("class_uid").isin(list(schemas)), F.col("class_uid")).otherwise(-1)
+        rows.withColumn("_class", typed).write.partitionBy("_class").parquet(staged)
+        rows = spark.read.schema(StructType([*rows.schema.fields, StructField("_class", LongType())])).parquet(staged)
+    counted = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.greatest(F.ceil(F.count("*") / file_rows), F.lit(salt)).alias("_files")).where("_files > 1")
+    counted = counted.persist()
+    for k, schema in [*schemas.items(), (-1, None)]:
+        df = rows.where(F.col("_class") == k) if schemas else rows
+        shaped = df.select(*keys, "time", *([F.from_json(body, schema).alias("event")] if schema else [F.col(body)]))
+        sized = shaped.join(counted, [F.col(x) == F.col(f"_{x}") for x in keys], "left")
         spread = F.pmod(F.xxhash64("time", *([] if schema else [body])), F.coalesce("_files", F.lit(1)))
-        dealt = sized.withColumn("_file", spread).repartition("source", "event_day", "class_uid", "_file").drop("_s", "_d", "_c", "_files", "_file")
+        dealt = sized.withColumn("_file", spread).repartition(*keys, "_file").drop("_source", "_event_day", "_class_uid", "_files", "_file")
         named = dealt.withColumns({"region": F.lit(region), "accountId": F.lit(account), "eventDay": F.col("event_day"), "ext": F.col("source"), "class": F.col("class_uid")})
         w = named.drop("source", "event_day").sortWithinPartitions("ext", "eventDay", "class", "time")
         w.write.mode(mode).partitionBy("ext", "region", "accountId", "eventDay", "class").option("compression", "zstd").parquet(path)
+    counted.unpersist()
 
 
 def json_arrays(df: DataFrame, keys: Sequence[str], rows: int = 1000) -> DataFrame:

@@ -1,5 +1,6 @@
 """Manifests, pages, labels, delivery rows, nested masks, address checks, hashes, exact samples, and scans against plain Python."""
 
+import datetime as dt
 import ipaddress
 import json
 import random
@@ -167,3 +168,60 @@ def test_a_file_is_scanned_by_many_tasks(spark):
     heads = lines.withColumn("line", F.when(F.col("no") % 300 == 7, F.concat(F.lit("#Fields: f"), F.col("no").cast("string"))).otherwise(F.col("line")))
     named = L.headed_parse(heads, "line", "file", "no").where("parsed is not null").select(F.explode("parsed")).groupBy("key").count().collect()
     assert {r.key: r["count"] for r in named} == {"f7": 299, "f307": 299, "f607": 299, "f907": 92}
+
+
+# ---------------------------------------------------------------- landing by range, measures
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.integers(0, 3 * 366 * 24), st.integers(0, 2 * 366 * 24), st.sampled_from(["hour", "day", "month"]))
+def test_folders_of_a_range(at, hours, level):
+    start = dt.datetime(2023, 6, 1, 0, 30) + dt.timedelta(hours=at)
+    end = start + dt.timedelta(hours=hours)
+    names = S.PARTS[: S.PARTS.index(level) + 1]
+    form = "/".join(f"{n}=%{x}" for n, x in zip(names, "YmdH", strict=False))
+    want, t = set(), start.replace(minute=0)
+    while t <= end:
+        want.add(t.strftime(form))
+        t += dt.timedelta(hours=1)
+    want.add(end.strftime(form))
+    got, folders = set(), S.range_folders(start, end, level)
+    for f in folders:
+        parts = dict(p.split("=") for p in f.split("/"))
+        t = dt.datetime(int(parts["year"]), int(parts.get("month", 1)), int(parts.get("day", 1)), int(parts.get("hour", 0)))
+        stop = S._turn(t, names[len(parts) - 1])
+        while t < stop:
+            got.add(t.strftime(form))
+            t += dt.timedelta(hours=1)
+    assert got == want and len(folders) == len(set(folders)) <= 2 * (24 + 31 + 12) + 4
+
+
+def test_only_folders_within_the_range_are_listed(spark, tmp_path):
+    for h in range(0, 96, 3):
+        t = dt.datetime(2024, 1, 30) + dt.timedelta(hours=h)
+        folder = tmp_path / t.strftime("year=%Y/month=%m/day=%d/hour=%H")
+        folder.mkdir(parents=True)
+        (folder / "a.json").write_text(json.dumps({"i": h}))
+    (tmp_path / "year=2024/month=01/day=30/hour=00/bad").symlink_to(tmp_path / "year=2024")  # listing it goes round for ever
+    start, end = dt.datetime(2024, 1, 31, 21), dt.datetime(2024, 2, 2, 2)
+    got = S.read_partitioned(spark, str(tmp_path), start, end, "i int")
+    assert sorted(r.i for r in got.collect()) == list(range(45, 75, 3))
+    stream = S.stream_landing(spark, str(tmp_path), "i int", start=start, end=end)
+    q = stream.writeStream.format("memory").queryName("ranged").option("checkpointLocation", str(tmp_path / "commits")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(r.i for r in spark.table("ranged").collect()) == list(range(45, 75, 3))
+    assert S.read_partitioned(spark, str(tmp_path), dt.datetime(2030, 1, 1), dt.datetime(2030, 1, 2), "i int").count() == 0
+    assert S.read_partitioned(spark, str(tmp_path), end, start, "i int").count() == 0
+
+
+def test_measured_writes(spark, tmp_path):
+    df = spark.createDataFrame([("é", True, 1), (None, False, 2), ("abc", True, 3)], "body_text string, ok boolean, ts long")
+    m = A.Measured(df, status="ok", ts="ts")
+    m.rows.write.parquet(str(tmp_path / "out"))
+    assert m.result() == {"n_rows": 3, "raw_bytes": 5, "accepted": 2, "dropped": 1, "last_success": 3}
+    assert "Scan" in m.rows._jdf.queryExecution().toString() and m.rows.columns == df.columns
+    df.write.parquet(str(tmp_path / "in"))
+    s = A.Measured(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), status="ok")
+    q = s.rows.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "commits")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sum(p["n_rows"] for p in s.progress(q)) == 3 and sum(p["accepted"] for p in s.progress(q)) == 2
