@@ -29,7 +29,7 @@ class Index:
     """Hash set of the windows of one length of some items: packed bits by the high hash bits, the sorted hashes, and for each of them
     its item and the place of its words in one normalised text, by which hits are verified."""
 
-    def __init__(self, size: int, items: list[str], w: Words, first: np.ndarray, item: np.ndarray):
+    def __init__(self, size: int, items: list[str | None], w: Words, first: np.ndarray, item: np.ndarray):
         """first: the first word of each window in w; item: its item's number."""
         self.size, self.items = size, items
         keys = _rolled(w.hashes(), size)[first]
@@ -43,6 +43,7 @@ class Index:
         flags = np.zeros(1 << (64 - int(self.shift)), bool)
         flags[(self.hashes >> self.shift).astype(np.int64)] = True
         self.bits = np.packbits(flags, bitorder="little")
+        self.met: dict[bytes, frozenset[str | None]] = {}  # those whose hash some window has, so about as many as the windows
 
     def candidates(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places whose hash some window has, and the range of these windows."""
@@ -55,12 +56,14 @@ class Index:
         hit = high > low
         return at[hit], low[hit], high[hit]
 
-    def holders(self, window: bytes, low: int, high: int) -> set[str]:
-        """Items that have this very window."""
-        return {self.items[self.item[k]] for k in range(low, high) if self.text[self.begin[k] : self.end[k]] == window}
+    def holders(self, window: bytes, low: int, high: int) -> frozenset[str | None]:
+        """Items that have this very window; found once for each window that a worker meets."""
+        if window not in self.met:
+            self.met[window] = frozenset(self.items[self.item[k]] for k in range(low, high) if self.text[self.begin[k] : self.end[k]] == window)
+        return self.met[window]
 
 
-def indexes_of(items: list[tuple[str, str]], window: int) -> list[Index]:
+def indexes_of(items: list[tuple[str | None, str]], window: int) -> list[Index]:
     """An index for each length of windows: `window` words, or all words of an item that has fewer."""
     w = words(pa.array([t for _, t in items], pa.string()), ALNUM)
     names, n, out = [i for i, _ in items], w.per_text, []
@@ -80,15 +83,18 @@ def _scan(batches: Iterator[pa.RecordBatch], indexes: list[Index], text: str) ->
     for batch in slices(batches, text):
         w = words(batch.column(text), ALNUM)
         h, spans, items = w.hashes(), [[] for _ in range(batch.num_rows)], [set() for _ in range(batch.num_rows)]
+        named = set()  # windows whose items a document has already
         for index in indexes:
             at, low, high = index.candidates(h)
             doc = np.searchsorted(w.first, at, side="right") - 1
             inside = at + index.size <= w.first[doc + 1]
             for i, d, a, b in zip(*(x[inside].tolist() for x in (at, doc, low, high)), strict=True):
-                if found := index.holders(w.text(i, i + index.size), a, b):
-                    items[d].update(found)
+                if found := index.holders(window := w.text(i, i + index.size), a, b):
+                    if (d, window) not in named:
+                        named.add((d, window))
+                        items[d].update(found)
                     spans[d].append((i - int(w.first[d]), i - int(w.first[d]) + index.size))
-        got = [pa.array(w.per_text.astype(np.int64)), pa.array([_merged(s) for s in spans], SPANS), pa.array([sorted(s) for s in items], pa.list_(pa.string()))]
+        got = [pa.array(w.per_text.astype(np.int64)), pa.array([_merged(s) for s in spans], SPANS), pa.array([sorted(s, key=lambda x: (x is None, x or "")) for s in items], pa.list_(pa.string()))]
         yield pa.RecordBatch.from_arrays([*batch.columns, *got], [*batch.schema.names, "n_words", "spans", "items"])
 
 
@@ -110,13 +116,14 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
     and digits, lower-cased, and of all non-ASCII characters. The benchmark's size is measured first: up to `block_bytes` of it are
     broadcast as one set; more than that goes in several sets, each scanned in its own pass over what the last pass wrote.
 
-    Nulls and empty texts have no words and no hits; null or empty items match nothing; equal items are all named; repeated
+    Nulls and empty texts have no words and no hits; null or empty texts of items match nothing; an item without an id counts as
+    any other, and is null in items; equal items are all named; repeated
     documents are each scanned; an empty benchmark or document table gives no hits. Columns of docs stay, except any already
     called n_words, spans or items, which are replaced.
     """
     docs = docs.drop("n_words", "spans", "items")
-    some = benchmark.where(F.col(item).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item).cast("string").alias("i"), F.col(item_text).alias("t")).distinct()
-    size = some.agg(F.sum(F.octet_length("t") + F.octet_length("i"))).first()[0] or 0
+    some = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item).cast("string").alias("i"), F.col(item_text).alias("t")).distinct()
+    size = some.agg(F.sum(F.octet_length("t") + F.coalesce(F.octet_length("i"), F.lit(0)))).first()[0] or 0
     blocks = int(size // block_bytes) + 1
     found = None
     for k in range(blocks):

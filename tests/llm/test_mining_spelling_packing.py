@@ -253,3 +253,18 @@ def test_one_large_page_leaves_other_archives_alone(spark, tmp_path):
     assert len(list((tmp_path / "w").rglob("*.gz"))) <= 8  # a file of each size class for each task
     got = warc.resolved(warc.read_warc(spark, str(tmp_path / "w"), payload=False)).collect()
     assert sorted((r.page_id, r.payload_bytes) for r in got) == list(enumerate(sizes))
+
+
+# ---------------------------------------------------------------- 1
+
+
+def test_items_without_an_id_count(spark):
+    from tellurion.llm import decontaminate
+
+    docs = spark.createDataFrame([(1, "x " + "a b c d e f g h i j k"), (2, "lone words"), (3, "a b c")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "A B C D E F G H I J"), ("q", "b c d e f g h i j k"), (None, None), ("p", "lone")], "item_id string, text string")
+    for block in (1 << 20, 12):
+        got = {r.doc_id: r for r in decontaminate.benchmark_hits(docs, bench, block_bytes=block).collect()}
+        assert [tuple(x) for x in got[1].spans] == [(1, 12)] and sorted(got[1]["items"], key=str) == [None, "q"]
+        assert got[2]["items"] == ["p"] and not got[3].spans
+    assert [r.doc_id for r in decontaminate.without_hits(docs, bench).collect()] == [3]
