@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,18 +44,51 @@ class Rule:
     profile: str | None = None
 
 
+@dataclass(frozen=True)
+class ObjectType:
+    """What holds of an object wherever it stands: rules and groups by paths within it, and the object types of its own attributes."""
+
+    rules: Sequence[Rule] = ()
+    at_least_one: Sequence[Sequence[str]] = ()
+    just_one: Sequence[Sequence[str]] = ()
+    objects: Mapping[str, str] = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class ClassRules:
-    """The rules of one event class: its types, its paths, and groups of which at least, or just, one is set."""
+    """The rules of one event class: its types, its paths, and groups of which at least, or just, one is set; `objects` names the object
+    types of its attributes, of `catalogue`."""
 
     types: Mapping[str, str] = field(default_factory=dict)
     rules: Sequence[Rule] = ()
     at_least_one: Sequence[Sequence[str]] = ()
     just_one: Sequence[Sequence[str]] = ()
+    objects: Mapping[str, str] = field(default_factory=dict)
+    catalogue: Mapping[str, ObjectType] = field(default_factory=dict)
+    #: Groups that hold where their object has some value: (object's path, "at least one" or "just one", paths).
+    object_groups: Sequence[tuple[str, str, Sequence[str]]] = ()
 
     def of(self, profiles: Sequence[str]) -> list[Rule]:
         return [r for r in self.rules if r.profile is None or r.profile in profiles]
 
+    def expanded(self, paths: Sequence[str]) -> ClassRules:
+        """The rules with those of every object that one of the paths lies within. Types may hold each other or themselves: a type is
+        entered only along a path, so the paths end it. An unknown type is an error."""
+        rules, groups = list(self.rules), list(self.object_groups)
+        left = [(name, kind) for name, kind in self.objects.items()]
+        while left:
+            at, kind = left.pop()
+            if not any(p.startswith(f"{at}.") for p in paths):
+                continue
+            if kind not in self.catalogue:
+                raise ValueError(f"no object type {kind}")
+            own = self.catalogue[kind]
+            rules += [replace(r, path=f"{at}.{r.path}") for r in own.rules]
+            for said, some in (("at least one", own.at_least_one), ("just one", own.just_one)):
+                groups += [(at, said, [f"{at}.{p}" for p in g]) for g in some]
+            left += [(f"{at}.{name}", inner) for name, inner in own.objects.items()]
+        return replace(self, rules=rules, object_groups=groups)
+
 
 def ip_pattern() -> str:
     """A regular expression of an IPv4 or IPv6 address, with white space about it and a zone after it: eight groups of hex digits, any
@@ -199,6 +232,7 @@ def _problems(event: Event, raw: Mapping[str, Column], rules: ClassRules) -> Col
     """The rules that a row breaks, as texts."""
     none = F.lit(None).cast("string")
     under = lambda p: _any([c for q, c in raw.items() if q == p or q.startswith(f"{p}.")])
+    rules = rules.expanded(list(raw))
     said = []
     for r in rules.of(event.profiles):
         value = raw.get(r.path, none)
@@ -217,6 +251,9 @@ def _problems(event: Event, raw: Mapping[str, Column], rules: ClassRules) -> Col
         for g in groups:
             n = sum((under(p).cast("int") for p in g), F.lit(0))
             said.append(F.when(bad(n), F.lit(f"{', '.join(g)}: {kind}")))
+    for at, kind, g in rules.object_groups:
+        n = sum((under(p).cast("int") for p in g), F.lit(0))
+        said.append(F.when(under(at) & ((n < 1) if kind == "at least one" else (n != 1)), F.lit(f"{', '.join(g)}: {kind}")))
     return F.array_compact(F.array(*said)) if said else F.expr("cast(array() as array<string>)")
 
 
@@ -320,6 +357,31 @@ def table_columns(text: str) -> dict[str, dict[str, str]]:
     return out
 
 
+def _groups(v: Mapping) -> dict:
+    return {"rules": [Rule(**r) for r in v.get("rules", [])], "at_least_one": v.get("at_least_one", []), "just_one": v.get("just_one", []), "objects": v.get("objects", {})}
+
+
 def rules_json(text: str) -> dict[int, ClassRules]:
-    """Class rules from JSON: {class: {types, rules, at_least_one, just_one}}, as a deployment keeps its schema versions."""
-    return {int(k): ClassRules(v.get("types", {}), [Rule(**r) for r in v.get("rules", [])], v.get("at_least_one", []), v.get("just_one", [])) for k, v in json.loads(text).items()}
+    """Class rules from JSON: {class: {types, rules, at_least_one, just_one, objects}}, as a deployment keeps a schema version. Under the key
+    `objects` stand the object types, {name: {rules, at_least_one, just_one, objects}}, which classes and types name."""
+    given = json.loads(text)
+    catalogue = {name: ObjectType(**_groups(v)) for name, v in given.pop("objects", {}).items()}
+    return {int(k): ClassRules(types=v.get("types", {}), catalogue=catalogue, **_groups(v)) for k, v in given.items()}
+
+
+def rules_of_versions(text: str) -> dict[str, dict[int, ClassRules]]:
+    """Class rules by schema version from JSON, {version: what rules_json reads}."""
+    return {version: rules_json(json.dumps(v)) for version, v in json.loads(text).items()}
+
+
+def class_rows_by_version(df: DataFrame, events: Sequence[Event], version: str | Column, rules: Mapping[str, Mapping[int, ClassRules]], validate: bool = True) -> tuple[DataFrame, DataFrame]:
+    """class_rows for records of several schema versions, each by the rules of its own; `version` is a column. Records of a version
+    without rules go to `rejected` with the error `unknown version`, null columns beside it."""
+    mark = column(version) if isinstance(version, str) else version
+    good = bad = None
+    for name, own in rules.items():
+        a, b = class_rows(df.where(mark == name), events, name, own, validate)
+        b = b if "errors" in b.columns else b.withColumn("errors", F.expr("cast(array() as array<string>)"))
+        good, bad = (a, b) if good is None else (good.unionByName(a), bad.unionByName(b))
+    lost = df.where(~F.coalesce(mark.isin(list(rules)), F.lit(False))).withColumn("errors", F.array(F.lit("unknown version")))
+    return good, bad.unionByName(lost, allowMissingColumns=True)

@@ -150,3 +150,22 @@ def folders_of_a_range(spark, sf):
     first = e.agg(F.min(F.date_trunc("day", "ts"))).first()[0]
     S.write_partitioned(e.repartition(F.date_trunc("day", "ts")), path)
     return S.read_partitioned(spark, path, first + timedelta(hours=30), first + timedelta(hours=75), "event_id long, ts timestamp").select("event_id", "ts")
+
+
+_PROCESS = """{"objects": {"process": {"rules": [{"path": "pid", "required": true}], "objects": {"parent": "process", "user": "user"}}, "user": {"rules": [{"path": "email", "pattern": "email_t"}], "at_least_one": [["uid", "name"]]}},
+"1007": {"objects": {"process": "process", "actor": "user"}}}"""
+_LAUNCH = N.Event(1007, [
+    N.Field("activity_id", None, 1), N.Field("process.pid", "user_id"), N.Field("process.parent.pid", "case when event_id % 3 <> 0 then event_id end"), N.Field("process.parent.user.email", "mail"),
+    N.Field("process.parent.user.name", "event_type"), N.Field("actor.email", "mail"),
+])
+
+
+@registered("n5_object_types", """
+SELECT event_id, concat_ws('; ', CASE WHEN event_id % 3 = 0 THEN 'process.parent.pid: required' END, CASE WHEN event_id % 2 = 0 THEN 'actor.email: format' END,
+  CASE WHEN event_id % 2 = 0 THEN 'process.parent.user.email: format' END, 'actor.uid, actor.name: at least one') AS errors FROM events""")
+def rules_of_object_types(spark, sf):
+    """A process and the parent it holds, each by the rules of a process, and users at two places by those of a user."""
+    mail = F.when(F.col("event_id") % 2 == 0, "none").otherwise(F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("@x.org")))
+    _, rejected = N.class_rows(t(spark, sf, "events").withColumn("mail", mail), [_LAUNCH], "1.0.0", N.rules_json(_PROCESS))
+    order = ["process.parent.pid: required", "actor.email: format", "process.parent.user.email: format", "actor.uid, actor.name: at least one"]
+    return rejected.select("event_id", F.array_join(F.filter(F.array(*map(F.lit, order)), lambda x: F.array_contains("errors", x)), "; ").alias("errors"))

@@ -205,3 +205,45 @@ def test_layouts_are_patterns():
     assert templates.TEMPLATES["nginx_logs"].start is None
     slow = "# Time: 2024-01-02T03:04:05.678901Z\n# User@Host: u[u] @ h [1.2.3.4]  Id: 7\n# Query_time: 0.5  Lock_time: 0.1 Rows_sent: 1  Rows_examined: 2\nselect 1;"
     assert re.match(templates.TEMPLATES["mysql_logs"].patterns[0], slow).groupdict() == {"timestamp": "2024-01-02T03:04:05.678901Z", "user": "u", "host": "h", "ip": "1.2.3.4", "tid": "7", "query_time": "0.5", "lock_time": "0.1", "rows_sent": "1", "rows_examined": "2", "message": "select 1;"}
+
+
+def test_rules_hold_wherever_an_object_stands(spark):
+    """A process holds its parent, which is a process; users and hosts stand at several places."""
+    import json
+
+    text = json.dumps({
+        "objects": {
+            "process": {"rules": [{"path": "pid", "required": True}], "just_one": [["name", "path"]], "objects": {"user": "user", "parent": "process"}},
+            "user": {"rules": [{"path": "email", "pattern": "email_t"}], "at_least_one": [["uid", "name"]]},
+        },
+        "1007": {"rules": [{"path": "activity_id", "required": True}], "objects": {"process": "process", "actor": "user", "other": "process"}},
+    })
+    rules = N.rules_json(text)[1007]
+    assert rules.expanded(["x"]).rules == rules.rules
+    with pytest.raises(ValueError):
+        N.ClassRules(objects={"a": "none"}).expanded(["a.b"])
+    paths = ["process.pid", "process.name", "process.path", "process.parent.pid", "process.parent.name", "process.parent.user.email", "process.parent.user.uid", "actor.email", "actor.name"]
+    event = N.Event(1007, [N.Field("activity_id", None, 1), N.Field("time", "ts"), *(N.Field(p, f"`{p}`") for p in paths)])
+    ok = {"process.pid": 1, "process.name": "n"}
+    cases = [
+        (ok, []), ({}, []), ({"process.name": "n"}, ["process.pid: required"]), (ok | {"process.path": "p"}, ["process.name, process.path: just one"]),
+        (ok | {"process.parent.name": "n"}, ["process.parent.pid: required"]), (ok | {"process.parent.pid": 1}, ["process.parent.name, process.parent.path: just one"]),
+        (ok | {"process.parent.pid": 1, "process.parent.name": "n", "process.parent.user.email": "bad"}, ["process.parent.user.email: format", "process.parent.user.uid, process.parent.user.name: at least one"]),
+        ({"actor.email": "a@b.c"}, ["actor.uid, actor.name: at least one"]), ({"actor.email": "a@b.c", "actor.name": "n"}, []),
+    ]
+    schema = "i int, ts timestamp, " + ", ".join(f"`{p}` {'int' if p.endswith('pid') else 'string'}" for p in paths)
+    df = spark.createDataFrame([(i, None, *(c.get(p) for p in paths)) for i, (c, _) in enumerate(cases)], schema)
+    _, rejected = N.class_rows(df, [event], "1.0.0", {1007: rules})
+    got = {r.i: sorted(r.errors) for r in rejected.collect()}
+    assert got == {i: sorted(e) for i, (_, e) in enumerate(cases) if e}
+
+
+def test_versions(spark):
+    import json
+
+    one = {"3001": {"rules": [{"path": "user.name", "pattern": "hostname_t"}]}}
+    rules = N.rules_of_versions(json.dumps({"1.0.0": one, "1.1.0": {"3001": {}}}))
+    df = spark.createDataFrame([(1, "1.0.0", "a b"), (2, "1.1.0", "a b"), (3, "9", "a"), (4, None, "a"), (5, "1.0.0", "ab")], "i int, v string, name string")
+    good, bad = N.class_rows_by_version(df, [N.Event(3001, [N.Field("user.name", "name")])], "v", rules)
+    assert sorted((r.i, json.loads(r.body_text)["metadata"]["version"]) for r in good.collect()) == [(2, "1.1.0"), (5, "1.0.0")]
+    assert sorted((r.i, r.errors) for r in bad.collect()) == [(1, ["user.name: format"]), (3, ["unknown version"]), (4, ["unknown version"])]
