@@ -87,19 +87,80 @@ def mask_report(df: DataFrame, text: str, rules: Mapping[str, str] | None = None
     return one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), F.col(f"{n}_rows").alias("n_rows"), F.col(f"{n}_hits").cast("long").alias("n_hits")) for n in rules])).alias("r")).select("r.*")
 
 
-def remove_empty(df: DataFrame, columns: Sequence[str], nulls: bool = True, maps: bool = False, strings: Sequence[str] = (), exclude: Sequence[str] = ()) -> DataFrame:
-    """Leave out entries of text maps that are null or one of the empty strings (any case); an emptied map becomes null with maps=True."""
+def remove_empty(df: DataFrame, columns: Sequence[str], nulls: bool = True, maps: bool = False, strings: Sequence[str] = (), exclude: Sequence[str] = (), lists: bool = False) -> DataFrame:
+    """Leave out what is null or one of the empty strings (any case) from columns of any shape, inner parts first: entries of maps,
+    elements of arrays; fields of structs become null. With maps=True a map or struct without any such part left is empty
+    too, with lists=True an array. A column that is empty itself becomes null. Dotted paths in `exclude` are left alone with all below."""
     low = [s.lower() for s in strings]
     out = {}
     for c in columns:
         if c in exclude:
             continue
-        keys = [e[len(c) + 1 :] for e in exclude if e.startswith(f"{c}.")]
-        m = _full_entries(c, keys, nulls, low)
-        out[c] = F.when(F.size(m) > 0, m) if maps else m
+        if dict(df.dtypes)[c] == "map<string,string>":
+            m = _full_entries(c, [e[len(c) + 1 :] for e in exclude if e.startswith(f"{c}.")], nulls, low)
+            out[c] = F.when(F.size(m) > 0, m) if maps else m
+        else:
+            walk = _Cleaner(nulls, maps, lists, low, exclude).walk(F.col(c), df.schema[c].dataType, c)
+            out[c] = F.get(F.transform(F.array(walk), lambda w: F.when(~w["gone"], w["v"])), F.lit(0))
     return df.withColumns(out)
 
 
+class _Cleaner:
+    """Values by their type without their empty parts, as (v, gone): one native expression, in which each part is looked at once."""
+
+    def __init__(self, nulls: bool, maps: bool, lists: bool, strings: Sequence[str], exclude: Sequence[str]):
+        self.nulls, self.maps, self.lists, self.strings, self.exclude = F.lit(nulls), maps, lists, list(strings), list(exclude)
+
+    def walk(self, x: Column, kind: T.DataType, path: str) -> Column:
+        missing = self.nulls & x.isNull()
+        if isinstance(kind, T.StringType):
+            missing = missing | F.coalesce(F.lower(x).isin(self.strings), F.lit(False)) if self.strings else missing
+        elif isinstance(kind, T.ArrayType):
+            inner = F.transform(x, lambda e: self.walk(e, kind.elementType, path))
+            return _let(F.filter(inner, lambda w: ~w["gone"]), lambda kept: _found(F.transform(kept, lambda w: w["v"]), missing | (F.lit(self.lists) & F.coalesce(F.size(kept) == 0, F.lit(False)))))
+        elif isinstance(kind, T.StructType):
+            return self._struct(x, kind, path, missing)
+        elif isinstance(kind, T.MapType) and isinstance(kind.keyType, T.StringType):
+            entry = lambda e: _let(self._entry(e["key"], e["value"], kind.valueType, path), lambda w: F.struct(e["key"].alias("key"), w["v"].alias("value"), w["gone"].alias("gone")))
+            kept = F.filter(F.transform(F.map_entries(x), entry), lambda e: ~e["gone"])
+            pairs = lambda k: F.map_from_entries(F.transform(k, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))))
+            return _let(kept, lambda k: _found(pairs(k), missing | (F.lit(self.maps) & F.coalesce(F.size(k) == 0, F.lit(False)))))
+        return _found(x, missing)
+
+    def _struct(self, x: Column, kind: T.StructType, path: str, missing: Column) -> Column:
+        walked = F.struct(*[(_found(x[f.name], F.lit(False)) if f"{path}.{f.name}" in self.exclude else self.walk(x[f.name], f.dataType, f"{path}.{f.name}")).alias(f.name) for f in kind.fields])
+
+        def whole(w: Column) -> Column:
+            v = F.struct(*[F.when(~w[f.name]["gone"], w[f.name]["v"]).alias(f.name) for f in kind.fields])
+            none_left = functools.reduce(Column.__and__, [w[f.name]["gone"] for f in kind.fields], F.lit(True))
+            return _found(F.when(x.isNotNull(), v), missing | (F.lit(self.maps) & x.isNotNull() & none_left))
+
+        return _let(walked, whole)
+
+    def _entry(self, key: Column, value: Column, kind: T.DataType, path: str) -> Column:
+        out = _Cleaner.walk(self._free(), value, kind, "")
+        below = [e[len(path) + 1 :] for e in self.exclude if e.startswith(f"{path}.")]
+        if not isinstance(kind, T.StringType):
+            for name in dict.fromkeys(e.split(".")[0] for e in below if "." in e):
+                out = F.when(key == name, self.walk(value, kind, f"{path}.{name}")).otherwise(out)
+        return F.when(key.isin(below), _found(value, F.lit(False))).otherwise(out) if below else out
+
+    def _free(self) -> _Cleaner:
+        """The same without anything excluded, for keys that no exclude names."""
+        other = _Cleaner(True, self.maps, self.lists, self.strings, [])
+        other.nulls = self.nulls
+        return other
+
+
+def _found(v: Column, gone: Column) -> Column:
+    return F.struct(v.alias("v"), gone.alias("gone"))
+
+
+def _let(value: Column, then) -> Column:
+    """`then` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _full_entries(c: str, keys: Sequence[str], nulls: bool, low: Sequence[str]) -> Column:
     def kept(k: Column, v: Column) -> Column:
         empty = (v.isNull() if nulls else F.lit(False)) | (F.coalesce(F.lower(v).isin(list(low)), F.lit(False)) if low else F.lit(False))

@@ -169,3 +169,13 @@ def rules_of_object_types(spark, sf):
     _, rejected = N.class_rows(t(spark, sf, "events").withColumn("mail", mail), [_LAUNCH], "1.0.0", N.rules_json(_PROCESS))
     order = ["process.parent.pid: required", "actor.email: format", "process.parent.user.email: format", "actor.uid, actor.name: at least one"]
     return rejected.select("event_id", F.array_join(F.filter(F.array(*map(F.lit, order)), lambda x: F.array_contains("errors", x)), "; ").alias("errors"))
+
+
+@registered("r2_remove_empty_nested", """
+SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_type END AS inner_text, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS n, CASE WHEN event_id % 3 = 0 THEN 0 ELSE 1 END AS listed, '' AS left_alone FROM events""")
+def empty_parts_of_nested_values(spark, sf):
+    even, third = F.col("event_id") % 2 == 0, F.col("event_id") % 3 == 0
+    m = F.create_map(F.lit("a"), F.create_map(F.lit("x"), F.when(even, F.col("event_type")).otherwise("-"), F.lit("y"), F.lit("")), F.lit("b"), F.create_map(F.lit("z"), F.lit(None).cast("string")))
+    row = F.struct(F.array(F.when(third, F.lit("")).otherwise(F.col("event_type")), F.lit("-")).alias("list"), F.lit("").alias("keep"))
+    e = R.remove_empty(t(spark, sf, "events").select("event_id", m.alias("m"), row.alias("r")), ["m", "r"], maps=True, strings=["", "-"], exclude=["r.keep"])
+    return e.select("event_id", F.try_element_at(F.try_element_at("m", F.lit("a")), F.lit("x")).alias("inner_text"), F.coalesce(F.size("m"), F.lit(0)).alias("n"), F.size("r.list").alias("listed"), F.col("r.keep").alias("left_alone"))

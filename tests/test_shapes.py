@@ -225,3 +225,34 @@ def test_measured_writes(spark, tmp_path):
     q = s.rows.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "commits")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert sum(p["n_rows"] for p in s.progress(q)) == 3 and sum(p["accepted"] for p in s.progress(q)) == 2
+
+
+# ---------------------------------------------------------------- empty values
+
+
+@pytest.mark.parametrize("nulls,maps,lists,strings,exclude", [
+    (True, False, False, [], []), (True, True, True, ["", "-"], []), (False, True, False, ["-"], []), (True, True, True, [""], ["m.a", "s.c"]), (True, True, False, ["-"], ["m.b.x", "s.d.k"]), (False, False, False, [], []),
+])
+def test_empty_parts_of_any_shape(spark, nulls, maps, lists, strings, exclude):
+    schema = "i int, m map<string,map<string,string>>, s struct<a:string,b:array<string>,c:struct<e:string>,d:map<string,string>,n:int>, l array<map<string,string>>, t string"
+    rows = [
+        (1, {"a": {"x": "", "y": None}, "b": {"x": "-", "y": "v"}, "c": None, "d": {}}, {"a": "-", "b": ["", "x", None], "c": {"e": None}, "d": {"k": "-"}, "n": None}, [{"p": ""}, {}, None, {"q": "v"}], "-"),
+        (2, {}, {"a": None, "b": [], "c": None, "d": None, "n": 3}, [], ""), (3, None, None, None, None), (4, {"a": {"z": "v"}}, {"a": "x", "b": ["-"], "c": {"e": "-"}, "d": {}, "n": None}, [{}], "v"),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    got = {r.i: r.asDict(recursive=True) for r in R.remove_empty(df, ["m", "s", "l", "t"], nulls, maps, strings, exclude, lists).collect()}
+    fields = {"": ("a", "b", "c", "d", "n"), "c": ("e",)}
+
+    def shown(x, path):
+        """A cleaned dictionary as the struct it was: fields left out are null."""
+        if path == "s" and isinstance(x, dict):
+            return {f: shown(x.get(f), f"s.{f}") for f in fields[""]}
+        if path == "s.c" and isinstance(x, dict):
+            return {f: x.get(f) for f in fields["c"]}
+        return x
+
+    for row in df.collect():
+        plain = row.asDict(recursive=True)
+        for c in ("m", "s", "l", "t"):
+            value, empty = R._clean(plain[c], nulls, lists, maps, {x.lower() for x in strings}, set(exclude), c)
+            assert got[row.i][c] == (None if empty else shown(value, c)), (row.i, c)
