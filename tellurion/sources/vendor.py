@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tellurion.functions.expressions import attributes
 
@@ -189,10 +190,19 @@ def neuron_metrics(df: DataFrame, col: str) -> DataFrame:
 
 
 def table_metrics(df: DataFrame, metrics: Mapping[str, str | Column], attrs: Sequence[str] = ()) -> DataFrame:
-    """Columns of monitoring tables as metrics {name: column}: text with `-` means missing, other text must be a number."""
-    number = lambda c: F.when(~F.coalesce(c.cast("string").contains("-"), F.lit(True)), F.trim(c.cast("string")).try_cast("double"))
+    """Columns of monitoring tables as metrics {name: column}: text with `-` means missing, other text must be a number.
+
+    Of a column of numbers those below zero are missing; the sign of a zero or of an exponent makes none so.
+    """
     col = lambda c: F.col(c) if isinstance(c, str) else c
-    pairs = F.array(*[F.struct(F.lit(k).alias("metric_name"), number(col(c)).alias("value")) for k, c in metrics.items()])
+    given = df.select(*[col(c).alias(f"m{i}") for i, c in enumerate(metrics.values())]).schema
+
+    def number(c: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, T.NumericType):
+            return F.when(c >= 0, c.cast("double"))
+        return F.when(~F.coalesce(c.cast("string").contains("-"), F.lit(True)), F.trim(c.cast("string")).try_cast("double"))
+
+    pairs = F.array(*[F.struct(F.lit(k).alias("metric_name"), number(col(c), f.dataType).alias("value")) for (k, c), f in zip(metrics.items(), given)])
     return df.select(attributes({a: F.col(a) for a in attrs}).alias("attributes"), F.inline(pairs)).where("value is not null")
 
 

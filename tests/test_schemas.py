@@ -137,6 +137,14 @@ def test_vendor_rows_of_bad_text(spark):
     assert sorted((r.metric_name, r.value) for r in vendor.table_metrics(t, {"a": "a", "b": "b"}).collect()) == [("a", 5.0), ("b", 2.5)]
 
 
+
+def test_table_metrics_of_numbers(spark):
+    t = spark.createDataFrame([(0.0, 1), (-0.0, -1), (1e-5, 0), (-2.5, None), (None, None), (float("nan"), None), (float("inf"), None)], "a double, b int")
+    got = [(r.metric_name, str(r.value)) for r in vendor.table_metrics(t, {"a": "a", "b": F.col("b")}).collect()]
+    assert sorted(got) == [("a", "-0.0"), ("a", "0.0"), ("a", "1e-05"), ("a", "inf"), ("a", "nan"), ("b", "0.0"), ("b", "1.0")]
+    text = spark.createDataFrame([("1e-5", "-0.0", "2e3")], "a string, b string, c string")
+    assert [(r.metric_name, r.value) for r in vendor.table_metrics(text, {x: x for x in "abc"}).collect()] == [("c", 2000.0)]
+
 LINES = {
     "aerospike_logs": ("Jan 02 2024 03:04:05 GMT: WARNING (hb): (hb.c:12) {test} text", "2024-01-02 03:04:05", 13),
     "cisco_catalyst_logs": ("<189>29: *Jan  2 03:04:05.678: %SYS-5-CONFIG_I: text", None, 13),
