@@ -16,8 +16,11 @@ STATE = "struct<body:string,fields:map<string,string>,ts:timestamp,severity_numb
 
 
 def let(value: Column, then: Callable[[Column], Column]) -> Column:
-    """`then` of a value that is computed once, however often `then` names it."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
+    """`then` of a value that is computed once, however often `then` names it.
+
+    A fold over nothing ends with `then` of where it began; unlike an element's transformation it hands the result on without a copy.
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda x, _: x, then)
 
 
 def part(s: Column, name: str) -> Column:
@@ -30,8 +33,8 @@ def changed(s: Column, **new: Column) -> Column:
 
 
 def over(fields: Column, new: Column) -> Column:
-    """A map with the entries of another in place of its own."""
-    return let(new, lambda m: F.map_concat(F.map_filter(fields, lambda k, _: ~F.map_contains_key(m, k)), m))
+    """A map with the entries of another in place of its own; null values of the other replace nothing."""
+    return F.map_zip_with(fields, new, lambda _, old, now: F.coalesce(now, old))
 
 
 def put(s: Column, new: Column) -> Column:
@@ -39,9 +42,9 @@ def put(s: Column, new: Column) -> Column:
     return over(s["fields"], new)
 
 
-def present(*pairs: tuple[str, Column]) -> Column:
-    """A map of the values that are not null."""
-    return F.map_filter(F.create_map(*[x for k, v in pairs for x in (F.lit(k), v)]), lambda _, v: v.isNotNull())
+def put_present(s: Column, *pairs: tuple[str, Column]) -> Column:
+    """The fields with those values over them that are not null."""
+    return F.map_filter(put(s, F.create_map(*[x for k, v in pairs for x in (F.lit(k), v)])), lambda _, v: v.isNotNull())
 
 
 def _without(s: Column, names: Sequence[str]) -> Column:
@@ -109,8 +112,8 @@ class Regex(Step):
         names = group_names(rx)
 
         def fields(groups: Column) -> Column:
-            m = present(*[(n, F.nullif(F.get(groups, F.lit(i + 1)), F.lit(""))) for i, n in enumerate(names)])
-            return F.when(groups.isNotNull(), changed(s, fields=put(s, m))).otherwise(s)
+            found = [(n, F.nullif(F.get(groups, F.lit(i + 1)), F.lit(""))) for i, n in enumerate(names)]
+            return F.when(groups.isNotNull(), changed(s, fields=put_present(s, *found) if found else s["fields"])).otherwise(s)
 
         return let(captured(part(s, self.source), rx), fields)
 
@@ -144,8 +147,8 @@ class Csv(Step):
         schema = ", ".join([*(f"c{i} string" for i in range(len(names))), "bad string"])
 
         def fields(got: Column) -> Column:
-            m = present(*[(n, got[f"c{i}"]) for i, n in enumerate(names)])
-            return F.when(got["bad"].isNull() & got.isNotNull(), changed(s, fields=put(s, m))).otherwise(s)
+            m = put_present(s, *[(n, got[f"c{i}"]) for i, n in enumerate(names)])
+            return F.when(got["bad"].isNull() & got.isNotNull(), changed(s, fields=m)).otherwise(s)
 
         return let(F.from_csv(part(s, self.source), schema, {"sep": self.delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"}), fields)
 
@@ -169,18 +172,22 @@ class Pairs(Step):
         plain = lambda k: F.regexp_replace(F.lower(k), "[^a-z0-9]", "_")
         name = (lambda k: F.coalesce(F.try_element_at(given, k), plain(k))) if given is not None else plain
 
-        def first_of_each(both: Column) -> Column:
-            names = F.transform(both, lambda x: x["k"])
-            return F.map_from_entries(F.filter(both, lambda e, i: F.array_position(names, e["k"]) == i + 1))
+        def first_of_each(keys: Column, values: Column) -> Column:
+            both = F.zip_with(keys, values, lambda k, v: F.struct(k.alias("k"), v.alias("v")))
+            firsts = F.map_from_entries(F.filter(both, lambda e, i: F.array_position(keys, e["k"]) == i + 1))
+            return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_arrays(keys, values)).otherwise(firsts)
+
+        def merged(h: Column, found: Column) -> Column:
+            if self.rest is None:
+                return put(s, found)
+            left = F.regexp_replace(text, run, "") if self.anywhere else F.substring(text, F.length(h) + 1, F.length(text))
+            after = F.nullif(F.regexp_replace(left, r"^\s+|\s+$", ""), F.lit(""))
+            others = F.map_filter(over(s["fields"], found), lambda k, _: k != self.rest)
+            return let(after, lambda x: F.when(x.isNull(), others).otherwise(F.map_concat(others, F.create_map(F.lit(self.rest), x))))
 
         def pairs(h: Column) -> Column:
             keys, values = F.transform(F.regexp_extract_all(h, F.lit(self.pair), F.lit(1)), name), F.regexp_extract_all(h, F.lit(self.pair), F.lit(2))
-            both = F.zip_with(keys, values, lambda k, v: F.struct(k.alias("k"), v.alias("v")))
-            fields = put(s, let(both, first_of_each))
-            if self.rest is not None:
-                found = F.map_filter(let(both, first_of_each), lambda k, _: k != self.rest)
-                after = F.nullif(F.regexp_replace(F.regexp_replace(text, run, ""), r"^\s+|\s+$", ""), F.lit(""))
-                fields = over(over(_without(s, [self.rest]), found), present((self.rest, after)))
+            fields = let(keys, lambda k: let(values, lambda v: merged(h, first_of_each(k, v))))
             return F.when(h != "", changed(s, fields=fields)).otherwise(s)
 
         return let(head, pairs)
@@ -211,8 +218,8 @@ class Uri(Step):
         whole = F.when(text.startswith("/"), F.concat(F.lit("x://x"), text)).otherwise(text)
         own = lambda p: F.when(~text.startswith("/"), F.try_parse_url(whole, F.lit(p)))
         found = {"scheme": own("PROTOCOL"), "host": own("HOST"), "path": F.try_parse_url(whole, F.lit("PATH")), "query": F.try_parse_url(whole, F.lit("QUERY"))}
-        m = present(*[(self.prefix + k, F.nullif(v, F.lit(""))) for k, v in found.items()])
-        return F.when(text.isNotNull(), changed(s, fields=put(s, m))).otherwise(s)
+        m = put_present(s, *[(self.prefix + k, F.nullif(v, F.lit(""))) for k, v in found.items()])
+        return F.when(text.isNotNull(), changed(s, fields=m)).otherwise(s)
 
 
 @dataclass(frozen=True)
@@ -241,8 +248,9 @@ class Add(Step):
     value: str | Callable[[Column], Column]
 
     def apply(self, s: Column) -> Column:
-        value = F.lit(self.value) if isinstance(self.value, str) else self.value(s)
-        return changed(s, fields=put(s, present((self.name, value.cast("string")))))
+        if isinstance(self.value, str):
+            return changed(s, fields=put(s, F.create_map(F.lit(self.name), F.lit(self.value))))
+        return changed(s, fields=put_present(s, (self.name, self.value(s).cast("string"))))
 
 
 @dataclass(frozen=True)
@@ -272,7 +280,7 @@ class Severity(Step):
     def apply(self, s: Column) -> Column:
         v = part(s, self.source)
         v = F.pmod(v.try_cast("int"), F.lit(self.modulo)).cast("string") if self.modulo else v
-        return changed(s, severity_number=F.coalesce(F.nullif(level_number(v, self.levels), F.lit(0)), s["severity_number"]))
+        return changed(s, severity_number=let(v, lambda w: let(level_number(w, self.levels), lambda n: F.when(n != 0, n).otherwise(s["severity_number"]))))
 
 
 @dataclass(frozen=True)
@@ -346,7 +354,7 @@ def _template(name: str, which: int = 0) -> list[Step]:
     return [Regex(t.layouts[which], layout=True), *(Time(n, [k]) for n, k in t.times), *(Severity(x, t.levels, 8 if t.priority else 0) for x in levels if x)]
 
 
-_OBJECT = matches(r"^\s*\{[\s\S]*\}\s*$")
+_OBJECT = matches(r"^\s*\{(?s:.)*\}\s*$")
 _ZONED = ("yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS][.SSSSSS][.SSS]XXX", "yyyy-MM-dd'T'HH:mm:ss,SSSX")
 #: Names of fields for the extra counters of a slow query.
 _SLOW = {
@@ -390,10 +398,10 @@ GRAPHS: dict[str, Sequence[Step]] = {
                     Route([(matches(r"^\s*Thread_id: ", "query"), [Pairs(r"([A-Z][A-Za-z_]*): (\S+)", "query", _SLOW, rest="query")])]),
                     Add("sql_command", _sql_command), Add("log_type", "mysql.slow_query"),
                 ]),
-                (matches(r"^/\w+/\w+/mysqld, Version: "), [Regex(r"^(?P<path>/\w+/\w+/mysqld), Version: (?P<version>.+?)\. (?P<started_with>[\s\S]+)$"), Add("log_type", "mysql.server-start")]),
+                (matches(r"^/\w+/\w+/mysqld, Version: "), [Regex(r"^(?P<path>/\w+/\w+/mysqld), Version: (?P<version>.+?)\. (?P<started_with>(?s:.)+)$"), Add("log_type", "mysql.server-start")]),
                 (matches(r"^\S+\s+\d+\s+\["), [
                     *_template("mysql_logs", 1),
-                    Regex(r"^\[(?P<error_code>[^\]]+)\] \[(?P<subsystem>[^\]]+)\] (?P<message>[\s\S]*)$", source="message"), Add("log_type", "mysql.error"),
+                    Regex(r"^\[(?P<error_code>[^\]]+)\] \[(?P<subsystem>[^\]]+)\] (?P<message>(?s:.)*)$", source="message"), Add("log_type", "mysql.error"),
                 ]),
             ],
             [*_template("mysql_logs", 2), Add("log_type", "mysql.general")],
@@ -403,11 +411,11 @@ GRAPHS: dict[str, Sequence[Step]] = {
         Route([
             (begins("Audit file "), [Move("body", "message", keep=True), Add("log_type", "oracledb.audit")]),
             (matches(_AUDIT_TIME + r" [+-]\d\d:\d\d\s+LENGTH"), [
-                Regex(_AUDIT_TIME.replace("^", "^(?P<timestamp>") + r" [+-]\d\d:\d\d)\s+(?P<record>[\s\S]*)$"), Regex(r"^\w+ (?P<at>.*)$", source="timestamp"), Time("at", ["MMM d HH:mm:ss yyyy XXX", "MMM  d HH:mm:ss yyyy XXX"]),
+                Regex(_AUDIT_TIME.replace("^", "^(?P<timestamp>") + r" [+-]\d\d:\d\d)\s+(?P<record>(?s:.)*)$"), Regex(r"^\w+ (?P<at>.*)$", source="timestamp"), Time("at", ["MMM d HH:mm:ss yyyy XXX", "MMM  d HH:mm:ss yyyy XXX"]),
                 Pairs(_AUDIT_PAIR, "record", _AUDIT, anywhere=True), Remove(["record", "at"]), Add("log_type", "oracledb.audit"),
             ]),
             (begins("<msg time="), [
-                Regex(r"""^<msg time=['"](?P<timestamp>[^'"]*)['"]"""), Time("timestamp", _ZONED), Regex(r"<txt>\s*(?P<message>[\s\S]*?)\s*</txt>"),
+                Regex(r"""^<msg time=['"](?P<timestamp>[^'"]*)['"]"""), Time("timestamp", _ZONED), Regex(r"<txt>\s*(?P<message>(?s:.)*?)\s*</txt>"),
                 Pairs(r"""\b([a-z_]+)=['"]([^'"]*)['"]""", "body", {"time": "timestamp"}, anywhere=True), Add("log_type", "oracledb.alert"),
             ]),
             (matches(_AUDIT_TIME), [*_template("oracle_database_logs", 1), Add("log_type", "oracledb.alert")]),
@@ -431,9 +439,9 @@ GRAPHS: dict[str, Sequence[Step]] = {
         Route([
             (begins("{"), [Json(), Time("time_local", ["dd/MMM/yyyy:HH:mm:ss Z"]), Severity("status"), Move("status", "http_request_status"), _REQUEST, Add("log_type", "nginx.access")]),
             (matches(r"^\d{4}/\d\d/\d\d "), [
-                Regex(r"^(?P<time>\d{4}/\d\d/\d\d \d\d:\d\d:\d\d) \[(?P<log_level>\w+)\] (?P<pid>\d+)#(?P<tid>\d+):(?: \*(?P<connection>\d+))? (?P<message>[\s\S]*)$"),
+                Regex(r"^(?P<time>\d{4}/\d\d/\d\d \d\d:\d\d:\d\d) \[(?P<log_level>\w+)\] (?P<pid>\d+)#(?P<tid>\d+):(?: \*(?P<connection>\d+))? (?P<message>(?s:.)*)$"),
                 Time("time", ["yyyy/MM/dd HH:mm:ss"]), Severity("log_level", {"crit": 18, "emerg": 19}),
-                Regex(r"^(?P<text>[\s\S]*?), (?P<context>client: [\s\S]*)$", source="message"),
+                Regex(r"^(?P<text>(?s:.)*?), (?P<context>client: (?s:.)*)$", source="message"),
                 Pairs(r'\b(client|server|request|subrequest|upstream|host|referrer): "?([^",]*)"?', "context", {"referrer": "referer"}, anywhere=True),
                 Move("text", "message"), Remove(["context"]), Add("log_type", "nginx.error"),
             ]),

@@ -273,7 +273,7 @@ def captured(text: Column, pattern: str) -> Column:
     names = group_names(pattern)
     bare = re.compile(re.sub(r"\(\?<([A-Za-z_])", r"(?P<\1", pattern.replace("(?P<", "(?<")))
     java = re.sub(r"\(\?<[A-Za-z_]\w*>", "(", java_pattern(re.sub(r"\(\?P<", "(?<", pattern)))
-    whole = rf"\A(?:{java})[\s\S]*\z" if _anchored(pattern) else rf"\A[\s\S]*?(?:{java})[\s\S]*\z"
+    whole = rf"\A(?:{java})(?s:.)*\z" if _anchored(pattern) else rf"\A(?s:.)*?(?:{java})(?s:.)*\z"
     marked = _BETWEEN.join(["", *(f"${bare.groupindex[n]}" for n in names)])
     parts = F.split(F.regexp_replace(text, F.lit(whole), F.lit(marked)), _BETWEEN)
     return F.when(~F.contains(text, F.lit(_BETWEEN)), F.get(F.filter(F.array(parts), lambda p: F.size(p) == len(names) + 1), F.lit(0)))

@@ -16,8 +16,8 @@ from tellurion.operators import parse
 #: Kinds of fields that a layout can name; a field without a kind goes up to the text after it.
 KINDS = {
     "int": r"\d+", "num": r"-?\d+(?:\.\d+)?", "word": r"\w+", "letter": "[A-Za-z]", "caps": "[A-Z]+(?: [A-Z]+)*", "token": r"\S+",
-    "mark": r"[*#.\-]", "bracketed": r"\[[^\]]*\]", "all": ".+", "rest": r"[\s\S]*",
-    "timed": r"(?:duration: (?P<duration>[\d.]+) ms)?[\s\S]*", "coded": r"(?:(?P<messageCode>\w+):)?[\s\S]*",
+    "mark": r"[*#.\-]", "bracketed": r"\[[^\]]*\]", "all": ".+", "rest": r"(?s:.)*",
+    "timed": r"(?:duration: (?P<duration>[\d.]+) ms)?(?s:.)*", "coded": r"(?:(?P<messageCode>\w+):)?(?s:.)*",
 }
 #: What letters of a time layout stand for, by letter and number; others are digits, as many as letters.
 TIME_PARTS = {
@@ -260,8 +260,8 @@ def parse_logs(df: DataFrame, template: str | Template, col: str = "body_text")
 
 #: Severity numbers of the eight syslog severities, from emergency to debug.
 SYSLOG_LEVELS = (21, 19, 18, 17, 13, 10, 9, 5)
-_RFC5424 = r"^<(?P<pri>\d{1,3})>(?P<version>\d+) (?P<time>\S+) (?P<host>\S+) (?P<app>\S+) (?P<proc>\S+) (?P<msgid>\S+) (?:-|(?P<data>\[.*?\]))(?: (?P<message>[\s\S]*))?$"
-_RFC3164 = r"^<(?P<pri>\d{1,3})>(?P<time>\w{3}\s+\d{1,2} \d{2}:\d{2}:\d{2}) (?P<host>\S+) (?P<app>[^\s\[:]+)(?:\[(?P<proc>[^\]]*)\])?: ?(?P<message>[\s\S]*)$"
+_RFC5424 = r"^<(?P<pri>\d{1,3})>(?P<version>\d+) (?P<time>\S+) (?P<host>\S+) (?P<app>\S+) (?P<proc>\S+) (?P<msgid>\S+) (?:-|(?P<data>\[.*?\]))(?: (?P<message>(?s:.)*))?$"
+_RFC3164 = r"^<(?P<pri>\d{1,3})>(?P<time>\w{3}\s+\d{1,2} \d{2}:\d{2}:\d{2}) (?P<host>\S+) (?P<app>[^\s\[:]+)(?:\[(?P<proc>[^\]]*)\])?: ?(?P<message>(?s:.)*)$"
 
 
 def syslog_parse(df: DataFrame, col: str, into: str = "syslog") -> DataFrame:

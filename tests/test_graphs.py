@@ -120,3 +120,29 @@ def test_mended_layouts(spark, name, line, want):
 def test_one_pass_gives_groups_and_match(spark, pattern, text, want):
     got = L.regex_parse(spark.createDataFrame([(text,)], "t string"), "t", pattern).first().parsed
     assert (got and tuple(got)) == want
+
+
+def test_work_of_a_row(spark):
+    """A class of two complements costs about 60 ns a character, and many times that side by side; a pair is found in one pass."""
+    slow = r"[\s\S]"
+    assert not [n for n, t in P.TEMPLATES.items() for x in t.patterns if slow in x]
+    df = spark.createDataFrame([("x",)], "body_text string")
+    for name in G.GRAPHS:
+        plan = G.parse_graph(df, name)._jdf.queryExecution().optimizedPlan().toString()
+        assert slow not in plan, name
+    plan = G.parse_graph(df, [G.Pairs(r"([a-z]+)=(\S+)", rest="rest")])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 2
+
+
+def test_pairs_of_equal_names_and_rest(spark):
+    """The first of equal names counts, also over a field; the rest takes the place of a pair of its name, and none leaves none."""
+    rows = ["a=1 b=2 A=3  tail  end ", "a=1 rest=9 left", "a=1 b=2", "none here", "", None, "a=1\nb=2\n\nt\u00e4il \U0001f600\n"]
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, body_text string")
+    steps = [G.Add("b", "old"), G.Add("rest", "was"), G.Pairs(r"([A-Za-z]+)=(\S+)", rest="rest")]
+    got = [r.fields for r in G.parse_graph(df, steps).orderBy("i").collect()]
+    kept = {"b": "old", "rest": "was"}
+    assert got == [
+        {"a": "1", "b": "2", "rest": "tail  end"}, {"a": "1", "b": "old", "rest": "left"}, {"a": "1", "b": "2"}, kept, kept, kept, {"a": "1", "b": "2", "rest": "t\u00e4il \U0001f600"},
+    ]
+    rx = G.Regex(r"^(?P<head>\w+) (?P<body>(?s:.)*)$")
+    assert [r.fields for r in G.parse_graph(spark.createDataFrame([("a b\nc\u2028d \U0001f600",)], "body_text string"), [rx]).collect()] == [{"head": "a", "body": "b\nc\u2028d \U0001f600"}]
