@@ -213,43 +213,47 @@ def sql_metrics(spark: SparkSession, sql: str, values: Mapping[str, str], attrs:
     return df.select(attributes({a: F.col(a) for a in attrs}).alias("attributes"), F.inline(pairs)).where("value is not null")
 
 
-def _endpoint(text: Column) -> tuple[Column, Column]:
-    """Address and port of `address.port`: a last part over 255, or after four others or in IPv6, is a port."""
-    port = F.regexp_extract(text, r"\.(\d+)$", 1).try_cast("int")
-    has = (port.isNotNull()) & (text.contains(":") | (port > 255) | text.rlike(r"^[^.]*(\.[^.]*){4}$"))
-    return F.when(has, F.regexp_replace(text, r"\.\d+$", "")).otherwise(text), F.when(has, port).otherwise(0)
+def _ports(packets: DataFrame, end: str) -> DataFrame:
+    """With the address and port of `address.port`: a last part over 255, or after four others or in IPv6, is a port."""
+    p = packets.withColumn("_last", F.regexp_extract(end, r"\.(\d+)$", 1).try_cast("int"))
+    p = p.withColumn("_has", F.col("_last").isNotNull() & (F.col(end).contains(":") | (F.col("_last") > 255) | F.col(end).rlike(r"^[^.]*(\.[^.]*){4}$")))
+    address = F.when(F.col("_has"), F.regexp_replace(end, r"\.\d+$", "")).otherwise(F.col(end))
+    return p.withColumns({f"{end}_address": address, f"{end}_port": F.when(F.col("_has"), F.col("_last")).otherwise(0)})
 
 
 def parse_packets(lines: DataFrame, file: str, line_no: str, line: str, capture_date: str) -> DataFrame:
     """Packet text as one row for each packet: header, then hex lines below it. The text has no date, so it is given.
 
     Packets are numbered within their file; a file is one capture and is ordered by its line numbers. Headers of no known form give
-    rows with null addresses; a packet without hex has an empty one and length 0.
+    rows with null addresses; a packet without hex has an empty one and length 0. Each line is read once, before the lines are dealt
+    out, and each part of a header is found once, in a column that the later ones read.
     """
     from pyspark.sql import Window as W
 
     head = r"^(\d{2}:\d{2}:\d{2}\.\d+)\s+"
-    w = W.partitionBy(file).orderBy(line_no).rowsBetween(W.unboundedPreceding, 0)
-    n = lines.withColumn("packet", F.sum(F.col(line).rlike(head).cast("bigint")).over(w)).where("packet > 0")
-    hexed = F.regexp_replace(F.regexp_extract(line, r"^\s+0x[0-9a-fA-F]+:\s+((?:[0-9a-fA-F]{2,4} ?)+)", 1), " ", "")
-    packed = n.groupBy(file, "packet").agg(
-        F.max(F.when(F.col(line).rlike(head), F.col(line))).alias("header"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~F.col(line).rlike(head), F.struct(F.col(line_no).alias("n"), hexed.alias("h"))))), lambda x: x["h"]), "").alias("hex"),
-    )
-    rest = F.regexp_replace(F.regexp_replace("header", head, ""), r"^\([^)]*\)\s*", "")
     flow = r"^(?:(\S+) (?:In|Out)\s+)?(\S+) (\S+) > (\S+?):?(?:\s+(.*))?$"
-    arp = rest.startswith("ARP,")
-    part = lambda i: F.nullif(F.regexp_extract(rest, flow, i), F.lit(""))
-    src, dst, said = part(3), part(4), F.lower(F.coalesce(part(5), F.lit("")))
-    (src_a, src_p), (dst_a, dst_p) = _endpoint(src), _endpoint(dst)
-    who = lambda i: F.nullif(F.regexp_extract(rest, r"^ARP, Request who-has (\S+) tell (\S+)", i), F.lit(""))
-    reply = F.nullif(F.regexp_extract(rest, r"^ARP, Reply (\S+)", 1), F.lit(""))
-    dns = part(5).contains("+") & (said.contains("a?") | said.contains("aaaa?"))
+    w = W.partitionBy("_file").orderBy("_n").rowsBetween(W.unboundedPreceding, 0)
+    hexed = F.regexp_replace(F.regexp_extract("_line", r"^\s+0x[0-9a-fA-F]+:\s+((?:[0-9a-fA-F]{2,4} ?)+)", 1), " ", "")
+    n = lines.select(F.col(file).alias("_file"), F.col(line_no).alias("_n"), F.col(line).alias("_line")).withColumn("_head", F.col("_line").rlike(head))
+    n = n.select("_file", "_n", "_head", F.when(F.col("_head"), F.col("_line")).otherwise(hexed).alias("_text"))
+    n = n.withColumn("packet", F.sum(F.col("_head").cast("bigint")).over(w)).where("packet > 0")
+    packed = n.groupBy("_file", "packet").agg(
+        F.max(F.when(F.col("_head"), F.col("_text"))).alias("_header"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~F.col("_head"), F.struct(F.col("_n").alias("n"), F.col("_text").alias("h"))))), lambda x: x["h"]), "").alias("hex"),
+    )
+    found = lambda c: F.nullif(F.col(c), F.lit(""))
+    p = packed.withColumns({"_clock": F.regexp_extract("_header", head, 1), "_after": F.regexp_replace("_header", head, "")})
+    p = p.withColumns({"_inside": F.regexp_extract("_after", r"^\(([^)]*)\)", 1), "_rest": F.regexp_replace("_after", r"^\([^)]*\)\s*", "")})
+    p = p.withColumns({"_arp": F.col("_rest").startswith("ARP,"), **{f"_{i}": F.regexp_extract("_rest", flow, i) for i in range(1, 6)}})
+    p = _ports(_ports(p.withColumns({"_src": found("_3"), "_dst": found("_4"), "_said": F.lower("_5")}), "_src"), "_dst")
+    arp, said = F.col("_arp"), F.col("_said")
+    who = lambda i: F.nullif(F.regexp_extract("_rest", r"^ARP, Request who-has (\S+) tell (\S+)", i), F.lit(""))
+    reply = F.nullif(F.regexp_extract("_rest", r"^ARP, Reply (\S+)", 1), F.lit(""))
+    dns = said.contains("+") & (said.contains("a?") | said.contains("aaaa?"))
     transport = F.when(said.contains("tcp") | said.contains("flags"), "TCP").when(said.contains("udp"), "UDP").when(said.contains("icmp"), "ICMP").when(dns, "UDP").otherwise("Unknown")
-    return packed.select(
-        file, "packet", F.try_to_timestamp(F.concat_ws(" ", F.lit(capture_date), F.regexp_extract("header", head, 1))).alias("ts"),
-        F.coalesce(F.nullif(F.regexp_extract(F.regexp_replace("header", head, ""), r"^\(([^)]*)\)", 1), F.lit("")), part(1)).alias("interface"),
-        F.when(arp, "ARP").otherwise(part(2)).alias("protocol"), F.when(arp, who(2)).otherwise(src_a).alias("src_address"), F.when(~arp, src_p).alias("src_port"),
-        F.when(arp, F.coalesce(who(1), reply)).otherwise(dst_a).alias("dst_address"), F.when(~arp, dst_p).alias("dst_port"), F.when(arp, "Unknown").otherwise(transport).alias("transport"),
-        "hex", F.floor(F.length("hex") / 2).cast("bigint").alias("length"),
+    return p.select(
+        F.col("_file").alias(file), "packet", F.try_to_timestamp(F.concat_ws(" ", F.lit(capture_date), "_clock")).alias("ts"), F.coalesce(found("_inside"), found("_1")).alias("interface"),
+        F.when(arp, "ARP").otherwise(found("_2")).alias("protocol"), F.when(arp, who(2)).otherwise(F.col("_src_address")).alias("src_address"), F.when(~arp, F.col("_src_port")).alias("src_port"),
+        F.when(arp, F.coalesce(who(1), reply)).otherwise(F.col("_dst_address")).alias("dst_address"), F.when(~arp, F.col("_dst_port")).alias("dst_port"),
+        F.when(arp, "Unknown").otherwise(transport).alias("transport"), "hex", F.floor(F.length("hex") / 2).cast("bigint").alias("length"),
     )

@@ -128,6 +128,20 @@ def test_packets(spark):
     ]
 
 
+def test_packets_read_each_part_once(spark):
+    """No pattern stands in the plan for every column that its match goes into; lines are read before they are dealt out."""
+    df = spark.createDataFrame([("f", i, x) for i, x in enumerate(PACKETS)], "f string, n int, line string")
+    plan = vendor.parse_packets(df, "f", "n", "line", "2024-01-02")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"(?:In|Out)") == 5 and plan.count("RLIKE(line") == 1
+    odd = ["12:00:00.1 () eth1 Out IP a > b", "12:00:00.1 garbage", "12:00:00.1 IP 1.2.3.256 > 1.2.3.99999999999: UDP", "12:00:00.1 ARP, Reply 10.0.0.9 is-at 00:11", None, "\t0x0000:  45zz 003c"]
+    df = spark.createDataFrame([(f, i, x) for f in ("f", None) for i, x in enumerate(odd)], "f string, n int, line string")
+    got = [tuple(r)[3:] for r in vendor.parse_packets(df, "f", "n", "line", "2024-01-02").orderBy("f", "packet").collect()]
+    assert got == 2 * [
+        ("eth1", "IP", "a", 0, "b", 0, "Unknown", "", 0), (None, None, None, 0, None, 0, "Unknown", "", 0), (None, "IP", "1.2.3", 256, "1.2.3.99999999999", 0, "UDP", "", 0),
+        (None, "ARP", None, None, "10.0.0.9", None, "Unknown", "45", 1),
+    ]
+
+
 def test_vendor_rows_of_bad_text(spark):
     df = spark.createDataFrame([("{", ), (None,), ("{}",)], "j string")
     assert vendor.okta_logs(df, "j", "d").count() == 1 and vendor.neuron_metrics(df, "j").count() == 0
